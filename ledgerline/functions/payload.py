@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
@@ -21,22 +22,21 @@ MALFORMED = "malformed payload"
 MISSING = "missing required field: "
 FAILURE_PREFIX = "Deserialization failed: "
 
-# Name under which every decoding job observes its intake counters.
-INTAKE = "intake"
-
 _CORRUPT = "_corrupt"
 _READ_SCHEMA = T.StructType([*ORDER_V2.fields, T.StructField(_CORRUPT, T.StringType())])
 
 
-def classify(records: DataFrame, payload: str = "payload") -> DataFrame:
+def classify(
+    records: DataFrame, payload: str = "payload", observe_as: str | None = None
+) -> DataFrame:
     """Add ``kind``, ``reason`` and the order fields, read with the latest schema.
 
     Older records simply lack the newer fields: those come out null or defaulted.  A
     null payload is a tombstone, an object with none of the order fields is another
     record type, and whatever cannot be read as an order is poison with a reason.
 
-    The intake counters are observed on the way (see :data:`INTAKE`).  The observation is
-    also a fence: a filter on ``kind`` pushed below it would repeat the JSON parse for
+    The intake counters are observed on the way, under ``observe_as``; two decoded inputs of
+    one query need two names.  The observation is also a fence: a filter on ``kind`` pushed below it would repeat the JSON parse for
     every mention of a field, ten times the work of parsing once.
     """
     event = F.col("_event")
@@ -82,7 +82,7 @@ def classify(records: DataFrame, payload: str = "payload") -> DataFrame:
         "promo_code": taken(event["promoCode"]),
         "currency_defaulted": taken(event["currency"].isNull()),
     }).drop("_event")
-    return decoded.observe(INTAKE, *intake_counts())
+    return decoded.observe(observe_as or f"intake-{uuid.uuid4().hex}", *intake_counts())
 
 
 def intake_counts() -> list[Column]:

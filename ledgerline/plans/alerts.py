@@ -77,26 +77,27 @@ def counter_increase(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("counter_rate", select(f"""
-    SELECT {_TIME}, CAST(round(sum(increase / {float(RANGE)}) * 1000000) AS BIGINT) AS rate_micro
+    SELECT {_TIME}, CAST(round(sum(increase) / {float(RANGE)} * 1000000) AS BIGINT) AS rate_micro
     FROM grown GROUP BY tick""", "consumed", **growth_parts("consumed", ["series"], RANGE)))
 def counter_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records consumed per second over all series."""
     rows = growth(
         samples.consumed(spark, sf_dir), ["series"], RANGE, HOUR, last_tick(spark, sf_dir)
     )
-    rate = F.sum(per_second(F.col("increase"), RANGE))
+    rate = per_second(F.sum("increase"), RANGE)
     return _shown(rows.groupBy("tick").agg(F.round(rate * 1_000_000).cast("long").alias("rate_micro")))
 
 
 def latency_quantiles(spark: SparkSession, sf_dir: str, ranks: tuple[float, ...]) -> DataFrame:
-    """Quantiles per tick: growth per bucket, summed over instances, interpolated."""
+    """Quantiles per tick: growth per bucket, summed over instances, interpolated.
+
+    Growth is left undivided by the range: a common factor does not move a quantile.
+    """
     grown = growth(
         samples.latency_buckets(spark, sf_dir), ["series", "le"], RANGE, HOUR,
         last_tick(spark, sf_dir),
     )
-    by_bound = grown.groupBy("tick", "le").agg(
-        F.sum(per_second(F.col("increase"), RANGE)).alias("cum")
-    )
+    by_bound = grown.groupBy("tick", "le").agg(F.sum("increase").alias("cum"))
     return quantiles(by_bound, ["tick"], ranks)
 
 
@@ -182,10 +183,10 @@ def alert_p99_high(spark: SparkSession, sf_dir: str) -> DataFrame:
                (SELECT count(*) FROM events e WHERE epoch_us(e.ts) <= g.t * 1000000
                 AND NOT (epoch_us(e.ts) >= 1705708800000000
                          AND epoch_us(e.ts) < 1705726800000000)) AS produced FROM grid g""",
-    both=f"""
+    paired=f"""
         SELECT *, lag(consumed) OVER (ORDER BY tick) AS earlier FROM (
             SELECT m.tick, m.produced, coalesce(p.produced, 0) AS consumed
             FROM made m LEFT JOIN made p ON p.tick = m.tick - {HOUR})""",
-    **stretch_parts("both", "consumed >= produced AND produced > 0 AND consumed = earlier", HOUR)))
+    **stretch_parts("paired", "consumed >= produced AND produced > 0 AND consumed = earlier", HOUR)))
 def quiescence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _shown(drained(samples.produced_and_consumed(spark, sf_dir), HOUR))

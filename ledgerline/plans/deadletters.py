@@ -35,17 +35,14 @@ def quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quarantine_rows(classify(with_offsets(order_feed(spark, sf_dir))))
 
 
-def replay_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The fixture's log: half of the dead letters were sent again."""
+def dead_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     dead = decoded(spark, sf_dir).filter(F.col("kind") == POISON)
-    return dead.filter(F.col("ingest_seq") % 400 < 200).select(F.col("ingest_seq").alias("id"))
+    return dead.select(F.col("ingest_seq").alias("id"))
 
 
-def waiting_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row: dead letters not sent again."""
-    dead = decoded(spark, sf_dir).filter(F.col("kind") == POISON)
-    ids = dead.select(F.col("ingest_seq").alias("id"))
-    return pending(ids, replay_log(spark, sf_dir)).agg(F.count(F.lit(1)).alias("dlq_pending"))
+def replay_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fixture's log: half of the dead letters were sent again."""
+    return dead_ids(spark, sf_dir).filter(F.col("id") % 400 < 200)
 
 
 @query("dlq_quarantine", select("SELECT * EXCLUDE replayed FROM quarantine", "quarantine"))
@@ -99,7 +96,11 @@ def dlq_pending(spark: SparkSession, sf_dir: str) -> DataFrame:
            CASE WHEN count(*) >= 1 THEN 'red' ELSE 'green' END AS light
     FROM quarantine WHERE NOT replayed""", "quarantine"))
 def dlq_pending_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return waiting_count(spark, sf_dir).withColumn("light", light(F.col("dlq_pending")))
+    ids = dead_ids(spark, sf_dir)
+    waiting = pending(ids, ids.filter(F.col("id") % 400 < 200))
+    return waiting.agg(F.count(F.lit(1)).alias("dlq_pending")).withColumn(
+        "light", light(F.col("dlq_pending"))
+    )
 
 
 @query("dlq_received_count", select(

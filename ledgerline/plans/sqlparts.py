@@ -200,8 +200,8 @@ def growth_parts(samples: str, keys: list[str], range_s: int) -> dict[str, str]:
 def quantile_parts(range_s: int, ranks: tuple[float, ...]) -> dict[str, str]:
     """Quantiles per tick from the latency buckets summed over instances."""
     return growth_parts("buckets", ["series", "le"], range_s) | {
-        "by_le": f"""
-            SELECT tick, le, sum(increase / {float(range_s)}) AS cum FROM grown GROUP BY tick, le""",
+        "by_le": """
+            SELECT tick, le, sum(increase) AS cum FROM grown GROUP BY tick, le""",
         "laid": """
             SELECT *, coalesce(lag(cum) OVER w, 0) AS below, coalesce(lag(le) OVER w, 0) AS low,
                    max(cum) OVER (PARTITION BY tick) AS total

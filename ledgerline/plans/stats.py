@@ -30,7 +30,7 @@ _LAG = f"""
     SELECT e.topic, e.record_partition, e.end_offset, c.committed_offset,
            greatest(0, e.end_offset - coalesce(c.committed_offset, 0)) AS lag
     FROM (SELECT topic, record_partition, max(record_offset) + 1 AS end_offset FROM feed
-          WHERE appended_at <= TIMESTAMP '{AS_OF}' GROUP BY ALL) e
+          WHERE appended_at <= TIMESTAMP '{AS_OF}' GROUP BY topic, record_partition) e
     LEFT JOIN (SELECT topic, record_partition,
                       CASE WHEN record_partition = 10
                            THEN max(record_offset) + 6
@@ -38,7 +38,7 @@ _LAG = f"""
                                 appended_at <= TIMESTAMP '{AS_OF}' - INTERVAL 6 HOUR) + 1
                       END AS committed_offset
                FROM feed WHERE appended_at <= TIMESTAMP '{AS_OF}' AND record_partition <> 11
-               GROUP BY ALL) c USING (topic, record_partition)"""
+               GROUP BY topic, record_partition) c USING (topic, record_partition)"""
 
 
 def lags(spark: SparkSession, sf_dir: str) -> DataFrame:

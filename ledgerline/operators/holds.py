@@ -2,24 +2,44 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ledgerline.operators.blocked import previous, running
+from ledgerline.operators.blocked import previous
 from ledgerline.operators.series import day_of
 
 
 def stretches(evaluations: DataFrame, condition: Column, step_s: int) -> DataFrame:
-    """Ticks at which the condition is true, with the tick its stretch began at.
+    """Ticks at which the condition is true, with the tick their stretch began at.
 
     A false, null or missing tick ends a stretch.  Only true ticks are kept, so quiet
-    periods cost nothing.
+    periods cost nothing.  As in :mod:`ledgerline.operators.blocked`, days are worked on
+    separately and one row per day carries over where an open stretch began.
     """
-    true_ticks = evaluations.filter(condition).withColumn("day", day_of("tick"))
-    linked = previous(true_ticks, [], "day", "tick", {"before": "tick"})
-    begins = F.col("before").isNull() | (F.col("tick") - F.col("before") > step_s)
-    return running(
-        linked, [], "day", "tick", maxima={"since": F.when(begins, F.col("tick"))}
-    ).drop("before", "day")
+    inside = Window.partitionBy("day").orderBy("tick")
+    gap = F.col("tick") - F.lag("tick").over(inside) > step_s
+    true_ticks = (
+        evaluations.filter(condition)
+        .withColumn("day", day_of("tick"))
+        .withColumn("_start", F.when(gap, F.col("tick")))
+    )
+    days = Window.orderBy("day")
+    ends = true_ticks.groupBy("day").agg(
+        F.min("tick").alias("first"), F.max("tick").alias("last"), F.max("_start").alias("inner")
+    )
+    fresh = F.coalesce(F.col("first") - F.lag("last").over(days) > step_s, F.lit(True))
+    carried = (
+        ends.withColumn("opened", F.when(fresh, F.col("first")))
+        .withColumn("latest", F.greatest("opened", "inner"))
+        .select(
+            "day",
+            F.max("latest").over(days.rowsBetween(Window.unboundedPreceding, -1)).alias("before"),
+            "opened",
+        )
+    )
+    since = F.greatest(
+        F.max("_start").over(inside.rowsBetween(Window.unboundedPreceding, 0)), "opened", "before"
+    )
+    return true_ticks.join(carried, "day").select(*evaluations.columns, since.alias("since"))
 
 
 def alert(evaluations: DataFrame, condition: Column, hold_s: int, step_s: int) -> DataFrame:

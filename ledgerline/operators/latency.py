@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from ledgerline.operators.blocked import running
+from ledgerline.session import kept
 
 # Histogram bounds in seconds; the last bucket takes everything.
 BOUNDS = (0.1, 0.25, 0.5, 1.0, 2.0, 5.0)
@@ -17,14 +18,18 @@ def bound_label(bound: float) -> str:
     return "+Inf" if bound == float("inf") else f"{bound:g}"
 
 
-def snapshot(samples: DataFrame, value: str = "latency_ms") -> DataFrame:
+def value_counts(samples: DataFrame, value: str = "latency_ms") -> DataFrame:
+    return samples.groupBy(F.col(value).alias("v")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def snapshot(counted: DataFrame) -> DataFrame:
     """One row: count, min, p50, p95, p99, max.  No samples give zeros.
 
-    Samples are first counted per distinct value, so the ranking works on far fewer rows
-    than there are samples and none is gathered into one buffer.  The rank of a
-    percentile is ``ceil(p * n)``, counted in whole numbers.
+    ``counted`` holds distinct values ``v`` and how often each occurs (``n``): far fewer
+    rows than there are samples, and none are gathered into one buffer.  The rank of a
+    percentile is ``ceil(p * n)``, compared in whole numbers.
     """
-    counted = samples.groupBy(F.col(value).alias("v")).agg(F.count(F.lit(1)).alias("n"))
+    counted = kept(counted, "value-counts")
     ranked = running(
         counted.withColumn("block", F.expr(f"v div {VALUE_BLOCK}")),
         [],

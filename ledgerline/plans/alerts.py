@@ -6,7 +6,7 @@ minutes; the operators take both as parameters.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ledgerline.functions.buckets import from_seconds
 from ledgerline.operators.holds import alert, drained
@@ -15,6 +15,7 @@ from ledgerline.operators.series import growth, instant, latest, per_second, qua
 from ledgerline.plans.registry import query
 from ledgerline.plans.sqlparts import growth_parts, quantile_parts, select, stretch_parts
 from ledgerline.schemas import P99_LIMIT_SECONDS
+from ledgerline.session import kept
 from ledgerline.sources import samples
 
 HOUR = samples.STEP
@@ -29,9 +30,10 @@ AS_OF_SECONDS = 1_705_708_800  # 2024-01-20 00:00
 _TIME = "make_timestamp(CAST(tick AS BIGINT) * 1000000) AS eval_ts"
 
 
-def last_tick(spark: SparkSession, sf_dir: str) -> Column:
-    """Evaluation stops at the last sample."""
-    return samples.ticks(spark, sf_dir).agg(F.max("t")).scalar()
+def grown(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """Growth over the range at every tick, up to the last sample."""
+    stored = kept(rows, "samples")
+    return growth(stored, keys, RANGE, HOUR, stored.agg(F.max("t")).scalar())
 
 
 def _shown(rows: DataFrame) -> DataFrame:
@@ -69,9 +71,7 @@ def latest_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     SELECT series, {_TIME}, growth, CAST(round(increase * 1000) AS BIGINT) AS increase_milli
     FROM grown""", "consumed", **growth_parts("consumed", ["series"], RANGE)))
 def counter_increase(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = growth(
-        samples.consumed(spark, sf_dir), ["series"], RANGE, HOUR, last_tick(spark, sf_dir)
-    )
+    rows = grown(samples.consumed(spark, sf_dir), ["series"])
     milli = F.round(F.col("increase") * 1000).cast("long")
     return _shown(rows.select("series", "tick", "growth", milli.alias("increase_milli")))
 
@@ -81,9 +81,7 @@ def counter_increase(spark: SparkSession, sf_dir: str) -> DataFrame:
     FROM grown GROUP BY tick""", "consumed", **growth_parts("consumed", ["series"], RANGE)))
 def counter_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records consumed per second over all series."""
-    rows = growth(
-        samples.consumed(spark, sf_dir), ["series"], RANGE, HOUR, last_tick(spark, sf_dir)
-    )
+    rows = grown(samples.consumed(spark, sf_dir), ["series"])
     rate = per_second(F.sum("increase"), RANGE)
     return _shown(rows.groupBy("tick").agg(F.round(rate * 1_000_000).cast("long").alias("rate_micro")))
 
@@ -93,11 +91,8 @@ def latency_quantiles(spark: SparkSession, sf_dir: str, ranks: tuple[float, ...]
 
     Growth is left undivided by the range: a common factor does not move a quantile.
     """
-    grown = growth(
-        samples.latency_buckets(spark, sf_dir), ["series", "le"], RANGE, HOUR,
-        last_tick(spark, sf_dir),
-    )
-    by_bound = grown.groupBy("tick", "le").agg(F.sum("increase").alias("cum"))
+    buckets = grown(samples.latency_buckets(spark, sf_dir), ["series", "le"])
+    by_bound = buckets.groupBy("tick", "le").agg(F.sum("increase").alias("cum"))
     return quantiles(by_bound, ["tick"], ranks)
 
 
@@ -156,8 +151,7 @@ def alert_lag_critical(spark: SparkSession, sf_dir: str) -> DataFrame:
     FROM stretches""", "dead", **growth_parts("dead", [], RANGE),
     **stretch_parts("grown", "increase > 0", HOUR)))
 def alert_dlq_growing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    grown = growth(samples.dead_letters(spark, sf_dir), [], RANGE, HOUR, last_tick(spark, sf_dir))
-    rows = alert(grown, F.col("increase") > 0, LONG_HOLD, HOUR)
+    rows = alert(grown(samples.dead_letters(spark, sf_dir), []), F.col("increase") > 0, LONG_HOLD, HOUR)
     return _alert_rows(rows.drop("increase"))
 
 

@@ -20,6 +20,7 @@ from ledgerline.plans.orders import decoded
 from ledgerline.plans.registry import query
 from ledgerline.plans.sqlparts import select
 from ledgerline.schemas import DLQ_TOPIC
+from ledgerline.session import kept
 from ledgerline.sources.feed import order_feed, with_offsets
 
 _ISO = """strftime(received_at, '%Y-%m-%dT%H:%M:%S')
@@ -35,14 +36,14 @@ def quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quarantine_rows(classify(with_offsets(order_feed(spark, sf_dir))))
 
 
-def dead_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
-    dead = decoded(spark, sf_dir).filter(F.col("kind") == POISON)
-    return dead.select(F.col("ingest_seq").alias("id"))
+def stored_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The quarantine as a table, for the queries that look at it more than once."""
+    return kept(quarantine(spark, sf_dir), "quarantine")
 
 
-def replay_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+def replay_log(quarantine: DataFrame) -> DataFrame:
     """The fixture's log: half of the dead letters were sent again."""
-    return dead_ids(spark, sf_dir).filter(F.col("id") % 400 < 200)
+    return quarantine.filter(F.col("id") % 400 < 200).select("id")
 
 
 @query("dlq_quarantine", select("SELECT * EXCLUDE replayed FROM quarantine", "quarantine"))
@@ -80,14 +81,16 @@ def dlq_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
     SELECT {_LISTING} FROM (SELECT * FROM quarantine ORDER BY received_at DESC, id DESC LIMIT 100)
     """, "quarantine"))
 def dlq_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = with_replayed(latest(quarantine(spark, sf_dir)), replay_log(spark, sf_dir))
+    stored = stored_quarantine(spark, sf_dir)
+    rows = with_replayed(latest(stored), replay_log(stored))
     return listing(newest_first(rows))
 
 
 @query("dlq_pending", select(f"""
     SELECT {_LISTING} FROM quarantine WHERE NOT replayed""", "quarantine"))
 def dlq_pending(spark: SparkSession, sf_dir: str) -> DataFrame:
-    waiting = pending(quarantine(spark, sf_dir), replay_log(spark, sf_dir))
+    stored = stored_quarantine(spark, sf_dir)
+    waiting = pending(stored, replay_log(stored))
     return listing(newest_first(waiting.withColumn("replayed", F.lit(False))))
 
 
@@ -96,8 +99,9 @@ def dlq_pending(spark: SparkSession, sf_dir: str) -> DataFrame:
            CASE WHEN count(*) >= 1 THEN 'red' ELSE 'green' END AS light
     FROM quarantine WHERE NOT replayed""", "quarantine"))
 def dlq_pending_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ids = dead_ids(spark, sf_dir)
-    waiting = pending(ids, ids.filter(F.col("id") % 400 < 200))
+    dead = decoded(spark, sf_dir).filter(F.col("kind") == POISON)
+    ids = kept(dead.select(F.col("ingest_seq").alias("id")), "dead-ids")
+    waiting = pending(ids, replay_log(ids))
     return waiting.agg(F.count(F.lit(1)).alias("dlq_pending")).withColumn(
         "light", light(F.col("dlq_pending"))
     )
@@ -116,10 +120,10 @@ def dlq_received_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     FROM quarantine WHERE NOT replayed""", "quarantine"))
 def dlq_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What a replay sends; the random key suffix is left out of the comparison."""
-    dead = quarantine_rows(decoded(spark, sf_dir).withColumn("record_offset", F.lit(0).cast("long")))
-    waiting = pending(dead, replay_log(spark, sf_dir))
-    sent = waiting.agg(F.count(F.lit(1)).alias("n")).scalar()
-    return replay_records(waiting).select(
+    stored = stored_quarantine(spark, sf_dir)
+    outgoing = kept(replay_records(pending(stored, replay_log(stored))), "outgoing")
+    sent = outgoing.agg(F.count(F.lit(1)).alias("n")).scalar()
+    return outgoing.select(
         "id",
         "topic",
         F.substring_index("replay_key", "-", 2).alias("key_prefix"),

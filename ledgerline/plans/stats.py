@@ -7,11 +7,12 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ledgerline.functions.payload import ORDER, POISON
 from ledgerline.operators.lag import alert_count, by_partition, end_offsets, total
 from ledgerline.operators.deadletter import light
-from ledgerline.operators.latency import histogram, snapshot
+from ledgerline.operators.latency import histogram, snapshot, value_counts
 from ledgerline.operators.reconcile import copies_by_key, identity, one_row
 from ledgerline.plans.orders import applied_orders, decoded, with_latency
 from ledgerline.plans.registry import query
 from ledgerline.plans.sqlparts import select
+from ledgerline.session import kept
 from ledgerline.sources import samples
 from ledgerline.sources.feed import order_feed
 
@@ -56,7 +57,7 @@ def lags(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("latency_percentiles", select(f"SELECT {_SNAPSHOT} FROM firsts", "firsts"))
 def latency_percentiles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return snapshot(with_latency(applied_orders(spark, sf_dir)))
+    return snapshot(value_counts(with_latency(applied_orders(spark, sf_dir))))
 
 
 @query("latency_histogram", select("""
@@ -151,22 +152,41 @@ def reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
                  - epoch_us(min(appended_at)) // 1000 AS elapsed_ms FROM decoded) c,
          (SELECT {_SNAPSHOT} FROM firsts) s""", "firsts"))
 def throughput_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Counts, rate over the feed's span, and the latency block."""
+    """Counts, rate over the feed's span, and the latency block.
+
+    The feed is reduced once, to a row per (kind, latency), and the report reads that.
+    """
     millis = F.unix_millis(F.col("appended_at").cast("timestamp"))
-    counts = (
+    is_order = F.col("kind") == ORDER
+    reduced = kept(
         decoded(spark, sf_dir)
         .withColumn("at", millis)
         .groupBy("kind", "order_id")
-        .agg(F.count(F.lit(1)).alias("n"), F.min("at").alias("lo"), F.max("at").alias("hi"))
         .agg(
-            F.sum("n").alias("produced"),
-            F.sum("n").alias("consumed"),
-            F.count_if(F.col("kind") == ORDER).alias("unique_orders"),
-            (F.max("hi") - F.min("lo")).alias("elapsed_ms"),
+            F.count(F.lit(1)).alias("n"),
+            F.min("at").alias("lo"),
+            F.max("at").alias("hi"),
+            *[F.min_by(c, "ingest_seq").alias(c) for c in ("produced_at", "latency_ms")],
         )
+        .transform(with_latency)
+        .groupBy("kind", F.when(is_order, F.col("latency_ms")).alias("v"))
+        .agg(
+            F.count(F.lit(1)).alias("keys"),
+            F.sum("n").alias("records"),
+            F.min("lo").alias("lo"),
+            F.max("hi").alias("hi"),
+        ),
+        "report",
+    )
+    counts = reduced.agg(
+        F.sum("records").alias("produced"),
+        F.sum(F.when(F.col("kind").isNotNull(), F.col("records"))).alias("consumed"),
+        F.sum(F.when(is_order, F.col("keys"))).alias("unique_orders"),
+        (F.max("hi") - F.min("lo")).alias("elapsed_ms"),
     )
+    latencies = reduced.filter(is_order).select("v", F.col("keys").alias("n"))
     seconds = F.col("elapsed_ms") / 1000.0
-    return one_row(counts, snapshot(with_latency(applied_orders(spark, sf_dir)))).withColumns({
+    return one_row(counts, snapshot(latencies)).withColumns({
         "lost": F.col("produced") - F.col("consumed"),
         "target_rate": F.lit(TARGET_RATE).cast("long"),
         "achieved_rate": F.round(F.col("produced") / seconds).cast("long"),

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 ROCKSDB_PROVIDER = (
     "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -36,6 +37,11 @@ def streaming_session(spark: SparkSession, state_partitions: int | None = None)
     return session
 
 
+@cache
+def _local_folder(application: str) -> str:
+    return tempfile.mkdtemp(prefix=f"ledgerline-{application}-")
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The cluster's shared checkpoint folder.
 
@@ -50,9 +56,20 @@ def shared_folder(spark: SparkSession) -> str:
         return context.getCheckpointDir().rstrip("/")
     if not context.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-    return tempfile.mkdtemp(prefix="ledgerline-")
+    return _local_folder(context.applicationId)
 
 
 def fresh_folder(spark: SparkSession, label: str) -> str:
     """A new, unused folder below the shared one."""
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def kept(df: DataFrame, label: str) -> DataFrame:
+    """Write a result that several steps read, and read it back.
+
+    Whatever comes after neither repeats the work before it nor depends on an executor
+    that holds it in memory.
+    """
+    path = fresh_folder(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

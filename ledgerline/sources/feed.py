@@ -7,9 +7,8 @@ de-duplication rule has rows to act on.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
-from ledgerline.functions.buckets import epoch_millis
 from ledgerline.operators.blocked import position
 from ledgerline.schemas import DEFAULT_CURRENCY, ORDERS_PARTITIONS, ORDERS_TOPIC
 from ledgerline.sources.tables import events
@@ -17,62 +16,63 @@ from ledgerline.sources.tables import events
 # Ids per block when offsets are numbered; it bounds the rows one task sorts together.
 OFFSET_BLOCK = 1_000_000
 
+# Which payload a record gets; the first rule that holds decides.
+_SHAPE = """CASE WHEN ingest_seq % 100 = 51 THEN 'tombstone'
+    WHEN ingest_seq % 100 = 13 THEN 'garbage'
+    WHEN ingest_seq % 100 = 63 THEN 'truncated'
+    WHEN ingest_seq % 200 = 91 THEN 'empty'
+    WHEN ingest_seq % 200 = 29 THEN 'wrong type'
+    WHEN ingest_seq % 200 = 129 THEN 'no id'
+    ELSE 'order' END"""
 
-def _json_text(amount: Column, order_id: Column) -> Column:
-    """The record as JSON; ``concat_ws`` leaves out the fields that are null."""
-    seq = F.col("ingest_seq")
-    is_v2 = F.col("appended_at") >= F.expr("TIMESTAMP_NTZ '2024-01-16 00:00:00'")
-    fields = [
-        F.concat(F.lit('"orderId":"'), order_id, F.lit('"')),
-        F.concat(F.lit('"customerId":"cust-'), F.col("user_id").cast("string"), F.lit('"')),
-        F.concat(F.lit('"amountCents":'), amount),
-        F.when(seq % 20 != 4, F.lit(f'"currency":"{DEFAULT_CURRENCY}"')),
-        F.concat(F.lit('"itemCount":'), (1 + seq % 5).cast("string")),
-        F.concat(F.lit('"producedAt":'), epoch_millis(F.col("appended_at")).cast("string")),
-        F.when(is_v2, F.lit('"schemaVersion":"v2"')).otherwise(F.lit('"schemaVersion":"v1"')),
-        F.when(is_v2 & (seq % 2 == 0), F.lit('"promoCode":"SAVE10"')),
-    ]
-    return F.concat(F.lit("{"), F.concat_ws(",", *fields), F.lit("}"))
+# ``concat_ws`` leaves out the fields that are null.
+_JSON = f"""concat('{{', concat_ws(',',
+    if(shape <> 'no id', concat('"orderId":"', order_key, '"'), null),
+    concat('"customerId":"cust-', user_id, '"'),
+    concat('"amountCents":', if(shape = 'wrong type', '"abc"', string(bigint(round(value * 100))))),
+    if(ingest_seq % 20 <> 4, '"currency":"{DEFAULT_CURRENCY}"', null),
+    concat('"itemCount":', 1 + ingest_seq % 5),
+    concat('"producedAt":', unix_millis(timestamp(appended_at))),
+    concat('"schemaVersion":"', version, '"'),
+    if(version = 'v2' AND ingest_seq % 2 = 0, '"promoCode":"SAVE10"', null)), '}}')"""
 
 
 def order_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per record, without its offset (see :func:`with_offsets`)."""
-    seq = F.col("ingest_seq")
-    order_id = F.concat(F.lit("ord-"), F.col("biz").cast("string"))
-    cents = F.round(F.col("value") * 100).cast("long").cast("string")
-    payload = (
-        F.when(seq % 100 == 51, F.lit(None).cast("string"))
-        .when(seq % 100 == 13, F.lit("THIS-IS-NOT-AVRO"))
-        .when(seq % 100 == 63, F.concat(F.lit('{"orderId":"'), order_id))
-        .when(seq % 200 == 91, F.lit(""))
-        .when(seq % 200 == 29, _json_text(F.lit('"abc"'), order_id))
-        .when(seq % 200 == 129, _json_text(cents, F.lit(None).cast("string")))
-        .otherwise(_json_text(cents, order_id))
-    )
     return (
         events(spark, sf_dir)
-        .select(
-            F.col("event_id").alias("ingest_seq"),
-            F.col("ts").alias("appended_at"),
+        .selectExpr(
+            "event_id AS ingest_seq",
+            "ts AS appended_at",
             "user_id",
             "value",
+            "if(event_id % 10 = 7, event_id - 3, event_id) AS biz",
+        )
+        .selectExpr(
+            "*",
+            "concat('ord-', biz) AS order_key",
+            "if(appended_at >= TIMESTAMP_NTZ '2024-01-16 00:00:00', 'v2', 'v1') AS version",
+            f"{_SHAPE} AS shape",
         )
-        .withColumn("biz", F.when(seq % 10 == 7, seq - 3).otherwise(seq))
-        .select(
+        .selectExpr(
             "ingest_seq",
-            F.lit(ORDERS_TOPIC).alias("topic"),
-            (F.col("biz") % ORDERS_PARTITIONS).cast("int").alias("record_partition"),
-            F.when(seq % 200 != 163, order_id).alias("record_key"),
+            f"'{ORDERS_TOPIC}' AS topic",
+            f"int(biz % {ORDERS_PARTITIONS}) AS record_partition",
+            "if(ingest_seq % 200 <> 163, order_key, null) AS record_key",
             "appended_at",
-            F.round(F.col("value") * 10).cast("long").alias("latency_ms"),
-            payload.alias("payload"),
+            "bigint(round(value * 10)) AS latency_ms",
+            f"""CASE shape WHEN 'tombstone' THEN null
+                WHEN 'garbage' THEN 'THIS-IS-NOT-AVRO'
+                WHEN 'truncated' THEN concat('{{"orderId":"', order_key)
+                WHEN 'empty' THEN ''
+                ELSE {_JSON} END AS payload""",
         )
     )
 
 
 def with_offsets(feed: DataFrame) -> DataFrame:
     """Add each record's offset: its position in its topic partition, by arrival."""
-    blocks = feed.withColumn("_block", F.expr(f"ingest_seq div {OFFSET_BLOCK}"))
+    blocks = feed.selectExpr("*", f"ingest_seq div {OFFSET_BLOCK} AS _block")
     return position(
         blocks, ["record_partition"], "_block", "ingest_seq", "record_offset"
     ).drop("_block")

@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ledgerline.operators.reconcile import one_row
 from ledgerline.operators.revenue import revenue_panel
 from ledgerline.plans.registry import query
 from ledgerline.plans.sqlparts import select
@@ -13,7 +14,8 @@ from ledgerline.session import fresh_folder, streaming_session
 from ledgerline.sources.feed import order_feed
 from ledgerline.sources.landing import append, landed_stream
 from ledgerline.streaming.apply import apply_backfill, apply_orders, quarantine_records
-from ledgerline.streaming.outputs import read_table, revenue_minutes
+from ledgerline.streaming.outputs import read_replay_log, read_table, revenue_minutes
+from ledgerline.streaming.replay import replay_all, waiting
 
 SLICES = 3
 
@@ -87,5 +89,34 @@ def stream_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = _run(
         spark, sf_dir, "counts", lambda _, records, root: quarantine_records(records, root)
     )
-    counts = read_table(spark, root, "counts").drop("batch_id")
+    counts = read_table(spark, root, "counts").drop("batch_id", "counted_at")
     return counts.agg(*[F.sum(c).alias(c) for c in counts.columns])
+
+
+@query("stream_replay", select("""
+    SELECT 2 * count(*) AS quarantined, count(*) AS replayed, count(*) AS pending
+    FROM quarantine""", "quarantine"))
+def stream_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every dead letter is sent again; all are still bad, so all come back."""
+    session = streaming_session(spark)
+    root = fresh_folder(spark, "replay")
+    landing = f"{root}/landing"
+
+    def drain() -> None:
+        quarantine_records(landed_stream(session, landing), root).awaitTermination()
+
+    feed = order_feed(session, sf_dir)
+    append(session, feed, landing, first=True)
+    drain()
+    past = feed.agg(F.coalesce(F.max("ingest_seq"), F.lit(0)) + 1).first()[0]
+    replay_all(session, root, landing, "replay-1", past)
+    drain()
+
+    def counted(rows: DataFrame, name: str) -> DataFrame:
+        return rows.agg(F.count(F.lit(1)).alias(name))
+
+    return one_row(
+        counted(read_table(spark, root, "quarantine"), "quarantined"),
+        counted(read_replay_log(spark, root), "replayed"),
+        counted(waiting(spark, root), "pending"),
+    )

@@ -85,6 +85,7 @@ KIND_COUNTS = T.StructType([
     T.StructField("poison", T.LongType()),
     T.StructField("tombstones", T.LongType()),
     T.StructField("unexpected", T.LongType()),
+    T.StructField("counted_at", T.LongType()),
     T.StructField("batch_id", T.LongType()),
 ])
 

@@ -90,7 +90,8 @@ def quarantine_job(root: str) -> BatchJob:
         rows = quarantine_rows(batch.observe(seen, *intake_counts()))
         write_batch(rows, root, "quarantine", batch_id)
         counts = batch.sparkSession.range(1).select(
-            *[F.lit(n).cast("long").alias(name) for name, n in seen.get.items()]
+            *[F.lit(n).cast("long").alias(name) for name, n in seen.get.items()],
+            F.unix_millis(F.current_timestamp()).alias("counted_at"),
         )
         write_batch(counts, root, "counts", batch_id)
 

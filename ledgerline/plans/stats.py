@@ -14,7 +14,8 @@ from ledgerline.plans.registry import query
 from ledgerline.plans.sqlparts import select
 from ledgerline.session import kept
 from ledgerline.sources import samples
-from ledgerline.sources.feed import order_feed
+from ledgerline.sources.feed import feed_of
+from ledgerline.sources.tables import events
 
 AS_OF = "2024-01-20 00:00:00"
 ALERT_LAG = 20
@@ -44,7 +45,7 @@ _LAG = f"""
 
 def lags(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ends and commits at one time; see the fixture for partitions 10 and 11."""
-    feed = order_feed(spark, sf_dir)
+    feed = feed_of(events(spark, sf_dir))
     as_of = F.expr(f"TIMESTAMP_NTZ '{AS_OF}'")
     partition = F.col("record_partition")
     behind = F.when(partition == 10, as_of).otherwise(as_of - F.expr("INTERVAL 6 HOURS"))

@@ -11,11 +11,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ledgerline.operators.blocked import position
 from ledgerline.schemas import DEFAULT_CURRENCY, ORDERS_PARTITIONS, ORDERS_TOPIC
-from ledgerline.sources.tables import events
+from ledgerline.sources.tables import events, spread
 
 # Ids per block when offsets are numbered; it bounds the rows one task sorts together.
 OFFSET_BLOCK = 1_000_000
 
+COLUMNS = ("event_id", "ts", "user_id", "value")
+
 # Which payload a record gets; the first rule that holds decides.
 _SHAPE = """CASE WHEN ingest_seq % 100 = 51 THEN 'tombstone'
     WHEN ingest_seq % 100 = 13 THEN 'garbage'
@@ -38,10 +40,14 @@ _JSON = f"""concat('{{', concat_ws(',',
 
 
 def order_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per record, without its offset (see :func:`with_offsets`)."""
+    """The feed for jobs that decode it."""
+    return feed_of(spread(events(spark, sf_dir).select(*COLUMNS), "event_id"))
+
+
+def feed_of(events: DataFrame) -> DataFrame:
+    """One row per event, as a record without its offset (see :func:`with_offsets`)."""
     return (
-        events(spark, sf_dir)
-        .selectExpr(
+        events.selectExpr(
             "event_id AS ingest_seq",
             "ts AS appended_at",
             "user_id",

@@ -18,7 +18,7 @@ from ledgerline.operators.latency import BOUNDS
 from ledgerline.operators.series import day_of
 from ledgerline.schemas import ORDERS_PARTITIONS
 from ledgerline.session import kept
-from ledgerline.sources.feed import order_feed
+from ledgerline.sources.feed import feed_of, order_feed
 from ledgerline.sources.tables import events
 
 STEP = 3_600
@@ -126,7 +126,7 @@ def latency_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
 def lag(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lag gauge per partition: commits run six hours behind and freeze for two days."""
     counts = (
-        order_feed(spark, sf_dir)
+        feed_of(events(spark, sf_dir))
         .groupBy(F.col("record_partition").alias("series"), tick_of("appended_at").alias("t"))
         .agg(F.count(F.lit(1)).alias("n"))
     )

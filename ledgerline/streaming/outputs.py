@@ -27,7 +27,17 @@ def write_batch(df: DataFrame, root: str, table: str, batch_id: int) -> None:
     df.write.mode("overwrite").parquet(f"{root}/{table}/batch_id={batch_id}")
 
 
-def _read(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+# The stream that numbers a table's batches.
+STREAM_OF = {
+    "ledger": "orders",
+    "increments": "orders",
+    "commits": "orders",
+    "quarantine": "quarantine",
+    "counts": "quarantine",
+}
+
+
+def _read(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
     try:
         return spark.read.schema(schema).parquet(path)
     except AnalysisException as error:
@@ -36,9 +46,36 @@ def _read(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
         return spark.createDataFrame([], schema)
 
 
+def last_compacted(spark: SparkSession, root: str, stream: str) -> int | None:
+    """Last batch the newest finished compaction of a stream's tables covers."""
+    log = _read(spark, f"{root}/compactions/{stream}", "done boolean, upto long")
+    return log.agg(F.max("upto").alias("upto")).first().upto
+
+
 def read_table(spark: SparkSession, root: str, table: str) -> DataFrame:
-    """All batches of a table; empty before the first one."""
-    return _read(spark, f"{root}/{table}", SCHEMAS[table])
+    """All rows of a table: the newest compaction and the batches after it."""
+    batches = _read(spark, f"{root}/{table}", SCHEMAS[table])
+    upto = last_compacted(spark, root, STREAM_OF[table])
+    if upto is None:
+        return batches
+    base = spark.read.schema(SCHEMAS[table]).parquet(f"{root}/compacted/{table}/{upto}")
+    return base.unionByName(batches.filter(F.col("batch_id") > upto))
+
+
+def compact(spark: SparkSession, root: str, stream: str, upto: int) -> None:
+    """Rewrite a stream's tables up to batch ``upto`` as few large files.
+
+    ``upto`` must be a finished batch later than the last compaction's.  Increments are
+    summed on the way.  The files count only once the log entry is written, so readers
+    never see half of a compaction; the batch folders it covers may be removed afterwards.
+    """
+    for table in (t for t, owner in STREAM_OF.items() if owner == stream):
+        rows = read_table(spark, root, table).filter(F.col("batch_id") <= upto)
+        if table == "increments":
+            rows = merged(rows).withColumn("batch_id", F.lit(upto).cast("long"))
+        rows.hint("rebalance").write.mode("overwrite").parquet(f"{root}/compacted/{table}/{upto}")
+    done = spark.range(1).select(F.lit(True).alias("done"))
+    done.write.mode("overwrite").parquet(f"{root}/compactions/{stream}/upto={upto}")
 
 
 def read_batch(spark: SparkSession, root: str, table: str, batch_id: int) -> DataFrame:
@@ -66,40 +103,9 @@ def commit_increments(spark: SparkSession, root: str, batch_id: int) -> None:
     write_batch(stamp, root, "commits", batch_id)
 
 
-def _snapshots(spark: SparkSession, root: str) -> DataFrame:
-    schema = T.StructType([
-        T.StructField("done", T.BooleanType()), T.StructField("upto", T.LongType()),
-    ])
-    return _read(spark, f"{root}/snapshot_log", schema)
-
-
-def revenue_minutes(
-    spark: SparkSession, root: str, last_batch: int | None = None
-) -> DataFrame:
-    """The revenue table: the newest snapshot plus the batches after it."""
-    upto = _snapshots(spark, root).agg(F.max("upto").alias("upto")).first().upto
-    batches = read_table(spark, root, "increments")
-    if last_batch is not None:
-        batches = batches.filter(F.col("batch_id") <= last_batch)
-    if upto is None:
-        return merged(batches)
-    base = spark.read.schema(
-        T.StructType([f for f in INCREMENTS.fields if f.name != "batch_id"])
-    ).parquet(f"{root}/snapshots/upto={upto}")
-    return merged(base, batches.filter(F.col("batch_id") > upto))
-
-
-def compact(spark: SparkSession, root: str, upto: int) -> None:
-    """Sum everything up to batch ``upto`` into a new snapshot.
-
-    ``upto`` must be a finished batch later than the last snapshot's.  The snapshot
-    counts only once its log entry is written, so readers never see half of one.  The
-    batch folders it covers may be removed afterwards.
-    """
-    minutes = revenue_minutes(spark, root, last_batch=upto)
-    minutes.write.mode("overwrite").parquet(f"{root}/snapshots/upto={upto}")
-    done = spark.range(1).select(F.lit(True).alias("done"))
-    done.write.mode("overwrite").parquet(f"{root}/snapshot_log/upto={upto}")
+def revenue_minutes(spark: SparkSession, root: str) -> DataFrame:
+    """The revenue table: the sum of all increments."""
+    return merged(read_table(spark, root, "increments"))
 
 
 def committed_latency(spark: SparkSession, root: str) -> DataFrame:

@@ -180,9 +180,15 @@ def test_compaction_keeps_the_totals(spark, session, root):
     for records in BATCHES:
         land(session, landing, records)
     apply.apply_orders(session, landed_stream(session, landing, 1), root).awaitTermination()
+    apply.quarantine_records(landed_stream(session, landing, 1), root).awaitTermination()
     for upto in (0, 1):
-        outputs.compact(spark, root, upto)
+        for stream in ("orders", "quarantine"):
+            outputs.compact(spark, root, stream, upto)
         assert totals(spark, root) == EXPECTED
+        assert outputs.last_compacted(spark, root, "orders") == upto
+        assert outputs.read_table(spark, root, "ledger").count() == 3
+        assert outputs.read_table(spark, root, "quarantine").count() == 2
+        assert outputs.read_table(spark, root, "counts").count() == 3
     land(session, landing, [order(50, 50, 1_000, 0)])
     apply.apply_orders(session, landed_stream(session, landing, 1), root).awaitTermination()
     assert totals(spark, root) == {0: (3, 1_150), 2: (1, 7)}
@@ -190,6 +196,15 @@ def test_compaction_keeps_the_totals(spark, session, root):
     assert latencies.count() == 4 and latencies.filter("latency_ms <= 0").count() == 0
 
 
+def test_gate_reads_compacted_batches(spark, session, root):
+    landing = f"{root}/landing"
+    for i, records in enumerate(BATCHES):
+        land(session, landing, records)
+        apply.apply_backfill(session, landed_stream(session, landing), root).awaitTermination()
+        outputs.compact(spark, root, "orders", i)
+    assert totals(spark, root) == EXPECTED
+
+
 def test_lag_from_a_progress_report(spark):
     report = json.dumps({"sources": [{
         "endOffset": {"orders": {"0": 5, "1": 9}},

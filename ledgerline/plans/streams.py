@@ -17,7 +17,7 @@ from ledgerline.streaming.apply import apply_backfill, apply_orders, quarantine_
 from ledgerline.streaming.outputs import read_replay_log, read_table, revenue_minutes
 from ledgerline.streaming.replay import replay_all, waiting
 
-SLICES = 3
+SLICES = 2
 
 
 def land_and_drain(

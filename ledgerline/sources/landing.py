@@ -7,6 +7,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ledgerline.schemas import DLQ_TOPIC, LANDED, ORDERS_PARTITIONS, ORDERS_TOPIC
 from ledgerline.sources.feed import with_offsets
 
+# Header names on the dead-letter topic.
+MESSAGE_HEADER = "kafka_dlt-exception-message"
+ORIGIN_HEADER = "kafka_dlt-original-topic"
+
 
 def append(spark: SparkSession, records: DataFrame, path: str, first: bool) -> None:
     """Append records to the landing folder, numbering on from what lies there."""
@@ -66,11 +70,11 @@ def kafka_stream(
 def publish_dead_letters(quarantine: DataFrame, servers: str, topic: str = DLQ_TOPIC) -> None:
     """Original bytes to the dead-letter topic; needs the Kafka connector."""
     header = F.struct(
-        F.lit("kafka_dlt-exception-message").alias("key"),
+        F.lit(MESSAGE_HEADER).alias("key"),
         F.encode("exception_message", "UTF-8").alias("value"),
     )
     origin = F.struct(
-        F.lit("kafka_dlt-original-topic").alias("key"),
+        F.lit(ORIGIN_HEADER).alias("key"),
         F.encode("source_topic", "UTF-8").alias("value"),
     )
     quarantine.select(

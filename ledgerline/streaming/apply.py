@@ -59,26 +59,27 @@ def start(
     return writer.start()
 
 
-def apply_job(spark: SparkSession, root: str, files: int) -> BatchJob:
+def apply_job(spark: SparkSession, root: str) -> BatchJob:
     """Write a batch's new orders, then their increments and the commit stamp.
 
-    The state partitions are many and a batch's new orders few, so the rows are gathered
-    into ``files`` files first.
+    On a large cluster the state partitions are many and a batch's new orders few: the
+    rows are then gathered into an eighth as many files.
     """
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
 
     def job(batch: DataFrame, batch_id: int) -> None:
-        write_batch(batch.repartition(files, "order_id"), root, "ledger", batch_id)
+        rows = batch.repartition(partitions // 8, "order_id") if partitions > 64 else batch
+        write_batch(rows, root, "ledger", batch_id)
         commit_increments(spark, root, batch_id)
 
     return job
 
 
 def apply_orders(
-    spark: SparkSession, records: DataFrame, root: str, files: int | None = None, drain: bool = True
+    spark: SparkSession, records: DataFrame, root: str, drain: bool = True
 ) -> StreamingQuery:
     """Start the order stream over ``records``, with its outputs below ``root``."""
-    files = files or max(1, spark.sparkContext.defaultParallelism // 8)
-    job = apply_job(spark, root, files)
+    job = apply_job(spark, root)
     return start(new_orders(records), job, f"{root}/checkpoints/orders", "update", drain)
 
 

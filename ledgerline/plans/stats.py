@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ledgerline.functions.payload import ORDER, POISON
+from ledgerline.operators.arrival import first_copies, orders_of
 from ledgerline.operators.lag import alert_count, by_partition, end_offsets, total
 from ledgerline.operators.deadletter import light
 from ledgerline.operators.latency import histogram, snapshot, value_counts
-from ledgerline.operators.reconcile import copies_by_key, identity, one_row
+from ledgerline.operators.reconcile import copies_by_key, identity, one_row, order_differences
 from ledgerline.plans.orders import applied_orders, decoded, with_latency
 from ledgerline.plans.registry import query
 from ledgerline.plans.sqlparts import select
@@ -45,8 +46,8 @@ _LAG = f"""
 
 def lags(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ends and commits at one time; see the fixture for partitions 10 and 11."""
-    feed = feed_of(events(spark, sf_dir))
     as_of = F.expr(f"TIMESTAMP_NTZ '{AS_OF}'")
+    feed = feed_of(events(spark, sf_dir)).filter(F.col("appended_at") <= as_of)
     partition = F.col("record_partition")
     behind = F.when(partition == 10, as_of).otherwise(as_of - F.expr("INTERVAL 6 HOURS"))
     ahead = F.when(partition == 10, 5).otherwise(0)
@@ -142,6 +143,16 @@ def reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identity(copies_by_key(decoded(spark, sf_dir)))
 
 
+@query("order_differences", select(f"""
+    SELECT order_id, count(*) AS produced, CAST(0 AS BIGINT) AS applied FROM orders_in
+    GROUP BY order_id HAVING min(appended_at) > TIMESTAMP '{AS_OF}'""", "orders_in"))
+def unapplied_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders sent over the whole feed but not applied by a consumer that stopped half way."""
+    sent = orders_of(decoded(spark, sf_dir)).select("order_id", "ingest_seq", "appended_at")
+    as_of = F.expr(f"TIMESTAMP_NTZ '{AS_OF}'")
+    return order_differences(sent, first_copies(sent.filter(F.col("appended_at") <= as_of), []))
+
+
 @query("throughput_report", select(f"""
     SELECT c.*, CAST({TARGET_RATE} AS BIGINT) AS target_rate,
            CAST(round(c.produced / (c.elapsed_ms / 1000.0)) AS BIGINT) AS achieved_rate,

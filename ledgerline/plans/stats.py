@@ -90,7 +90,7 @@ def lag_alert_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query("pipeline_stats", select(f"""
+@query("service_stats", select(f"""
     SELECT (SELECT count(*) FROM feed) AS produced, (SELECT count(*) FROM decoded) AS consumed,
            (SELECT count(*) FROM firsts) AS consumed_unique,
            (SELECT CAST(sum(amount_cents) AS BIGINT) FROM firsts) AS revenue_total_cents,
@@ -99,7 +99,7 @@ def lag_alert_count(spark: SparkSession, sf_dir: str) -> DataFrame:
            (SELECT CAST(sum(lag) AS BIGINT) FROM ({_LAG})) AS consumer_lag_total,
            (SELECT arg_max(schema_version, ingest_seq) FROM orders_in) AS schema_version
     """, "firsts", "quarantine"))
-def pipeline_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+def service_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The statistics row: one pass over the feed for everything but the lag."""
     version = F.expr("int(substring(schema_version, 2))")
     rows = decoded(spark, sf_dir).withColumns({

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ledgerline.operators.deadletter import pending, replay_records
-from ledgerline.schemas import LANDED, ORDERS_PARTITIONS, REPLAY_LOG
+from ledgerline.schemas import LANDED, ORDERS_PARTITIONS
 from ledgerline.streaming.outputs import read_replay_log, read_table
 
 
@@ -36,7 +36,7 @@ def replay_all(spark: SparkSession, root: str, landing: str, replay_id: str, seq
         F.current_timestamp().cast("timestamp_ntz").alias("appended_at"),
         "payload",
     ).select(*LANDED.names).write.mode("append").parquet(landing)
-    sent.select("id", "replay_key", F.lit(replay_id).alias("replay_id")).select(
-        *REPLAY_LOG.names
-    ).write.mode("append").parquet(f"{root}/replay_log")
+    sent.select("id", "replay_key").write.mode("overwrite").parquet(
+        f"{root}/replay_log/replay_id={replay_id}"
+    )
     return sent.count()

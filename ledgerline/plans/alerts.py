@@ -135,13 +135,13 @@ def _alert_rows(rows: DataFrame) -> DataFrame:
 
 @query("alert_lag_high", _lag_sql(LAG_HIGH))
 def alert_lag_high(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = alert(worst_lag(spark, sf_dir), F.col("lag") > LAG_HIGH, LAG_HOLD, HOUR)
+    rows = alert(kept(worst_lag(spark, sf_dir), "worst-lag"), F.col("lag") > LAG_HIGH, LAG_HOLD, HOUR)
     return _alert_rows(rows)
 
 
 @query("alert_lag_critical", _lag_sql(LAG_CRITICAL))
 def alert_lag_critical(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = alert(worst_lag(spark, sf_dir), F.col("lag") > LAG_CRITICAL, LAG_HOLD, HOUR)
+    rows = alert(kept(worst_lag(spark, sf_dir), "worst-lag"), F.col("lag") > LAG_CRITICAL, LAG_HOLD, HOUR)
     return _alert_rows(rows)
 
 
@@ -151,7 +151,7 @@ def alert_lag_critical(spark: SparkSession, sf_dir: str) -> DataFrame:
     FROM stretches""", "dead", **growth_parts("dead", [], RANGE),
     **stretch_parts("grown", "increase > 0", HOUR)))
 def alert_dlq_growing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = alert(grown(samples.dead_letters(spark, sf_dir), []), F.col("increase") > 0, LONG_HOLD, HOUR)
+    rows = alert(kept(grown(samples.dead_letters(spark, sf_dir), []), "growth"), F.col("increase") > 0, LONG_HOLD, HOUR)
     return _alert_rows(rows.drop("increase"))
 
 
@@ -162,7 +162,7 @@ def alert_dlq_growing(spark: SparkSession, sf_dir: str) -> DataFrame:
     FROM stretches""", "buckets", **quantile_parts(RANGE, (0.99,)),
     **stretch_parts("quants", f"value > {P99_LIMIT_SECONDS}", HOUR)))
 def alert_p99_high(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p99 = latency_quantiles(spark, sf_dir, (0.99,))
+    p99 = kept(latency_quantiles(spark, sf_dir, (0.99,)), "p99")
     rows = alert(p99, F.col("value") > P99_LIMIT_SECONDS, LONG_HOLD, HOUR)
     micros = F.round(F.col("value") * 1_000_000).cast("long").alias("p99_us")
     return _alert_rows(rows.select("tick", micros, "since", "state"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ledgerline.schemas import (
     DEFAULT_CURRENCY,
@@ -23,7 +23,7 @@ FAILURE_PREFIX = "Deserialization failed: "
 
 _CORRUPT = "_corrupt"
 _READ_SCHEMA = ", ".join(
-    f"{f.name} {f.dataType.simpleString()}" for f in (*ORDER_V2.fields, T.StructField(_CORRUPT, T.StringType()))
+    [*(f"{f.name} {f.dataType.simpleString()}" for f in ORDER_V2.fields), f"{_CORRUPT} string"]
 )
 _FOREIGN = " AND ".join(f"_event.{f.name} IS NULL" for f in ORDER_V2.fields)
 _MISSING = " ".join(

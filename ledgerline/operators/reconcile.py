@@ -58,13 +58,8 @@ def order_differences(produced: DataFrame, applied: DataFrame) -> DataFrame:
 
 
 def one_row(*parts: DataFrame) -> DataFrame:
-    """Put one-row results side by side."""
-    names = [(p, c) for p in parts for c in p.columns]
-    tall = [
-        p.select(*[F.col(c) if c in p.columns else F.lit(None).cast(q.schema[c].dataType).alias(c) for q, c in names])
-        for p in parts
-    ]
-    rows = tall[0]
-    for part in tall[1:]:
-        rows = rows.unionByName(part)
-    return rows.agg(*[F.max(c).alias(c) for _, c in names])
+    """Put one-row results side by side: stacked with nulls, then folded into one row."""
+    rows = parts[0]
+    for part in parts[1:]:
+        rows = rows.unionByName(part, allowMissingColumns=True)
+    return rows.agg(*[F.max(c).alias(c) for c in rows.columns])

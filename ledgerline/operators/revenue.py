@@ -20,7 +20,8 @@ def per_minute(applied: DataFrame) -> DataFrame:
 
 def merged(*parts: DataFrame) -> DataFrame:
     """Additive upsert: minutes present in several parts are summed."""
-    rows = reduce(DataFrame.unionByName, [p.select("minute", "order_count", "total_cents") for p in parts])
+    columns = ["minute", "order_count", "total_cents"]
+    rows = reduce(DataFrame.unionByName, [p.select(columns) for p in parts])
     return rows.groupBy("minute").agg(
         F.sum("order_count").alias("order_count"),
         F.sum("total_cents").alias("total_cents"),
@@ -63,10 +64,17 @@ def hot_counters(applied: DataFrame, as_of: Column, prefix: str = "revenue") ->
         .when(F.col("which") == "orders", F.lit(f"{prefix}:order_count"))
         .otherwise(F.concat(minute_key(f"{prefix}:minute", F.col("minute")), F.lit(":cents")))
     )
+
+    def entry(which: str, minute: Column, amount: str) -> Column:
+        return F.struct(
+            F.lit(which).alias("which"), minute.alias("minute"), F.col(amount).alias("n")
+        )
+
+    no_minute = F.lit(None).cast("timestamp_ntz")
     entries = F.array(
-        F.struct(F.lit("cents").alias("which"), F.lit(None).cast("timestamp_ntz").alias("minute"), F.col("total_cents").alias("n")),
-        F.struct(F.lit("orders").alias("which"), F.lit(None).cast("timestamp_ntz").alias("minute"), F.col("order_count").alias("n")),
-        F.when(alive, F.struct(F.lit("minute").alias("which"), F.col("minute").alias("minute"), F.col("total_cents").alias("n"))),
+        entry("cents", no_minute, "total_cents"),
+        entry("orders", no_minute, "order_count"),
+        F.when(alive, entry("minute", F.col("minute"), "total_cents")),
     )
     return (
         minutes.select(F.inline(F.array_compact(entries)))

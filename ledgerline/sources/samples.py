@@ -15,7 +15,7 @@ from ledgerline.functions.payload import POISON, classify
 from ledgerline.operators.blocked import running
 from ledgerline.operators.lag import lag_of
 from ledgerline.operators.latency import BOUNDS
-from ledgerline.operators.series import day_of
+from ledgerline.operators.series import DAY, day_of
 from ledgerline.schemas import ORDERS_PARTITIONS
 from ledgerline.session import kept
 from ledgerline.sources.feed import feed_of, order_feed
@@ -40,19 +40,19 @@ def tick_of(ntz: str) -> Column:
 
 
 def ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The grid: every full hour inside the table's time span.
-
-    Days are spread over the tasks before they are cut into ticks.
-    """
+    """The grid: every full hour inside the table's time span."""
     span = events(spark, sf_dir).agg(
         epoch_seconds(F.date_trunc("hour", F.min("ts")) + F.expr("INTERVAL 1 HOUR")).alias("lo"),
         epoch_seconds(F.date_trunc("hour", F.max("ts"))).alias("hi"),
     )
     days = span.select("lo", "hi", F.explode(F.sequence(day_of("lo"), day_of("hi"))).alias("day"))
-    first = F.col("day") * 86_400
-    return days.select(
-        "lo", "hi", "day", F.explode(F.sequence(first, first + 86_400 - STEP, F.lit(STEP).cast("long"))).alias("t")
-    ).filter((F.col("t") >= F.col("lo")) & (F.col("t") <= F.col("hi"))).select("day", "t")
+    first = F.col("day") * DAY
+    hours = F.sequence(first, first + DAY - STEP, F.lit(STEP).cast("long"))
+    return (
+        days.select("lo", "hi", "day", F.explode(hours).alias("t"))
+        .filter((F.col("t") >= F.col("lo")) & (F.col("t") <= F.col("hi")))
+        .select("day", "t")
+    )
 
 
 def _counter(grid: DataFrame, counts: DataFrame, keys: list[str]) -> DataFrame:

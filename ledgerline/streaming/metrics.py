@@ -28,7 +28,7 @@ def counter_samples(spark: SparkSession, root: str) -> DataFrame:
         "batch_id",
         sums={"orders_consumed": F.col("consumed"), "dlq_received": F.col("poison")},
     )
-    return totals.select((F.col("counted_at") / 1000).cast("long").alias("t"), "orders_consumed", "dlq_received").unpivot(
+    return totals.withColumn("t", F.expr("counted_at div 1000")).unpivot(
         "t", ["orders_consumed", "dlq_received"], "name", "v"
     )
 

@@ -25,7 +25,8 @@ def replay_all(spark: SparkSession, root: str, landing: str, replay_id: str, seq
     """
     outgoing = f"{root}/outgoing/{replay_id}"
     replay_records(waiting(spark, root)).write.mode("overwrite").parquet(outgoing)
-    sent = spark.read.schema("id long, topic string, replay_key string, payload string").parquet(outgoing)
+    schema = "id long, topic string, replay_key string, payload string"
+    sent = spark.read.schema(schema).parquet(outgoing)
     target = F.pmod(F.xxhash64("replay_key"), F.lit(ORDERS_PARTITIONS)).cast("int")
     sent.select(
         (F.col("id") + seq_base).alias("ingest_seq"),

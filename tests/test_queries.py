@@ -3,10 +3,10 @@
 import pytest
 from compare import differences
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from ledgerline.plans import ORACLES as SQL, QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
-QUERIES, SQL = queries(), oracle_sql()
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from ledgerline.llm.encode import op4_bpe
 from ledgerline.llm.exact import OP6_SQL, op6_exact_dedup
+from ledgerline.llm.fingerprint import op5_fingerprints
 from ledgerline.llm.near import op7_minhash
 from ledgerline.llm.packing import op9_packing
 
 QUERIES = {
     "op4_bpe": op4_bpe,
+    "op5_fingerprints": op5_fingerprints,
     "op6_exact_dedup": op6_exact_dedup,
     "op7_minhash": op7_minhash,
     "op9_packing": op9_packing,

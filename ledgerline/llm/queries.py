@@ -7,8 +7,10 @@ from ledgerline.llm.exact import OP6_SQL, op6_exact_dedup
 from ledgerline.llm.fingerprint import op5_fingerprints
 from ledgerline.llm.near import op7_minhash
 from ledgerline.llm.packing import op9_packing
+from ledgerline.llm.warc import OP3_SQL, op3_warc
 
 QUERIES = {
+    "op3_warc": op3_warc,
     "op4_bpe": op4_bpe,
     "op5_fingerprints": op5_fingerprints,
     "op6_exact_dedup": op6_exact_dedup,
@@ -16,4 +18,4 @@ QUERIES = {
     "op9_packing": op9_packing,
 }
 
-ORACLES = {"op6_exact_dedup": OP6_SQL}
+ORACLES = {"op3_warc": OP3_SQL, "op6_exact_dedup": OP6_SQL}

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from ledgerline.llm.encode import op4_bpe
 from ledgerline.llm.exact import OP6_SQL, op6_exact_dedup
+from ledgerline.llm.extract import op10_html
 from ledgerline.llm.fingerprint import op5_fingerprints
 from ledgerline.llm.near import op7_minhash
 from ledgerline.llm.packing import op9_packing
@@ -16,6 +17,7 @@ QUERIES = {
     "op6_exact_dedup": op6_exact_dedup,
     "op7_minhash": op7_minhash,
     "op9_packing": op9_packing,
+    "op10_html": op10_html,
 }
 
 ORACLES = {"op3_warc": OP3_SQL, "op6_exact_dedup": OP6_SQL}

@@ -30,8 +30,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ledgerline.llm.labelled import held_out, labelled_sample
 
-SAMPLE, LONGEST = 1500, 20_000
-TERMS, CHI2 = 1024, 30.0
+SAMPLE, LONGEST = 3000, 20_000
+TERMS, CHI2 = 1024, 20.0
 NEAREST, PRIOR, BLOCK = 15, 0.5, 64
 THRESHOLD = 0.5
 
@@ -43,7 +43,8 @@ def words(text: str) -> list[str]:
 
 
 def choose_terms(sample: list[tuple[str, int]], sizes: dict[int, int]) -> list[str]:
-    """The words most associated with the label; ties by the word."""
+    """The words most associated with the label; ties by the word.  Equal texts count once."""
+    sample = sorted(set(sample))
     held = {y: Counter() for y in (0, 1)}
     shown = Counter(y for _, y in sample)
     if min(shown[0], shown[1]) == 0:

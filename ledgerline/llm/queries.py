@@ -8,12 +8,14 @@ from ledgerline.llm.extract import op10_html
 from ledgerline.llm.fingerprint import op5_fingerprints
 from ledgerline.llm.near import op7_minhash
 from ledgerline.llm.packing import op9_packing
+from ledgerline.llm.passages import op2_substring_dedup
 from ledgerline.llm.quality import op1_quality
 from ledgerline.llm.toxicity import op8_toxicity
 from ledgerline.llm.warc import OP3_SQL, op3_warc
 
 QUERIES = {
     "op1_quality": op1_quality,
+    "op2_substring_dedup": op2_substring_dedup,
     "op3_warc": op3_warc,
     "op4_bpe": op4_bpe,
     "op5_fingerprints": op5_fingerprints,

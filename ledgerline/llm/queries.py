@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 from ledgerline.llm.encode import op4_bpe
 from ledgerline.llm.exact import OP6_SQL, op6_exact_dedup
 from ledgerline.llm.extract import op10_html
@@ -24,6 +25,7 @@ QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_packing": op9_packing,
     "op10_html": op10_html,
+    "pipeline": corpus_pipeline.run,
 }
 
 ORACLES = {"op3_warc": OP3_SQL, "op6_exact_dedup": OP6_SQL}

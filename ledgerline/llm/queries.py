@@ -2,6 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+from pathlib import Path
+
+from pyspark.sql import DataFrame, SparkSession
+
 import corpus_pipeline
 from ledgerline.llm.encode import op4_bpe
 from ledgerline.llm.exact import OP6_SQL, op6_exact_dedup
@@ -14,7 +20,21 @@ from ledgerline.llm.quality import op1_quality
 from ledgerline.llm.toxicity import op8_toxicity
 from ledgerline.llm.warc import OP3_SQL, op3_warc
 
-QUERIES = {
+_ROOT = str(Path(corpus_pipeline.__file__).resolve().parent)
+
+
+def _findable(job: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    """Python workers import this package too, from whatever folder the driver was started in."""
+
+    @wraps(job)
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        spark.sparkContext.environment.setdefault("PYTHONPATH", _ROOT)
+        return job(spark, sf_dir)
+
+    return query
+
+
+_JOBS = {
     "op1_quality": op1_quality,
     "op2_substring_dedup": op2_substring_dedup,
     "op3_warc": op3_warc,
@@ -27,5 +47,6 @@ QUERIES = {
     "op10_html": op10_html,
     "pipeline": corpus_pipeline.run,
 }
+QUERIES = {name: _findable(job) for name, job in _JOBS.items()}
 
 ORACLES = {"op3_warc": OP3_SQL, "op6_exact_dedup": OP6_SQL}

@@ -22,11 +22,9 @@ MISSING = "missing required field: "
 FAILURE_PREFIX = "Deserialization failed: "
 
 _CORRUPT = "_corrupt"
-_READ_SCHEMA = ", ".join(
-    [*(f"{f.name} {f.dataType.simpleString()}" for f in ORDER_V2.fields), f"{_CORRUPT} string"]
-)
+_READ_SCHEMA = f"r {ORDER_V2.simpleString()}, {_CORRUPT} string"
 _FOREIGN = " AND ".join(f"_event.{f.name} IS NULL" for f in ORDER_V2.fields)
-_MISSING = " ".join(
+_MISSING = f"WHEN _event.orderId = '' THEN '{MISSING}orderId' " + " ".join(
     f"WHEN _event.{field} IS NULL THEN '{MISSING}{field}'" for field in REQUIRED_FIELDS
 )
 
@@ -38,7 +36,12 @@ def classify(
 
     Older records simply lack the newer fields: those come out null or defaulted.  A
     null payload is a tombstone, an object with none of the order fields is another
-    record type, and whatever cannot be read as an order is poison with a reason.
+    record type, and whatever cannot be read as an order is poison with a reason.  An order
+    without an id, missing or empty, has no identity to be applied once under: poison.
+
+    A payload is one object and nothing else.  The parser stops after the first value, so the
+    payload is read as the only field of an object and counted as the only element of an array:
+    text behind it that one of the two would take breaks the other.
 
     The intake counters are observed on the way, under ``observe_as``; two decoded inputs of
     one query need two names.  The observation is also a fence: a filter on ``kind`` pushed
@@ -47,12 +50,17 @@ def classify(
     """
     options = f"map('mode', 'PERMISSIVE', 'columnNameOfCorruptRecord', '{_CORRUPT}')"
     decoded = (
-        records.selectExpr("*", f"from_json({payload}, '{_READ_SCHEMA}', {options}) AS _event")
+        records.selectExpr(
+            "*",
+            f"""from_json(concat('{{"r":', {payload}, '}}'), '{_READ_SCHEMA}', {options}) AS _read""",
+            f"json_array_length(concat('[', {payload}, ']')) AS _values",
+        )
+        .selectExpr("* EXCEPT (_read)", "_read.r AS _event", f"_read.{_CORRUPT} AS {_CORRUPT}")
         .selectExpr(
             "*",
             f"""CASE WHEN {payload} IS NULL THEN null
                 WHEN {payload} = '' THEN '{EMPTY}'
-                WHEN _event IS NULL OR _event.{_CORRUPT} IS NOT NULL THEN '{MALFORMED}'
+                WHEN _event IS NULL OR {_CORRUPT} IS NOT NULL OR NOT _values <=> 1 THEN '{MALFORMED}'
                 WHEN {_FOREIGN} THEN null
                 {_MISSING} END AS reason""",
         )
@@ -63,7 +71,9 @@ def classify(
                 WHEN {_FOREIGN} THEN '{UNEXPECTED}'
                 ELSE '{ORDER}' END AS kind""",
         )
-        .selectExpr("* EXCEPT (_event)", f"if(kind = '{ORDER}', _event, null) AS _event")
+        .selectExpr(
+            f"* EXCEPT (_event, _values, {_CORRUPT})", f"if(kind = '{ORDER}', _event, null) AS _event"
+        )
         .selectExpr(
             "* EXCEPT (_event)",
             "_event.orderId AS order_id",

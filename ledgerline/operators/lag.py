@@ -10,11 +10,11 @@ PARTITION = ["topic", "record_partition"]
 
 
 def end_offsets(records: DataFrame, as_of: Column) -> DataFrame:
-    """Log-end offset per partition at a time; offsets are dense, so it is a count."""
+    """Log-end offset per partition at a time: one past the last, for offsets have gaps."""
     return (
         records.filter(F.col("appended_at") <= as_of)
         .groupBy(*PARTITION)
-        .agg(F.count(F.lit(1)).alias("end_offset"))
+        .agg((F.max("record_offset") + 1).alias("end_offset"))
     )
 
 

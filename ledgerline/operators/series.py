@@ -38,7 +38,7 @@ def growth(
 
     Gives the exact growth between the first and last sample in range (``growth``) and
     the growth extrapolated towards the range's edges (``increase``).  Fewer than two
-    samples give no row.  ``until`` stops the ticks at the last evaluation time.
+    instants give no row: without a span there is nothing to stretch.  ``until`` stops the ticks at the last evaluation time.
     """
     dated = samples.withColumn("day", day_of("t"))
     linked = previous(dated, keys, "day", "t", {"before": "v"})
@@ -57,7 +57,7 @@ def growth(
     )
     gained = F.col("v1") - F.col("v0") + F.col("lost")
     return (
-        sums.filter(F.col("n") >= 2)
+        sums.filter(F.col("t1") > F.col("t0"))
         .withColumn("growth", gained)
         .select(*keys, "tick", "growth", _extrapolated(range_s).alias("increase"))
     )

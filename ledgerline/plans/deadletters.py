@@ -21,7 +21,7 @@ from ledgerline.plans.registry import query
 from ledgerline.plans.sqlparts import select
 from ledgerline.schemas import DLQ_TOPIC
 from ledgerline.session import kept
-from ledgerline.sources.feed import order_feed, with_offsets
+from ledgerline.sources.feed import offsets_of, order_feed
 
 _ISO = """strftime(received_at, '%Y-%m-%dT%H:%M:%S')
     || CASE WHEN epoch_us(received_at) % 1000000 = 0 THEN ''
@@ -33,7 +33,10 @@ _LISTING = f"""id, source_topic, source_partition, source_offset,
 
 
 def quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quarantine_rows(classify(with_offsets(order_feed(spark, sf_dir))))
+    """Poison is picked out first: only its payloads are moved to their offsets."""
+    feed = order_feed(spark, sf_dir)
+    poison = classify(feed).filter(F.col("kind") == POISON)
+    return quarantine_rows(poison.join(offsets_of(feed).drop("record_partition"), "ingest_seq"))
 
 
 def stored_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:

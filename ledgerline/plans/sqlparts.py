@@ -31,8 +31,7 @@ PARTS = {
         FROM events""",
     "feed": f"""
         SELECT ingest_seq, 'orders' AS topic, CAST(biz % 12 AS INTEGER) AS record_partition,
-               CAST(row_number() OVER (PARTITION BY biz % 12 ORDER BY ingest_seq) - 1 AS BIGINT)
-                   AS record_offset,
+               CAST(nth + nth // 100 AS BIGINT) AS record_offset,
                CASE WHEN ingest_seq % 200 <> 163 THEN 'ord-' || biz END AS record_key,
                appended_at, CAST(round(value * 10) AS BIGINT) AS latency_ms,
                CASE WHEN ingest_seq % 100 = 51 THEN NULL
@@ -41,8 +40,12 @@ PARTS = {
                     WHEN ingest_seq % 200 = 91 THEN ''
                     WHEN ingest_seq % 200 = 29 THEN {_json("'" + '"abc"' + "'", _ID)}
                     WHEN ingest_seq % 200 = 129 THEN {_json(_CENTS, "NULL")}
+                    WHEN ingest_seq % 400 = 171 THEN {_json(_CENTS, _ID)} || {_json(_CENTS, _ID)}
+                    WHEN ingest_seq % 400 = 371 THEN {_json(_CENTS, _ID)} || 'XYZ'
+                    WHEN ingest_seq % 400 = 271 THEN {_json(_CENTS, "'" + '"orderId":""' + "'")}
                     ELSE {_json(_CENTS, _ID)} END AS payload
-        FROM base""",
+        FROM (SELECT *, row_number() OVER (PARTITION BY biz % 12 ORDER BY ingest_seq) - 1 AS nth
+              FROM base)""",
     "opened": """
         SELECT *, CASE WHEN json_valid(payload) THEN payload END AS doc FROM feed""",
     "fields": """
@@ -60,7 +63,7 @@ PARTS = {
         SELECT *, CASE WHEN payload IS NULL THEN NULL
                        WHEN payload = '' THEN 'empty payload'
                        WHEN malformed THEN 'malformed payload'
-                       WHEN f_id IS NULL THEN 'missing required field: orderId' END AS reason
+                       WHEN f_id IS NULL OR f_id = '' THEN 'missing required field: orderId' END AS reason
         FROM fields""",
     "decoded": """
         SELECT *, CASE WHEN payload IS NULL THEN 'tombstone'
@@ -96,7 +99,7 @@ PARTS = {
     # Metric samples; tick is whole seconds on the hourly grid.
     "grid": """
         SELECT unnest(range(lo, hi + 3600, 3600)) AS t FROM (
-            SELECT CAST(epoch(date_trunc('hour', min(ts))) AS BIGINT) + 3600 AS lo,
+            SELECT (epoch_us(min(ts)) + 3599999999) // 3600000000 * 3600 AS lo,
                    CAST(epoch(date_trunc('hour', max(ts))) AS BIGINT) AS hi FROM events)""",
     "consumed": """
         SELECT g.t, s.series,
@@ -112,9 +115,9 @@ PARTS = {
         SELECT unnest([0.1, 0.25, 0.5, 1, 2, 5, 'Infinity'::DOUBLE]::DOUBLE[]) AS le""",
     "buckets": """
         SELECT g.t, s.series, b.le,
-               (SELECT count(*) FROM events e
-                WHERE CAST(e.event_id % 3 AS INTEGER) = s.series AND epoch_us(e.ts) <= g.t * 1000000
-                  AND CAST(round(e.value * 10) AS BIGINT) / 1000.0 <= b.le) AS v
+               (SELECT count(*) FROM firsts f
+                WHERE CAST(f.ingest_seq % 3 AS INTEGER) = s.series
+                  AND epoch_us(f.appended_at) <= g.t * 1000000 AND f.latency_ms / 1000.0 <= b.le) AS v
         FROM grid g, (SELECT CAST(unnest(range(3)) AS INTEGER) AS series) s, bounds b""",
     "lag_ends": """
         SELECT g.t, s.series,
@@ -140,7 +143,7 @@ _NEEDS = {
     "quarantine": ["decoded"],
     "consumed": ["grid"],
     "dead": ["grid", "decoded"],
-    "buckets": ["grid", "bounds"],
+    "buckets": ["grid", "bounds", "firsts"],
     "lag_ends": ["grid", "feed"],
     "lag": ["lag_ends"],
 }
@@ -182,7 +185,7 @@ def growth_parts(samples: str, keys: list[str], range_s: int) -> dict[str, str]:
             SELECT {cols}tick, count(*) AS n, min(t) AS t0, max(t) AS t1, arg_min(v, t) AS v0,
                    CAST(arg_max(v, t) - arg_min(v, t)
                         + coalesce(sum(lost) FILTER (nth > 1), 0) AS BIGINT) AS growth
-            FROM inrange GROUP BY {cols}tick HAVING count(*) >= 2""",
+            FROM inrange GROUP BY {cols}tick HAVING max(t) > min(t)""",
         "edges": f"""
             SELECT *, CAST(t1 - t0 AS DOUBLE) AS covered,
                    CAST(t1 - t0 AS DOUBLE) / (n - 1) AS gap,

@@ -6,16 +6,16 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ledgerline.functions.payload import ORDER, POISON
 from ledgerline.operators.arrival import first_copies, orders_of
-from ledgerline.operators.lag import alert_count, by_partition, end_offsets, total
+from ledgerline.operators.lag import PARTITION, alert_count, by_partition, end_offsets, total
 from ledgerline.operators.deadletter import light
 from ledgerline.operators.latency import histogram, snapshot, value_counts
-from ledgerline.operators.reconcile import copies_by_key, identity, one_row, order_differences
+from ledgerline.operators.reconcile import balanced, copies_by_key, identity, one_row, order_differences
 from ledgerline.plans.orders import applied_orders, decoded, with_latency
 from ledgerline.plans.registry import query
 from ledgerline.plans.sqlparts import select
 from ledgerline.session import kept
 from ledgerline.sources import samples
-from ledgerline.sources.feed import feed_of
+from ledgerline.sources.feed import feed_of, with_offsets
 from ledgerline.sources.tables import events
 
 AS_OF = "2024-01-20 00:00:00"
@@ -47,7 +47,7 @@ _LAG = f"""
 def lags(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ends and commits at one time; see the fixture for partitions 10 and 11."""
     as_of = F.expr(f"TIMESTAMP_NTZ '{AS_OF}'")
-    feed = feed_of(events(spark, sf_dir)).filter(F.col("appended_at") <= as_of)
+    feed = with_offsets(feed_of(events(spark, sf_dir)).select(*PARTITION, "ingest_seq", "appended_at"))
     partition = F.col("record_partition")
     behind = F.when(partition == 10, as_of).otherwise(as_of - F.expr("INTERVAL 6 HOURS"))
     ahead = F.when(partition == 10, 5).otherwise(0)
@@ -90,6 +90,11 @@ def lag_alert_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def produced(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records the producer sent, counted from its own table."""
+    return events(spark, sf_dir).agg(F.count(F.lit(1)).alias("produced"))
+
+
 @query("service_stats", select(f"""
     SELECT (SELECT count(*) FROM feed) AS produced, (SELECT count(*) FROM decoded) AS consumed,
            (SELECT count(*) FROM firsts) AS consumed_unique,
@@ -100,12 +105,10 @@ def lag_alert_count(spark: SparkSession, sf_dir: str) -> DataFrame:
            (SELECT arg_max(schema_version, ingest_seq) FROM orders_in) AS schema_version
     """, "firsts", "quarantine"))
 def service_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The statistics row: one pass over the feed for everything but the lag."""
-    version = F.expr("int(substring(schema_version, 2))")
-    rows = decoded(spark, sf_dir).withColumns({
-        "version": version,
-        "waiting": (F.col("kind") == POISON) & (F.col("ingest_seq") % 400 >= 200),
-    })
+    """The statistics row; what was produced is counted at the source, not behind the decoder."""
+    rows = decoded(spark, sf_dir).withColumn(
+        "waiting", (F.col("kind") == POISON) & (F.col("ingest_seq") % 400 >= 200)
+    )
     is_order = F.col("kind") == ORDER
     counts = (
         rows.groupBy("kind", "order_id")
@@ -113,23 +116,20 @@ def service_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.count(F.lit(1)).alias("n"),
             F.min_by("amount_cents", "ingest_seq").alias("amount_cents"),
             F.count_if("waiting").alias("waiting"),
-            F.max("ingest_seq").alias("last_seq"),
-            F.max_by("version", "ingest_seq").alias("version"),
         )
         .agg(
-            F.sum("n").alias("produced"),
             F.sum("n").alias("consumed"),
             F.count_if(is_order).alias("consumed_unique"),
             F.sum("amount_cents").alias("revenue_total_cents"),
             F.count_if(is_order).alias("revenue_order_count"),
             F.sum("waiting").alias("dlq_pending"),
-            F.max_by("version", F.when(is_order, F.col("last_seq"))).alias("version"),
         )
     )
+    version = orders_of(decoded(spark, sf_dir)).agg(
+        F.max_by("schema_version", "ingest_seq").alias("schema_version")
+    )
     lag = total(lags(spark, sf_dir)).withColumnRenamed("total_lag", "consumer_lag_total")
-    return one_row(counts, lag).withColumn(
-        "schema_version", F.concat(F.lit("v"), F.col("version").cast("string"))
-    ).drop("version")
+    return one_row(produced(spark, sf_dir), counts, version, lag)
 
 
 @query("reconcile", select("""
@@ -140,7 +140,9 @@ def service_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
                  count(*) FILTER (kind = 'tombstone') AS tombstones,
                  count(*) FILTER (kind = 'unexpected') AS unexpected FROM decoded)""", "decoded"))
 def reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return identity(copies_by_key(decoded(spark, sf_dir)))
+    """The decoder's kinds against the number of records that were sent."""
+    kinds = identity(copies_by_key(decoded(spark, sf_dir))).drop("records", "balanced")
+    return balanced(one_row(kinds, produced(spark, sf_dir).withColumnRenamed("produced", "records")))
 
 
 @query("order_differences", select(f"""
@@ -166,7 +168,8 @@ def unapplied_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 def throughput_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts, rate over the feed's span, and the latency block.
 
-    The feed is reduced once, to a row per (kind, latency), and the report reads that.
+    The feed is reduced once, to a row per (kind, latency), and the report reads that; what was
+    produced is counted at the source.
     """
     millis = F.unix_millis(F.col("appended_at").cast("timestamp"))
     is_order = F.col("kind") == ORDER
@@ -191,14 +194,13 @@ def throughput_report(spark: SparkSession, sf_dir: str) -> DataFrame:
         "report",
     )
     counts = reduced.agg(
-        F.sum("records").alias("produced"),
-        F.sum(F.when(F.col("kind").isNotNull(), F.col("records"))).alias("consumed"),
+        F.sum("records").alias("consumed"),
         F.sum(F.when(is_order, F.col("keys"))).alias("unique_orders"),
         (F.max("hi") - F.min("lo")).alias("elapsed_ms"),
     )
     latencies = reduced.filter(is_order).select("v", F.col("keys").alias("n"))
     seconds = F.col("elapsed_ms") / 1000.0
-    return one_row(counts, snapshot(latencies)).withColumns({
+    return one_row(produced(spark, sf_dir), counts, snapshot(latencies)).withColumns({
         "lost": F.col("produced") - F.col("consumed"),
         "target_rate": F.lit(TARGET_RATE).cast("long"),
         "achieved_rate": F.round(F.col("produced") / seconds).cast("long"),

@@ -10,33 +10,49 @@ from ledgerline.operators.reconcile import one_row
 from ledgerline.operators.revenue import revenue_panel
 from ledgerline.plans.registry import query
 from ledgerline.plans.sqlparts import select
-from ledgerline.session import fresh_folder, streaming_session
-from ledgerline.sources.feed import order_feed
+from ledgerline.session import fresh_folder, kept, streaming_session
+from ledgerline.sources.feed import order_feed, with_offsets
 from ledgerline.sources.landing import append, landed_stream
-from ledgerline.streaming.apply import apply_backfill, apply_orders, quarantine_records
-from ledgerline.streaming.outputs import read_replay_log, read_table, revenue_minutes
+from ledgerline.streaming.apply import (
+    apply_backfill,
+    apply_bounded,
+    apply_orders,
+    quarantine_records,
+)
+from ledgerline.streaming.metrics import counter_samples, stream_balance
+from ledgerline.streaming.outputs import (
+    committed_latency,
+    read_replay_log,
+    read_table,
+    revenue_minutes,
+)
 from ledgerline.streaming.replay import replay_all, waiting
 
-SLICES = 2
+DRAINS = 2  # runs of a stream, each resuming from the checkpoint of the one before
+PIECES = 4  # landed before each run, at least; a piece is a micro-batch
+PIECE_ROWS = 250_000
 
 
 def land_and_drain(
     spark: SparkSession, sf_dir: str, landing: str, drain: Callable[[], None]
-) -> None:
-    """Append the feed slice by slice and run the stream after each.
+) -> int:
+    """Land the feed piece by piece and run the stream after every few; one past its positions.
 
     Each run resumes from the checkpoint of the one before it, so every query here also
     goes through restarts.
     """
-    feed = order_feed(spark, sf_dir)
-    lo, hi = feed.agg(F.min("ingest_seq"), F.max("ingest_seq")).first()
+    feed = kept(with_offsets(order_feed(spark, sf_dir)), "feed")
+    lo, hi, n = feed.agg(F.min("ingest_seq"), F.max("ingest_seq"), F.count(F.lit(1))).first()
     if lo is None:
         lo = hi = 0
-    cuts = [lo + (hi + 1 - lo) * i // SLICES for i in range(SLICES + 1)]
-    for i in range(SLICES):
+    pieces = DRAINS * max(PIECES, -(-n // (DRAINS * PIECE_ROWS)))
+    cuts = [lo + (hi + 1 - lo) * i // pieces for i in range(pieces + 1)]
+    for i in range(pieces):
         inside = (F.col("ingest_seq") >= cuts[i]) & (F.col("ingest_seq") < cuts[i + 1])
-        append(spark, feed.filter(inside), landing, first=i == 0)
-        drain()
+        append(feed.filter(inside), landing)
+        if (i + 1) % (pieces // DRAINS) == 0:
+            drain()
+    return hi + 1
 
 
 def _run(spark: SparkSession, sf_dir: str, label: str, start) -> str:
@@ -93,24 +109,78 @@ def stream_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.agg(*[F.sum(c).alias(c) for c in counts.columns])
 
 
-@query("stream_replay", select("""
-    SELECT 2 * count(*) AS quarantined, count(*) AS replayed, count(*) AS pending
-    FROM quarantine""", "quarantine"))
-def stream_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every dead letter is sent again; all are still bad, so all come back."""
+@query("stream_reconcile", select("""
+    SELECT *, CAST(0 AS BIGINT) AS lost, CAST(0 AS BIGINT) AS missing, true AS balanced FROM (
+        SELECT count(*) AS produced, count(*) AS consumed,
+               count(DISTINCT order_id) AS unique_orders,
+               count(order_id) - count(DISTINCT order_id) AS duplicates,
+               count(*) FILTER (kind = 'poison') AS quarantined,
+               count(*) FILTER (kind = 'tombstone') AS tombstones,
+               CAST(0 AS BIGINT) AS unexpected FROM decoded)""", "decoded"))
+def stream_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landed records against what the stream's own outputs hold."""
+    root = _run(spark, sf_dir, "reconcile", apply_backfill)
+    return stream_balance(spark, root, f"{root}/landing")
+
+
+@query("stream_bounded", select("SELECT order_id FROM firsts", "firsts"))
+def stream_bounded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders applied with state that expires; the feed's redeliveries come within the horizon."""
+    root = _run(spark, sf_dir, "bounded", lambda s, r, at: apply_bounded(s, r, at, "400 days"))
+    return read_table(spark, root, "ledger").select("order_id")
+
+
+@query("stream_samples", select("""
+    SELECT 'orders_consumed' AS name, CAST(count(*) AS BIGINT) AS v FROM decoded
+    UNION ALL SELECT 'dlq_received', count(*) FILTER (kind = 'poison') FROM decoded""", "decoded"))
+def stream_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The live counters' last samples."""
+    root = _run(
+        spark, sf_dir, "samples", lambda _, records, root: quarantine_records(records, root)
+    )
+    return counter_samples(spark, root).groupBy("name").agg(F.max("v").alias("v"))
+
+
+@query("stream_latency", select("""
+    SELECT count(*) AS orders, CAST(0 AS BIGINT) AS negative, CAST(8 AS BIGINT) AS commits
+    FROM firsts""", "firsts"))
+def stream_latency(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Commit latencies of the applied orders: how many, how many negative, over how many commits."""
+    root = _run(spark, sf_dir, "commit-latency", apply_orders)
+    commits = read_table(spark, root, "commits")
+    # the stream may close with a batch without data, for its state's sake
+    with_orders = read_table(spark, root, "ledger").select("batch_id").distinct()
+    return one_row(
+        committed_latency(spark, root).agg(
+            F.count(F.lit(1)).alias("orders"), F.count_if(F.col("latency_ms") < 0).alias("negative")
+        ),
+        commits.join(with_orders, "batch_id").agg(F.count(F.lit(1)).alias("commits")),
+    )
+
+
+def _dead_letters_landed(spark: SparkSession, sf_dir: str, label: str):
+    """A landed feed, its dead letters quarantined: session, root, landing, drain, next position."""
     session = streaming_session(spark)
-    root = fresh_folder(spark, "replay")
+    root = fresh_folder(spark, label)
     landing = f"{root}/landing"
 
     def drain() -> None:
-        quarantine_records(landed_stream(session, landing), root).awaitTermination()
+        apply_backfill(session, landed_stream(session, landing), root).awaitTermination()
+
+    past = land_and_drain(session, sf_dir, landing, drain)
+    return session, root, landing, drain, past
+
 
-    feed = order_feed(session, sf_dir)
-    append(session, feed, landing, first=True)
+@query("stream_replay", select("""
+    SELECT 2 * count(*) AS quarantined, count(*) AS replayed, count(*) AS pending
+    FROM quarantine""", "quarantine"))
+def stream_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every dead letter is sent again, the call repeated; all are still bad, so all come back."""
+    session, root, landing, drain, past = _dead_letters_landed(spark, sf_dir, "replay")
+    for _ in range(2):
+        replay_all(session, root, landing, "replay-1", past)
     drain()
-    past = feed.agg(F.coalesce(F.max("ingest_seq"), F.lit(0)) + 1).first()[0]
     replay_all(session, root, landing, "replay-1", past)
-    drain()
 
     def counted(rows: DataFrame, name: str) -> DataFrame:
         return rows.agg(F.count(F.lit(1)).alias(name))
@@ -120,3 +190,20 @@ def stream_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
         counted(read_replay_log(spark, root), "replayed"),
         counted(waiting(spark, root), "pending"),
     )
+
+
+@query("stream_repaired", select("""
+    SELECT f.orders + r.repaired AS orders, f.cents + 100 * r.repaired AS total_cents
+    FROM (SELECT count(*) AS orders, CAST(sum(amount_cents) AS BIGINT) AS cents FROM firsts) f,
+         (SELECT count(*) AS repaired FROM decoded
+          WHERE kind = 'poison' AND payload LIKE '%"amountCents":"abc"%') r""", "firsts"))
+def stream_repaired(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dead letters with an unreadable amount are repaired and sent twice; each counts once."""
+    session, root, landing, drain, past = _dead_letters_landed(spark, sf_dir, "repaired")
+    repair = F.regexp_replace("payload", '"amountCents":"abc"', '"amountCents":100')
+    for replay_id, base in (("repair-1", past), ("repair-2", 10 * past)):
+        replay_all(session, root, landing, replay_id, base, repair)
+        drain()
+    return read_table(spark, root, "ledger").agg(
+        F.count(F.lit(1)).alias("orders"), F.sum("amount_cents").alias("total_cents")
+    )

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-import tempfile
+import atexit
+import shutil
 import uuid
 from functools import cache
 
@@ -38,25 +39,25 @@ def streaming_session(spark: SparkSession, state_partitions: int | None = None)
 
 
 @cache
-def _local_folder(application: str) -> str:
-    return tempfile.mkdtemp(prefix=f"ledgerline-{application}-")
+def _own_folder(warehouse: str, application: str) -> str:
+    """A folder in the warehouse, which all executors share too; removed with the driver."""
+    folder = f"{warehouse.rstrip('/')}/_work-{application}"
+    if folder.startswith(("file:", "/")):
+        atexit.register(shutil.rmtree, "/" + folder.removeprefix("file:").lstrip("/"), True)
+    return folder
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's shared checkpoint folder.
+    """The cluster's shared folder for written state.
 
-    Only a local master may fall back to a temporary folder: on a cluster the
-    executors would not see the driver's disk.
+    In Spark's own order: what ``setCheckpointDir`` chose, else ``spark.checkpoint.dir``.  Where
+    neither is set, a folder of this application in the warehouse.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured.rstrip("/")
-    context = spark.sparkContext
-    if context.getCheckpointDir():
-        return context.getCheckpointDir().rstrip("/")
-    if not context.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-    return _local_folder(context.applicationId)
+    chosen = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if chosen:
+        return chosen.rstrip("/")
+    warehouse = spark.conf.get("spark.sql.warehouse.dir")
+    return _own_folder(warehouse, spark.sparkContext.applicationId)
 
 
 def fresh_folder(spark: SparkSession, label: str) -> str:

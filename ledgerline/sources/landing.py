@@ -5,33 +5,27 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ledgerline.schemas import DLQ_TOPIC, LANDED, ORDERS_PARTITIONS, ORDERS_TOPIC
-from ledgerline.sources.feed import with_offsets
 
 # Header names on the dead-letter topic.
 MESSAGE_HEADER = "kafka_dlt-exception-message"
 ORIGIN_HEADER = "kafka_dlt-original-topic"
 
 
-def append(spark: SparkSession, records: DataFrame, path: str, first: bool) -> None:
-    """Append records to the landing folder, numbering on from what lies there."""
-    numbered = with_offsets(records)
-    if not first:
-        ends = (
-            spark.read.schema(LANDED).parquet(path)
-            .groupBy("record_partition")
-            .agg((F.max("record_offset") + 1).alias("_end"))
-        )
-        numbered = numbered.join(ends, "record_partition", "left").withColumn(
-            "record_offset", F.col("record_offset") + F.coalesce("_end", F.lit(0))
-        )
-    numbered.select(*LANDED.names).write.mode("append").parquet(path)
-
-
-def landed_stream(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:
-    """The landing folder as a stream of finished files."""
-    reader = spark.readStream.schema(LANDED)
-    if files_per_batch:
-        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+# Files that one micro-batch takes up at most.
+FILES_PER_BATCH = 1
+
+
+def append(records: DataFrame, path: str) -> None:
+    """Append numbered records (see ``with_offsets``) to the landing folder, as one file.
+
+    A producer sends bounded pieces; the stream takes files in the order they were landed.
+    """
+    records.select(*LANDED.names).coalesce(1).write.mode("append").parquet(path)
+
+
+def landed_stream(spark: SparkSession, path: str, files_per_batch: int = FILES_PER_BATCH) -> DataFrame:
+    """The landing folder as a stream of finished files, so many to a micro-batch."""
+    reader = spark.readStream.schema(LANDED).option("maxFilesPerTrigger", files_per_batch)
     return reader.parquet(path)
 
 
@@ -40,7 +34,7 @@ def kafka_stream(
     servers: str,
     topic: str = ORDERS_TOPIC,
     partitions: int = ORDERS_PARTITIONS,
-    per_batch: int | None = None,
+    per_batch: int = 1_000_000,
 ) -> DataFrame:
     """A topic as a stream of landed records; needs the Kafka connector on the class path.
 
@@ -53,9 +47,8 @@ def kafka_stream(
         .option("subscribe", topic)
         .option("startingOffsets", "earliest")
         .option("kafka.isolation.level", "read_committed")
+        .option("maxOffsetsPerTrigger", per_batch)
     )
-    if per_batch:
-        reader = reader.option("maxOffsetsPerTrigger", per_batch)
     return reader.load().select(
         (F.col("offset") * partitions + F.col("partition")).alias("ingest_seq"),
         "topic",

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ledgerline.functions.buckets import epoch_seconds
 from ledgerline.functions.payload import POISON, classify
+from ledgerline.operators.arrival import first_copies, orders_of
 from ledgerline.operators.blocked import running
 from ledgerline.operators.lag import lag_of
 from ledgerline.operators.latency import BOUNDS
@@ -40,9 +41,9 @@ def tick_of(ntz: str) -> Column:
 
 
 def ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The grid: every full hour inside the table's time span."""
+    """The grid: from the first full hour that has a record at or before it to the last."""
     span = events(spark, sf_dir).agg(
-        epoch_seconds(F.date_trunc("hour", F.min("ts")) + F.expr("INTERVAL 1 HOUR")).alias("lo"),
+        tick_of("min(ts)").alias("lo"),
         epoch_seconds(F.date_trunc("hour", F.max("ts"))).alias("hi"),
     )
     days = span.select("lo", "hi", F.explode(F.sequence(day_of("lo"), day_of("hi"))).alias("day"))
@@ -99,13 +100,13 @@ def dead_letters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def latency_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Cumulative latency buckets per service instance."""
-    seconds = F.round(F.col("value") * 10).cast("long") / 1000.0
+    """Cumulative latency buckets per service instance, over the orders at first sight."""
     bounds = [*BOUNDS, float("inf")]
-    rows = events(spark, sf_dir).select(
-        (F.col("event_id") % INSTANCES).cast("int").alias("series"),
-        tick_of("ts").alias("t"),
-        seconds.alias("seconds"),
+    orders = orders_of(classify(order_feed(spark, sf_dir)))
+    rows = first_copies(orders, ["appended_at", "latency_ms"]).select(
+        (F.col("ingest_seq") % INSTANCES).cast("int").alias("series"),
+        tick_of("appended_at").alias("t"),
+        (F.col("latency_ms") / 1000.0).alias("seconds"),
     )
     wide = rows.groupBy("series", "t").agg(
         *[F.count_if(F.col("seconds") <= b).alias(f"b{i}") for i, b in enumerate(bounds)]

@@ -9,13 +9,3 @@ EVENTS = "event_id long, ts timestamp_ntz, user_id long, event_type string, valu
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(EVENTS).parquet(f"{sf_dir}/events.parquet")
-
-
-def spread(rows: DataFrame, key: str) -> DataFrame:
-    """Use all cores on an input that comes in fewer pieces than there are cores.
-
-    Decoding is the costly step and a small or unsplittable file would leave it to a few
-    tasks.  An input of at least as many pieces is left as it is: nothing is shuffled.
-    """
-    cores = rows.sparkSession.sparkContext.defaultParallelism
-    return rows if rows.rdd.getNumPartitions() >= cores else rows.repartition(cores, key)

@@ -45,6 +45,32 @@ def new_orders(records: DataFrame, topic: str = ORDERS_TOPIC) -> DataFrame:
     )
 
 
+def new_orders_bounded(records: DataFrame, horizon: str) -> DataFrame:
+    """Streaming: orders not seen within ``horizon`` of the latest record, with state that expires.
+
+    For feeds whose redeliveries come within a known time.  Which of the copies inside one
+    micro-batch is kept is Spark's choice, and a copy later than the horizon counts as a new
+    order; where first-wins amounts or late copies matter, use :func:`new_orders`.
+    """
+    seen = orders_of(classify(records, observe_as="intake"))
+    timed = seen.withColumn("event_time", F.col("appended_at").cast("timestamp"))
+    return (
+        timed.withWatermark("event_time", horizon)
+        .dropDuplicatesWithinWatermark(["order_id"])
+        .select("order_id", "topic", "record_partition", "record_offset", "amount_cents", "produced_at")
+        .withColumn("processed_at", F.current_timestamp())
+        .select(*_LEDGER_COLUMNS)
+    )
+
+
+def apply_bounded(
+    spark: SparkSession, records: DataFrame, root: str, horizon: str = "1 day", drain: bool = True
+) -> StreamingQuery:
+    """Start the order stream with bounded state."""
+    rows = new_orders_bounded(records, horizon)
+    return start(rows, apply_job(spark, root), f"{root}/checkpoints/bounded", "append", drain)
+
+
 def start(
     rows: DataFrame, job: BatchJob, checkpoint: str, mode: str, drain: bool = True
 ) -> StreamingQuery:
@@ -62,14 +88,12 @@ def start(
 def apply_job(spark: SparkSession, root: str) -> BatchJob:
     """Write a batch's new orders, then their increments and the commit stamp.
 
-    On a large cluster the state partitions are many and a batch's new orders few: the
-    rows are then gathered into an eighth as many files.
+    State partitions may be many and a batch's new orders few, so the rows are rebalanced
+    into files of a sensible size.
     """
-    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
 
     def job(batch: DataFrame, batch_id: int) -> None:
-        rows = batch.repartition(partitions // 8, "order_id") if partitions > 64 else batch
-        write_batch(rows, root, "ledger", batch_id)
+        write_batch(batch.hint("rebalance"), root, "ledger", batch_id)
         commit_increments(spark, root, batch_id)
 
     return job
@@ -138,8 +162,12 @@ def apply_backfill(
     gate, quarantine = gate_job(spark, root), quarantine_job(root)
 
     def job(batch: DataFrame, batch_id: int) -> None:
-        quarantine(batch, batch_id)
-        gate(batch, batch_id)
+        batch.persist()  # decoded once for both outputs
+        try:
+            quarantine(batch, batch_id)
+            gate(batch, batch_id)
+        finally:
+            batch.unpersist()
 
     decoded = classify(records, observe_as="intake")
     return start(decoded, job, f"{root}/checkpoints/backfill", "append", drain)

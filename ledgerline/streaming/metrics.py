@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ledgerline.operators.blocked import running
 from ledgerline.operators.lag import lag_of
+from ledgerline.operators.reconcile import one_row
 from ledgerline.operators.series import DAY
 from ledgerline.streaming.outputs import read_table
 
@@ -33,6 +34,39 @@ def counter_samples(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
+def stream_balance(spark: SparkSession, root: str, landing: str) -> DataFrame:
+    """What was landed against what the stream counted, applied and quarantined, in one row.
+
+    Each figure has a source of its own: the log, the intake counts, the ledger, the quarantine.
+    ``lost`` records were landed and not taken in; ``missing`` ones were taken in and are in no
+    output (an order nobody applied, a dead letter nobody kept).
+    """
+    produced = spark.read.parquet(landing).agg(F.count(F.lit(1)).alias("produced"))
+    counts = read_table(spark, root, "counts")
+    taken = counts.agg(*[
+        F.coalesce(F.sum(c), F.lit(0).cast("long")).alias(c)
+        for c in ("consumed", "orders", "poison", "tombstones", "unexpected")
+    ])
+    ledger = read_table(spark, root, "ledger")
+    applied = ledger.agg(
+        F.count(F.lit(1)).alias("unique_orders"), F.count_distinct("order_id").alias("distinct_orders")
+    )
+    dead = read_table(spark, root, "quarantine").agg(F.count(F.lit(1)).alias("quarantined"))
+    row = one_row(produced, taken, applied, dead)
+    return row.withColumns({
+        "duplicates": F.col("orders") - F.col("unique_orders"),
+        "lost": F.col("produced") - F.col("consumed"),
+        "missing": F.col("poison") - F.col("quarantined"),
+    }).withColumn(
+        "balanced",
+        F.expr("lost = 0 AND missing = 0 AND unique_orders = distinct_orders AND duplicates >= 0"
+               " AND consumed = orders + poison + tombstones + unexpected"),
+    ).select(
+        "produced", "consumed", "unique_orders", "duplicates", "quarantined", "tombstones",
+        "unexpected", "lost", "missing", "balanced",
+    )
+
+
 def lag_from_progress(spark: SparkSession, progress: str) -> DataFrame:
     """Lag per partition from a Kafka stream's progress report (JSON text).
 

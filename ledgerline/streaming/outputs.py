@@ -37,6 +37,10 @@ STREAM_OF = {
 }
 
 
+# The table that a batch of a stream writes last.
+_LAST_WRITTEN = {"orders": "commits", "quarantine": "counts"}
+
+
 def _read(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
     try:
         return spark.read.schema(schema).parquet(path)
@@ -65,10 +69,16 @@ def read_table(spark: SparkSession, root: str, table: str) -> DataFrame:
 def compact(spark: SparkSession, root: str, stream: str, upto: int) -> None:
     """Rewrite a stream's tables up to batch ``upto`` as few large files.
 
-    ``upto`` must be a finished batch later than the last compaction's.  Increments are
+    ``upto`` must be a finished batch later than the last compaction's: what a batch writes
+    after it was compacted would be lost, so anything else is refused.  Increments are
     summed on the way.  The files count only once the log entry is written, so readers
     never see half of a compaction; the batch folders it covers may be removed afterwards.
     """
+    last = _read(spark, f"{root}/{_LAST_WRITTEN[stream]}", SCHEMAS[_LAST_WRITTEN[stream]])
+    finished = last.filter(F.col("batch_id") == upto).limit(1).count()
+    before = last_compacted(spark, root, stream)
+    if not finished or (before is not None and upto <= before):
+        raise ValueError(f"batch {upto} of {stream} isn't finished, or compacted already")
     for table in (t for t, owner in STREAM_OF.items() if owner == stream):
         rows = read_table(spark, root, table).filter(F.col("batch_id") <= upto)
         if table == "increments":
@@ -84,6 +94,21 @@ def read_batch(spark: SparkSession, root: str, table: str, batch_id: int) -> Dat
     return spark.read.schema(schema).parquet(f"{root}/{table}/batch_id={batch_id}")
 
 
+def is_written(spark: SparkSession, path: str) -> bool:
+    """Did a write to this folder finish?"""
+    try:
+        return "_SUCCESS" in {f.rsplit("/", 1)[-1] for f in _names(spark, path)}
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return False
+
+
+def _names(spark: SparkSession, path: str) -> list[str]:
+    marker = spark.read.format("binaryFile").option("pathGlobFilter", "_SUCCESS").load(path)
+    return [r.path for r in marker.select("path").collect()]
+
+
 def read_replay_log(spark: SparkSession, root: str) -> DataFrame:
     return _read(spark, f"{root}/replay_log", REPLAY_LOG)
 
@@ -96,6 +121,7 @@ def commit_increments(spark: SparkSession, root: str, batch_id: int) -> None:
     a micro-batch's own clock stands still at its start.
     """
     applied = read_batch(spark, root, "ledger", batch_id)
+    _refuse_a_clock_set_back(spark, applied, root, batch_id)
     write_batch(per_minute(applied), root, "increments", batch_id)
     stamp = spark.range(1).select(
         F.unix_millis(F.current_timestamp()).alias("committed_at")
@@ -103,6 +129,14 @@ def commit_increments(spark: SparkSession, root: str, batch_id: int) -> None:
     write_batch(stamp, root, "commits", batch_id)
 
 
+def _refuse_a_clock_set_back(spark: SparkSession, applied: DataFrame, root: str, batch_id: int) -> None:
+    """New orders are told by their batch's time, so it must lie past the last commit."""
+    commits = _read(spark, f"{root}/commits/batch_id={batch_id - 1}", "committed_at long").first()
+    began = applied.agg(F.min(F.unix_millis("processed_at"))).first()[0]
+    if commits and began is not None and began < commits.committed_at:
+        raise ValueError(f"batch {batch_id} began before the last one was committed: the clock was set back")
+
+
 def revenue_minutes(spark: SparkSession, root: str) -> DataFrame:
     """The revenue table: the sum of all increments."""
     return merged(read_table(spark, root, "increments"))

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ledgerline.operators.deadletter import pending, replay_records
 from ledgerline.schemas import LANDED, ORDERS_PARTITIONS
-from ledgerline.streaming.outputs import read_replay_log, read_table
+from ledgerline.streaming.outputs import is_written, read_replay_log, read_table
 
 
 def waiting(spark: SparkSession, root: str) -> DataFrame:
@@ -14,21 +14,41 @@ def waiting(spark: SparkSession, root: str) -> DataFrame:
     return pending(read_table(spark, root, "quarantine"), read_replay_log(spark, root))
 
 
-def replay_all(spark: SparkSession, root: str, landing: str, replay_id: str, seq_base: int) -> int:
+def replay_all(
+    spark: SparkSession,
+    root: str,
+    landing: str,
+    replay_id: str,
+    seq_base: int,
+    repair: Column | None = None,
+) -> int:
     """Send every waiting dead letter to the log under a new key; how many there were.
 
-    The rows to send are written first, with their keys, and everything after reads
-    them back, so a lost task cannot draw other keys.  They are then appended to the log
-    and only then marked as sent: a failure in between sends them again, and orders that
-    were applied meanwhile are recognised by their own id.  ``seq_base`` must lie past
-    every position in the log.
+    The call may be repeated under its id until it returns: every step is done once.  The rows
+    to send are written first, with their keys, and everything after reads them back; a second
+    call takes those rows again and not what waits by then.  Rows that lie in the log already
+    are left out of the append, and the mark comes last.  ``repair`` may give another payload.
+    ``seq_base`` must lie past every position in the log.
     """
-    outgoing = f"{root}/outgoing/{replay_id}"
-    replay_records(waiting(spark, root)).write.mode("overwrite").parquet(outgoing)
+    logged = read_replay_log(spark, root).filter(F.col("replay_id") == replay_id)
+    done = logged.count()
+    if done:
+        return done
     schema = "id long, topic string, replay_key string, payload string"
+    outgoing = f"{root}/outgoing/{replay_id}"
+    if not is_written(spark, outgoing):
+        rows = replay_records(waiting(spark, root))
+        if repair is not None:
+            rows = rows.withColumn("payload", repair)
+        rows.write.mode("overwrite").parquet(outgoing)
     sent = spark.read.schema(schema).parquet(outgoing)
     target = F.pmod(F.xxhash64("replay_key"), F.lit(ORDERS_PARTITIONS)).cast("int")
-    sent.select(
+    landed = (
+        spark.read.schema(LANDED).parquet(landing)
+        .filter(F.col("ingest_seq") >= seq_base)
+        .select(F.col("record_key").alias("replay_key"))
+    )
+    sent.join(landed, "replay_key", "left_anti").select(
         (F.col("id") + seq_base).alias("ingest_seq"),
         "topic",
         target.alias("record_partition"),

@@ -2,6 +2,7 @@
 
 from datetime import datetime
 
+import pytest
 from pyspark.sql import Row, functions as F
 
 from ledgerline.functions import buckets
@@ -71,6 +72,24 @@ def test_kinds(spark):
     assert all(r.order_id is None for r in got[1:])
 
 
+@pytest.mark.parametrize("text", [
+    FULL + FULL, FULL + "XYZ", FULL + "," + FULL, FULL + "],[" + FULL, "[" + FULL + "]", FULL + "}", FULL + "]",
+    FULL + ',"x":' + FULL, FULL + ',"r":' + FULL, "null", '"' + "o" + '"', "5", FULL + " 1", "," + FULL,
+])
+def test_a_payload_is_one_object(spark, text):
+    row = decode(spark, text)[0]
+    assert (row.kind, row.reason) == ("poison", "malformed payload")
+
+
+def test_space_around_an_object_and_foreign_fields(spark):
+    got = decode(spark, f"  {FULL}\n", FULL.replace("{", '{"extra":{"a":[1,{}]},', 1))
+    assert [r.kind for r in got] == ["order", "order"]
+
+
+def test_an_empty_id_is_no_id(spark):
+    assert decode(spark, FULL.replace("o-1", ""))[0].reason == "missing required field: orderId"
+
+
 def test_new_field_defaults_to_null(spark):
     row = decode(spark, FULL)[0]
     assert row.promo_code is None and row.currency == "EUR" and row.amount_cents == 1000

@@ -274,3 +274,23 @@ def test_order_differences(spark):
     done = spark.createDataFrame([("a",), ("c",), ("c",), ("x",)], "order_id string")
     got = {(r.order_id, r.produced, r.applied) for r in reconcile.order_differences(sent, done).collect()}
     assert got == {("b", 1, 0), ("c", 1, 2), ("x", 0, 1)}
+
+
+def test_null_keys_keep_their_rows(spark):
+    rows = [(None, 0, i, i) for i in range(5)] + [("a", i % 2, i, 1) for i in range(4)]
+    df = spark.createDataFrame(rows, "k string, b int, o int, v int")
+    got = blocked.previous(blocked.running(df, ["k"], "b", "o", sums={"s": F.col("v")}), ["k"], "b", "o", {"p": "v"})
+    assert sorted((r.k or "", r.o, r.s) for r in got.collect()) == [
+        ("", 0, 0), ("", 1, 1), ("", 2, 3), ("", 3, 6), ("", 4, 10), ("a", 0, 1), ("a", 1, 3), ("a", 2, 2), ("a", 3, 4),
+    ]
+
+
+def test_growth_of_samples_at_one_instant(spark):
+    df = spark.createDataFrame([(10, 1), (10, 5)], "t long, v long")
+    assert series.growth(df, [], 60, 10).count() == 0
+
+
+def test_log_end_is_past_the_last_offset(spark):
+    df = spark.createDataFrame([("t", 0, o) for o in (0, 1, 5, 9)], "topic string, record_partition int, record_offset long")
+    rows = df.withColumn("appended_at", F.expr("TIMESTAMP_NTZ '2024-01-01 00:00:00'"))
+    assert lag.end_offsets(rows, F.expr("TIMESTAMP_NTZ '2024-01-02 00:00:00'")).first().end_offset == 10

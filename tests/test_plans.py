@@ -3,14 +3,13 @@
 import pytest
 from pyspark.sql import functions as F
 
-from __spark_entry__ import queries
 from ledgerline.operators.deadletter import latest
+from ledgerline.plans import QUERIES
 from ledgerline.session import kept, shared_folder
 from ledgerline.sources.feed import order_feed
-from ledgerline.sources.tables import events, spread
 
 SF_DIR = "/root/testdata/sf0.001"
-BATCH = sorted(n for n in queries() if not n.startswith("stream_"))
+BATCH = sorted(n for n in QUERIES if not n.startswith("stream_"))
 
 
 def plan_of(df):
@@ -19,26 +18,27 @@ def plan_of(df):
 
 @pytest.mark.parametrize("name", BATCH)
 def test_no_cross_joins_and_no_python(spark, name):
-    plan = plan_of(queries()[name](spark, SF_DIR))
+    plan = plan_of(QUERIES[name](spark, SF_DIR))
     for unwanted in ("CartesianProduct", "NestedLoopJoin", "EvalPython", "MapInPandas"):
         assert unwanted not in plan
 
 
 @pytest.mark.parametrize("name", ["revenue_per_minute", "decode_kinds", "reconcile", "first_arrival"])
 def test_each_record_is_parsed_once(spark, name):
-    plan = plan_of(queries()[name](spark, SF_DIR))
+    plan = plan_of(QUERIES[name](spark, SF_DIR))
     assert plan.count("from_json(") == 1 and plan.count("FileScan") == 1
 
 
 def test_revenue_reads_four_columns_and_shuffles_partial_results(spark):
-    plan = plan_of(queries()["revenue_per_minute"](spark, SF_DIR))
+    plan = plan_of(QUERIES["revenue_per_minute"](spark, SF_DIR))
     assert "ReadSchema: struct<event_id:bigint,ts:timestamp_ntz,user_id:bigint,value:double>" in plan
     assert "partial_min_by" in plan and "SortAggregate" not in plan
 
 
-def test_lag_pushes_the_time_filter_into_the_scan(spark):
-    plan = plan_of(queries()["lag_by_partition"](spark, SF_DIR))
-    assert plan.count("LessThanOrEqual(ts,2024-01-20T00:00)") == plan.count("FileScan") == 2
+def test_offsets_move_no_payload(spark):
+    plan = plan_of(QUERIES["dlq_quarantine"](spark, SF_DIR))
+    offsets = plan[plan.index("Window") :]
+    assert "payload" not in offsets
 
 
 def test_latest_is_a_top_k(spark):
@@ -46,14 +46,6 @@ def test_latest_is_a_top_k(spark):
     assert "TakeOrderedAndProject" in plan_of(latest(rows))
 
 
-def test_an_input_of_many_pieces_is_not_shuffled(spark, root):
-    table = events(spark, SF_DIR)
-    assert "Exchange" in plan_of(spread(table, "event_id"))
-    cores = spark.sparkContext.defaultParallelism
-    pieces = spark.range(0, 100, 1, cores)
-    assert "Exchange" not in plan_of(spread(pieces, "id"))
-
-
 def test_kept_results_lie_in_the_configured_folder(spark):
     folder = spark.conf.get("spark.checkpoint.dir")
     assert shared_folder(spark) == folder

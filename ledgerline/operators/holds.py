@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ledgerline.operators.blocked import previous
 from ledgerline.operators.series import day_of
+from ledgerline.schemas import Rule
 
 
 def stretches(evaluations: DataFrame, condition: Column, step_s: int) -> DataFrame:
@@ -50,6 +51,17 @@ def alert(evaluations: DataFrame, condition: Column, hold_s: int, step_s: int) -
     )
 
 
+def by_rule(evaluations: DataFrame, value: str, rule: Rule) -> DataFrame:
+    """Alert rows of a rule: its name, severity and threshold with every state."""
+    rows = alert(evaluations, F.col(value) > rule.threshold, rule.hold_s, rule.step_s)
+    return rows.select(
+        F.lit(rule.alert).alias("alert"),
+        F.lit(rule.severity).alias("severity"),
+        F.lit(float(rule.threshold)).alias("threshold"),
+        "*",
+    )
+
+
 def drained(counters: DataFrame, step_s: int, ticks: int = 3) -> DataFrame:
     """Ticks at which consumption has caught up and stood still for ``ticks`` checks."""
     dated = counters.withColumn("day", day_of("tick"))

@@ -1,29 +1,34 @@
 """Metric series, dashboard expressions and alert rules.
 
-The fixture's grid is hourly, so ranges and holds are hours where the dashboard has
-minutes; the operators take both as parameters.
+The fixture's grid is hourly and its lags are small, so the rules are taken with hours
+for minutes and lower limits; the operators take both from the rule.
 """
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ledgerline import schemas
 from ledgerline.functions.buckets import from_seconds
-from ledgerline.operators.holds import alert, drained
+from ledgerline.operators.holds import by_rule, drained
 from ledgerline.operators.latency import BOUNDS, bound_label
 from ledgerline.operators.series import growth, instant, latest, per_second, quantiles
 from ledgerline.plans.registry import query
 from ledgerline.plans.sqlparts import growth_parts, quantile_parts, select, stretch_parts
-from ledgerline.schemas import P99_LIMIT_SECONDS
 from ledgerline.session import kept
 from ledgerline.sources import samples
 
 HOUR = samples.STEP
 RANGE = 3 * HOUR
-LAG_HOLD = 2 * HOUR
-LONG_HOLD = 3 * HOUR
-LAG_HIGH = 20
-LAG_CRITICAL = 50
+FIXTURE = {
+    "lag_high": {"threshold": 20, "hold_s": 2 * HOUR},
+    "lag_critical": {"threshold": 50, "hold_s": 2 * HOUR},
+    "dlq_growing": {"hold_s": 3 * HOUR, "range_s": RANGE},
+    "p99_high": {"hold_s": 3 * HOUR, "range_s": RANGE},
+}
+RULES = {name: replace(rule, step_s=HOUR, **FIXTURE[name]) for name, rule in schemas.RULES.items()}
 RANKS = (0.5, 0.95, 0.99)
 AS_OF_SECONDS = 1_705_708_800  # 2024-01-20 00:00
 
@@ -118,54 +123,56 @@ def worst_lag(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _lag_sql(limit: int) -> str:
-    return select(f"""
-        SELECT {_TIME}, lag, record_partition, make_timestamp(CAST(since AS BIGINT) * 1000000) AS since,
-               CASE WHEN tick - since >= {LAG_HOLD} THEN 'firing' ELSE 'pending' END AS state
-        FROM stretches""", "lag",
+def _rule_sql(rule: schemas.Rule, columns: str) -> str:
+    return f"""
+        SELECT '{rule.alert}' AS alert, '{rule.severity}' AS severity,
+               CAST({rule.threshold} AS DOUBLE) AS threshold, {_TIME}, {columns},
+               make_timestamp(CAST(since AS BIGINT) * 1000000) AS since,
+               CASE WHEN tick - since >= {rule.hold_s} THEN 'firing' ELSE 'pending' END AS state
+        FROM stretches"""
+
+
+def _lag_sql(rule: schemas.Rule) -> str:
+    return select(_rule_sql(rule, "lag, record_partition"), "lag",
         worst="""SELECT t AS tick, max(v) AS lag,
                         CAST(arg_max(series, v * 100 - series) AS INTEGER) AS record_partition
                  FROM lag GROUP BY t""",
-        **stretch_parts("worst", f"lag > {limit}", HOUR))
+        **stretch_parts("worst", f"lag > {rule.threshold}", HOUR))
 
 
 def _alert_rows(rows: DataFrame) -> DataFrame:
     return _shown(rows.withColumn("since", from_seconds(F.col("since"))))
 
 
-@query("alert_lag_high", _lag_sql(LAG_HIGH))
+@query("alert_lag_high", _lag_sql(RULES["lag_high"]))
 def alert_lag_high(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = alert(kept(worst_lag(spark, sf_dir), "worst-lag"), F.col("lag") > LAG_HIGH, LAG_HOLD, HOUR)
-    return _alert_rows(rows)
+    worst = kept(worst_lag(spark, sf_dir), "worst-lag")
+    return _alert_rows(by_rule(worst, "lag", RULES["lag_high"]))
 
 
-@query("alert_lag_critical", _lag_sql(LAG_CRITICAL))
+@query("alert_lag_critical", _lag_sql(RULES["lag_critical"]))
 def alert_lag_critical(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = alert(kept(worst_lag(spark, sf_dir), "worst-lag"), F.col("lag") > LAG_CRITICAL, LAG_HOLD, HOUR)
-    return _alert_rows(rows)
+    worst = kept(worst_lag(spark, sf_dir), "worst-lag")
+    return _alert_rows(by_rule(worst, "lag", RULES["lag_critical"]))
 
 
-@query("alert_dlq_growing", select(f"""
-    SELECT {_TIME}, growth, make_timestamp(CAST(since AS BIGINT) * 1000000) AS since,
-           CASE WHEN tick - since >= {LONG_HOLD} THEN 'firing' ELSE 'pending' END AS state
-    FROM stretches""", "dead", **growth_parts("dead", [], RANGE),
-    **stretch_parts("grown", "increase > 0", HOUR)))
+@query("alert_dlq_growing", select(_rule_sql(RULES["dlq_growing"], "growth"), "dead",
+    **growth_parts("dead", [], RANGE), **stretch_parts("grown", "increase > 0", HOUR)))
 def alert_dlq_growing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = alert(kept(grown(samples.dead_letters(spark, sf_dir), []), "growth"), F.col("increase") > 0, LONG_HOLD, HOUR)
-    return _alert_rows(rows.drop("increase"))
+    growing = kept(grown(samples.dead_letters(spark, sf_dir), []), "growth")
+    return _alert_rows(by_rule(growing, "increase", RULES["dlq_growing"]).drop("increase"))
 
 
-@query("alert_p99_high", select(f"""
-    SELECT {_TIME}, CAST(round(value * 1000000) AS BIGINT) AS p99_us,
-           make_timestamp(CAST(since AS BIGINT) * 1000000) AS since,
-           CASE WHEN tick - since >= {LONG_HOLD} THEN 'firing' ELSE 'pending' END AS state
-    FROM stretches""", "buckets", **quantile_parts(RANGE, (0.99,)),
-    **stretch_parts("quants", f"value > {P99_LIMIT_SECONDS}", HOUR)))
+@query("alert_p99_high", select(
+    _rule_sql(RULES["p99_high"], "CAST(round(value * 1000000) AS BIGINT) AS p99_us"),
+    "buckets", **quantile_parts(RANGE, (0.99,)),
+    **stretch_parts("quants", f"value > {RULES['p99_high'].threshold}", HOUR)))
 def alert_p99_high(spark: SparkSession, sf_dir: str) -> DataFrame:
     p99 = kept(latency_quantiles(spark, sf_dir, (0.99,)), "p99")
-    rows = alert(p99, F.col("value") > P99_LIMIT_SECONDS, LONG_HOLD, HOUR)
-    micros = F.round(F.col("value") * 1_000_000).cast("long").alias("p99_us")
-    return _alert_rows(rows.select("tick", micros, "since", "state"))
+    micros = F.round(F.col("value") * 1_000_000).cast("long")
+    return _alert_rows(
+        by_rule(p99, "value", RULES["p99_high"]).withColumn("p99_us", micros).drop("value", "q")
+    )
 
 
 @query("quiescence", select(f"""

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import types as T
 
 # The fields of an order event and their defaults.
@@ -25,12 +27,32 @@ DLQ_TOPIC = "orders.dlq"
 ORDERS_PARTITIONS = 12
 DLQ_PARTITIONS = 3
 LAG_ALERT_THRESHOLD = 5_000
-LAG_HIGH = 5_000
-LAG_CRITICAL = 50_000
 P99_LIMIT_SECONDS = 2.0
 MESSAGE_LIMIT = 2_000
 COUNTER_TTL_HOURS = 2
 
+
+
+@dataclass(frozen=True)
+class Rule:
+    """An alert rule: its condition's limit, the range it looks back over, how long it must hold."""
+
+    alert: str
+    severity: str
+    threshold: float
+    hold_s: int
+    range_s: int = 0
+    step_s: int = 15
+
+
+# The alert rules.
+RULES = {
+    "lag_high": Rule("ConsumerLagHigh", "warning", 5_000, 60),
+    "lag_critical": Rule("ConsumerLagCritical", "critical", 50_000, 60),
+    "dlq_growing": Rule("DlqGrowing", "warning", 0, 300, range_s=300),
+    "p99_high": Rule("E2ELatencyP99High", "warning", P99_LIMIT_SECONDS, 300, range_s=300),
+}
+
 # One record as it lies in the landing folder (the columns a Kafka read gives, renamed).
 LANDED = T.StructType([
     T.StructField("ingest_seq", T.LongType()),

@@ -88,12 +88,11 @@ def start(
 def apply_job(spark: SparkSession, root: str) -> BatchJob:
     """Write a batch's new orders, then their increments and the commit stamp.
 
-    State partitions may be many and a batch's new orders few, so the rows are rebalanced
-    into files of a sensible size.
+    Each state partition with new orders writes a file; ``compact`` rewrites them as few.
     """
 
     def job(batch: DataFrame, batch_id: int) -> None:
-        write_batch(batch.hint("rebalance"), root, "ledger", batch_id)
+        write_batch(batch, root, "ledger", batch_id)
         commit_increments(spark, root, batch_id)
 
     return job

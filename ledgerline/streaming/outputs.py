@@ -94,19 +94,13 @@ def read_batch(spark: SparkSession, root: str, table: str, batch_id: int) -> Dat
     return spark.read.schema(schema).parquet(f"{root}/{table}/batch_id={batch_id}")
 
 
-def is_written(spark: SparkSession, path: str) -> bool:
-    """Did a write to this folder finish?"""
-    try:
-        return "_SUCCESS" in {f.rsplit("/", 1)[-1] for f in _names(spark, path)}
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return False
+def mark_written(spark: SparkSession, root: str, name: str) -> None:
+    spark.range(1).write.mode("overwrite").parquet(f"{root}/written/{name}")
 
 
-def _names(spark: SparkSession, path: str) -> list[str]:
-    marker = spark.read.format("binaryFile").option("pathGlobFilter", "_SUCCESS").load(path)
-    return [r.path for r in marker.select("path").collect()]
+def is_written(spark: SparkSession, root: str, name: str) -> bool:
+    """Was something marked as written in full?"""
+    return _read(spark, f"{root}/written/{name}", "id long").count() > 0
 
 
 def read_replay_log(spark: SparkSession, root: str) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ledgerline.operators.deadletter import pending, replay_records
 from ledgerline.schemas import LANDED, ORDERS_PARTITIONS
-from ledgerline.streaming.outputs import is_written, read_replay_log, read_table
+from ledgerline.streaming.outputs import is_written, mark_written, read_replay_log, read_table
 
 
 def waiting(spark: SparkSession, root: str) -> DataFrame:
@@ -36,11 +36,12 @@ def replay_all(
         return done
     schema = "id long, topic string, replay_key string, payload string"
     outgoing = f"{root}/outgoing/{replay_id}"
-    if not is_written(spark, outgoing):
+    if not is_written(spark, root, f"outgoing-{replay_id}"):
         rows = replay_records(waiting(spark, root))
         if repair is not None:
             rows = rows.withColumn("payload", repair)
         rows.write.mode("overwrite").parquet(outgoing)
+        mark_written(spark, root, f"outgoing-{replay_id}")
     sent = spark.read.schema(schema).parquet(outgoing)
     target = F.pmod(F.xxhash64("replay_key"), F.lit(ORDERS_PARTITIONS)).cast("int")
     landed = (

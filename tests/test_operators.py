@@ -9,6 +9,8 @@ from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from ledgerline.operators import blocked, holds, lag, latency, reconcile, revenue, series
+from ledgerline.schemas import RULES
+from ledgerline.sources import samples
 from ledgerline.operators.arrival import first_copies, gate_results, unseen
 
 few = settings(
@@ -294,3 +296,21 @@ def test_log_end_is_past_the_last_offset(spark):
     df = spark.createDataFrame([("t", 0, o) for o in (0, 1, 5, 9)], "topic string, record_partition int, record_offset long")
     rows = df.withColumn("appended_at", F.expr("TIMESTAMP_NTZ '2024-01-01 00:00:00'"))
     assert lag.end_offsets(rows, F.expr("TIMESTAMP_NTZ '2024-01-02 00:00:00'")).first().end_offset == 10
+
+
+def test_records_of_the_first_hour_are_counted(spark, root):
+    rows = [(i, t, 1, "a", 1.0, "") for i, t in enumerate([
+        "2024-01-01 01:00:00", "2024-01-01 01:00:01", "2024-01-01 02:00:00", "2024-01-01 03:30:00",
+    ])]
+    df = spark.createDataFrame(rows, "event_id long, t string, user_id long, event_type string, value double, props string")
+    df.withColumn("ts", F.col("t").cast("timestamp_ntz")).drop("t").write.parquet(f"{root}/events.parquet")
+    got = samples.consumed(spark, root).groupBy("t").agg(F.sum("v").alias("v")).orderBy("t").collect()
+    assert [r.v for r in got] == [1, 3, 3]
+
+
+def test_rules_name_their_alerts(spark):
+    rule = RULES["lag_high"]
+    df = spark.createDataFrame([(i * 15, 6_000) for i in range(6)], "tick long, lag long")
+    rows = holds.by_rule(df, "lag", rule).orderBy("tick").collect()
+    assert {(r.alert, r.severity, r.threshold) for r in rows} == {("ConsumerLagHigh", "warning", 5_000.0)}
+    assert [r.state for r in rows] == ["pending"] * 4 + ["firing"] * 2

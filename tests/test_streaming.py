@@ -30,12 +30,12 @@ def order(seq, key, cents, produced):
     return record(seq, payload(f"o-{key}", cents, produced))
 
 
-def land(spark, path, records):
+def land(spark, path, records, at=EPOCH):
     """One file holding the records; files are taken up in the order they were landed."""
     rows = spark.createDataFrame(
         records, "ingest_seq long, topic string, record_partition int, record_offset long,"
         " record_key string, payload string",
-    ).withColumn("appended_at", F.expr(f"TIMESTAMP_NTZ '{EPOCH}'"))
+    ).withColumn("appended_at", F.expr(f"TIMESTAMP_NTZ '{at}'"))
     rows.select(*LANDED.names).coalesce(1).write.mode("append").parquet(path)
 
 
@@ -212,3 +212,94 @@ def test_lag_from_a_progress_report(spark):
     }]})
     got = metrics.lag_from_progress(spark, report)
     assert {r.record_partition: r.lag for r in got.collect()} == {0: 3, 1: 0, 2: 4}
+
+
+def test_a_repeated_replay_sends_nothing_twice(spark, session, root):
+    landing = f"{root}/landing"
+    land(session, landing, BATCHES[0])
+    apply.quarantine_records(landed_stream(session, landing), root).awaitTermination()
+    assert [replay.replay_all(session, root, landing, "r", 100) for _ in range(3)] == [1, 1, 1]
+    apply.quarantine_records(landed_stream(session, landing), root).awaitTermination()
+    # Under the used id the newly waiting one isn't sent, under another it is.
+    assert replay.replay_all(session, root, landing, "r", 100) == 1
+    assert {r.id for r in replay.waiting(spark, root).collect()} == {101}
+    assert replay.replay_all(session, root, landing, "s", 1_000) == 1
+    assert spark.read.schema(LANDED).parquet(landing).count() == len(BATCHES[0]) + 2
+
+
+@pytest.mark.parametrize("step", ["landing", "log"])
+def test_a_replay_that_broke_off_is_finished_by_the_next_call(spark, session, root, step, monkeypatch):
+    landing = f"{root}/landing"
+    land(session, landing, BATCHES[0])
+    apply.quarantine_records(landed_stream(session, landing), root).awaitTermination()
+    writer = type(spark.range(1).write)
+    write = writer.parquet
+
+    def crash(self, path, *args, **kwargs):
+        if ("replay_log" if step == "log" else "landing") in path:
+            raise RuntimeError("driver gone")
+        return write(self, path, *args, **kwargs)
+
+    with monkeypatch.context() as patched:
+        patched.setattr(writer, "parquet", crash)
+        with pytest.raises(RuntimeError):
+            replay.replay_all(session, root, landing, "r", 100)
+    assert replay.replay_all(session, root, landing, "r", 100) == 1
+    assert spark.read.schema(LANDED).parquet(landing).count() == len(BATCHES[0]) + 1
+
+
+def test_compaction_of_an_unfinished_batch_is_refused(spark, session, root):
+    landing = f"{root}/landing"
+    land(session, landing, BATCHES[0])
+    apply.apply_orders(session, landed_stream(session, landing), root).awaitTermination()
+    outputs.write_batch(outputs.read_batch(spark, root, "ledger", 0), root, "ledger", 7)
+    for upto in (7, 8):
+        with pytest.raises(ValueError):
+            outputs.compact(spark, root, "orders", upto)
+    outputs.compact(spark, root, "orders", 0)
+    with pytest.raises(ValueError):
+        outputs.compact(spark, root, "orders", 0)
+
+
+def test_a_lost_batch_shows(spark, session, root):
+    landing = f"{root}/landing"
+    for records in BATCHES:
+        land(session, landing, records)
+    apply.apply_backfill(session, landed_stream(session, landing), root).awaitTermination()
+    good = metrics.stream_balance(spark, root, landing).first()
+    assert good.balanced and (good.produced, good.unique_orders, good.duplicates) == (9, 3, 3)
+    outputs.write_batch(outputs.read_batch(spark, root, "counts", 1).filter("false"), root, "counts", 1)
+    outputs.write_batch(outputs.read_batch(spark, root, "quarantine", 2).filter("false"), root, "quarantine", 2)
+    bad = metrics.stream_balance(spark, root, landing).first()
+    assert not bad.balanced and bad.lost == 3 and bad.missing == 1
+
+
+def test_a_clock_set_back_stops_the_stream(spark, session, root):
+    landing = f"{root}/landing"
+    land(session, landing, BATCHES[0])
+    apply.apply_orders(session, landed_stream(session, landing), root).awaitTermination()
+    late = spark.range(1).select(F.expr("unix_millis(current_timestamp()) + 3600000").alias("committed_at"))
+    outputs.write_batch(late, root, "commits", 0)
+    land(session, landing, BATCHES[1])
+    query = apply.apply_orders(session, landed_stream(session, landing), root)
+    with pytest.raises(StreamingQueryException):
+        query.awaitTermination()
+
+
+def test_bounded_state_applies_copies_within_the_horizon_once(spark, session, root):
+    landing = f"{root}/landing"
+    for i, records in enumerate(BATCHES):
+        land(session, landing, records, f"2024-01-01 0{i}:00:00")
+    apply.apply_bounded(session, landed_stream(session, landing), root).awaitTermination()
+    assert sorted(r.order_id for r in outputs.read_table(spark, root, "ledger").collect()) == ["o-1", "o-2", "o-3"]
+
+
+@pytest.mark.parametrize("partitions", ["4", "200"])
+def test_ledger_rows_at_any_number_of_partitions(spark, session, root, partitions):
+    session.conf.set("spark.sql.shuffle.partitions", partitions)
+    landing = f"{root}/landing"
+    land(session, landing, BATCHES[0])
+    apply.apply_orders(session, landed_stream(session, landing), root).awaitTermination()
+    assert totals(spark, root) == {0: (1, 100)}
+    outputs.compact(spark, root, "orders", 0)
+    assert totals(spark, root) == {0: (1, 100)}

@@ -44,6 +44,10 @@ MARKS = frozenset(
     "commentlist reply replies discussion disqus respond widget widgets toolbar pagination pager copyright "
     "contentinfo complementary search dialog alertdialog hidden".split()
 )
+#: These mark something that isn't the article even if it consists of articles.
+LIST_MARKS = frozenset(
+    "comment comments commentlist reply replies discussion disqus respond related recommended recommendations".split()
+)
 #: These only mark something outside an article, which may have a header of its own.
 SITE_MARKS = frozenset("header masthead topbar site-header".split())
 KEPT_TAGS = frozenset("html body main article h1 h2 h3 h4 h5 h6".split())
@@ -56,10 +60,12 @@ def host_of(url: Column) -> Column:
     return F.lower(F.regexp_extract(F.coalesce(url, F.lit("")), "^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1))
 
 
-def _marked(element: Element, in_article: bool) -> bool:
+def _marked(element: Element, in_article: bool, holds_article: bool) -> bool:
     if not element.attributes:
         return False
     words = set(_WORD.findall(element.attribute("class", "id", "role")))
+    if holds_article:
+        return bool(words & LIST_MARKS)
     if words & MARKS or (not in_article and words & SITE_MARKS):
         return True
     return bool(_HIDDEN.search(element.attribute("style"))) or "hidden" in element.attribute("hidden")
@@ -89,7 +95,7 @@ def main_text(html: str, template: frozenset[int] = frozenset()) -> str:
                 dropped.add(id(element))
         elif element.digest in template and tag in BLOCK and not (within and tag in TEXT_TAGS) and id(element) not in holds and tag not in KEPT_TAGS:
             dropped.add(id(element))
-        elif id(element) not in holds and (tag not in KEPT_TAGS or tag == "article") and _marked(element, within):
+        elif (tag not in KEPT_TAGS or tag == "article") and _marked(element, within, id(element) in holds):
             dropped.add(id(element))
     for wanted in ("article", "main"):
         found = [e for e in elements if e.tag == wanted and id(e) not in dropped]

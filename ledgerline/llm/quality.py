@@ -38,10 +38,13 @@ Weights = dict[str, np.ndarray]
 
 
 def joined(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Bytes of all texts, each padded with zeros to whole halves; the first half of each, and the end."""
+    """Bytes of all texts, each padded with zeros to whole halves; the first half of each, and the end.
+
+    The zeros are as many as the farthest lag at least: no text is compared with the one before.
+    """
     parts, halves = [], [0]
     for text in texts:
-        size = max(2, -(-(len(text) + WIDTH) // HALF))
+        size = max(2, -(-(len(text) + max(LAGS)) // HALF))
         parts.append(text.replace(b"\0", b" ").ljust(size * HALF, b"\0"))
         halves.append(halves[-1] + size)
     return np.frombuffer(b"".join(parts) + b"\0" * WIDTH, np.uint8), np.array(halves)
@@ -64,6 +67,10 @@ def chunk_features(w: Weights, data: np.ndarray, halves: np.ndarray, places: boo
     z = w["filters"][0][data[:n]]
     for j in range(1, WIDTH):
         z += w["filters"][j][data[j : n + j]]
+    # the last windows of a text lie in its zeros, whatever text comes next
+    ends = halves[1:] * HALF
+    for j in range(1, WIDTH):
+        z[ends - j] = w["filters"][:, 0].sum(axis=0)
     z = z.reshape(-1, HALF, FILTERS)
     top = z.max(axis=1) + w["bias"]
     same = _repetition(data, n)

@@ -1,10 +1,10 @@
 """Quality classifier: a byte-level convolutional network in numpy.
 
 Filters of five bytes slide over the whole document.  Chunks of 64 bytes, each overlapping half of
-the next, keep the strongest answer of every filter (max-pooling), and one more number: the largest
-share of bytes in the chunk that equal the byte some distance before, over distances of 2 to 20,
-which shows repetition.  A small layer gives each chunk a value; the largest and the mean of a
-document's chunks are combined into one probability.
+the next, keep the strongest answer of every filter (max-pooling), and one more number that shows
+repetition: the share of bytes in the chunk that end four bytes which also stand 2 to 20 bytes
+before.  A small layer gives each chunk a value; the largest and the mean of a document's chunks are
+combined into one probability.
 
 The network is fitted on the driver, on a bounded sample of labelled rows (`SAMPLE` of each label,
 texts up to `LONGEST` bytes); scoring covers every byte of every document in one pass without a
@@ -51,14 +51,14 @@ def joined(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _repetition(data: np.ndarray, n: int) -> np.ndarray:
-    """For each half, per lag, how many bytes equal the byte that lag before (which may be in the last half)."""
-    out = np.zeros((n // HALF, len(LAGS)), np.float32)
-    there = data[:n] != 0
-    for i, lag in enumerate(LAGS):
+    """For each half, the share of bytes that end four bytes seen a few bytes before as well."""
+    seen = np.zeros(n, bool)
+    for lag in LAGS:
         same = np.zeros(n, bool)
-        same[lag:] = data[lag:n] == data[: n - lag]
-        out[:, i] = (same & there).reshape(-1, HALF).sum(axis=1, dtype=np.uint8)
-    return out
+        np.equal(data[lag:n], data[: n - lag], out=same[lag:])
+        seen[3:] |= same[3:] & same[2:-1] & same[1:-2] & same[:-3]
+    seen &= data[:n] != 0
+    return seen.reshape(-1, HALF).sum(axis=1, dtype=np.float32) / HALF
 
 
 def chunk_features(w: Weights, data: np.ndarray, halves: np.ndarray, places: bool = False):
@@ -79,7 +79,7 @@ def chunk_features(w: Weights, data: np.ndarray, halves: np.ndarray, places: boo
     begins[halves[1:] - 1] = False
     begins = np.flatnonzero(begins)
     pooled = np.maximum(np.maximum(top[begins], top[begins + 1]), 0)
-    repeated = (same[begins] + same[begins + 1]).max(axis=1, keepdims=True) / (2 * HALF)
+    repeated = (same[begins, None] + same[begins + 1, None]) / 2
     rows = np.concatenate([pooled, repeated], axis=1).astype(np.float32)
     first = np.concatenate([[0], np.cumsum(np.diff(halves) - 1)[:-1]])
     if not places:

@@ -7,7 +7,7 @@ per order.  With fixed-width columns the aggregate stays a hash aggregate.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ledgerline.functions.payload import ORDER
 
@@ -35,6 +35,25 @@ def unseen(first: DataFrame, ledger: DataFrame, key: str = "order_id") -> DataFr
     return first.join(ledger.select(key), key, "left_anti")
 
 
+def split_gate(orders: DataFrame, in_ledger: Column) -> DataFrame:
+    """The gate where ledger and batch are parts of one log, told apart by a condition.
+
+    One aggregate per order finds the first copy in the batch and whether the ledger has one.
+    """
+    rows = orders.withColumn("_old", in_ledger)
+    fresh = F.when(~F.col("_old"), F.col("ingest_seq"))
+    applied = (
+        rows.groupBy("order_id")
+        .agg(F.min(fresh).alias("ingest_seq"), F.count_if("_old").alias("_held"))
+        .filter("_held = 0")
+        .select("ingest_seq", F.lit(1).alias("applied"))
+    )
+    batch = rows.filter(~F.col("_old")).select("ingest_seq", "order_id")
+    return batch.join(applied, "ingest_seq", "left").withColumn(
+        "applied", F.coalesce("applied", F.lit(0))
+    )
+
+
 def gate_results(orders: DataFrame, ledger: DataFrame) -> DataFrame:
     """1 for each record that is applied, 0 for each that is a repeat.
 

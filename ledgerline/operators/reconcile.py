@@ -46,17 +46,20 @@ def order_differences(produced: DataFrame, applied: DataFrame) -> DataFrame:
     """
     sent = produced.groupBy("order_id").agg(F.count(F.lit(1)).alias("produced"))
     done = applied.groupBy("order_id").agg(F.count(F.lit(1)).alias("applied"))
-    return (
-        sent.join(done, "order_id", "full")
-        .select(
+    return not_applied_once(
+        sent.join(done, "order_id", "full").select(
             "order_id",
             F.coalesce("produced", F.lit(0)).alias("produced"),
             F.coalesce("applied", F.lit(0)).alias("applied"),
         )
-        .filter((F.col("produced") == 0) | (F.col("applied") != 1))
     )
 
 
+def not_applied_once(counts: DataFrame) -> DataFrame:
+    """Of orders with both counts, those that weren't produced or weren't applied exactly once."""
+    return counts.filter((F.col("produced") == 0) | (F.col("applied") != 1))
+
+
 def one_row(*parts: DataFrame) -> DataFrame:
     """Put one-row results side by side: stacked with nulls, then folded into one row."""
     rows = parts[0]

@@ -10,9 +10,9 @@ from ledgerline.functions.buckets import minute_key, minute_of, usd
 from ledgerline.schemas import COUNTER_TTL_HOURS
 
 
-def per_minute(applied: DataFrame) -> DataFrame:
-    """Order count and cents per event-time minute.  Currency is not looked at."""
-    return applied.groupBy(minute_of(F.col("produced_at")).alias("minute")).agg(
+def per_minute(applied: DataFrame, *by: str) -> DataFrame:
+    """Order count and cents per event-time minute (and ``by``).  Currency is not looked at."""
+    return applied.groupBy(minute_of(F.col("produced_at")).alias("minute"), *by).agg(
         F.count(F.lit(1)).alias("order_count"),
         F.sum("amount_cents").alias("total_cents"),
     )

@@ -181,9 +181,11 @@ def alert_p99_high(spark: SparkSession, sf_dir: str) -> DataFrame:
     FROM stretches WHERE (tick - since) / {HOUR} + 1 >= 3""", "grid",
     made="""
         SELECT g.t AS tick,
-               (SELECT count(*) FROM events e WHERE epoch_us(e.ts) <= g.t * 1000000
-                AND NOT (epoch_us(e.ts) >= 1705708800000000
-                         AND epoch_us(e.ts) < 1705726800000000)) AS produced FROM grid g""",
+               (SELECT count(*) FROM events e
+                WHERE CASE WHEN epoch_us(e.ts) >= 1705708800000000
+                                AND epoch_us(e.ts) < 1705726800000000
+                           THEN 1705726800000000 ELSE epoch_us(e.ts) END <= g.t * 1000000) AS produced
+        FROM grid g""",
     paired=f"""
         SELECT *, lag(consumed) OVER (ORDER BY tick) AS earlier FROM (
             SELECT m.tick, m.produced, coalesce(p.produced, 0) AS consumed

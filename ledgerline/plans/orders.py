@@ -13,7 +13,7 @@ from ledgerline.functions.payload import (
     magic_byte,
     schema_id,
 )
-from ledgerline.operators.arrival import first_copies, gate_results, orders_of
+from ledgerline.operators.arrival import first_copies, orders_of, split_gate
 from ledgerline.operators.revenue import (
     hot_counters,
     merged,
@@ -150,13 +150,8 @@ def first_arrival(spark: SparkSession, sf_dir: str) -> DataFrame:
     FROM orders_in WHERE appended_at >= TIMESTAMP '{HALFWAY}'""", "orders_in"))
 def first_sight_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first half of the feed is in the ledger; each record of the rest is judged."""
-    feed = order_feed(spark, sf_dir)
-    cut = F.expr(f"TIMESTAMP_NTZ '{HALFWAY}'")
-    ledger = first_copies(orders_of(classify(feed.filter(F.col("appended_at") < cut))), [])
-    batch = orders_of(classify(feed.filter(F.col("appended_at") >= cut))).select(
-        "ingest_seq", "order_id"
-    )
-    return gate_results(batch, ledger)
+    orders = orders_of(decoded(spark, sf_dir)).select("ingest_seq", "order_id", "appended_at")
+    return split_gate(orders, F.col("appended_at") < F.expr(f"TIMESTAMP_NTZ '{HALFWAY}'"))
 
 
 @query("revenue_per_minute", select("""
@@ -183,10 +178,9 @@ def revenue_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("revenue_merge", select(
     "SELECT minute, order_count, total_cents FROM minutes", "minutes"))
 def revenue_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two halves that share minutes, added up."""
-    applied = applied_orders(spark, sf_dir)
-    odd = F.col("ingest_seq") % 2 == 1
-    return merged(per_minute(applied.filter(odd)), per_minute(applied.filter(~odd)))
+    """The increments of two batches that share minutes, added up."""
+    applied = applied_orders(spark, sf_dir).withColumn("batch_id", F.col("ingest_seq") % 2)
+    return merged(per_minute(applied, "batch_id"))
 
 
 @query("recent_range", select(f"""

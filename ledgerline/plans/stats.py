@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ledgerline.functions.payload import ORDER, POISON
-from ledgerline.operators.arrival import first_copies, orders_of
+from ledgerline.operators.arrival import orders_of
 from ledgerline.operators.lag import PARTITION, alert_count, by_partition, end_offsets, total
 from ledgerline.operators.deadletter import light
 from ledgerline.operators.latency import histogram, snapshot, value_counts
-from ledgerline.operators.reconcile import balanced, copies_by_key, identity, one_row, order_differences
+from ledgerline.operators.reconcile import balanced, copies_by_key, identity, not_applied_once, one_row
 from ledgerline.plans.orders import applied_orders, decoded, with_latency
 from ledgerline.plans.registry import query
 from ledgerline.plans.sqlparts import select
@@ -150,9 +150,12 @@ def reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
     GROUP BY order_id HAVING min(appended_at) > TIMESTAMP '{AS_OF}'""", "orders_in"))
 def unapplied_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders sent over the whole feed but not applied by a consumer that stopped half way."""
-    sent = orders_of(decoded(spark, sf_dir)).select("order_id", "ingest_seq", "appended_at")
-    as_of = F.expr(f"TIMESTAMP_NTZ '{AS_OF}'")
-    return order_differences(sent, first_copies(sent.filter(F.col("appended_at") <= as_of), []))
+    applied = F.col("appended_at") <= F.expr(f"TIMESTAMP_NTZ '{AS_OF}'")
+    sent = orders_of(decoded(spark, sf_dir)).groupBy("order_id").agg(
+        F.count(F.lit(1)).alias("produced"),
+        F.max(applied.cast("long")).alias("applied"),
+    )
+    return not_applied_once(sent)
 
 
 @query("throughput_report", select(f"""

@@ -11,10 +11,10 @@ from pyspark.sql import functions as F
 from ledgerline.operators import blocked, holds, lag, latency, reconcile, revenue, series
 from ledgerline.schemas import RULES
 from ledgerline.sources import samples
-from ledgerline.operators.arrival import first_copies, gate_results, unseen
+from ledgerline.operators.arrival import first_copies, gate_results, split_gate, unseen
 
 few = settings(
-    max_examples=8, deadline=None, suppress_health_check=list(HealthCheck), derandomize=True
+    max_examples=25, deadline=None, suppress_health_check=list(HealthCheck), derandomize=True
 )
 
 copies = st.lists(
@@ -70,6 +70,17 @@ def test_gate_marks_only_new_first_copies(spark, rows, cut):
     assert {r.ingest_seq: r.applied for r in got.collect()} == expected
 
 
+@few
+@given(copies, st.integers(0, 30))
+def test_split_gate_equals_the_gate(spark, rows, cut):
+    everything = orders(spark, rows)
+    ledger = first_copies(everything.filter(F.col("ingest_seq") < cut), [])
+    want = gate_results(everything.filter(F.col("ingest_seq") >= cut), ledger)
+    got = split_gate(everything, F.col("ingest_seq") < cut)
+    columns = ["ingest_seq", "order_id", "applied"]
+    assert sorted(got.select(columns).collect()) == sorted(want.select(columns).collect())
+
+
 def test_a_hot_order_is_combined_before_the_shuffle(spark):
     rows = spark.range(30_000).selectExpr(
         "if(id % 3 = 0, 'hot', concat('o-', id)) AS order_id", "id AS ingest_seq",

@@ -112,7 +112,7 @@ def test_crash_between_ledger_and_increments(spark, session, root, form, monkeyp
     assert totals(spark, root) == EXPECTED
 
 
-@settings(max_examples=3, deadline=None, suppress_health_check=list(HealthCheck), derandomize=True)
+@settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck), derandomize=True)
 @given(st.lists(st.tuples(st.integers(0, 5), st.integers(1, 99), st.integers(0, 3)), min_size=4, max_size=12),
        st.integers(1, 3))
 def test_any_split_gives_the_same_revenue(spark, tmp_path_factory, rows, parts):

@@ -60,15 +60,28 @@ def shared_folder(spark: SparkSession) -> str:
     return _own_folder(warehouse, spark.sparkContext.applicationId)
 
 
+_made: list[str] = []
+
+
 def fresh_folder(spark: SparkSession, label: str) -> str:
     """A new, unused folder below the shared one."""
-    return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    folder = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    _made.append(folder)
+    return folder
+
+
+def clear_folders(spark: SparkSession) -> None:
+    """Delete every folder that this driver made; results that still read them are void."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    while _made:
+        path = jvm.org.apache.hadoop.fs.Path(_made.pop())
+        path.getFileSystem(conf).delete(path, True)
 
 
 def kept(df: DataFrame, label: str) -> DataFrame:
     """Write a result that several steps read, and read it back.
 
-    Whatever comes after neither repeats the work before it nor depends on an executor
+    Folders stay until :func:`clear_folders`.  Whatever comes after neither repeats the work before it nor depends on an executor
     that holds it in memory.
     """
     path = fresh_folder(df.sparkSession, label)

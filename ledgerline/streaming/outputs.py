@@ -113,9 +113,18 @@ def commit_increments(spark: SparkSession, root: str, batch_id: int) -> None:
     The ledger rows are read back from storage, so the work before them is neither
     repeated nor kept in memory.  The stamp is taken after the increments are in place;
     a micro-batch's own clock stands still at its start.
+
+    New orders are told by their batch's time, so it must lie past the last commit; a batch
+    that began before it (the clock was set back) fails here, before its increments count.
     """
     applied = read_batch(spark, root, "ledger", batch_id)
-    _refuse_a_clock_set_back(spark, applied, root, batch_id)
+    last = _read(spark, f"{root}/commits/batch_id={batch_id - 1}", "committed_at long").first()
+    if last:
+        early = F.unix_millis("processed_at") < last.committed_at
+        refusal = F.raise_error(F.lit("the clock was set back: a batch began before the last commit"))
+        applied = applied.withColumn(
+            "produced_at", F.when(early, refusal.cast("long")).otherwise(F.col("produced_at"))
+        )
     write_batch(per_minute(applied), root, "increments", batch_id)
     stamp = spark.range(1).select(
         F.unix_millis(F.current_timestamp()).alias("committed_at")
@@ -123,14 +132,6 @@ def commit_increments(spark: SparkSession, root: str, batch_id: int) -> None:
     write_batch(stamp, root, "commits", batch_id)
 
 
-def _refuse_a_clock_set_back(spark: SparkSession, applied: DataFrame, root: str, batch_id: int) -> None:
-    """New orders are told by their batch's time, so it must lie past the last commit."""
-    commits = _read(spark, f"{root}/commits/batch_id={batch_id - 1}", "committed_at long").first()
-    began = applied.agg(F.min(F.unix_millis("processed_at"))).first()[0]
-    if commits and began is not None and began < commits.committed_at:
-        raise ValueError(f"batch {batch_id} began before the last one was committed: the clock was set back")
-
-
 def revenue_minutes(spark: SparkSession, root: str) -> DataFrame:
     """The revenue table: the sum of all increments."""
     return merged(read_table(spark, root, "increments"))

@@ -1,8 +1,8 @@
 """Connected components of a list of links, by alternating large and small stars.
 
-Each round moves every link once and is written to the shared folder, so that lineage stays
-short and a lost executor repeats one round at most.  Minima are combined before the shuffle;
-a node with very many neighbours meets them in a join that Spark splits.
+Each half of a round is written to the shared folder, so that lineage stays short and a lost
+executor repeats little.  Minima are combined before the shuffle and written as well: a node with
+very many neighbours meets its minimum in a join of two plain tables, which Spark splits.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ def _both_ways(links: DataFrame) -> DataFrame:
 
 def _star(near: DataFrame, chosen) -> DataFrame:
     """Hang the chosen neighbours b of every a below the least of a and its neighbours."""
-    least = near.groupBy("a").agg(F.min("b").alias("least"))
+    least = kept(near.groupBy("a").agg(F.min("b").alias("least")), "least")
     return near.join(least, "a").select("a", "b", F.least("a", "least").alias("least")).filter(chosen)
 
 
@@ -26,7 +26,7 @@ def _round(links: DataFrame) -> DataFrame:
     large = _star(_both_ways(links), F.col("b") > F.col("a")).select(
         F.col("b").alias("a"), F.col("least").alias("b")
     )
-    down = large.filter("a > b").distinct()
+    down = kept(large.filter("a > b").distinct(), "links")
     # below a: every neighbour and a itself go to the least neighbour
     near = _star(down, F.lit(True))
     small = near.select(F.col("b").alias("a"), F.col("least").alias("b")).union(
@@ -44,7 +44,8 @@ def _state(links: DataFrame) -> tuple:
 
 def components(links: DataFrame) -> DataFrame:
     """(node, label) for every node of the links (a, b); the label is the least node."""
-    current = kept(links.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "links")
+    ordered = links.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+    current = kept(ordered.distinct(), "links")
     before = _state(current)
     while before[0]:
         current = kept(_round(current), "links")

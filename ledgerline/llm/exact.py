@@ -7,8 +7,9 @@ and looking for two contents under one identifier.  A document is then the order
 of its identifiers, some 32 bytes a kilobyte, and only these lists are grouped and joined:
 no text is moved for the comparison.
 
-A hot group is combined before its shuffle (`max` and `count` have fixed-width buffers);
-the members are joined back with a plain equi-join, which Spark splits when it is skewed.
+A hot group is combined before its shuffle (`max` and `count` have fixed-width buffers).  The
+groups are written, so the members are joined to a plain table: both sides of that join are shuffled
+for it alone, and Spark splits a skewed one.
 
 Defined cases: a null text is an empty one, and empty texts are equal to each other; a null
 doc_id is kept only by a group without any other id; repeated rows each get a row and count
@@ -71,8 +72,9 @@ def exact_groups(docs: DataFrame) -> DataFrame:
     narrow = docs.select("doc_id", "text")
     verify_identifiers(narrow)
     listed = kept(recipes(narrow), "recipes")
-    groups = listed.groupBy("recipe").agg(
-        F.max("doc_id").alias("keep_id"), F.count("*").alias("group_size")
+    groups = kept(
+        listed.groupBy("recipe").agg(F.max("doc_id").alias("keep_id"), F.count("*").alias("group_size")),
+        "groups",
     )
     return listed.join(groups, "recipe").select(
         "doc_id",

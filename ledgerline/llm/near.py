@@ -265,7 +265,8 @@ def near_groups(docs: DataFrame) -> DataFrame:
     labels = kept(components(similar_links(docs, nodes)), "labels")
     named = nodes.select("node", "digest", "doc_id").join(labels, "node", "left")
     named = named.withColumn("label", F.coalesce("label", "node"))
-    least = named.groupBy("label").agg(F.min("doc_id").alias("component_id"))
+    # written, like the labels: the joins to them are between plain tables, which Spark splits
+    least = kept(named.groupBy("label").agg(F.min("doc_id").alias("component_id")), "components")
     of_set = named.join(least, "label").select("digest", "component_id")
     out = listed.select("doc_id", "n_shingles", "digest").join(of_set, "digest", "left")
     component = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))

@@ -49,6 +49,21 @@ def from_headers(
     })
 
 
+def rows_of_topic(dead_letters: DataFrame, own_topic: str) -> DataFrame:
+    """Quarantine rows of records as the dead-letter topic gives them."""
+    return from_headers(dead_letters, "message", "trace", "origin", own_topic).select(
+        "id",
+        "source_topic",
+        "source_partition",
+        "source_offset",
+        "dlq_partition",
+        F.decode("record_key", "UTF-8").alias("key_hint"),
+        "exception_message",
+        to_base64(F.col("value")).alias("raw_base64"),
+        "received_at",
+    )
+
+
 def with_replayed(quarantine: DataFrame, replay_log: DataFrame) -> DataFrame:
     """Add ``replayed``: has the log an entry for the row?"""
     sent = replay_log.select("id").distinct().withColumn("replayed", F.lit(True))

@@ -163,6 +163,30 @@ def alert_dlq_growing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _alert_rows(by_rule(growing, "increase", RULES["dlq_growing"]).drop("increase"))
 
 
+DENSE = schemas.RULES["dlq_growing"]
+
+
+@query("alert_dlq_dense", select(f"""
+    SELECT '{DENSE.alert}' AS alert, '{DENSE.severity}' AS severity,
+           CAST({DENSE.threshold} AS DOUBLE) AS threshold, {_TIME}, growth,
+           make_timestamp(CAST(since AS BIGINT) * 1000000) AS since,
+           CASE WHEN tick - since >= {DENSE.hold_s} THEN 'firing' ELSE 'pending' END AS state
+    FROM stretches""", "decoded",
+    dense=f"""
+        SELECT g.t, (SELECT count(*) FROM decoded d WHERE d.kind = 'poison'
+                     AND epoch_us(d.appended_at) > {(samples.DENSE_FROM - DENSE.step_s) * 1_000_000}
+                     AND epoch_us(d.appended_at) <= g.t * 1000000) AS v
+        FROM (SELECT unnest(range(CAST({samples.DENSE_FROM} AS BIGINT), {samples.DENSE_TO + 1}, {DENSE.step_s})) AS t) g""",
+    **growth_parts("dense", [], DENSE.range_s),
+    **stretch_parts("grown", "increase > 0", DENSE.step_s)))
+def alert_dlq_dense(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rule as it is: 5 minutes' growth, every 15 seconds, held for 5 minutes; over one day."""
+    dead = kept(samples.dense_dead_letters(spark, sf_dir, DENSE.step_s), "samples")
+    until = dead.agg(F.max("t")).scalar()
+    growing = kept(growth(dead, [], DENSE.range_s, DENSE.step_s, until), "growth")
+    return _alert_rows(by_rule(growing, "increase", DENSE).drop("increase"))
+
+
 @query("alert_p99_high", select(
     _rule_sql(RULES["p99_high"], "CAST(round(value * 1000000) AS BIGINT) AS p99_us"),
     "buckets", **quantile_parts(RANGE, (0.99,)),

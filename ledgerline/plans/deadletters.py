@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ledgerline.functions.payload import FAILURE_PREFIX, POISON, classify
 from ledgerline.operators.deadletter import (
+    dlq_partition,
     from_headers,
     latest,
     light,
@@ -54,6 +55,38 @@ def dlq_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quarantine(spark, sf_dir)
 
 
+def with_headers(poison: DataFrame) -> DataFrame:
+    """Headers as a publisher leaves them: some messages are long, some headers missing."""
+    seq = F.col("ingest_seq")
+    padding = F.when(seq % 100 == 63, F.repeat(F.lit("x"), 2_100)).otherwise("")
+    message = F.concat(F.lit(FAILURE_PREFIX), F.col("reason"), padding)
+    trace = F.concat(F.lit("trace: "), F.col("reason"))
+    return poison.withColumns({
+        "message": F.when(seq % 3 != 0, F.encode(message, "UTF-8")),
+        "trace": F.when(seq % 9 != 0, F.encode(trace, "UTF-8")),
+        "origin": F.when(seq % 9 != 0, F.encode("topic", "UTF-8")),
+    })
+
+
+def published(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The dead-letter topic's records."""
+    feed = order_feed(spark, sf_dir)
+    poison = classify(feed).filter(F.col("kind") == POISON)
+    numbered = poison.join(offsets_of(feed).drop("record_partition"), "ingest_seq")
+    return with_headers(numbered).select(
+        F.col("ingest_seq").alias("id"),
+        F.col("record_partition").alias("source_partition"),
+        F.col("record_offset").alias("source_offset"),
+        dlq_partition(F.col("record_partition")).alias("dlq_partition"),
+        F.encode("record_key", "UTF-8").alias("record_key"),
+        F.encode("payload", "UTF-8").alias("value"),
+        "message",
+        "trace",
+        "origin",
+        F.col("appended_at").alias("received_at"),
+    )
+
+
 @query("dlq_headers", select("""
     SELECT ingest_seq,
            left(coalesce(CASE WHEN ingest_seq % 3 <> 0
@@ -64,17 +97,7 @@ def dlq_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
            CASE WHEN ingest_seq % 9 = 0 THEN 'orders.dlq' ELSE 'orders' END AS source_topic
     FROM decoded WHERE kind = 'poison'""", "decoded"))
 def dlq_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Headers as a publisher leaves them: some messages are long, some headers missing."""
-    seq = F.col("ingest_seq")
-    padding = F.when(seq % 100 == 63, F.repeat(F.lit("x"), 2_100)).otherwise("")
-    message = F.concat(F.lit(FAILURE_PREFIX), F.col("reason"), padding)
-    trace = F.concat(F.lit("trace: "), F.col("reason"))
-    published = decoded(spark, sf_dir).filter(F.col("kind") == POISON).select(
-        "ingest_seq",
-        F.when(seq % 3 != 0, F.encode(message, "UTF-8")).alias("message"),
-        F.when(seq % 9 != 0, F.encode(trace, "UTF-8")).alias("trace"),
-        F.when(seq % 9 != 0, F.encode("topic", "UTF-8")).alias("origin"),
-    )
+    published = with_headers(decoded(spark, sf_dir).filter(F.col("kind") == POISON))
     return from_headers(published, "message", "trace", "origin", DLQ_TOPIC).select(
         "ingest_seq", "exception_message", "source_topic"
     )

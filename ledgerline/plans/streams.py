@@ -8,16 +8,19 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ledgerline.operators.reconcile import one_row
 from ledgerline.operators.revenue import revenue_panel
+from ledgerline.plans.deadletters import published
 from ledgerline.plans.registry import query
 from ledgerline.plans.sqlparts import select
+from ledgerline.schemas import DEAD_LETTER
 from ledgerline.session import fresh_folder, kept, streaming_session
 from ledgerline.sources.feed import order_feed, with_offsets
-from ledgerline.sources.landing import append, landed_stream
+from ledgerline.sources.landing import FILES_PER_BATCH, append, landed_stream
 from ledgerline.streaming.apply import (
     apply_backfill,
     apply_bounded,
     apply_orders,
     quarantine_records,
+    quarantine_topic,
 )
 from ledgerline.streaming.metrics import counter_samples, stream_balance
 from ledgerline.streaming.outputs import (
@@ -94,6 +97,29 @@ def stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, root, "quarantine").drop("batch_id")
 
 
+@query("stream_dead_letters", select("""
+    SELECT q.* EXCLUDE (replayed, source_topic, exception_message),
+           CASE WHEN id % 9 = 0 THEN 'orders.dlq' ELSE 'orders' END AS source_topic,
+           left(coalesce(CASE WHEN id % 3 <> 0
+                         THEN exception_message
+                              || CASE WHEN id % 100 = 63 THEN repeat('x', 2100) ELSE '' END END,
+                         CASE WHEN id % 9 <> 0
+                         THEN 'trace: ' || replace(exception_message, 'Deserialization failed: ', '') END,
+                         'unknown'), 2000) AS exception_message
+    FROM quarantine q""", "quarantine"))
+def stream_dead_letters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The dead-letter topic as a stream: key, headers and bytes to quarantine rows."""
+    session = streaming_session(spark)
+    root = fresh_folder(spark, "dead-letters")
+    topic = kept(published(session, sf_dir), "published")
+    for part in range(PIECES):
+        rows = topic.filter(F.col("id") % PIECES == part)
+        rows.coalesce(1).write.mode("append").parquet(f"{root}/topic")
+    reader = session.readStream.schema(DEAD_LETTER).option("maxFilesPerTrigger", FILES_PER_BATCH)
+    quarantine_topic(reader.parquet(f"{root}/topic"), root).awaitTermination()
+    return read_table(spark, root, "quarantine").drop("batch_id")
+
+
 @query("stream_counts", select("""
     SELECT CAST(count(*) AS BIGINT) AS consumed,
            count(*) FILTER (kind = 'order') AS orders,

@@ -64,6 +64,20 @@ LANDED = T.StructType([
     T.StructField("payload", T.StringType()),
 ])
 
+# One dead letter as its topic gives it: key, headers and bytes.
+DEAD_LETTER = T.StructType([
+    T.StructField("id", T.LongType()),
+    T.StructField("source_partition", T.IntegerType()),
+    T.StructField("source_offset", T.LongType()),
+    T.StructField("dlq_partition", T.IntegerType()),
+    T.StructField("record_key", T.BinaryType()),
+    T.StructField("value", T.BinaryType()),
+    T.StructField("message", T.BinaryType()),
+    T.StructField("trace", T.BinaryType()),
+    T.StructField("origin", T.BinaryType()),
+    T.StructField("received_at", T.TimestampNTZType()),
+])
+
 LEDGER = T.StructType([
     T.StructField("order_id", T.StringType()),
     T.StructField("topic", T.StringType()),

@@ -30,14 +30,16 @@ FREEZE_FROM = 1_704_844_800  # 2024-01-10 00:00, commits stand still
 FREEZE_TO = 1_705_017_600  # 2024-01-12 00:00
 QUIET_FROM = 1_705_708_800  # 2024-01-20 00:00, the producer holds its records back
 QUIET_TO = 1_705_726_800  # 2024-01-20 05:00
+DENSE_FROM = 1_704_844_800  # 2024-01-10, a day that is sampled every 15 seconds
+DENSE_TO = DENSE_FROM + DAY
 COMMIT_DELAY = 6 * STEP
 INSTANCES = 3
 
 
-def tick_of(ntz: str) -> Column:
+def tick_of(ntz: str, step_s: int = STEP) -> Column:
     """First tick at or after a time."""
-    step = STEP * 1_000_000
-    return F.expr(f"(unix_micros(cast({ntz} as timestamp)) + {step - 1}) div {step} * {STEP}")
+    step = step_s * 1_000_000
+    return F.expr(f"(unix_micros(cast({ntz} as timestamp)) + {step - 1}) div {step} * {step_s}")
 
 
 def ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -99,6 +101,21 @@ def dead_letters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _counter(ticks(spark, sf_dir), counts, []).select("t", "v")
 
 
+def dense_dead_letters(spark: SparkSession, sf_dir: str, step_s: int) -> DataFrame:
+    """Records quarantined so far on one day, sampled as often as the rules are evaluated."""
+    tick = tick_of("appended_at", step_s)
+    counts = (
+        classify(order_feed(spark, sf_dir))
+        .filter((F.col("kind") == POISON) & (tick >= DENSE_FROM) & (tick <= DENSE_TO))
+        .groupBy(tick.alias("t"))
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+    grid = spark.range(DENSE_FROM, DENSE_TO + step_s, step_s).select(
+        F.col("id").alias("t"), day_of("id").alias("day")
+    )
+    return _counter(grid, counts, []).select("t", "v")
+
+
 def latency_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cumulative latency buckets per service instance, over the orders at first sight."""
     bounds = [*BOUNDS, float("inf")]

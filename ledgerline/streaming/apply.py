@@ -9,8 +9,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ledgerline.functions.payload import classify, intake_counts
 from ledgerline.operators.arrival import first_copies, orders_of, unseen
-from ledgerline.operators.deadletter import quarantine_rows
-from ledgerline.schemas import LEDGER, ORDERS_TOPIC
+from ledgerline.operators.deadletter import quarantine_rows, rows_of_topic
+from ledgerline.schemas import DLQ_TOPIC, LEDGER, ORDERS_TOPIC
 from ledgerline.streaming.outputs import commit_increments, read_table, write_batch
 
 _LEDGER_COLUMNS = [c for c in LEDGER.names if c != "batch_id"]
@@ -130,6 +130,15 @@ def quarantine_records(
     return start(decoded, quarantine_job(root), f"{root}/checkpoints/quarantine", "append", drain)
 
 
+def quarantine_topic(dead_letters: DataFrame, root: str, drain: bool = True) -> StreamingQuery:
+    """Start the stream that takes the dead-letter topic's records to quarantine rows."""
+
+    def job(batch: DataFrame, batch_id: int) -> None:
+        write_batch(rows_of_topic(batch, DLQ_TOPIC), root, "quarantine", batch_id)
+
+    return start(dead_letters, job, f"{root}/checkpoints/dead-letters", "append", drain)
+
+
 def gate_job(spark: SparkSession, root: str) -> BatchJob:
     """Stateless form: a batch's first copies, checked against the ledger.
 

@@ -17,6 +17,7 @@ from ledgerline.schemas import (
 ORDER, POISON, TOMBSTONE, UNEXPECTED = "order", "poison", "tombstone", "unexpected"
 
 EMPTY = "empty payload"
+ENVELOPE = "bad envelope"
 MALFORMED = "malformed payload"
 MISSING = "missing required field: "
 FAILURE_PREFIX = "Deserialization failed: "
@@ -30,7 +31,10 @@ _MISSING = f"WHEN _event.orderId = '' THEN '{MISSING}orderId' " + " ".join(
 
 
 def classify(
-    records: DataFrame, payload: str = "payload", observe_as: str | None = None
+    records: DataFrame,
+    payload: str = "payload",
+    observe_as: str | None = None,
+    refused: str | None = None,
 ) -> DataFrame:
     """Add ``kind``, ``reason`` and the order fields, read with the latest schema.
 
@@ -43,11 +47,15 @@ def classify(
     payload is read as the only field of an object and counted as the only element of an array:
     text behind it that one of the two would take breaks the other.
 
+    ``refused`` names a column that is true for records whose envelope was refused (see
+    :func:`classify_wire`): poison, whatever is inside.
+
     The intake counters are observed on the way, under ``observe_as``; two decoded inputs of
     one query need two names.  The observation is also a fence: a filter on ``kind`` pushed
     below it would repeat the JSON parse for every mention of a field, ten times the work
     of parsing once.
     """
+    unfit = f"coalesce({refused}, false)" if refused else "false"
     options = f"map('mode', 'PERMISSIVE', 'columnNameOfCorruptRecord', '{_CORRUPT}')"
     decoded = (
         records.selectExpr(
@@ -58,7 +66,8 @@ def classify(
         .selectExpr("* EXCEPT (_read)", "_read.r AS _event", f"_read.{_CORRUPT} AS {_CORRUPT}")
         .selectExpr(
             "*",
-            f"""CASE WHEN {payload} IS NULL THEN null
+            f"""CASE WHEN {unfit} THEN '{ENVELOPE}'
+                WHEN {payload} IS NULL THEN null
                 WHEN {payload} = '' THEN '{EMPTY}'
                 WHEN _event IS NULL OR {_CORRUPT} IS NOT NULL OR NOT _values <=> 1 THEN '{MALFORMED}'
                 WHEN {_FOREIGN} THEN null
@@ -66,8 +75,8 @@ def classify(
         )
         .selectExpr(
             "*",
-            f"""CASE WHEN {payload} IS NULL THEN '{TOMBSTONE}'
-                WHEN reason IS NOT NULL THEN '{POISON}'
+            f"""CASE WHEN reason IS NOT NULL THEN '{POISON}'
+                WHEN {payload} IS NULL THEN '{TOMBSTONE}'
                 WHEN {_FOREIGN} THEN '{UNEXPECTED}'
                 ELSE '{ORDER}' END AS kind""",
         )
@@ -91,6 +100,22 @@ def classify(
     return decoded.observe(observe_as or f"intake-{uuid.uuid4().hex}", *intake_counts())
 
 
+def classify_wire(
+    records: DataFrame, wire: str, known_ids: tuple[int, ...], observe_as: str | None = None
+) -> DataFrame:
+    """``classify`` for records as they travel: magic byte, schema id, body.
+
+    The envelope is checked first, the body behind a good one is decoded; a null record is a
+    tombstone.
+    """
+    good = envelope_ok(F.col(wire), known_ids)
+    opened = records.withColumns({
+        "_refused": F.col(wire).isNotNull() & ~good,
+        "payload": F.when(good, F.expr(f"substring({wire}, 6)").cast("string")),
+    })
+    return classify(opened, "payload", observe_as, "_refused").drop("_refused")
+
+
 def intake_counts() -> list[Column]:
     """Records taken in, in total and by kind."""
     kind = F.col("kind")

@@ -9,6 +9,7 @@ from ledgerline.functions.payload import (
     ORDER,
     POISON,
     classify,
+    classify_wire,
     envelope_ok,
     magic_byte,
     schema_id,
@@ -96,6 +97,25 @@ def envelope_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("decode_wire", select("""
+    SELECT CASE WHEN refused THEN 'poison' ELSE kind END AS kind,
+           CASE WHEN refused THEN 'bad envelope' ELSE reason END AS reason, count(*) AS records
+    FROM (SELECT *, payload IS NOT NULL AND ingest_seq % 50 IN (7, 17) AS refused FROM decoded)
+    GROUP BY 1, 2""", "decoded"))
+def decode_wire(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records in envelopes, some with a wrong magic byte or an unknown schema id."""
+    seq = F.col("ingest_seq")
+    head = (
+        F.when(seq % 50 == 7, "0100000001").when(seq % 50 == 17, "0000000009")
+        .when(F.col("appended_at") < F.expr(f"TIMESTAMP_NTZ '{HALFWAY}'"), "0000000001")
+        .otherwise("0000000002")
+    )
+    wire = F.concat(F.unhex(head), F.col("payload").cast("binary"))
+    sent = order_feed(spark, sf_dir).withColumn("wire", wire).drop("payload")
+    kinds = classify_wire(sent, "wire", (1, 2))
+    return kinds.groupBy("kind", "reason").agg(F.count(F.lit(1)).alias("records"))
+
+
 @query("schema_audit", select("""
     SELECT coalesce(o.schema_version, 'unreadable') AS schema_version, count(*) AS records,
            count(o.order_id) AS readable,

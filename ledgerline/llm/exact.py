@@ -87,10 +87,14 @@ def exact_groups(docs: DataFrame) -> DataFrame:
 
 
 def keep_rows(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """The rows of docs whose doc_id is in `ids`; rows with equal id and text become one."""
-    chosen = ids.select(F.col("doc_id").alias("_chosen_id")).distinct()
-    on = F.col("doc_id").eqNullSafe(F.col("_chosen_id"))
-    return docs.join(chosen, on, "left_semi").dropDuplicates(["doc_id", "text"])
+    """The rows of docs whose doc_id is in `ids`; rows with equal id and text become one.
+
+    The id travels in a struct, in which null equals null, for the join and for what follows it:
+    texts are shuffled once.
+    """
+    chosen = ids.select(F.struct("doc_id").alias("_id")).distinct()
+    held = docs.withColumn("_id", F.struct("doc_id")).join(chosen, "_id", "left_semi")
+    return held.dropDuplicates(["_id", "text"]).select(*docs.columns)
 
 
 def drop_exact_copies(docs: DataFrame) -> DataFrame:

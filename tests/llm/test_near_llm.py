@@ -151,3 +151,26 @@ def test_an_unconfirmed_first_hides_nothing(spark):
     found = passages.merged(passages.passages(spark.createDataFrame(rows, "doc_id bigint, text string"))).collect()
     check_passages(found, rows)
     assert {(r.doc_id, r.first_id) for r in found} == {(3, 2)}
+
+
+def test_recall_of_changed_and_inserted_words(spark):
+    """Passages of similarity 0.8 and above between a word changed, or words inserted, in the middle."""
+    rows, pairs = [], 0
+
+    def filler(tag, n):
+        return [f"{tag}x{i}" for i in range(n)]
+
+    for n, at, new in [(50, 25, 0), (50, 47, 0), (55, 27, 0), (60, 30, 0), (90, 45, 1), (90, 45, 10), (130, 65, 3)]:
+        for k in range(30):
+            p = filler(f"p{pairs}", n)
+            q = p[:at] + filler(f"new{pairs}", max(new, 1)) + p[at + (new == 0) :]
+            assert len(shingles(" ".join(p)) & shingles(" ".join(q))) >= 0.8 * len(shingles(" ".join(p)) | shingles(" ".join(q)))
+            rows.append((2 * pairs, " ".join(filler(f"a{pairs}", 60 + k) + p + filler(f"b{pairs}", 50))))
+            rows.append((2 * pairs + 1, " ".join(filler(f"c{pairs}", 40) + q + filler(f"d{pairs}", 70 - k))))
+            pairs += 1
+    pieces = passages.passages(spark.createDataFrame(rows, "doc_id bigint, text string")).cache()
+    columns = ["doc_id", "first_id", "start_word", "end_word"]
+    found = passages.merged(pieces).select(columns).union(passages.shifted(pieces).select(columns)).collect()
+    lengths = {r.doc_id: r.end_word - r.start_word for r in found if r.first_id == r.doc_id - 1 and r.start_word <= 41}
+    assert all(r.first_id == r.doc_id - 1 and r.doc_id % 2 for r in found)
+    assert len(lengths) >= 0.97 * pairs and min(lengths.values()) >= 50

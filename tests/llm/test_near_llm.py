@@ -174,3 +174,13 @@ def test_recall_of_changed_and_inserted_words(spark):
     lengths = {r.doc_id: r.end_word - r.start_word for r in found if r.first_id == r.doc_id - 1 and r.start_word <= 41}
     assert all(r.first_id == r.doc_id - 1 and r.doc_id % 2 for r in found)
     assert len(lengths) >= 0.97 * pairs and min(lengths.values()) >= 50
+
+
+def test_a_line_held_earlier_hides_no_passage(spark):
+    """The first document holds most of the passage's words by themselves before the passage."""
+    rows = []
+    for k in range(40):
+        p = [f"p{k}w{i}" for i in range(55)]
+        rows.append((2 * k, " ".join([f"a{k}w{i}" for i in range(30)] + p[5:50] + [f"b{k}w{i}" for i in range(60)] + p)))
+        rows.append((2 * k + 1, " ".join([f"c{k}w{i}" for i in range(70)] + p + [f"d{k}w{i}" for i in range(30)])))
+    check_passages(passages.merged(passages.passages(spark.createDataFrame(rows, "doc_id bigint, text string"))).collect(), rows)

@@ -184,3 +184,16 @@ def test_a_line_held_earlier_hides_no_passage(spark):
         rows.append((2 * k, " ".join([f"a{k}w{i}" for i in range(30)] + p[5:50] + [f"b{k}w{i}" for i in range(60)] + p)))
         rows.append((2 * k + 1, " ".join([f"c{k}w{i}" for i in range(70)] + p + [f"d{k}w{i}" for i in range(30)])))
     check_passages(passages.merged(passages.passages(spark.createDataFrame(rows, "doc_id bigint, text string"))).collect(), rows)
+
+
+@pytest.mark.parametrize("period, shared, behind", [(20, 40, 20), (10, 40, 30), (20, 60, 0)])
+def test_repeated_lines_of_unequal_length(spark, period, shared, behind):
+    """Two documents repeat a line for different lengths; the end of the repetition and what follows is in both."""
+    rows = []
+    for k in range(40):
+        line = [f"l{k}w{i}" for i in range(period)]
+        end = [f"e{k}w{i}" for i in range(behind)]
+        run = line * (200 // period)
+        rows.append((2 * k, " ".join([f"a{k}w{i}" for i in range(40)] + run[-(shared + 20) :] + end + [f"b{k}w{i}" for i in range(40)])))
+        rows.append((2 * k + 1, " ".join([f"c{k}w{i}" for i in range(40)] + run[-(shared + 7 + k) :] + end + [f"d{k}w{i}" for i in range(40)])))
+    check_passages(passages.merged(passages.passages(spark.createDataFrame(rows, "doc_id bigint, text string"))).collect(), rows)

@@ -16,8 +16,11 @@ from ledgerline.llm.fingerprint import op5_fingerprints
 from ledgerline.llm.near import op7_minhash
 from ledgerline.llm.packing import op9_packing
 from ledgerline.llm.passages import op2_substring_dedup
+from ledgerline.llm.periodic import op11_periodic
+from ledgerline.llm.personal import OP12_SQL, op12_pii
 from ledgerline.llm.quality import op1_quality
 from ledgerline.llm.toxicity import op8_toxicity
+from ledgerline.llm.vectors import OP13_SQL, op13_codes
 from ledgerline.llm.warc import OP3_SQL, op3_warc
 
 _ROOT = str(Path(corpus_pipeline.__file__).resolve().parent)
@@ -45,8 +48,13 @@ _JOBS = {
     "op8_toxicity": op8_toxicity,
     "op9_packing": op9_packing,
     "op10_html": op10_html,
+    "op11_periodic": op11_periodic,
+    "op12_pii": op12_pii,
+    "op13_codes": op13_codes,
     "pipeline": corpus_pipeline.run,
 }
 QUERIES = {name: _findable(job) for name, job in _JOBS.items()}
 
-ORACLES = {"op3_warc": OP3_SQL, "op6_exact_dedup": OP6_SQL}
+ORACLES = {
+    "op3_warc": OP3_SQL, "op6_exact_dedup": OP6_SQL, "op12_pii": OP12_SQL, "op13_codes": OP13_SQL,
+}

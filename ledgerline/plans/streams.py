@@ -135,7 +135,8 @@ def stream_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("stream_reconcile", select("""
-    SELECT *, CAST(0 AS BIGINT) AS lost, CAST(0 AS BIGINT) AS missing, true AS balanced FROM (
+    SELECT *, CAST(0 AS BIGINT) AS lost, CAST(0 AS BIGINT) AS missing, CAST(0 AS BIGINT) AS unknown,
+           CAST(0 AS BIGINT) AS repeated, true AS balanced FROM (
         SELECT count(*) AS produced, count(*) AS consumed,
                count(DISTINCT order_id) AS unique_orders,
                count(order_id) - count(DISTINCT order_id) AS duplicates,

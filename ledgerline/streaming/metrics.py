@@ -6,10 +6,12 @@ import json
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ledgerline.functions.payload import ORDER, POISON, classify
 from ledgerline.operators.blocked import running
 from ledgerline.operators.lag import lag_of
 from ledgerline.operators.reconcile import one_row
 from ledgerline.operators.series import DAY
+from ledgerline.schemas import LANDED
 from ledgerline.streaming.outputs import read_table
 
 
@@ -34,12 +36,36 @@ def counter_samples(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
+def held_against_log(spark: SparkSession, root: str, landing: str) -> DataFrame:
+    """Per order and dead letter how often it was landed and how often an output holds it.
+
+    The log is decoded anew, so nothing here rests on what the stream counted.  Copies are added up
+    before they meet the outputs.
+    """
+    landed = classify(spark.read.schema(LANDED).parquet(landing)).filter(F.col("kind").isin(ORDER, POISON))
+    none, one = F.lit(0).cast("long"), F.lit(1).cast("long")
+    sent = landed.select(
+        "kind", F.coalesce("order_id", F.col("ingest_seq").cast("string")).alias("key"), one.alias("sent"), none.alias("held")
+    )
+    applied = read_table(spark, root, "ledger").select(F.lit(ORDER), "order_id", none, one)
+    dead = read_table(spark, root, "quarantine").select(F.lit(POISON), F.col("id").cast("string"), none, one)
+    return sent.union(applied).union(dead).groupBy("kind", "key").agg(
+        F.sum("sent").alias("sent"), F.sum("held").alias("held")
+    )
+
+
+def missing_rows(spark: SparkSession, root: str, landing: str) -> DataFrame:
+    """kind and key of the orders nobody applied and the dead letters nobody kept."""
+    return held_against_log(spark, root, landing).filter("sent > 0 AND held = 0").select("kind", "key")
+
+
 def stream_balance(spark: SparkSession, root: str, landing: str) -> DataFrame:
     """What was landed against what the stream counted, applied and quarantined, in one row.
 
-    Each figure has a source of its own: the log, the intake counts, the ledger, the quarantine.
-    ``lost`` records were landed and not taken in; ``missing`` ones were taken in and are in no
-    output (an order nobody applied, a dead letter nobody kept).
+    ``lost`` records were landed and not taken in, by the intake counts.  ``missing`` are the
+    orders and dead letters of the decoded log that no output holds; ``unknown`` ones an output
+    holds and the log doesn't, ``repeated`` ones it holds more than once.  ``duplicates`` are the
+    log's further copies of its orders.
     """
     produced = spark.read.parquet(landing).agg(F.count(F.lit(1)).alias("produced"))
     counts = read_table(spark, root, "counts")
@@ -47,23 +73,23 @@ def stream_balance(spark: SparkSession, root: str, landing: str) -> DataFrame:
         F.coalesce(F.sum(c), F.lit(0).cast("long")).alias(c)
         for c in ("consumed", "orders", "poison", "tombstones", "unexpected")
     ])
-    ledger = read_table(spark, root, "ledger")
-    applied = ledger.agg(
-        F.count(F.lit(1)).alias("unique_orders"), F.count_distinct("order_id").alias("distinct_orders")
+    zero, is_order = F.lit(0).cast("long"), F.col("kind") == ORDER
+    meeting = held_against_log(spark, root, landing).agg(
+        F.coalesce(F.sum(F.when(is_order, F.col("held"))), zero).alias("unique_orders"),
+        F.coalesce(F.sum(F.when(~is_order, F.col("held"))), zero).alias("quarantined"),
+        F.coalesce(F.sum(F.when(is_order & (F.col("sent") > 0), F.col("sent") - 1)), zero).alias("duplicates"),
+        F.count_if((F.col("sent") > 0) & (F.col("held") == 0)).alias("missing"),
+        F.count_if(F.col("sent") == 0).alias("unknown"),
+        F.count_if(F.col("held") > 1).alias("repeated"),
     )
-    dead = read_table(spark, root, "quarantine").agg(F.count(F.lit(1)).alias("quarantined"))
-    row = one_row(produced, taken, applied, dead)
-    return row.withColumns({
-        "duplicates": F.col("orders") - F.col("unique_orders"),
-        "lost": F.col("produced") - F.col("consumed"),
-        "missing": F.col("poison") - F.col("quarantined"),
-    }).withColumn(
+    row = one_row(produced, taken, meeting).withColumn("lost", F.col("produced") - F.col("consumed"))
+    return row.withColumn(
         "balanced",
-        F.expr("lost = 0 AND missing = 0 AND unique_orders = distinct_orders AND duplicates >= 0"
+        F.expr("lost = 0 AND missing = 0 AND unknown = 0 AND repeated = 0"
                " AND consumed = orders + poison + tombstones + unexpected"),
     ).select(
         "produced", "consumed", "unique_orders", "duplicates", "quarantined", "tombstones",
-        "unexpected", "lost", "missing", "balanced",
+        "unexpected", "lost", "missing", "unknown", "repeated", "balanced",
     )
 
 

@@ -274,6 +274,31 @@ def test_a_lost_batch_shows(spark, session, root):
     assert not bad.balanced and bad.lost == 3 and bad.missing == 1
 
 
+def test_lost_ledger_rows_show(spark, session, root):
+    """Orders taken in but gone from the ledger are missing, not duplicates."""
+    landing = f"{root}/landing"
+    for i in range(3):
+        land(session, landing, [order(10 * i + k, 10 * i + k, 100, 0) for k in range(5)] + [order(900 + i, 0, 1, 0)])
+    apply.apply_backfill(session, landed_stream(session, landing), root).awaitTermination()
+    good = metrics.stream_balance(spark, root, landing).first()
+    assert good.balanced and (good.unique_orders, good.duplicates, good.missing) == (15, 3, 0)
+    some = outputs.read_batch(spark, root, "ledger", 0)
+    gone = [r.order_id for r in some.orderBy("order_id").limit(3).collect()]
+    outputs.write_batch(some.filter(~F.col("order_id").isin(gone)).checkpoint(), root, "ledger", 0)
+    bad = metrics.stream_balance(spark, root, landing).first()
+    assert (bad.lost, bad.missing, bad.duplicates, bad.balanced) == (0, 3, 3, False)
+    assert sorted(r.key for r in metrics.missing_rows(spark, root, landing).collect()) == gone
+    # a whole batch
+    outputs.write_batch(outputs.read_batch(spark, root, "ledger", 2).filter("false"), root, "ledger", 2)
+    bad = metrics.stream_balance(spark, root, landing).first()
+    assert (bad.missing, bad.balanced) == (8, False)
+    # an order that nobody sent, one that was applied twice
+    extra = outputs.read_batch(spark, root, "ledger", 1).limit(1)
+    outputs.write_batch(extra.union(extra.withColumn("order_id", F.lit("o-x"))).checkpoint(), root, "ledger", 2)
+    bad = metrics.stream_balance(spark, root, landing).first()
+    assert (bad.unknown, bad.repeated, bad.balanced) == (1, 1, False)
+
+
 def test_a_clock_set_back_stops_the_stream(spark, session, root):
     landing = f"{root}/landing"
     land(session, landing, BATCHES[0])

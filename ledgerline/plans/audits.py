@@ -6,11 +6,39 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ledgerline.functions.payload import classify
 from ledgerline.operators.arrival import first_copies, orders_of
-from ledgerline.operators.loss import COLUMNS, find_loss
-from ledgerline.plans.registry import query
+from ledgerline.operators.keyfilter import filter_words
+from ledgerline.operators.loss import find_loss
+from ledgerline.plans.orders import HALFWAY, decoded
+from ledgerline.plans.registry import ORACLES, query
 from ledgerline.plans.sqlparts import select
-from ledgerline.session import kept
+from ledgerline.session import fresh_folder, kept
 from ledgerline.sources.feed import order_feed, with_offsets
+from ledgerline.streaming.keyindex import unheld
+
+LEDGER_DAYS = "datediff(appended_at, DATE '2024-01-01')"
+
+
+def _dated_ledger(spark: SparkSession, orders: DataFrame) -> str:
+    """The orders as a ledger with a folder a day, its key filters and commits; the folder it lies in."""
+    root = fresh_folder(spark, "dated")
+    first = first_copies(orders, ["appended_at"])
+    rows = kept(first.select("order_id", F.expr(f"bigint({LEDGER_DAYS})").alias("batch_id")), "ledger")
+    commits = rows.select("batch_id").distinct().withColumn("committed_at", F.lit(0).cast("long"))
+    for table, frame in (("ledger", rows), ("filters", filter_words(rows)), ("commits", commits)):
+        frame.write.partitionBy("batch_id").parquet(f"{root}/{table}")
+    return root
+
+
+@query("gate_indexed", ORACLES["first_sight_gate"])
+def gate_indexed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The gate of ``first_sight_gate`` over a ledger in daily folders, of which few are scanned."""
+    orders = kept(orders_of(decoded(spark, sf_dir)).select("ingest_seq", "order_id", "appended_at"), "orders")
+    old = F.col("appended_at") < F.expr(f"TIMESTAMP_NTZ '{HALFWAY}'")
+    root, batch = _dated_ledger(spark, orders.filter(old)), orders.filter(~old)
+    applied = unheld(spark, root, first_copies(batch, []), 1 << 40).select("ingest_seq", F.lit(1).alias("applied"))
+    judged = batch.select("ingest_seq", "order_id").join(applied, "ingest_seq", "left")
+    return judged.withColumn("applied", F.coalesce("applied", F.lit(0)))
+
 
 # The fixture's ledger lacks single orders and a stretch of one partition, and has foreign ones.
 _GONE = "(ingest_seq % 1009 = 400 OR record_partition = 3 AND record_offset BETWEEN 20 AND 69)"

@@ -36,11 +36,13 @@ PIECE_ROWS = 250_000
 
 
 def land_and_drain(
-    spark: SparkSession, sf_dir: str, landing: str, drain: Callable[[], None], drains: int = 1
+    spark: SparkSession, sf_dir: str, landing: str, drain: Callable[[], None], drains: int = 1,
+    swapped: bool = False,
 ) -> int:
     """Land the feed piece by piece and run the stream after every few; one past its positions.
 
-    Each run resumes from the checkpoint of the one before it.
+    Each run resumes from the checkpoint of the one before it.  ``swapped`` lands the third quarter
+    of the feed before the second, which is late then.
     """
     feed = kept(with_offsets(order_feed(spark, sf_dir)), "feed")
     lo, hi, n = feed.agg(F.min("ingest_seq"), F.max("ingest_seq"), F.count(F.lit(1))).first()
@@ -48,15 +50,19 @@ def land_and_drain(
         lo = hi = 0
     pieces = drains * max(PIECES, -(-n // (drains * PIECE_ROWS)))
     cuts = [lo + (hi + 1 - lo) * i // pieces for i in range(pieces + 1)]
-    for i in range(pieces):
+    turns = list(range(pieces))
+    if swapped:
+        a, b, c = (pieces * q // 4 for q in (1, 2, 3))
+        turns = turns[:a] + turns[b:c] + turns[a:b] + turns[c:]
+    for done, i in enumerate(turns, 1):
         inside = (F.col("ingest_seq") >= cuts[i]) & (F.col("ingest_seq") < cuts[i + 1])
         append(feed.filter(inside), landing)
-        if (i + 1) % (pieces // drains) == 0:
+        if done % (pieces // drains) == 0:
             drain()
     return hi + 1
 
 
-def _run(spark: SparkSession, sf_dir: str, label: str, start, drains: int = 1) -> str:
+def _run(spark: SparkSession, sf_dir: str, label: str, start, drains: int = 1, swapped: bool = False) -> str:
     session = streaming_session(spark)
     root = fresh_folder(spark, label)
     landing = f"{root}/landing"
@@ -66,6 +72,7 @@ def _run(spark: SparkSession, sf_dir: str, label: str, start, drains: int = 1) -
         landing,
         lambda: start(session, landed_stream(session, landing), root).awaitTermination(),
         drains,
+        swapped,
     )
     return root
 
@@ -149,11 +156,25 @@ def stream_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stream_balance(spark, root, f"{root}/landing")
 
 
-@query("stream_bounded", select("SELECT order_id FROM firsts", "firsts"))
+# The quarters of the feed by position; the third one is landed before the second.
+_QUARTERS = """
+    (SELECT *, CASE WHEN ingest_seq - lo >= n * 3 // 4 THEN 3 WHEN ingest_seq - lo >= n * 2 // 4 THEN 1
+                    WHEN ingest_seq - lo >= n // 4 THEN 2 ELSE 0 END AS turn
+     FROM orders_in, (SELECT min(ingest_seq) AS lo, max(ingest_seq) + 1 - min(ingest_seq) AS n FROM feed))"""
+
+
+@query("stream_bounded", select(f"""
+    SELECT order_id, record_partition, record_offset, amount_cents, turn = 2 AS late FROM (
+        SELECT *, row_number() OVER (PARTITION BY order_id ORDER BY turn, ingest_seq) AS copy FROM {_QUARTERS})
+    WHERE copy = 1""", "orders_in"))
 def stream_bounded(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders applied with state that expires; the feed's redeliveries come within the horizon."""
-    root = _run(spark, sf_dir, "bounded", lambda s, r, at: apply_bounded(s, r, at, "400 days"))
-    return read_table(spark, root, "ledger").select("order_id")
+    """Orders applied with a look-back of a day; a quarter of the feed comes days late, and is applied too."""
+    root = _run(spark, sf_dir, "bounded", lambda s, r, at: apply_bounded(s, r, at, "1 day"), swapped=True)
+    late = read_table(spark, root, "late").filter("applied").select("order_id", F.lit(True).alias("late"))
+    ledger = read_table(spark, root, "ledger").join(late, "order_id", "left")
+    return ledger.select(
+        "order_id", "record_partition", "record_offset", "amount_cents", F.coalesce("late", F.lit(False)).alias("late")
+    )
 
 
 @query("stream_samples", select("""

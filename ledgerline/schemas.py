@@ -125,6 +125,32 @@ KIND_COUNTS = T.StructType([
     T.StructField("batch_id", T.LongType()),
 ])
 
+# Words of the ledger folders' key filters.
+FILTERS = T.StructType([
+    T.StructField("size_bits", T.IntegerType()),
+    T.StructField("word", T.LongType()),
+    T.StructField("bits", T.LongType()),
+    T.StructField("batch_id", T.LongType()),
+])
+
+# Records that came after the horizon, and what became of them.
+LATE = T.StructType([
+    T.StructField("order_id", T.StringType()),
+    T.StructField("record_partition", T.IntegerType()),
+    T.StructField("record_offset", T.LongType()),
+    T.StructField("appended_at", T.TimestampNTZType()),
+    T.StructField("copies", T.LongType()),
+    T.StructField("applied", T.BooleanType()),
+    T.StructField("batch_id", T.LongType()),
+])
+
+# First and last event time of a batch's records.
+BATCH_TIMES = T.StructType([
+    T.StructField("first_event", T.TimestampNTZType()),
+    T.StructField("last_event", T.TimestampNTZType()),
+    T.StructField("batch_id", T.LongType()),
+])
+
 COMMITS = T.StructType([
     T.StructField("committed_at", T.LongType()),
     T.StructField("batch_id", T.LongType()),

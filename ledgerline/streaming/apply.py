@@ -8,12 +8,15 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ledgerline.functions.payload import classify, intake_counts
-from ledgerline.operators.arrival import first_copies, orders_of, unseen
+from ledgerline.operators.arrival import first_copies, orders_of
 from ledgerline.operators.deadletter import quarantine_rows, rows_of_topic
-from ledgerline.schemas import DLQ_TOPIC, LEDGER, ORDERS_TOPIC
+from ledgerline.schemas import DLQ_TOPIC, LATE, LEDGER, ORDERS_TOPIC
+from ledgerline.session import kept
+from ledgerline.streaming.keyindex import unheld, write_filter
 from ledgerline.streaming.outputs import commit_increments, read_table, write_batch
 
 _LEDGER_COLUMNS = [c for c in LEDGER.names if c != "batch_id"]
+_LATE_COLUMNS = [c for c in LATE.names if c != "batch_id"]
 
 BatchJob = Callable[[DataFrame, int], None]
 
@@ -45,30 +48,60 @@ def new_orders(records: DataFrame, topic: str = ORDERS_TOPIC) -> DataFrame:
     )
 
 
-def new_orders_bounded(records: DataFrame, horizon: str) -> DataFrame:
-    """Streaming: orders not seen within ``horizon`` of the latest record, with state that expires.
+def recent_batches(spark: SparkSession, root: str, before: int, horizon: str) -> tuple[DataFrame, set[int]]:
+    """The horizon's begin as a one-row frame (null at first), and the batches that may matter for what is after it.
 
-    For feeds whose redeliveries come within a known time.  Which of the copies inside one
-    micro-batch is kept is Spark's choice, and a copy later than the horizon counts as a new
-    order; where first-wins amounts or late copies matter, use :func:`new_orders`.
+    The begin lies ``horizon`` before the latest record of the earlier batches.  A copy after it
+    repeats an order that came up to a horizon earlier still, so batches that end before that are out.
     """
-    seen = orders_of(classify(records, observe_as="intake"))
-    timed = seen.withColumn("event_time", F.col("appended_at").cast("timestamp"))
-    return (
-        timed.withWatermark("event_time", horizon)
-        .dropDuplicatesWithinWatermark(["order_id"])
-        .select("order_id", "topic", "record_partition", "record_offset", "amount_cents", "produced_at")
-        .withColumn("processed_at", F.current_timestamp())
-        .select(*_LEDGER_COLUMNS)
-    )
+    times = read_table(spark, root, "times").filter(F.col("batch_id") < before)
+    begin = kept(times.agg((F.max("last_event") - F.expr(f"INTERVAL {horizon}")).alias("begin")), "horizon")
+    since = begin.select((F.col("begin") - F.expr(f"INTERVAL {horizon}")).alias("since"))
+    rows = times.select("batch_id", "last_event").join(since, F.col("last_event") >= F.col("since"))
+    return begin, {r.batch_id for r in rows.select("batch_id").collect()}  # one row a batch
+
+
+def bounded_job(spark: SparkSession, root: str, horizon: str) -> BatchJob:
+    """A batch's first copies, checked against the batches within the horizon.
+
+    For feeds whose redeliveries come within a known time: what is read for a batch doesn't grow with
+    history, and a copy later than the horizon counts as a new order.  Records older than the horizon
+    are late: their orders are looked up in the whole ledger, through the key filters, applied if
+    nobody has, and listed in the table ``late`` either way.  Nothing is dropped.
+    """
+
+    def job(batch: DataFrame, batch_id: int) -> None:
+        begin, recent = recent_batches(spark, root, batch_id, horizon)
+        batch = kept(batch, "decoded")
+        first = first_copies(
+            orders_of(batch), ["record_partition", "record_offset", "amount_cents", "produced_at", "appended_at"]
+        )
+        early = F.coalesce(F.col("appended_at") < begin.select("begin").scalar(), F.lit(False))
+        judged = kept(first.withColumn("early", early), "judged")
+        on_time = unheld(spark, root, judged.filter("NOT early"), batch_id, recent)
+        late = judged.filter("early")
+        found = kept(unheld(spark, root, late, batch_id), "found")
+        rows = on_time.unionByName(found).withColumns({
+            "topic": F.lit(ORDERS_TOPIC), "processed_at": F.current_timestamp(),
+        })
+        write_batch(rows.select(*_LEDGER_COLUMNS), root, "ledger", batch_id)
+        applied = found.select("order_id", F.lit(True).alias("applied"))
+        listed = late.join(applied, "order_id", "left").withColumn("applied", F.coalesce("applied", F.lit(False)))
+        write_batch(listed.select(*_LATE_COLUMNS), root, "late", batch_id)
+        ends = batch.agg(F.min("appended_at").alias("first_event"), F.max("appended_at").alias("last_event"))
+        write_batch(ends, root, "times", batch_id)
+        write_filter(spark, root, batch_id)
+        commit_increments(spark, root, batch_id)
+
+    return job
 
 
 def apply_bounded(
     spark: SparkSession, records: DataFrame, root: str, horizon: str = "1 day", drain: bool = True
 ) -> StreamingQuery:
-    """Start the order stream with bounded state."""
-    rows = new_orders_bounded(records, horizon)
-    return start(rows, apply_job(spark, root), f"{root}/checkpoints/bounded", "append", drain)
+    """Start the order stream whose look-back is bounded; late records are applied and listed."""
+    decoded = classify(records, observe_as="intake")
+    return start(decoded, bounded_job(spark, root, horizon), f"{root}/checkpoints/bounded", "append", drain)
 
 
 def start(
@@ -142,22 +175,22 @@ def quarantine_topic(dead_letters: DataFrame, root: str, drain: bool = True) ->
 def gate_job(spark: SparkSession, root: str) -> BatchJob:
     """Stateless form: a batch's first copies, checked against the ledger.
 
-    Good for a few large batches, such as a backfill: each one reads the ledger's keys
-    once.  Only earlier batches count as seen; the folder a crashed attempt left behind
-    must not hide its own orders from the retry.
+    Of the ledger only the folders are read whose key filter one of the batch's keys passes.  Only
+    earlier batches count as seen; the folder a crashed attempt left behind must not hide its own
+    orders from the retry.
     """
 
     def job(batch: DataFrame, batch_id: int) -> None:
-        earlier = read_table(spark, root, "ledger").filter(F.col("batch_id") < batch_id)
         first = first_copies(
             orders_of(batch),
             ["record_partition", "record_offset", "amount_cents", "produced_at"],
         )
-        rows = unseen(first, earlier).withColumns({
+        rows = unheld(spark, root, first, batch_id).withColumns({
             "topic": F.lit(ORDERS_TOPIC),
             "processed_at": F.current_timestamp(),
         })
         write_batch(rows.select(*_LEDGER_COLUMNS), root, "ledger", batch_id)
+        write_filter(spark, root, batch_id)
         commit_increments(spark, root, batch_id)
 
     return job

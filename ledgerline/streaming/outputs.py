@@ -10,8 +10,19 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from ledgerline.operators.keyfilter import filter_words
 from ledgerline.operators.revenue import merged, per_minute
-from ledgerline.schemas import COMMITS, INCREMENTS, KIND_COUNTS, LEDGER, QUARANTINE, REPLAY_LOG
+from ledgerline.schemas import (
+    BATCH_TIMES,
+    COMMITS,
+    FILTERS,
+    INCREMENTS,
+    KIND_COUNTS,
+    LATE,
+    LEDGER,
+    QUARANTINE,
+    REPLAY_LOG,
+)
 
 SCHEMAS = {
     "ledger": LEDGER,
@@ -19,6 +30,9 @@ SCHEMAS = {
     "quarantine": QUARANTINE,
     "counts": KIND_COUNTS,
     "commits": COMMITS,
+    "filters": FILTERS,
+    "late": LATE,
+    "times": BATCH_TIMES,
 }
 
 
@@ -32,6 +46,9 @@ STREAM_OF = {
     "ledger": "orders",
     "increments": "orders",
     "commits": "orders",
+    "filters": "orders",
+    "late": "orders",
+    "times": "orders",
     "quarantine": "quarantine",
     "counts": "quarantine",
 }
@@ -62,16 +79,20 @@ def read_table(spark: SparkSession, root: str, table: str) -> DataFrame:
     upto = last_compacted(spark, root, STREAM_OF[table])
     if upto is None:
         return batches
-    base = spark.read.schema(SCHEMAS[table]).parquet(f"{root}/compacted/{table}/{upto}")
+    base = compacted_base(spark, root, table, upto)
     return base.unionByName(batches.filter(F.col("batch_id") > upto))
 
 
+def compacted_base(spark: SparkSession, root: str, table: str, upto: int) -> DataFrame:
+    return _read(spark, f"{root}/compacted/{table}/{upto}", SCHEMAS[table])
+
+
 def compact(spark: SparkSession, root: str, stream: str, upto: int) -> None:
     """Rewrite a stream's tables up to batch ``upto`` as few large files.
 
     ``upto`` must be a finished batch later than the last compaction's: what a batch writes
     after it was compacted would be lost, so anything else is refused.  Increments are
-    summed on the way.  The files count only once the log entry is written, so readers
+    summed on the way, and the ledger gets one key filter.  The files count only once the log entry is written, so readers
     never see half of a compaction; the batch folders it covers may be removed afterwards.
     """
     last = _read(spark, f"{root}/{_LAST_WRITTEN[stream]}", SCHEMAS[_LAST_WRITTEN[stream]])
@@ -83,7 +104,10 @@ def compact(spark: SparkSession, root: str, stream: str, upto: int) -> None:
         rows = read_table(spark, root, table).filter(F.col("batch_id") <= upto)
         if table == "increments":
             rows = merged(rows).withColumn("batch_id", F.lit(upto).cast("long"))
-        rows.hint("rebalance").write.mode("overwrite").parquet(f"{root}/compacted/{table}/{upto}")
+        if table == "filters":
+            ledger = read_table(spark, root, "ledger").filter(F.col("batch_id") <= upto)
+            rows = filter_words(ledger.select("order_id", F.lit(upto).cast("long").alias("batch_id")))
+        rows.select(*SCHEMAS[table].names).hint("rebalance").write.mode("overwrite").parquet(f"{root}/compacted/{table}/{upto}")
     done = spark.range(1).select(F.lit(True).alias("done"))
     done.write.mode("overwrite").parquet(f"{root}/compactions/{stream}/upto={upto}")
 

@@ -5,6 +5,10 @@ import random
 import pytest
 
 from ledgerline.operators import loss
+from ledgerline.plans import audits
+from ledgerline.streaming import keyindex, outputs
+
+SF_DIR = "/root/testdata/sf0.001"
 
 SCHEMA = "order_id string, record_partition int, record_offset long, note string"
 
@@ -75,3 +79,16 @@ def test_rows_outside_the_differing_ranges_are_not_read(spark, root):
 
 def test_height_reaches_one_range():
     assert [loss.height_for(x, 64, 16) for x in (None, 0, 63, 64, 1023, 1024, 10**9)] == [1, 1, 1, 2, 2, 3, 7]
+
+
+def test_few_folders_of_a_dated_ledger_are_scanned(spark):
+    from pyspark.sql import functions as F
+
+    orders = audits.decoded(spark, SF_DIR).filter("kind = 'order'").select("ingest_seq", "order_id", "appended_at")
+    root = audits._dated_ledger(spark, orders.filter(f"appended_at < TIMESTAMP_NTZ '{audits.HALFWAY}'"))
+    batch = orders.filter(f"appended_at >= TIMESTAMP_NTZ '{audits.HALFWAY}'").select("order_id").distinct()
+    folders = keyindex.candidate_folders(spark, root, batch, 100)
+    assert len(outputs.read_table(spark, root, "commits").collect()) == 15 and len(folders) <= 2
+    rows = keyindex.keys_in(spark, root, folders).union(keyindex.keys_in(spark, root, [3]))
+    day = {r.batch_id for r in outputs.read_table(spark, root, "ledger").select(F.col("batch_id")).distinct().collect()}
+    assert day == set(range(15)) and rows.count() < outputs.read_table(spark, root, "ledger").count() / 3

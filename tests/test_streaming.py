@@ -7,10 +7,11 @@ from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
+from ledgerline.operators import keyfilter
 from ledgerline.schemas import LANDED
 from ledgerline.session import streaming_session
 from ledgerline.sources.landing import landed_stream
-from ledgerline.streaming import apply, metrics, outputs, replay
+from ledgerline.streaming import apply, keyindex, metrics, outputs, replay
 
 EPOCH = "1970-01-01 00:00:00"
 
@@ -328,3 +329,61 @@ def test_ledger_rows_at_any_number_of_partitions(spark, session, root, partition
     assert totals(spark, root) == {0: (1, 100)}
     outputs.compact(spark, root, "orders", 0)
     assert totals(spark, root) == {0: (1, 100)}
+
+
+def test_late_first_copies_are_applied_and_listed(spark, session, root):
+    landing = f"{root}/landing"
+    days = [("10", [order(0, 1, 100, 0)]), ("11", [order(1, 2, 10, 0)]), ("02", [order(2, 3, 5, 0), order(3, 1, 9, 0)]),
+            ("02", [order(4, 3, 6, 0), order(5, 4, 7, 0)]), ("12", [order(6, 2, 8, 0)])]
+    for day, records in days:
+        land(session, landing, records, f"2024-01-{day} 00:00:00")
+    apply.apply_bounded(session, landed_stream(session, landing), root, "1 day").awaitTermination()
+    ledger = {r.order_id: r.amount_cents for r in outputs.read_table(spark, root, "ledger").collect()}
+    assert ledger == {"o-1": 100, "o-2": 10, "o-3": 5, "o-4": 7}
+    late = {(r.order_id, r.batch_id): r.applied for r in outputs.read_table(spark, root, "late").collect()}
+    assert late == {("o-3", 2): True, ("o-1", 2): False, ("o-3", 3): False, ("o-4", 3): True}
+    outputs.compact(spark, root, "orders", 4)
+    land(session, landing, [order(7, 3, 1, 0), order(8, 9, 2, 0)], "2024-01-02 00:00:00")
+    apply.apply_bounded(session, landed_stream(session, landing), root, "1 day").awaitTermination()
+    assert totals(spark, root) == {0: (5, 124)}
+
+
+def test_batches_before_the_horizon_are_not_looked_at(spark, session, root):
+    landing = f"{root}/landing"
+    for i in range(5):
+        land(session, landing, [order(i, i, 1, 0)], f"2024-01-{10 + 5 * i} 00:00:00")
+    apply.apply_bounded(session, landed_stream(session, landing), root, "1 day").awaitTermination()
+    assert apply.recent_batches(spark, root, 5, "1 day")[1] == {4}
+    assert apply.recent_batches(spark, root, 5, "6 days")[1] == {2, 3, 4}
+
+
+def test_the_gate_scans_folders_that_may_hold_a_key_and_no_others(spark, session, root):
+    landing = f"{root}/landing"
+    for i in range(8):
+        land(session, landing, [order(100 * i + k, 100 * i + k, 1, 0) for k in range(60)])
+    apply.apply_backfill(session, landed_stream(session, landing), root).awaitTermination()
+    keys = spark.createDataFrame([("o-205",), ("o-700",), ("new",)], "order_id string")
+    folders = keyindex.candidate_folders(spark, root, keys, 8)
+    assert folders == [2, 7]
+    assert keyindex.candidate_folders(spark, root, keys, 7) == [2]
+    rows = keyindex.keys_in(spark, root, folders)
+    assert {f.split("batch_id=")[1].split("/")[0] for f in rows.inputFiles()} >= {"2", "7"}
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [batch_id" in plan and rows.count() == 120
+    # a folder without a filter may hold anything; compacted folders share one filter
+    outputs.write_batch(outputs.read_batch(spark, root, "filters", 3).filter("false"), root, "filters", 3)
+    assert keyindex.candidate_folders(spark, root, keys, 8) == [2, 3, 7]
+    outputs.compact(spark, root, "orders", 5)
+    assert keyindex.candidate_folders(spark, root, keys, 8) == [5, 7]
+    assert keyindex.unheld(spark, root, keys, 8).collect()[0].order_id == "new"
+
+
+def test_filters_pass_few_other_keys(spark):
+    sets = spark.range(40_000).selectExpr("concat('a-', id) AS order_id", "id % 3 AS batch_id")
+    words = keyfilter.filter_words(sets.union(spark.sql("SELECT 'one', 9L"))).cache()
+    sizes = {r.size_bits for r in words.select("size_bits").distinct().collect()}
+    inside = keyfilter.possible(sets.select("order_id"), words, sizes).filter("batch_id < 3")
+    assert inside.join(sets, ["order_id", "batch_id"]).count() == 40_000
+    others = spark.range(100_000).selectExpr("concat('b-', id) AS order_id")
+    assert keyfilter.possible(others, words, sizes).count() < 40
+    words.unpersist()

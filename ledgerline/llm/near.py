@@ -3,15 +3,14 @@
 Signature: 60 positions of 16 bits, each the least value of one hash over the text's distinct
 five-word shingles.  Two sets of similarity 0.85 differ in 9 positions on average.
 
-Join: the signature is split into 10 chunks of 6.  By the pigeonhole principle two signatures
-that differ in at most 19 positions have a chunk that differs in at most one, so each chunk is
+Join: the signature is split into 12 chunks of 5.  By the pigeonhole principle two signatures
+that differ in at most 23 positions have a chunk that differs in at most one, so each chunk is
 indexed once for every position that may be in error (that position left out): all pairs up to
-that distance share a key.  Pairs beyond it are found too unless every chunk has two errors;
-for similarity 0.85 that is 3 in 10 million.
+that distance share a key, without exception.
 
 A pair is tested once, at the first key that it shares: by the sizes of the sets, by the
-signatures (up to 22 positions may differ; 5 in a million pairs of similarity 0.85 have more),
-then exactly on the full sets.  A key with many texts is cut into blocks of some thousand, and
+signatures (up to those 23 positions may differ; 2 in a million pairs of similarity 0.85 have more,
+4 in 10,000 of similarity 0.80), then exactly on the full sets.  The similarity is a parameter.  A key with many texts is cut into blocks of some thousand, and
 each pair of blocks is a piece of work of its own; within one, texts that are already linked
 through others aren't compared again, so a group of near copies gives a forest, not all pairs.
 
@@ -37,10 +36,11 @@ from ledgerline.llm.exact import keep_rows
 from ledgerline.llm.shingles import mix, shingle_sets
 from ledgerline.session import kept
 
-POSITIONS, CHUNK = 60, 6
+POSITIONS, CHUNK = 60, 5
 CHUNKS = POSITIONS // CHUNK
-MOST_APART = 22
+MOST_APART = 2 * CHUNKS - 1  # one error a chunk, and one more in all but one
 SIMILAR = 85  # per cent
+STAGE_SIMILAR = 80  # of the pipeline's stage
 BLOCK = 1024
 
 _random = np.random.default_rng(20240607)
@@ -59,7 +59,7 @@ def signature(shingles: np.ndarray) -> np.ndarray:
 
 
 def index_keys(signatures: np.ndarray) -> np.ndarray:
-    """n x 60 keys: key c*6+d is chunk c without its position d."""
+    """n x 60 keys: key c*5+d is chunk c without its position d."""
     place = np.arange(POSITIONS, dtype=np.uint64) << np.uint64(16)
     terms = mix(signatures.astype(np.uint64) | place)
     whole = terms.reshape(-1, CHUNKS, CHUNK).sum(axis=2, dtype=np.uint64).repeat(CHUNK, axis=1)
@@ -136,7 +136,7 @@ def whole_groups(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterato
 GROUP = ["key", "low", "high"]
 
 
-def _pairs(table: pa.Table) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+def _pairs(table: pa.Table, similar: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """Row numbers (s, t) of the pairs to be tested here, and in how many positions they differ."""
     column = lambda name: table.column(name).to_numpy()
     group = np.zeros(table.num_rows, np.int64)
@@ -153,7 +153,7 @@ def _pairs(table: pa.Table) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray
         s = np.flatnonzero(group[shift:] == group[:-shift])
         t = s + shift
         less, more = np.minimum(size[s], size[t]), np.maximum(size[s], size[t])
-        test = (100 * less >= SIMILAR * more) & (node[s] != node[t])
+        test = (100 * less >= similar * more) & (node[s] != node[t])
         test &= inner[s] | (block[s] != block[t])
         s, t = s[test], t[test]
         for start in range(0, len(s), 1 << 15):
@@ -170,20 +170,20 @@ def _pairs(table: pa.Table) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray
 ROW = "key bigint, low int, high int, block int, slot int, node bigint"
 
 
-def _passing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _passing(batches: Iterator[pa.RecordBatch], similar: int) -> Iterator[pa.RecordBatch]:
     """The rows that have a partner by size and signature."""
     for table in whole_groups(batches, GROUP):
         marked = np.zeros(table.num_rows, bool)
-        for s, t, _ in _pairs(table):
+        for s, t, _ in _pairs(table, similar):
             marked[s] = marked[t] = True
         out = table.select([f.split()[0] for f in ROW.split(", ")]).filter(pa.array(marked))
         yield from out.combine_chunks().to_batches()
 
 
-def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _linked(batches: Iterator[pa.RecordBatch], similar: int) -> Iterator[pa.RecordBatch]:
     """Links between sets of sufficient similarity; a forest for each piece of work."""
     for table in whole_groups(batches, GROUP):
-        found = [np.concatenate(x) for x in zip(*_pairs(table))]
+        found = [np.concatenate(x) for x in zip(*_pairs(table, similar))]
         if not found or not len(found[0]):
             continue
         order = np.argsort(found[2], kind="stable")
@@ -210,7 +210,7 @@ def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 continue
             x, y = members(s), members(t)
             common = len(np.intersect1d(x, y, assume_unique=True))
-            if 100 * common >= SIMILAR * (len(x) + len(y) - common):
+            if 100 * common >= similar * (len(x) + len(y) - common):
                 above[a] = b
                 links.append((nodes[s], nodes[t]))
         if links:
@@ -235,7 +235,7 @@ def _sets(texts: DataFrame) -> DataFrame:
     return texts.mapInArrow(run, "node bigint, shingles binary").dropDuplicates(["node"])
 
 
-def similar_links(docs: DataFrame, nodes: DataFrame) -> DataFrame:
+def similar_links(docs: DataFrame, nodes: DataFrame, similar: int = SIMILAR) -> DataFrame:
     """Links (a, b) between nodes; they connect whatever is similar, directly or through others."""
     keys = _keys(nodes)
     shared = keys.groupBy("key").count().filter("count > 1")
@@ -248,21 +248,22 @@ def similar_links(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     )
     narrow = nodes.select("node", F.col("n_shingles").alias("n"), "signature")
     grouped = rows.join(narrow, "node").repartition(*GROUP).sortWithinPartitions(*GROUP)
-    passing = kept(grouped.mapInArrow(_passing, ROW), "passing")
+    passing = kept(grouped.mapInArrow(lambda rows: _passing(rows, similar), ROW), "passing")
     wanted = passing.select("node").distinct().join(nodes, "node").select("node", "digest", "doc_id")
     texts = docs.select("doc_id", "text").join(wanted, "doc_id").select("node", "digest", "text")
     full = passing.join(narrow, "node").join(_sets(texts), "node")
-    return full.repartition(*GROUP).sortWithinPartitions(*GROUP).mapInArrow(_linked, "a bigint, b bigint")
+    ordered = full.repartition(*GROUP).sortWithinPartitions(*GROUP)
+    return ordered.mapInArrow(lambda rows: _linked(rows, similar), "a bigint, b bigint")
 
 
-def near_groups(docs: DataFrame) -> DataFrame:
+def near_groups(docs: DataFrame, similar: int = SIMILAR) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every row of docs."""
     listed = kept(profiles(docs), "profiles")
     grouped = listed.filter("n_shingles > 0").groupBy("digest").agg(
         F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n_shingles"), F.first("signature").alias("signature")
     )
     nodes = kept(grouped.withColumn("node", F.monotonically_increasing_id()), "nodes")
-    labels = kept(components(similar_links(docs, nodes)), "labels")
+    labels = kept(components(similar_links(docs, nodes, similar)), "labels")
     named = nodes.select("node", "digest", "doc_id").join(labels, "node", "left")
     named = named.withColumn("label", F.coalesce("label", "node"))
     # written, like the labels: the joins to them are between plain tables, which Spark splits
@@ -280,7 +281,7 @@ def near_groups(docs: DataFrame) -> DataFrame:
 
 def drop_near_copies(docs: DataFrame) -> DataFrame:
     """docs with the row of the smallest doc_id of each group of near copies."""
-    return keep_rows(docs, near_groups(docs).filter("kept"))
+    return keep_rows(docs, near_groups(docs, STAGE_SIMILAR).filter("kept"))
 
 
 def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -33,7 +33,7 @@ def test_stages_one_by_one(spark, documents):
         groups[lower(texts[i])].append(i)
     exact = sorted(max(g) for g in groups.values())
     assert sorted(after("exact_dedup")) == exact
-    near = [r[0] for r in brute_groups([(i, texts[i]) for i in exact]) if r[3]]
+    near = [r[0] for r in brute_groups([(i, texts[i]) for i in exact], 80) if r[3]]
     assert sorted(after("near_dedup")) == sorted(near)
     cut = after("substring_dedup")
     assert sorted(cut) == sorted(near)

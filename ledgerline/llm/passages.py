@@ -1,21 +1,28 @@
-"""Near-duplicate passages across documents, by min-hashes of all windows of 50 words.
-
-A document is the sequence of its five-word shingles; a window of 50 words has 46 of them.  Under
-each of six hash functions a window has a least value, so two windows of similarity 0.8 have equal
-ones with probability 0.8 for each.  A window's keys are the pairs of least values within two groups
-of three functions; two windows of similarity 0.8 share a key with probability 0.989, equal ones have
-all six.  Along a text the keys change about once in twelve words each; a document lists each of its
-keys once, however often its text repeats itself.  Keys of one document only go first.
-
-Documents with a key are compared with the smallest doc_id that has it, on their words: runs of equal
-words are chained over changed, left out and inserted words while the chain's shingles have a
-similarity of 0.8.  For shingles in common n and others m (of both sides) that is n >= 4m, so a
-chain's score is a sum over its runs and gaps.
-
-A window that shares a key with a first document which doesn't hold the same 50 words is listed again
-by these words, and joined to the first document that lists the same.  So every equal passage is
-found: the windows of two documents that hold it have the same keys, hence the same first documents;
-one of these holds the passage, or both windows are listed again.
+"""Near-duplicate passages across documents, by compact windows of min-hashes.
+
+A document is the sequence of its five-word shingles; a passage of 50 words has 46 of them.  Under
+each of six hash functions every stretch of shingles has a least one.  The stretches that share it are
+a compact window: the span of a node of the Cartesian tree over the hashes, from the last smaller hash
+before it to the first one behind it.  Only spans of 46 shingles and more matter; there are about two
+for each 46 shingles of a text, and they are read off the minima of all 46 in a row, without the tree's
+smaller nodes.  Two stretches of similarity 0.8 have the same least shingle under two of the six
+functions or more with probability 0.998; equal stretches do under all of them.
+
+1. Documents list their compact windows by (function, least shingle).  Those that meet the smallest
+   doc_id of two functions' windows are compared with it: the windows that the two texts share are
+   joined by their intervals, and where two functions cover a stretch its words are verified.
+2. A window is open when its document isn't alike with that first one there: it met another under one
+   function only, or verification failed.  Open windows that lie together are listed again by pairs
+   of functions, so documents that quote less of a passage no longer stand before it.
+3. What is still open then is listed by its 50 words and joined to the first document that lists the
+   same; that one holds them.
+
+Verification: runs of equal words are chained over changed, left out and inserted words while the
+chain's shingles have a similarity of 0.8.  For shingles in common n and others m (of both sides) that
+is n >= 4m, so a chain's score is a sum over its runs and gaps.
+
+What is moved: narrow rows for windows, and the two texts of a pair that met twice.  Counting keys is
+combined on the map side and the rows of a hot key are joined to a written table, which Spark splits.
 
 Result: one row per document and repeated passage, with the first document that holds it.
 
@@ -27,7 +34,7 @@ give no rows.  A shorter run of 45 equal words or more is a passage with the wor
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from heapq import heappop, heappush
 
 import numpy as np
@@ -41,10 +48,11 @@ from ledgerline.session import kept
 LEAST = 50  # words of a passage
 SHINGLES = LEAST - WIDTH + 1
 SEEDS = tuple(mix(np.arange(1, 7, dtype=np.uint64)).tolist())
-KEYS = ((0, 1), (0, 2), (1, 2), (3, 4), (3, 5), (4, 5))
+ENOUGH = 2  # hash functions that must agree
 OTHER = 4  # shingles in common that make up for one that isn't, at a similarity of 0.8
 SLICE = 128  # pairs of texts split into words at a time
 MATCHES = 1 << 18  # equal shingles of a pair of texts held at a time
+GROUP_BYTES = 1 << 20  # text whose windows are listed at a time
 
 
 def _runs(hashes: np.ndarray, starts: np.ndarray, length: int) -> np.ndarray:
@@ -66,42 +74,43 @@ def _window_minima(values: np.ndarray, size: int) -> np.ndarray:
     return np.minimum(after[: n - size + 1], before[size - 1 : n])
 
 
-def window_keys(hashes: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
-    """First words of the windows, and for each of KEYS the windows' keys.
+def compact_windows(hashes: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(text, function, key, first, last) of the compact windows of several texts, text i from bounds[i] to bounds[i + 1].
 
-    `hashes` are the words of several texts, text i from bounds[i] to bounds[i + 1].
+    A window's 50-word stretches begin at the words first to last of its text; all of them have the
+    same least shingle under the function.  The key names function and shingle.
     """
     n = len(hashes)
     if n < LEAST:
-        return np.zeros(0, np.int64), [np.zeros(0, np.uint64)] * len(KEYS)
+        return tuple(np.zeros(0, np.int64) for _ in range(5))
     text = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
     starts = np.flatnonzero(text[: n - LEAST + 1] == text[LEAST - 1 :])
+    of = text[starts]
     shingles = _runs(hashes, np.arange(n - WIDTH + 1), WIDTH)
-    least = [_window_minima(mix(shingles ^ np.uint64(seed)), SHINGLES)[starts] for seed in SEEDS]
-    keys = [mix(least[i] * np.uint64(0x9E3779B97F4A7C15) + least[j] + np.uint64(g)) for g, (i, j) in enumerate(KEYS)]
-    return starts, keys
+    parts = []
+    for function, seed in enumerate(SEEDS):
+        least = _window_minima(mix(shingles ^ np.uint64(seed)), SHINGLES)[starts]
+        new = np.flatnonzero(np.append(True, (least[1:] != least[:-1]) | (of[1:] != of[:-1]))) if len(starts) else starts
+        last = np.append(new[1:], len(starts))[: len(new)] - 1
+        key = mix(least[new] * np.uint64(0x9E3779B97F4A7C15) + np.uint64(function)).view(np.int64)
+        begin = bounds[of[new]]
+        parts.append((of[new], np.full(len(new), function), key, starts[new] - begin, starts[last] - begin))
+    return tuple(np.concatenate(x) for x in zip(*parts))
+
 
+WINDOW = "key bigint, doc_id bigint, function tinyint, place int"
 
-def _listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """key, doc_id: each key of a text once."""
+
+def _windows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The compact windows of every text."""
     for batch in batches:
         ids = batch.column(0).to_numpy()
         texts = batch.column(1).cast(pa.binary()).to_pylist()
-        for a, b in groups_of(texts):
+        for a, b in groups_of(texts, GROUP_BYTES):
             hashes, _, _, bounds = words(texts[a:b])
-            starts, keys = window_keys(hashes, bounds)
-            if not len(starts):
-                continue
-            text = np.searchsorted(bounds, starts, "right") - 1
-            for column in keys:
-                new = np.flatnonzero(np.append(True, (column[1:] != column[:-1]) | (text[1:] != text[:-1])))
-                key, of = column[new], text[new]
-                order = np.lexsort((of, key))
-                key, of = key[order], of[order]
-                once = np.append(True, (key[1:] != key[:-1]) | (of[1:] != of[:-1]))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(key[once].view(np.int64)), pa.array(ids[a:b][of[once]])], ["key", "doc_id"]
-                )
+            of, function, key, first, _ = compact_windows(hashes, bounds)
+            columns = [pa.array(key), pa.array(ids[a:b][of]), pa.array(function, pa.int8()), pa.array(first, pa.int32())]
+            yield pa.RecordBatch.from_arrays(columns, ["key", "doc_id", "function", "place"])
 
 
 def _first_of(rows: DataFrame, key: str) -> DataFrame:
@@ -110,11 +119,32 @@ def _first_of(rows: DataFrame, key: str) -> DataFrame:
     return ends.filter("first_id < last_id").select(key, "first_id")
 
 
-def _candidates(docs: DataFrame) -> DataFrame:
-    """doc_id, first_id: documents that share a key, with the key's smallest doc_id."""
-    rows = docs.mapInArrow(_listed, "key bigint, doc_id bigint")
-    shared = kept(_first_of(rows, "key"), "shared")
-    return rows.join(shared, "key").filter("doc_id > first_id").select("doc_id", "first_id").distinct()
+def _meetings(rows: DataFrame, label: str) -> DataFrame:
+    """The rows that share a key with a smaller doc_id, and the smallest one that has the key."""
+    shared = kept(_first_of(rows, "key"), label)
+    return rows.join(shared, "key").filter("doc_id > first_id")
+
+
+def _together(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """key, doc_id for each two windows of different functions that may share a stretch; rows come by document and place."""
+    tail = None
+    for batch in batches:
+        table = pa.Table.from_batches([batch] if tail is None else [tail, batch])
+        key, doc, function, place = (table.column(n).to_numpy() for n in ("key", "doc_id", "function", "place"))
+        known, n, shift = 0 if tail is None else tail.num_rows, len(key), 1
+        while shift < n:
+            near = (doc[shift:] == doc[:-shift]) & (place[shift:] - place[:-shift] < SHINGLES)
+            near[: max(0, known - shift)] = False
+            if not near[max(0, known - shift) :].any():
+                break
+            i = np.flatnonzero(near & (function[shift:] != function[:-shift]))
+            low = np.where(function[i] < function[i + shift], key[i], key[i + shift]).view(np.uint64)
+            high = np.where(function[i] < function[i + shift], key[i + shift], key[i]).view(np.uint64)
+            both = mix(low * np.uint64(0xD6E8FEB86659FD93) + high).view(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(both), pa.array(doc[i])], ["key", "doc_id"])
+            shift += 1
+        open_end = np.flatnonzero((doc == doc[-1]) & (place > place[-1] - SHINGLES)) if n else np.zeros(0, int)
+        tail = table.slice(int(open_end[0])).combine_chunks().to_batches()[0] if len(open_end) else None
 
 
 def _equal_runs(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -213,10 +243,10 @@ def _links(runs: np.ndarray) -> dict[int, list[tuple[int, int]]]:
     return out
 
 
-def alike(a: np.ndarray, b: np.ndarray) -> tuple[list[tuple[int, int, int, int | None]], np.ndarray]:
-    """Passages of two texts' words, as _chains gives them, and which windows of a are in b word by word."""
+def alike(a: np.ndarray, b: np.ndarray) -> list[tuple[int, int, int, int | None]]:
+    """Passages of two texts' words, as _chains gives them."""
     if min(len(a), len(b)) < LEAST:
-        return [], np.zeros(max(0, len(a) - LEAST + 1), bool)
+        return []
     of_a, of_b = (_runs(x, np.arange(len(x) - LEAST + 1), LEAST) for x in (a, b))
     known, place = np.unique(of_b, return_index=True)
     at = np.minimum(np.searchsorted(known, of_a), len(known) - 1)
@@ -233,7 +263,7 @@ def alike(a: np.ndarray, b: np.ndarray) -> tuple[list[tuple[int, int, int, int |
         # a passage of 50 words has 41 shingles in common
         if runs[:, 2].sum() >= LEAST - 2 * WIDTH + 1:
             found |= set(_chains(runs, len(a), len(b)))
-    return sorted(found, key=lambda x: x[:3]), equal
+    return sorted(found, key=lambda x: x[:3])
 
 
 PASSAGE = (
@@ -243,57 +273,105 @@ PASSAGE = (
 _NAMES = [f.split()[0] for f in PASSAGE.split(", ")]
 
 
-def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Passages of (doc_id, first_id, text_hash, text, first_text); `window` is null for them.
+def _shared_windows(a: list[np.ndarray], b: list[np.ndarray], n: int) -> tuple[np.ndarray, bool]:
+    """Which windows of a text of n words another has too, and whether enough functions cover one stretch."""
+    _, key, first, last = a
+    met = np.isin(key, b[1])
+    cover = np.zeros(n + 1, np.int64)
+    np.add.at(cover, first[met], 1)
+    np.subtract.at(cover, last[met] + 1, 1)
+    return met, bool(np.cumsum(cover).max(initial=0) >= ENOUGH)
 
-    Windows that share a key with a first text which doesn't hold them follow, each with its hash as window.
-    """
-    for batch in (b.slice(at, SLICE) for b in batches for at in range(0, b.num_rows, SLICE)):
-        ids, firsts, marks = (batch.column(i).to_pylist() for i in range(3))
-        here = list(word_lists(batch.column(3).cast(pa.binary()).to_pylist()))
-        there = list(word_lists(batch.column(4).cast(pa.binary()).to_pylist()))
-        rows: list[tuple] = []
-        for i, doc_id in enumerate(ids):
-            a, first, last = here[i]
-            b = there[i][0]
-            found, equal = alike(a, b)
-            for s, e, t, end in found:
-                rows.append((doc_id, firsts[i], s, e, t, end, int(first[s]), int(last[e - 1]), marks[i], None))
-            if equal.all() or len(b) < LEAST:
-                continue
-            own, others = (window_keys(x, np.array([0, len(x)]))[1] for x in (a, b))
-            met = np.any([np.isin(x, y) for x, y in zip(own, others)], axis=0)
-            starts = np.flatnonzero(met & ~equal)
-            size = len(starts)
-            none = pa.nulls(size, pa.int64())
-            again = [np.full(size, doc_id), none, starts, starts + LEAST, none, none, first[starts], last[starts + LEAST - 1]]
-            again += [np.full(size, marks[i]), _runs(a, starts, LEAST).view(np.int64)]
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in again], _NAMES)
-        columns = list(zip(*rows)) or [()] * len(_NAMES)
-        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], _NAMES)
 
+def _inside(first: np.ndarray, last: np.ndarray, found: list[tuple]) -> np.ndarray:
+    """Which stretches of words lie within a passage."""
+    out = np.zeros(len(first), bool)
+    for s, e, *_ in found:
+        out |= (first >= s) & (last <= e)
+    return out
 
-def passages(docs: DataFrame) -> DataFrame:
-    """doc_id, first_id and places of every repeated passage; places may overlap."""
-    docs = docs.select("doc_id", "text").filter("doc_id IS NOT NULL AND text IS NOT NULL")
-    pairs = kept(_candidates(docs), "pairs")
+
+def _verified(exact: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Passages of (doc_id, first_id, text_hash, text, first_text), and what stays open.
+
+    Rows with a key in `window` are open: the document's windows that the first text shares without a
+    passage that holds them (place and function as start_word and first_word), or, if `exact`, the
+    50-word stretches in such windows, by their words.
+    """
+
+    def texts_of(column: pa.Array) -> tuple[list, list]:
+        lists = list(word_lists(column.cast(pa.binary()).to_pylist()))
+        bounds = np.cumsum([0, *(len(x[0]) for x in lists)])
+        of, *columns = compact_windows(np.concatenate([x[0] for x in lists]), bounds)
+        order = np.argsort(of, kind="stable")
+        cut = np.searchsorted(of[order], np.arange(len(lists) + 1))
+        columns = [c[order] for c in columns]
+        return lists, [[c[cut[i] : cut[i + 1]] for c in columns] for i in range(len(lists))]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in (b.slice(at, SLICE) for b in batches for at in range(0, b.num_rows, SLICE)):
+            ids, firsts, marks = (batch.column(i).to_pylist() for i in range(3))
+            here, windows = texts_of(batch.column(3))
+            there, others = texts_of(batch.column(4))
+            rows: list[tuple] = []
+            for i, doc_id in enumerate(ids):
+                a, first, last = here[i]
+                met, enough = _shared_windows(windows[i], others[i], len(a))
+                found = alike(a, there[i][0]) if enough else []
+                for s, e, t, end in found:
+                    rows.append((doc_id, firsts[i], s, e, t, end, int(first[s]), int(last[e - 1]), marks[i], None))
+                function, key, low, high = (c[met] for c in windows[i])
+                still = ~_inside(low, high + LEAST, found)
+                if exact:
+                    starts = np.unique(np.concatenate([np.arange(x, y + 1) for x, y in zip(low[still], high[still])] or [low]))
+                    starts = starts[~_inside(starts, starts + LEAST, found)]
+                    more = zip(starts.tolist(), [None] * len(starts), _runs(a, starts, LEAST).view(np.int64).tolist())
+                else:
+                    more = zip(low[still].tolist(), function[still].tolist(), key[still].tolist())
+                rows += [
+                    (doc_id, None, s, s + LEAST, f, None, int(first[s]), int(last[s + LEAST - 1]), marks[i], k) for s, f, k in more
+                ]
+            columns = list(zip(*rows)) or [()] * len(_NAMES)
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], _NAMES)
+
+    return run
+
+
+def _compared(docs: DataFrame, pairs: DataFrame, exact: bool, label: str) -> DataFrame:
+    """The rows of `_verified` for pairs (doc_id, first_id)."""
     wanted = pairs.select("doc_id").union(pairs.select("first_id")).distinct()
     texts = kept(docs.join(wanted, "doc_id").dropDuplicates(["doc_id"]), "texts")
     marked = texts.withColumn("text_hash", F.xxhash64("text"))
     others = texts.select(F.col("doc_id").alias("first_id"), F.col("text").alias("first_text"))
     both = pairs.join(marked, "doc_id").join(others, "first_id")
     checked = both.select("doc_id", "first_id", "text_hash", "text", "first_text")
-    found = kept(checked.mapInArrow(_verified, PASSAGE), "passages")
-    again = found.filter("window IS NOT NULL")
-    firsts = again.join(_first_of(again, "window"), "window").drop(again["first_id"]).alias("w")
-    there = again.groupBy("window", F.col("doc_id").alias("first_id")).agg(F.min("start_word").alias("there"))
-    rest = (
-        firsts.filter("doc_id > first_id")
-        .join(there, ["window", "first_id"])
-        .withColumn("first_word", F.col("there"))
-        .select(*found.columns)
+    return kept(checked.mapInArrow(_verified(exact), PASSAGE), label)
+
+
+def passages(docs: DataFrame) -> DataFrame:
+    """doc_id, first_id and places of every repeated passage; places may overlap."""
+    docs = docs.select("doc_id", "text").filter("doc_id IS NOT NULL AND text IS NOT NULL")
+    pair = ["doc_id", "first_id"]
+
+    met = kept(_meetings(docs.mapInArrow(_windows_of, WINDOW), "shared"), "met")
+    functions = F.bit_count(F.expr("bit_or(shiftleft(1, int(function)))"))
+    counted = kept(met.groupBy(*pair).agg((functions >= ENOUGH).alias("often")), "counted")
+    often = counted.filter("often").select(*pair)
+    first = _compared(docs, often, False, "first")
+
+    once = met.join(counted.filter("NOT often").select(*pair), pair).select("key", "doc_id", "function", "place")
+    failed = first.filter("window IS NOT NULL").selectExpr(
+        "window AS key", "doc_id", "cast(first_word AS tinyint) AS function", "cast(start_word AS int) AS place"
     )
-    return found.filter("window IS NULL").union(rest).drop("window")
+    waiting = once.union(failed).distinct().repartition("doc_id").sortWithinPartitions("doc_id", "place")
+    together = kept(waiting.mapInArrow(_together, "key bigint, doc_id bigint"), "together")
+    again = kept(_meetings(together, "shared").select(*pair).distinct().join(often, pair, "left_anti"), "again")
+    second = _compared(docs, again, True, "second")
+
+    listed = second.filter("window IS NOT NULL").select(F.col("window").alias("key"), "doc_id")
+    last = _meetings(listed, "shared").select(*pair).distinct()
+    third = _compared(docs, kept(last.join(often.union(again), pair, "left_anti"), "last"), True, "third")
+    return first.union(second).union(third).filter("window IS NULL").drop("window")
 
 
 def shifted(found: DataFrame) -> DataFrame:

@@ -20,7 +20,7 @@ def shingles(text):
     return frozenset(tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))) if w else frozenset()
 
 
-def brute_groups(rows):
+def brute_groups(rows, similar=85):
     sets = [(i, shingles(t)) for i, t in rows]
     above = list(range(len(sets)))
 
@@ -32,7 +32,7 @@ def brute_groups(rows):
     for a in range(len(sets)):
         for b in range(a):
             x, y = sets[a][1], sets[b][1]
-            if x and y and 100 * len(x & y) >= 85 * len(x | y):
+            if x and y and 100 * len(x & y) >= similar * len(x | y):
                 above[top(a)] = top(b)
     members = defaultdict(list)
     for k in range(len(sets)):
@@ -50,6 +50,22 @@ def test_groups_of_documents(documents):
     assert got == brute_groups(rows)
 
 
+def test_pairs_between_the_limits(spark):
+    """Similarity 0.80 to 0.85: linked at 80 per cent, not at 85; the stage takes 80."""
+    rows = []
+    for k in range(60):
+        base = [f"t{k}x{i}" for i in range(104)]  # 100 shingles
+        copy = list(base)
+        for j in range(2):
+            copy[20 + 40 * j] = f"new{k}x{j}"  # five shingles each: 90 of 110
+        rows += [(2 * k, " ".join(base)), (2 * k + 1, " ".join(copy))]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    for similar in (80, 85):
+        got = sorted((tuple(r) for r in near.near_groups(docs, similar).collect()), key=str)
+        assert got == brute_groups(rows, similar)
+    assert sorted(r.doc_id for r in near.drop_near_copies(docs).collect()) == list(range(0, 120, 2))
+
+
 def test_groups_of_odd_rows(odd):
     got = sorted((tuple(r) for r in near.near_groups(odd).collect()), key=str)
     assert got == brute_groups(ODD)
@@ -85,9 +101,11 @@ def test_no_rows(nothing):
 def test_every_pair_within_the_distance_shares_a_key():
     random = np.random.default_rng(1)
     a = random.integers(0, 1 << 16, near.POSITIONS).astype("<u2")
-    for _ in range(200):
+    spread = [c * near.CHUNK + j for j in range(2) for c in range(near.CHUNKS)]
+    for t in range(2000):
         b = a.copy()
-        at = random.choice(near.POSITIONS, 2 * near.CHUNKS - 1, replace=False)
+        # the worst case first: the errors dealt evenly over the chunks
+        at = spread[: near.MOST_APART] if t == 0 else random.choice(near.POSITIONS, near.MOST_APART, replace=False)
         b[at] ^= 1
         keys = near.index_keys(np.stack([a, b]))
         assert (keys[0] == keys[1]).any()
@@ -197,3 +215,50 @@ def test_repeated_lines_of_unequal_length(spark, period, shared, behind):
         rows.append((2 * k, " ".join([f"a{k}w{i}" for i in range(40)] + run[-(shared + 20) :] + end + [f"b{k}w{i}" for i in range(40)])))
         rows.append((2 * k + 1, " ".join([f"c{k}w{i}" for i in range(40)] + run[-(shared + 7 + k) :] + end + [f"d{k}w{i}" for i in range(40)])))
     check_passages(passages.merged(passages.passages(spark.createDataFrame(rows, "doc_id bigint, text string"))).collect(), rows)
+
+
+def test_compact_windows_are_the_wide_nodes_of_the_cartesian_tree():
+    random = np.random.default_rng(3)
+    texts = [[f"w{x}" for x in random.integers(0, 4000, n)] for n in (30, 50, 51, 400, 900)]
+    hashes, _, _, bounds = passages.words([" ".join(t).encode() for t in texts])
+    of, function, key, first, last = passages.compact_windows(hashes, bounds)
+    for t in range(len(texts)):
+        own = hashes[bounds[t] : bounds[t + 1]]
+        shingle = passages._runs(own, np.arange(max(0, len(own) - 4)), 5)
+        for f, seed in enumerate(passages.SEEDS):
+            value, spans = passages.mix(shingle ^ np.uint64(seed)), []
+
+            def node(left, right):
+                if right - left >= passages.SHINGLES:
+                    c = left + int(value[left:right].argmin())
+                    spans.append((max(left, c - passages.SHINGLES + 1), min(c, right - passages.SHINGLES)))
+                    node(left, c)
+                    node(c + 1, right)
+
+            node(0, len(value))
+            mine = (of == t) & (function == f)
+            assert sorted(zip(first[mine].tolist(), last[mine].tolist())) == sorted(spans)
+    assert len(np.unique(key)) == len(key)
+
+
+@pytest.mark.parametrize("n, quoted", [(55, 36), (60, 40), (80, 45)])
+def test_recall_behind_smaller_documents_that_quote_the_passage(spark, n, quoted):
+    """Three smaller documents hold part of a passage that two others hold with one word changed."""
+    random = np.random.default_rng(n)
+    rows, pairs = [], 100
+
+    def filler(tag, size):
+        return [f"{tag}x{i}" for i in range(size)]
+
+    for k in range(pairs):
+        p = filler(f"p{k}", n)
+        q = p[: n // 2] + [f"new{k}"] + p[n // 2 + 1 :]
+        for j in range(3):
+            at = int(random.integers(0, n - quoted + 1))
+            part = p[at : at + quoted]
+            rows.append((5 * k + j, " ".join(filler(f"a{k}{j}", 40) + part + filler(f"b{k}{j}", 40))))
+        rows.append((5 * k + 3, " ".join(filler(f"c{k}", 60) + p + filler(f"d{k}", 60))))
+        rows.append((5 * k + 4, " ".join(filler(f"e{k}", 50) + q + filler(f"f{k}", 80))))
+    found = passages.passages(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    caught = {r.doc_id for r in found if r.doc_id % 5 == 4 and r.first_id == r.doc_id - 1}
+    assert len(caught) >= 0.95 * pairs

@@ -35,7 +35,7 @@ from ledgerline.session import kept
 
 PARTS, ENTRIES, ROUNDS, SCALE = 4, 256, 4, 1024
 FARTHEST = 1 << 27
-BLOCK = 1024  # vectors whose candidates are held at once
+BLOCK = 128  # vectors whose candidates are held at once
 
 
 class Slices:

@@ -78,12 +78,21 @@ def clear_folders(spark: SparkSession) -> None:
         path.getFileSystem(conf).delete(path, True)
 
 
+_DROP_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def kept(df: DataFrame, label: str) -> DataFrame:
     """Write a result that several steps read, and read it back.
 
-    Folders stay until :func:`clear_folders`.  Whatever comes after neither repeats the work before it nor depends on an executor
-    that holds it in memory.
+    Folders stay until :func:`clear_folders`.  Whatever comes after neither repeats the work before it
+    nor depends on an executor that holds it in memory; nothing reads the write's own shuffle files
+    again, so they are removed as soon as it is done.
     """
-    path = fresh_folder(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark, path = df.sparkSession, fresh_folder(df.sparkSession, label)
+    before = spark.conf.get(_DROP_SHUFFLES, "false")
+    spark.conf.set(_DROP_SHUFFLES, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_DROP_SHUFFLES, before)
+    return spark.read.schema(df.schema).parquet(path)

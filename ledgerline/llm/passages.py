@@ -13,8 +13,9 @@ functions or more with probability 0.998; equal stretches do under all of them.
    joined by their intervals, and where two functions cover a stretch its words are verified.
 2. A window is open when its document isn't alike with that first one there: it met another under one
    function only, or verification failed.  Open windows that lie together are listed again by pairs
-   of functions, so documents that quote less of a passage no longer stand before it.
-3. What is still open then is listed by its 50 words and joined to the first document that lists the
+   of functions, and documents are compared with the first that meets two such pairs: one that quotes
+   less of a passage no longer stands before it.
+3. Stretches under two functions that are still open then are listed by their 50 words and joined to the first document that lists the
    same; that one holds them.
 
 Verification: runs of equal words are chained over changed, left out and inserted words while the
@@ -273,14 +274,14 @@ PASSAGE = (
 _NAMES = [f.split()[0] for f in PASSAGE.split(", ")]
 
 
-def _shared_windows(a: list[np.ndarray], b: list[np.ndarray], n: int) -> tuple[np.ndarray, bool]:
-    """Which windows of a text of n words another has too, and whether enough functions cover one stretch."""
+def _shared_windows(a: list[np.ndarray], b: list[np.ndarray], n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Which windows of a text of n words another has too, and where enough functions cover a stretch."""
     _, key, first, last = a
     met = np.isin(key, b[1])
     cover = np.zeros(n + 1, np.int64)
     np.add.at(cover, first[met], 1)
     np.subtract.at(cover, last[met] + 1, 1)
-    return met, bool(np.cumsum(cover).max(initial=0) >= ENOUGH)
+    return met, np.cumsum(cover) >= ENOUGH
 
 
 def _inside(first: np.ndarray, last: np.ndarray, found: list[tuple]) -> np.ndarray:
@@ -317,14 +318,14 @@ def _verified(exact: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.R
             for i, doc_id in enumerate(ids):
                 a, first, last = here[i]
                 met, enough = _shared_windows(windows[i], others[i], len(a))
-                found = alike(a, there[i][0]) if enough else []
+                found = alike(a, there[i][0]) if enough.any() else []
                 for s, e, t, end in found:
                     rows.append((doc_id, firsts[i], s, e, t, end, int(first[s]), int(last[e - 1]), marks[i], None))
                 function, key, low, high = (c[met] for c in windows[i])
                 still = ~_inside(low, high + LEAST, found)
                 if exact:
                     starts = np.unique(np.concatenate([np.arange(x, y + 1) for x, y in zip(low[still], high[still])] or [low]))
-                    starts = starts[~_inside(starts, starts + LEAST, found)]
+                    starts = starts[enough[starts] & ~_inside(starts, starts + LEAST, found)]
                     more = zip(starts.tolist(), [None] * len(starts), _runs(a, starts, LEAST).view(np.int64).tolist())
                 else:
                     more = zip(low[still].tolist(), function[still].tolist(), key[still].tolist())
@@ -365,7 +366,9 @@ def passages(docs: DataFrame) -> DataFrame:
     )
     waiting = once.union(failed).distinct().repartition("doc_id").sortWithinPartitions("doc_id", "place")
     together = kept(waiting.mapInArrow(_together, "key bigint, doc_id bigint"), "together")
-    again = kept(_meetings(together, "shared").select(*pair).distinct().join(often, pair, "left_anti"), "again")
+    # three functions make three pairs, two make one
+    several = _meetings(together, "shared").groupBy(*pair).agg(F.count_distinct("key").alias("n")).filter("n > 1")
+    again = kept(several.select(*pair).join(often, pair, "left_anti"), "again")
     second = _compared(docs, again, True, "second")
 
     listed = second.filter("window IS NOT NULL").select(F.col("window").alias("key"), "doc_id")

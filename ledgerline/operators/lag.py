@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ledgerline.operators.blocked import running
 from ledgerline.schemas import LAG_ALERT_THRESHOLD
 
 PARTITION = ["topic", "record_partition"]
@@ -34,6 +35,29 @@ def by_partition(ends: DataFrame, commits: DataFrame) -> DataFrame:
     )
 
 
+def lag_as_of(ends: DataFrame, commits: DataFrame) -> DataFrame:
+    """Lag at the time of every commit, whenever it came.
+
+    Log ends (``moment``, ``end_offset``) and commits (``moment``, ``seq``, ``committed_offset``) are put in one
+    order of time, ends first, and the last known offsets are carried along it, block by block of a
+    day.  An offset never goes back: of commits that overtake each other the highest counts.
+    """
+    known = ends.select(*PARTITION, "moment", F.lit(0).alias("kind"), F.lit(0).cast("long").alias("seq"), "end_offset")
+    done = commits.select(*PARTITION, "moment", F.lit(1).alias("kind"), "seq", "committed_offset")
+    rows = known.unionByName(done, allowMissingColumns=True).withColumns({
+        "day": F.expr("datediff(moment, DATE '1970-01-01')"), "place": F.struct("moment", "kind", "seq"),
+    })
+    offsets = {"last_end": F.col("end_offset"), "last_commit": F.col("committed_offset")}
+    return running(rows, PARTITION, "day", "place", maxima=offsets).filter("kind = 1").select(
+        *PARTITION,
+        "seq",
+        "moment",
+        F.col("last_end").alias("end_offset"),
+        F.col("last_commit").alias("committed_offset"),
+        lag_of(F.coalesce("last_end", F.lit(0).cast("long")), F.col("last_commit")).alias("lag"),
+    )
+
+
 def total(lags: DataFrame) -> DataFrame:
     return lags.agg(F.coalesce(F.sum("lag"), F.lit(0)).alias("total_lag"))
 

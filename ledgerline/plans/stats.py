@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ledgerline.functions.payload import ORDER, POISON
 from ledgerline.operators.arrival import orders_of
-from ledgerline.operators.lag import PARTITION, alert_count, by_partition, end_offsets, total
+from ledgerline.operators.lag import PARTITION, alert_count, by_partition, end_offsets, lag_as_of, total
 from ledgerline.operators.deadletter import light
 from ledgerline.operators.latency import histogram, snapshot, value_counts
 from ledgerline.operators.reconcile import balanced, copies_by_key, identity, not_applied_once, one_row
@@ -209,3 +209,30 @@ def throughput_report(spark: SparkSession, sf_dir: str) -> DataFrame:
         "achieved_rate": F.round(F.col("produced") / seconds).cast("long"),
         "achieved_per_hour": F.round(F.col("produced") * 3600 / seconds).cast("long"),
     })
+
+
+@query("lag_asof", select("""
+    SELECT c.topic, c.record_partition, c.seq, c.moment, e.end_offset, c.committed_offset,
+           greatest(0, e.end_offset - c.committed_offset) AS lag
+    FROM (SELECT topic, record_partition, ingest_seq AS seq, moment,
+                 max(record_offset + 1) OVER (PARTITION BY topic, record_partition ORDER BY moment, ingest_seq
+                                              ROWS UNBOUNDED PRECEDING) AS committed_offset
+          FROM (SELECT *, appended_at + to_hours(ingest_seq % 11) AS moment FROM feed WHERE ingest_seq % 5 = 2)) c
+    ASOF JOIN (SELECT DISTINCT topic, record_partition, appended_at AS moment,
+                      max(record_offset + 1) OVER (PARTITION BY topic, record_partition ORDER BY appended_at) AS end_offset
+               FROM feed) e
+      ON c.topic = e.topic AND c.record_partition = e.record_partition AND c.moment >= e.moment""", "feed"))
+def lag_asof(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lag at every commit; every fifth record commits, up to ten hours after it came, some overtaken."""
+    records = kept(
+        with_offsets(feed_of(events(spark, sf_dir))).select(*PARTITION, "ingest_seq", "appended_at", "record_offset"), "log"
+    )
+    past = F.col("record_offset") + 1
+    ends = records.select(*PARTITION, F.col("appended_at").alias("moment"), past.alias("end_offset"))
+    commits = records.filter("ingest_seq % 5 = 2").select(
+        *PARTITION,
+        F.expr("appended_at + (ingest_seq % 11) * INTERVAL '1' HOUR").alias("moment"),
+        F.col("ingest_seq").alias("seq"),
+        past.alias("committed_offset"),
+    )
+    return lag_as_of(ends, commits)

@@ -120,7 +120,7 @@ def stream_dead_letters(spark: SparkSession, sf_dir: str) -> DataFrame:
     topic = kept(published(session, sf_dir), "published")
     for part in range(PIECES):
         rows = topic.filter(F.col("id") % PIECES == part)
-        rows.coalesce(1).write.mode("append").parquet(f"{root}/topic")
+        rows.write.mode("append").parquet(f"{root}/topic")
     reader = session.readStream.schema(DEAD_LETTER).option("maxFilesPerTrigger", FILES_PER_BATCH)
     quarantine_topic(reader.parquet(f"{root}/topic"), root).awaitTermination()
     return read_table(spark, root, "quarantine").drop("batch_id")

@@ -325,3 +325,16 @@ def test_rules_name_their_alerts(spark):
     rows = holds.by_rule(df, "lag", rule).orderBy("tick").collect()
     assert {(r.alert, r.severity, r.threshold) for r in rows} == {("ConsumerLagHigh", "warning", 5_000.0)}
     assert [r.state for r in rows] == ["pending"] * 4 + ["firing"] * 2
+
+
+def test_lag_as_of_commits_at_any_time(spark):
+    at = "TIMESTAMP_NTZ '2024-01-0{} {}:00:00'"
+    ends = spark.sql("SELECT * FROM VALUES " + ", ".join(
+        f"('t', {p}, {at.format(d, h)}, {o}L)" for p, d, h, o in [(0, 1, 1, 5), (0, 1, 9, 20), (0, 4, 1, 30), (1, 2, 5, 7)]
+    ) + " AS x(topic, record_partition, moment, end_offset)")
+    commits = spark.sql("SELECT * FROM VALUES " + ", ".join(
+        f"('t', {p}, {at.format(d, h)}, {s}L, {o}L)"
+        for p, d, h, s, o in [(0, 1, 1, 1, 3), (0, 1, 8, 2, 5), (0, 3, 2, 3, 4), (0, 4, 1, 4, 9), (1, 1, 1, 5, 2), (2, 1, 1, 6, 1)]
+    ) + " AS x(topic, record_partition, moment, seq, committed_offset)")
+    got = {r.seq: (r.end_offset, r.committed_offset, r.lag) for r in lag.lag_as_of(ends, commits).collect()}
+    assert got == {1: (5, 3, 2), 2: (5, 5, 0), 3: (20, 5, 15), 4: (30, 9, 21), 5: (None, 2, 0), 6: (None, 1, 0)}

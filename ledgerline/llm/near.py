@@ -10,7 +10,7 @@ that distance share a key, without exception.
 
 A pair is tested once, at the first key that it shares: by the sizes of the sets, by the
 signatures (up to those 23 positions may differ; 2 in a million pairs of similarity 0.85 have more,
-4 in 10,000 of similarity 0.80), then exactly on the full sets.  The similarity is a parameter.  A key with many texts is cut into blocks of some thousand, and
+3 in 10,000 of similarity 0.80), then exactly on the full sets.  The similarity is a parameter.  A key with many texts is cut into blocks of some thousand, and
 each pair of blocks is a piece of work of its own; within one, texts that are already linked
 through others aren't compared again, so a group of near copies gives a forest, not all pairs.
 

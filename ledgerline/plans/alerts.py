@@ -1,12 +1,13 @@
 """Metric series, dashboard expressions and alert rules.
 
-The fixture's grid is hourly and its lags are small, so the rules are taken with hours
-for minutes and lower limits; the operators take both from the rule.
+On the fixture's hourly grid the rules are taken with hours for minutes and lower limits, as its
+lags are small; the ``_dense`` queries take them as they are, every 15 seconds.
 """
 
 from __future__ import annotations
 
 from dataclasses import replace
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -16,7 +17,15 @@ from ledgerline.operators.holds import by_rule, drained
 from ledgerline.operators.latency import BOUNDS, bound_label
 from ledgerline.operators.series import growth, instant, latest, per_second, quantiles
 from ledgerline.plans.registry import query
-from ledgerline.plans.sqlparts import growth_parts, quantile_parts, select, stretch_parts
+from ledgerline.plans.sqlparts import (
+    fine_parts,
+    full_growth_parts,
+    growth_parts,
+    quantile_parts,
+    ranked_parts,
+    select,
+    stretch_parts,
+)
 from ledgerline.session import kept
 from ledgerline.sources import samples
 
@@ -41,6 +50,12 @@ def grown(rows: DataFrame, keys: list[str]) -> DataFrame:
     return growth(stored, keys, RANGE, HOUR, stored.agg(F.max("t")).scalar())
 
 
+def own_growth(rows: DataFrame, keys: list[str], rule: schemas.Rule) -> DataFrame:
+    """Growth over a rule's own range at its own ticks, up to the last sample."""
+    stored = kept(rows, "samples")
+    return growth(stored, keys, rule.range_s, rule.step_s, stored.agg(F.max("t")).scalar())
+
+
 def _shown(rows: DataFrame) -> DataFrame:
     return rows.withColumn("eval_ts", from_seconds(F.col("tick"))).drop("tick")
 
@@ -114,9 +129,10 @@ def latency_quantile_series(spark: SparkSession, sf_dir: str) -> DataFrame:
     ))
 
 
-def worst_lag(spark: SparkSession, sf_dir: str) -> DataFrame:
+def worst_lag(spark: SparkSession, sf_dir: str, step_s: int = HOUR) -> DataFrame:
     """Largest lag per tick, and the (lowest) partition that has it."""
-    now = instant(samples.lag(spark, sf_dir), ["series"], 300, HOUR)
+    stored = kept(samples.lag(spark, sf_dir, step_s), "samples")
+    now = instant(stored, ["series"], 300, step_s, stored.agg(F.max("t")).scalar())
     worst = F.max(F.struct("v", (-F.col("series")).alias("s")))
     return now.groupBy("tick").agg(worst.alias("w")).select(
         "tick", F.col("w.v").alias("lag"), (-F.col("w.s")).alias("record_partition")
@@ -163,28 +179,67 @@ def alert_dlq_growing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _alert_rows(by_rule(growing, "increase", RULES["dlq_growing"]).drop("increase"))
 
 
-DENSE = schemas.RULES["dlq_growing"]
+# The rules as they are: evaluated every 15 seconds over the whole span of the table.
+OWN = schemas.RULES
+_FINE = OWN["dlq_growing"].step_s
+# Small feeds never reach the published limits of the lag rules; both are evaluated.
+LAG_RULES = [rule for name in ("lag_high", "lag_critical") for rule in (
+    OWN[name], replace(OWN[name], threshold=RULES[name].threshold))]
 
 
-@query("alert_dlq_dense", select(f"""
-    SELECT '{DENSE.alert}' AS alert, '{DENSE.severity}' AS severity,
-           CAST({DENSE.threshold} AS DOUBLE) AS threshold, {_TIME}, growth,
-           make_timestamp(CAST(since AS BIGINT) * 1000000) AS since,
-           CASE WHEN tick - since >= {DENSE.hold_s} THEN 'firing' ELSE 'pending' END AS state
-    FROM stretches""", "decoded",
-    dense=f"""
-        SELECT g.t, (SELECT count(*) FROM decoded d WHERE d.kind = 'poison'
-                     AND epoch_us(d.appended_at) > {(samples.DENSE_FROM - DENSE.step_s) * 1_000_000}
-                     AND epoch_us(d.appended_at) <= g.t * 1000000) AS v
-        FROM (SELECT unnest(range(CAST({samples.DENSE_FROM} AS BIGINT), {samples.DENSE_TO + 1}, {DENSE.step_s})) AS t) g""",
-    **growth_parts("dense", [], DENSE.range_s),
-    **stretch_parts("grown", "increase > 0", DENSE.step_s)))
+@query("alert_dlq_dense", select(
+    _rule_sql(OWN["dlq_growing"], "growth"), "decoded",
+    **fine_parts(_FINE, "decoded", "kind = 'poison'", {}),
+    **full_growth_parts([], OWN["dlq_growing"].range_s),
+    **stretch_parts("grown", "increase > 0", _FINE)))
 def alert_dlq_dense(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The rule as it is: 5 minutes' growth, every 15 seconds, held for 5 minutes; over one day."""
-    dead = kept(samples.dense_dead_letters(spark, sf_dir, DENSE.step_s), "samples")
-    until = dead.agg(F.max("t")).scalar()
-    growing = kept(growth(dead, [], DENSE.range_s, DENSE.step_s, until), "growth")
-    return _alert_rows(by_rule(growing, "increase", DENSE).drop("increase"))
+    """The rule as it is: 5 minutes' growth, every 15 seconds, held for 5 minutes."""
+    rule = OWN["dlq_growing"]
+    growing = kept(own_growth(samples.dead_letters(spark, sf_dir, rule.step_s), [], rule), "growth")
+    return _alert_rows(by_rule(growing, "increase", rule).drop("increase"))
+
+
+@query("alert_p99_dense", select(
+    _rule_sql(OWN["p99_high"], "CAST(round(value * 1000000) AS BIGINT) AS p99_us"), "firsts", "bounds",
+    by_bound="""
+        SELECT appended_at, CAST(ingest_seq % 3 AS INTEGER) AS series, le FROM firsts, bounds
+        WHERE latency_ms / 1000.0 <= le""",
+    **fine_parts(_FINE, "by_bound", "true", {
+        "series": "SELECT CAST(unnest(range(3)) AS INTEGER) AS series", "le": "SELECT le FROM bounds"}),
+    **full_growth_parts(["series", "le"], OWN["p99_high"].range_s),
+    **ranked_parts((0.99,)),
+    **stretch_parts("quants", f"value > {OWN['p99_high'].threshold}", _FINE)))
+def alert_p99_dense(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rule as it is: p99 of 5 minutes over two seconds, every 15 seconds, for 5 minutes."""
+    rule = OWN["p99_high"]
+    fine = samples.latency_buckets(spark, sf_dir, rule.step_s)
+    by_bound = own_growth(fine, ["series", "le"], rule).groupBy("tick", "le").agg(
+        F.sum("increase").alias("cum")
+    )
+    p99 = kept(quantiles(by_bound, ["tick"], (0.99,)), "p99")
+    micros = F.round(F.col("value") * 1_000_000).cast("long")
+    return _alert_rows(by_rule(p99, "value", rule).withColumn("p99_us", micros).drop("value", "q"))
+
+
+@query("alert_lag_dense", select(
+    " UNION ALL ".join(
+        f"(WITH {', '.join(f'{n} AS ({body})' for n, body in stretch_parts('worst', f'lag > {r.threshold}', _FINE).items())}"
+        f" {_rule_sql(r, 'lag, record_partition')})" for r in LAG_RULES),
+    "feed",
+    **fine_parts(_FINE, "feed", "true", {"series": "SELECT CAST(unnest(range(12)) AS INTEGER) AS series"},
+                 {"series": "record_partition"}),
+    worst=f"""
+        SELECT e.t AS tick, max(greatest(0, e.v - coalesce(c.v, 0))) AS lag,
+               CAST(arg_max(e.series, greatest(0, e.v - coalesce(c.v, 0)) * 100 - e.series) AS INTEGER)
+                   AS record_partition
+        FROM samples e LEFT JOIN samples c ON c.series = e.series
+             AND c.t = CASE WHEN e.t >= {samples.FREEZE_FROM} AND e.t < {samples.FREEZE_TO}
+                            THEN {samples.FREEZE_FROM} ELSE e.t END - {samples.COMMIT_DELAY}
+        GROUP BY e.t"""))
+def alert_lag_dense(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both lag rules every 15 seconds, held for a minute: at their limits and at the fixture's."""
+    worst = kept(worst_lag(spark, sf_dir, _FINE), "worst-lag")
+    return _alert_rows(reduce(DataFrame.unionByName, [by_rule(worst, "lag", r) for r in LAG_RULES]))
 
 
 @query("alert_p99_high", select(

@@ -200,9 +200,57 @@ def growth_parts(samples: str, keys: list[str], range_s: int) -> dict[str, str]:
     }
 
 
+def fine_parts(
+    step_s: int, source: str, condition: str, keys: dict[str, str], named: dict[str, str] | None = None
+) -> dict[str, str]:
+    """Samples of a counter on a fine grid: counts per tick, run up by one window a series."""
+    micros = step_s * 1_000_000
+    cols = "".join(f"{k}, " for k in keys)
+    read = "".join(f"{(named or {}).get(k, k)} AS {k}, " for k in keys)
+    part = f"PARTITION BY {', '.join(keys)}" if keys else ""
+    return {
+        "fine": f"""
+            SELECT unnest(range(lo, hi + 1, {step_s})) AS t FROM (
+                SELECT (epoch_us(min(ts)) + {micros - 1}) // {micros} * {step_s} AS lo,
+                       epoch_us(max(ts)) // 1000000 AS hi FROM events)""",
+        "ticked": f"""
+            SELECT {cols}t, count(*) AS n FROM (
+                SELECT {read}(epoch_us(appended_at) + {micros - 1}) // {micros} * {step_s} AS t
+                FROM {source} WHERE {condition}) GROUP BY ALL""",
+        "samples": f"""
+            SELECT {cols}t, CAST(sum(coalesce(n, 0)) OVER ({part} ORDER BY t) AS BIGINT) AS v
+            FROM fine {''.join(f'CROSS JOIN ({body}) ' for body in keys.values())}
+            LEFT JOIN ticked USING ({cols}t)""",
+    }
+
+
+def full_growth_parts(keys: list[str], range_s: int) -> dict[str, str]:
+    """Growth of ``samples`` that have a value at every tick and never restart, by range windows."""
+    cols = "".join(f"{k}, " for k in keys)
+    part = f"PARTITION BY {', '.join(keys)} " if keys else ""
+    return {
+        "spans": f"""
+            SELECT {cols}t AS tick, v - first_value(v) OVER w AS growth, first_value(v) OVER w AS v0,
+                   CAST(t - min(t) OVER w AS DOUBLE) AS covered, count(*) OVER w AS n
+            FROM samples
+            WINDOW w AS ({part}ORDER BY t RANGE BETWEEN {range_s} PRECEDING AND CURRENT ROW)""",
+        "grown": f"""
+            SELECT {cols}tick, growth, growth * (covered + least(
+                       CASE WHEN {range_s} - covered >= covered / (n - 1) * 1.1
+                            THEN covered / (n - 1) / 2 ELSE {range_s} - covered END,
+                       CASE WHEN growth <> 0 THEN covered * v0 / growth END)) / covered AS increase
+            FROM spans WHERE covered > 0""",
+    }
+
+
 def quantile_parts(range_s: int, ranks: tuple[float, ...]) -> dict[str, str]:
     """Quantiles per tick from the latency buckets summed over instances."""
-    return growth_parts("buckets", ["series", "le"], range_s) | {
+    return growth_parts("buckets", ["series", "le"], range_s) | ranked_parts(ranks)
+
+
+def ranked_parts(ranks: tuple[float, ...]) -> dict[str, str]:
+    """Quantiles per tick from the growth of the buckets."""
+    return {
         "by_le": """
             SELECT tick, le, sum(increase) AS cum FROM grown GROUP BY tick, le""",
         "laid": """

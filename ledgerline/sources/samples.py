@@ -1,4 +1,4 @@
-"""Metric samples on an hourly grid, derived from the ``events`` table.
+"""Metric samples on a grid, hourly or as fine as asked for, derived from the ``events`` table.
 
 Long form: ``name, series, le, t, v`` with ``t`` in whole seconds.  Each counter is
 counted per (series, tick) first; only those counts are then run up along the grid.
@@ -30,8 +30,6 @@ FREEZE_FROM = 1_704_844_800  # 2024-01-10 00:00, commits stand still
 FREEZE_TO = 1_705_017_600  # 2024-01-12 00:00
 QUIET_FROM = 1_705_708_800  # 2024-01-20 00:00, the producer holds its records back
 QUIET_TO = 1_705_726_800  # 2024-01-20 05:00
-DENSE_FROM = 1_704_844_800  # 2024-01-10, a day that is sampled every 15 seconds
-DENSE_TO = DENSE_FROM + DAY
 COMMIT_DELAY = 6 * STEP
 INSTANCES = 3
 
@@ -42,17 +40,16 @@ def tick_of(ntz: str, step_s: int = STEP) -> Column:
     return F.expr(f"(unix_micros(cast({ntz} as timestamp)) + {step - 1}) div {step} * {step_s}")
 
 
-def ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The grid: from the first full hour that has a record at or before it to the last."""
+def ticks(spark: SparkSession, sf_dir: str, step_s: int = STEP) -> DataFrame:
+    """The grid: from the first tick that has a record at or before it to the last."""
     span = events(spark, sf_dir).agg(
-        tick_of("min(ts)").alias("lo"),
-        epoch_seconds(F.date_trunc("hour", F.max("ts"))).alias("hi"),
+        tick_of("min(ts)", step_s).alias("lo"), epoch_seconds(F.max("ts")).alias("hi")
     )
     days = span.select("lo", "hi", F.explode(F.sequence(day_of("lo"), day_of("hi"))).alias("day"))
     first = F.col("day") * DAY
-    hours = F.sequence(first, first + DAY - STEP, F.lit(STEP).cast("long"))
+    steps = F.sequence(first, first + DAY - step_s, F.lit(step_s).cast("long"))
     return (
-        days.select("lo", "hi", "day", F.explode(hours).alias("t"))
+        days.select("lo", "hi", "day", F.explode(steps).alias("t"))
         .filter((F.col("t") >= F.col("lo")) & (F.col("t") <= F.col("hi")))
         .select("day", "t")
     )
@@ -90,39 +87,24 @@ def consumed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _counter(grid, counts, ["series", "restarted"]).select("series", "t", "v")
 
 
-def dead_letters(spark: SparkSession, sf_dir: str) -> DataFrame:
+def dead_letters(spark: SparkSession, sf_dir: str, step_s: int = STEP) -> DataFrame:
     """Records quarantined so far."""
     counts = (
         classify(order_feed(spark, sf_dir))
         .filter(F.col("kind") == POISON)
-        .groupBy(tick_of("appended_at").alias("t"))
+        .groupBy(tick_of("appended_at", step_s).alias("t"))
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    return _counter(ticks(spark, sf_dir), counts, []).select("t", "v")
+    return _counter(ticks(spark, sf_dir, step_s), counts, []).select("t", "v")
 
 
-def dense_dead_letters(spark: SparkSession, sf_dir: str, step_s: int) -> DataFrame:
-    """Records quarantined so far on one day, sampled as often as the rules are evaluated."""
-    tick = tick_of("appended_at", step_s)
-    counts = (
-        classify(order_feed(spark, sf_dir))
-        .filter((F.col("kind") == POISON) & (tick >= DENSE_FROM) & (tick <= DENSE_TO))
-        .groupBy(tick.alias("t"))
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    grid = spark.range(DENSE_FROM, DENSE_TO + step_s, step_s).select(
-        F.col("id").alias("t"), day_of("id").alias("day")
-    )
-    return _counter(grid, counts, []).select("t", "v")
-
-
-def latency_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+def latency_buckets(spark: SparkSession, sf_dir: str, step_s: int = STEP) -> DataFrame:
     """Cumulative latency buckets per service instance, over the orders at first sight."""
     bounds = [*BOUNDS, float("inf")]
     orders = orders_of(classify(order_feed(spark, sf_dir)))
     rows = first_copies(orders, ["appended_at", "latency_ms"]).select(
         (F.col("ingest_seq") % INSTANCES).cast("int").alias("series"),
-        tick_of("appended_at").alias("t"),
+        tick_of("appended_at", step_s).alias("t"),
         (F.col("latency_ms") / 1000.0).alias("seconds"),
     )
     wide = rows.groupBy("series", "t").agg(
@@ -135,20 +117,20 @@ def latency_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.struct(F.lit(b).alias("le"), F.col(f"b{i}").alias("n")) for i, b in enumerate(bounds)
         ])),
     )
-    grid = _per_series(ticks(spark, sf_dir), "series", INSTANCES).withColumn(
+    grid = _per_series(ticks(spark, sf_dir, step_s), "series", INSTANCES).withColumn(
         "le", F.explode(F.array(*[F.lit(b) for b in bounds]))
     )
     return _counter(grid, counts, ["series", "le"]).select("series", "le", "t", "v")
 
 
-def lag(spark: SparkSession, sf_dir: str) -> DataFrame:
+def lag(spark: SparkSession, sf_dir: str, step_s: int = STEP) -> DataFrame:
     """Lag gauge per partition: commits run six hours behind and freeze for two days."""
     counts = (
         feed_of(events(spark, sf_dir))
-        .groupBy(F.col("record_partition").alias("series"), tick_of("appended_at").alias("t"))
+        .groupBy(F.col("record_partition").alias("series"), tick_of("appended_at", step_s).alias("t"))
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    grid = _per_series(ticks(spark, sf_dir), "series", ORDERS_PARTITIONS)
+    grid = _per_series(ticks(spark, sf_dir, step_s), "series", ORDERS_PARTITIONS)
     ends = _counter(grid, counts, ["series"])
     seen = F.when(
         (F.col("t") >= FREEZE_FROM) & (F.col("t") < FREEZE_TO), F.lit(FREEZE_FROM).cast("long")

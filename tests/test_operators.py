@@ -338,3 +338,38 @@ def test_lag_as_of_commits_at_any_time(spark):
     ) + " AS x(topic, record_partition, moment, seq, committed_offset)")
     got = {r.seq: (r.end_offset, r.committed_offset, r.lag) for r in lag.lag_as_of(ends, commits).collect()}
     assert got == {1: (5, 3, 2), 2: (5, 5, 0), 3: (20, 5, 15), 4: (30, 9, 21), 5: (None, 2, 0), 6: (None, 1, 0)}
+
+
+@pytest.mark.parametrize("range_s", [300, 86_400])
+def test_a_range_costs_two_rows_a_tick(spark, range_s):
+    """However long the range: samples go into panes, not to every tick that covers them."""
+    df = spark.range(0, 6_000).select((F.col("id") * 15).alias("t"), F.col("id").alias("v"))
+    per_tick = series.halves(df, [], range_s, 15).groupBy("tick").agg(
+        F.count(F.lit(1)).alias("rows"), F.sum("n").alias("n"), F.min("t0").alias("t0"), F.max("t1").alias("t1")
+    )
+    worst = per_tick.filter(F.col("tick") < 90_000).select(
+        F.max("rows"), F.max(F.abs(F.col("n") - (F.col("t1") - F.col("t0")) / 15 - 1)),
+        F.max(F.abs(F.col("t1") - F.col("tick"))), F.max(F.abs(F.greatest(F.col("tick") - range_s, F.lit(0)) - F.col("t0"))),
+    ).first()
+    assert tuple(worst) == (2, 0, 0, 0)
+
+
+def test_growth_passes_over_samples_without_time_or_value(spark):
+    df = spark.createDataFrame([("a", 0, 4), ("a", None, 9), ("a", 30, None), (None, 0, 1), ("a", 45, 1), (None, 60, 3)],
+                               "s string, t long, v long")
+    got = {(r.s, r.tick): r.growth for r in series.growth(df, ["s"], 60, 15, F.lit(60)).collect()}
+    assert got == {("a", 45): 1, ("a", 60): 1, (None, 60): 2}
+    assert series.growth(df.limit(0), ["s"], 60, 15).count() == 0
+
+
+@pytest.mark.parametrize("name", ["lag_high", "lag_critical"])
+def test_lag_rules_at_their_own_limits(spark, name):
+    """Over the limit for 75 s, on it for a tick, over it for 45 s: one stretch fires."""
+    rule = RULES[name]
+    limit = int(rule.threshold)
+    values = [0, *[limit + 1] * 6, limit, *[limit + 9] * 4, None, limit + 1]
+    df = spark.createDataFrame([(i * 15, v) for i, v in enumerate(values)], "tick long, lag long")
+    got = {r.tick // 15: (r.since // 15, r.state, r.threshold) for r in holds.by_rule(df, "lag", rule).collect()}
+    expected = {i: (1, "firing" if i >= 5 else "pending", float(limit)) for i in range(1, 7)}
+    expected |= {i: (8, "pending", float(limit)) for i in range(8, 12)} | {13: (13, "pending", float(limit))}
+    assert got == expected

@@ -107,9 +107,14 @@ def dlq_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
     SELECT {_LISTING} FROM (SELECT * FROM quarantine ORDER BY received_at DESC, id DESC LIMIT 100)
     """, "quarantine"))
 def dlq_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stored = stored_quarantine(spark, sf_dir)
-    rows = with_replayed(latest(stored), replay_log(stored))
-    return listing(newest_first(rows))
+    """The newest are found by time and position; only these get offsets and texts."""
+    feed = order_feed(spark, sf_dir)
+    poison = classify(feed).filter(F.col("kind") == POISON)
+    newest = kept(
+        latest(poison.withColumnsRenamed({"ingest_seq": "id", "appended_at": "received_at"})), "newest"
+    ).withColumnsRenamed({"id": "ingest_seq", "received_at": "appended_at"})
+    stored = quarantine_rows(newest.join(offsets_of(feed).drop("record_partition"), "ingest_seq"))
+    return listing(newest_first(with_replayed(stored, replay_log(newest.withColumnRenamed("ingest_seq", "id")))))
 
 
 @query("dlq_pending", select(f"""

@@ -205,7 +205,7 @@ def stream_latency(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _dead_letters_landed(spark: SparkSession, sf_dir: str, label: str):
+def dead_letters_landed(spark: SparkSession, sf_dir: str, label: str):
     """A landed feed, its dead letters quarantined: session, root, landing, drain, next position."""
     session = streaming_session(spark)
     root = fresh_folder(spark, label)
@@ -223,7 +223,7 @@ def _dead_letters_landed(spark: SparkSession, sf_dir: str, label: str):
     FROM quarantine""", "quarantine"))
 def stream_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every dead letter is sent again, the call repeated; all are still bad, so all come back."""
-    session, root, landing, drain, past = _dead_letters_landed(spark, sf_dir, "replay")
+    session, root, landing, drain, past = dead_letters_landed(spark, sf_dir, "replay")
     for _ in range(2):
         replay_all(session, root, landing, "replay-1", past)
     drain()
@@ -246,7 +246,7 @@ def stream_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
           WHERE kind = 'poison' AND payload LIKE '%"amountCents":"abc"%') r""", "firsts"))
 def stream_repaired(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Dead letters with an unreadable amount are repaired and sent twice; each counts once."""
-    session, root, landing, drain, past = _dead_letters_landed(spark, sf_dir, "repaired")
+    session, root, landing, drain, past = dead_letters_landed(spark, sf_dir, "repaired")
     repair = F.regexp_replace("payload", '"amountCents":"abc"', '"amountCents":100')
     for replay_id, base in (("repair-1", past), ("repair-2", 10 * past)):
         replay_all(session, root, landing, replay_id, base, repair)

@@ -155,3 +155,19 @@ COMMITS = T.StructType([
     T.StructField("committed_at", T.LongType()),
     T.StructField("batch_id", T.LongType()),
 ])
+
+# One evaluation of an alert rule, and a stretch over which its condition held.
+EVALUATIONS = T.StructType([
+    T.StructField("alert", T.StringType()),
+    T.StructField("eval_ts", T.TimestampType()),
+    T.StructField("value", T.DoubleType()),
+])
+
+STRETCHES = T.StructType([
+    T.StructField("alert", T.StringType()),
+    T.StructField("severity", T.StringType()),
+    T.StructField("since", T.TimestampType()),
+    T.StructField("until", T.TimestampType()),
+    T.StructField("ticks", T.LongType()),
+    T.StructField("fired", T.BooleanType()),
+])

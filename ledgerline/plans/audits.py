@@ -8,9 +8,19 @@ from ledgerline.functions.payload import classify
 from ledgerline.operators.arrival import first_copies, orders_of
 from ledgerline.operators.keyfilter import filter_words
 from ledgerline.operators.loss import find_loss
+from ledgerline.operators.schemarules import (
+    NO_DEFAULT,
+    UNREADABLE,
+    field_rules,
+    schema_fields,
+    shape_fields,
+    verdicts,
+    written_shapes,
+)
 from ledgerline.plans.orders import HALFWAY, decoded
 from ledgerline.plans.registry import ORACLES, query
 from ledgerline.plans.sqlparts import select
+from ledgerline.schemas import record_schema
 from ledgerline.session import fresh_folder, kept
 from ledgerline.sources.feed import order_feed, with_offsets
 from ledgerline.streaming.keyindex import unheld
@@ -73,3 +83,36 @@ def loss_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
 def loss_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ranges of 64 offsets whose digests differ, and how many orders their sketches miss."""
     return find_loss(*_both_sides(spark, sf_dir))[0].drop("range")
+
+
+_BROKEN_SQL = ", ".join(
+    f"CASE WHEN json_type(doc, '$.{name}') IS NULL THEN '{name}: {NO_DEFAULT}' "
+    f"WHEN json_type(doc, '$.{name}') NOT IN ({kinds}) THEN '{name}: {UNREADABLE}' END"
+    for name, kinds in (
+        ("amountCents", "'UBIGINT', 'BIGINT'"), ("customerId", "'VARCHAR'"), ("itemCount", "'UBIGINT', 'BIGINT'"),
+        ("orderId", "'VARCHAR'"), ("producedAt", "'UBIGINT', 'BIGINT'"),
+    ))
+
+
+@query("schema_rules", select(f"""
+    SELECT reader, fields, count(*) AS records, reasons = '' AS compatible, reasons FROM (
+        SELECT unnest(['v1', 'v2']) AS reader, list_aggregate(list_sort(json_keys(doc)), 'string_agg', ',') AS fields,
+               concat_ws(', ', {_BROKEN_SQL}) AS reasons
+        FROM opened WHERE json_type(doc) = 'OBJECT')
+    GROUP BY ALL""", "opened"))
+def schema_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every shape of record in the log against both versions of the reader's schema."""
+    feed = order_feed(spark, sf_dir)
+    shapes = kept(written_shapes(feed, "ingest_seq", "payload"), "shapes")
+    examples = kept(feed.select("ingest_seq", "payload").join(shapes, "ingest_seq"), "examples")
+    readers = spark.createDataFrame([(v, record_schema(v)) for v in ("v1", "v2")], "version string, text string")
+    writer = kept(shape_fields(examples, "ingest_seq", "payload"), "fields")
+    found = verdicts(field_rules(schema_fields(readers, "version", "text"), writer))
+    names = writer.groupBy(F.col("schema").alias("writer")).agg(
+        F.array_join(F.array_sort(F.collect_list("name")), ",").alias("fields")
+    )
+    counts = shapes.select(F.col("ingest_seq").alias("writer"), "records")
+    return (
+        found.join(names, "writer").join(counts, "writer")
+        .groupBy("reader", "fields", "compatible", "reasons").agg(F.sum("records").alias("records"))
+    )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass
 
 from pyspark.sql import types as T
@@ -32,6 +33,22 @@ MESSAGE_LIMIT = 2_000
 COUNTER_TTL_HOURS = 2
 
 
+_RECORD_TYPES = {"string": "string", "bigint": "long", "int": "int"}
+
+
+def record_schema(version: str) -> str:
+    """The record schema of an order event as registries keep it, with its defaults."""
+    order = {"v1": ORDER_V1, "v2": ORDER_V2}[version]
+    defaults = {"currency": DEFAULT_CURRENCY, "schemaVersion": version, "promoCode": None}
+    fields = []
+    for field in order:
+        kind = _RECORD_TYPES[field.dataType.simpleString()]
+        stated = {"name": field.name, "type": ["null", kind] if field.name == "promoCode" else kind}
+        if field.name in defaults:
+            stated["default"] = defaults[field.name]
+        fields.append(stated)
+    return json.dumps({"type": "record", "name": "OrderEvent", "fields": fields})
+
 
 @dataclass(frozen=True)
 class Rule:

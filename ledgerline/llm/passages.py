@@ -15,8 +15,11 @@ functions or more with probability 0.998; equal stretches do under all of them.
    function only, or verification failed.  Open windows that lie together are listed again by pairs
    of functions, and documents are compared with the first that meets two such pairs: one that quotes
    less of a passage no longer stands before it.
-3. Stretches under two functions that are still open then are listed by their 50 words and joined to the first document that lists the
-   same; that one holds them.
+3. Stretches under two functions that are still open then are listed by their least shingles under all six
+   functions, one row for all neighbours that have the same six, and compared with the first document that
+   lists these.  Equal stretches have all six in common.
+4. Of stretches that the first such document shares all six with and still isn't alike, the 50 words are
+   listed and joined to the first document that lists the same; that one holds them.
 
 Verification: runs of equal words are chained over changed, left out and inserted words while the
 chain's shingles have a similarity of 0.8.  For shingles in common n and others m (of both sides) that
@@ -51,7 +54,8 @@ SHINGLES = LEAST - WIDTH + 1
 SEEDS = tuple(mix(np.arange(1, 7, dtype=np.uint64)).tolist())
 ENOUGH = 2  # hash functions that must agree
 OTHER = 4  # shingles in common that make up for one that isn't, at a similarity of 0.8
-SLICE = 128  # pairs of texts split into words at a time
+SLICE = 256  # pairs of texts split into words at a time
+WINDOWS, SIX, WORDS = "windows", "six", "words"  # what open stretches are listed by
 MATCHES = 1 << 18  # equal shingles of a pair of texts held at a time
 GROUP_BYTES = 1 << 20  # text whose windows are listed at a time
 
@@ -292,53 +296,98 @@ def _inside(first: np.ndarray, last: np.ndarray, found: list[tuple]) -> np.ndarr
     return out
 
 
-def _verified(exact: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _sixes(windows: list[np.ndarray], n: int) -> np.ndarray:
+    """For each 50-word stretch of a text of n words, a hash of its least shingles under all functions."""
+    _, key, first, last = windows
+    change = np.zeros(max(n - LEAST, -1) + 2, np.uint64)
+    np.add.at(change, first, key.view(np.uint64))
+    np.subtract.at(change, last + 1, key.view(np.uint64))
+    return mix(np.cumsum(change[:-1], dtype=np.uint64))
+
+
+def _open_stretches(
+    listing: str, a: np.ndarray, windows: list[np.ndarray], others: list[np.ndarray], met: np.ndarray, enough: np.ndarray,
+    found: list[tuple], n_other: int,
+) -> tuple[np.ndarray, np.ndarray | None, np.ndarray]:
+    """(start, function, key) of what no passage found holds, as the next listing wants it."""
+    function, key, low, high = (c[met] for c in windows)
+    still = ~_inside(low, high + LEAST, found)
+    if listing == WINDOWS:
+        return low[still], function[still], key[still]
+    n = len(a) - LEAST + 1
+    cover = np.zeros(max(n, 0) + 1, np.int64)
+    np.add.at(cover, low[still], 1)
+    np.subtract.at(cover, high[still] + 1, 1)
+    starts = np.flatnonzero((np.cumsum(cover)[:-1] > 0) & enough[:n]) if n > 0 else np.zeros(0, np.int64)
+    starts = starts[~_inside(starts, starts + LEAST, found)]
+    six = _sixes(windows, len(a))[starts]
+    if listing == WORDS:
+        starts = starts[np.isin(six, _sixes(others, n_other))]
+        return starts, None, _runs(a, starts, LEAST).view(np.int64)
+    new = np.flatnonzero(np.append(True, six[1:] != six[:-1])[: len(six)])
+    return starts[new], None, six[new].view(np.int64)
+
+
+def _verified(listing: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Passages of (doc_id, first_id, text_hash, text, first_text), and what stays open.
 
-    Rows with a key in `window` are open: the document's windows that the first text shares without a
-    passage that holds them (place and function as start_word and first_word), or, if `exact`, the
-    50-word stretches in such windows, by their words.
+    Rows with a key in `window` are open, listed by `WINDOWS`: the document's windows that the first text
+    shares without a passage that holds them (place and function as start_word and first_word); `SIX`: runs of
+    50-word stretches in such windows with the same least shingles; or `WORDS`: the stretches that share
+    these with the first text, by their words.  Texts and pairs that occur again in a slice are worked out once.
     """
 
-    def texts_of(column: pa.Array) -> tuple[list, list]:
-        lists = list(word_lists(column.cast(pa.binary()).to_pylist()))
+    def texts_of(texts: list[bytes]) -> dict[bytes, tuple]:
+        texts = list(dict.fromkeys(texts))
+        lists = list(word_lists(texts))
         bounds = np.cumsum([0, *(len(x[0]) for x in lists)])
         of, *columns = compact_windows(np.concatenate([x[0] for x in lists]), bounds)
         order = np.argsort(of, kind="stable")
         cut = np.searchsorted(of[order], np.arange(len(lists) + 1))
         columns = [c[order] for c in columns]
-        return lists, [[c[cut[i] : cut[i + 1]] for c in columns] for i in range(len(lists))]
+        return {t: (lists[i], [c[cut[i] : cut[i + 1]] for c in columns]) for i, t in enumerate(texts)}
+
+    def compared(one: tuple, other: tuple) -> tuple[list[tuple], tuple]:
+        (a, first, last), windows = one
+        (b, _, _), others = other
+        met, enough = _shared_windows(windows, others, len(a))
+        found = alike(a, b) if enough.any() else []
+        rows = [(s, e, t, end, int(first[s]), int(last[e - 1])) for s, e, t, end in found]
+        return rows, _open_stretches(listing, a, windows, others, met, enough, found, len(b))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (b.slice(at, SLICE) for b in batches for at in range(0, b.num_rows, SLICE)):
             ids, firsts, marks = (batch.column(i).to_pylist() for i in range(3))
-            here, windows = texts_of(batch.column(3))
-            there, others = texts_of(batch.column(4))
+            here, there = (batch.column(i).cast(pa.binary()).to_pylist() for i in (3, 4))
+            known = texts_of(here + there)
+            done: dict[tuple[bytes, bytes], tuple] = {}
             rows: list[tuple] = []
-            for i, doc_id in enumerate(ids):
-                a, first, last = here[i]
-                met, enough = _shared_windows(windows[i], others[i], len(a))
-                found = alike(a, there[i][0]) if enough.any() else []
-                for s, e, t, end in found:
-                    rows.append((doc_id, firsts[i], s, e, t, end, int(first[s]), int(last[e - 1]), marks[i], None))
-                function, key, low, high = (c[met] for c in windows[i])
-                still = ~_inside(low, high + LEAST, found)
-                if exact:
-                    starts = np.unique(np.concatenate([np.arange(x, y + 1) for x, y in zip(low[still], high[still])] or [low]))
-                    starts = starts[enough[starts] & ~_inside(starts, starts + LEAST, found)]
-                    more = zip(starts.tolist(), [None] * len(starts), _runs(a, starts, LEAST).view(np.int64).tolist())
-                else:
-                    more = zip(low[still].tolist(), function[still].tolist(), key[still].tolist())
-                rows += [
-                    (doc_id, None, s, s + LEAST, f, None, int(first[s]), int(last[s + LEAST - 1]), marks[i], k) for s, f, k in more
-                ]
-            columns = list(zip(*rows)) or [()] * len(_NAMES)
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], _NAMES)
+            opened: list[tuple] = []
+            for doc_id, first_id, mark, one, other in zip(ids, firsts, marks, here, there):
+                if (one, other) not in done:
+                    done[one, other] = compared(known[one], known[other])
+                found, rest = done[one, other]
+                rows += [(doc_id, first_id, *r, mark) for r in found]
+                opened.append((doc_id, *rest))
+            if rows:
+                columns = [pa.array(c, pa.int64()) for c in zip(*rows)]
+                yield pa.RecordBatch.from_arrays([*columns, pa.nulls(len(rows), pa.int64())], _NAMES)
+            counts = [len(o[1]) for o in opened]
+            if total := sum(counts):
+                none = pa.nulls(total, pa.int64())
+                listed = {
+                    "doc_id": pa.array(np.repeat(np.array([o[0] for o in opened], np.int64), counts)),
+                    "start_word": pa.array(np.concatenate([o[1] for o in opened])),
+                    "window": pa.array(np.concatenate([o[3] for o in opened])),
+                }
+                if listing == WINDOWS:
+                    listed["first_word"] = pa.array(np.concatenate([o[2] for o in opened]).astype(np.int64))
+                yield pa.RecordBatch.from_arrays([listed.get(name, none) for name in _NAMES], _NAMES)
 
     return run
 
 
-def _compared(docs: DataFrame, pairs: DataFrame, exact: bool, label: str) -> DataFrame:
+def _compared(docs: DataFrame, pairs: DataFrame, listing: str, label: str) -> DataFrame:
     """The rows of `_verified` for pairs (doc_id, first_id)."""
     wanted = pairs.select("doc_id").union(pairs.select("first_id")).distinct()
     texts = kept(docs.join(wanted, "doc_id").dropDuplicates(["doc_id"]), "texts")
@@ -346,7 +395,7 @@ def _compared(docs: DataFrame, pairs: DataFrame, exact: bool, label: str) -> Dat
     others = texts.select(F.col("doc_id").alias("first_id"), F.col("text").alias("first_text"))
     both = pairs.join(marked, "doc_id").join(others, "first_id")
     checked = both.select("doc_id", "first_id", "text_hash", "text", "first_text")
-    return kept(checked.mapInArrow(_verified(exact), PASSAGE), label)
+    return kept(checked.mapInArrow(_verified(listing), PASSAGE), label)
 
 
 def passages(docs: DataFrame) -> DataFrame:
@@ -358,7 +407,7 @@ def passages(docs: DataFrame) -> DataFrame:
     functions = F.bit_count(F.expr("bit_or(shiftleft(1, int(function)))"))
     counted = kept(met.groupBy(*pair).agg((functions >= ENOUGH).alias("often")), "counted")
     often = counted.filter("often").select(*pair)
-    first = _compared(docs, often, False, "first")
+    first = _compared(docs, often, WINDOWS, "first")
 
     once = met.join(counted.filter("NOT often").select(*pair), pair).select("key", "doc_id", "function", "place")
     failed = first.filter("window IS NOT NULL").selectExpr(
@@ -369,12 +418,18 @@ def passages(docs: DataFrame) -> DataFrame:
     # three functions make three pairs, two make one
     several = _meetings(together, "shared").groupBy(*pair).agg(F.count_distinct("key").alias("n")).filter("n > 1")
     again = kept(several.select(*pair).join(often, pair, "left_anti"), "again")
-    second = _compared(docs, again, True, "second")
+    second = _compared(docs, again, SIX, "second")
+
+    # a pair compared before may meet again: what its stretches have in common isn't known yet
+    third = _compared(docs, _pairs_listed(second, "sixth"), WORDS, "third")
+    fourth = _compared(docs, _pairs_listed(third, "last"), WORDS, "fourth")
+    return first.union(second).union(third).union(fourth).filter("window IS NULL").drop("window")
+
 
-    listed = second.filter("window IS NOT NULL").select(F.col("window").alias("key"), "doc_id")
-    last = _meetings(listed, "shared").select(*pair).distinct()
-    third = _compared(docs, kept(last.join(often.union(again), pair, "left_anti"), "last"), True, "third")
-    return first.union(second).union(third).filter("window IS NULL").drop("window")
+def _pairs_listed(rows: DataFrame, label: str) -> DataFrame:
+    """The pairs (doc_id, first_id) that open stretches make."""
+    listed = rows.filter("window IS NOT NULL").select(F.col("window").alias("key"), "doc_id")
+    return kept(_meetings(listed, "shared").select("doc_id", "first_id").distinct(), label)
 
 
 def shifted(found: DataFrame) -> DataFrame:

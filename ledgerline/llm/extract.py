@@ -1,26 +1,25 @@
 """Main text of web pages, with the templates of a site removed.
 
-Every block element's subtree is hashed.  Spark counts, for each host, on how many pages a subtree
-occurs; one that is on at least half of the host's pages (four at least) belongs to the site's
-template and is deleted.  Inside an article only containers are deleted so, never its paragraphs
-or headings: a passage that many articles quote is still theirs.  What a page marks as a menu, an
-advert, a form and so on, by its elements, classes or roles, is deleted as well.
-
-The counts are combined in each task before they are shuffled.  A host's list of template subtrees
-is bounded by its definition: with at least half of the pages each, there are no more than twice as
-many as a page has elements.  The lists are written as a table and joined to the pages by host;
-Spark sends them to all tasks where the table is small enough for that and else joins by shuffle,
-splitting a hot host.
+Every block element's subtree is hashed.  Spark counts, for each host, on how many different pages a
+subtree occurs; one that is on `MANY` of them, or on half of the pages of a smaller host (four at least),
+belongs to the site's template and is deleted.  The bound doesn't rise with the host, so that the
+template of one section of a large site goes too; copies of a page count once, so that copying a page
+makes no template of it.  Inside an article only containers are deleted so, never its paragraphs or
+headings: a passage that many articles quote is still theirs.  What a page marks as a menu, an advert, a
+form and so on, by its elements, classes or roles, is deleted as well.
+
+What is moved: one row of two hashes and the host for each block element of each different page, counted
+by host and subtree; then, for each page, those of its own subtrees that are template, joined by host and
+the page's hash.  No list grows with a host, and Spark splits a hot page's join.
 
 Defined cases: a null or empty html has the empty text; a page without markup is one block; a null
-url is the host ''; repeated rows count as pages of their own and each has a row; other columns are
+url is the host ''; repeated rows count as one page and each has a row; other columns are
 not looked at; no rows give no rows.
 """
 
 from __future__ import annotations
 
 import re
-from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -29,7 +28,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from ledgerline.llm.html import BLOCK, Element, blocks, hash_subtrees, parse, walk
 from ledgerline.session import kept
 
-SHARE, LEAST_PAGES = 0.5, 4
+SHARE, LEAST_PAGES, MANY = 0.5, 4, 20
 
 DROPPED = frozenset(
     "script style noscript template head title meta link nav footer aside form iframe object embed svg "
@@ -99,19 +98,20 @@ def main_text(html: str, template: frozenset[int] = frozenset()) -> str:
             dropped.add(id(element))
     for wanted in ("article", "main"):
         found = [e for e in elements if e.tag == wanted and id(e) not in dropped]
-        outer = [e for e in found if not any(_contains(o, e) for o in found)] if len(found) > 1 else found
+        outer = _outermost(elements, found) if len(found) > 1 else found
         texts = [t for e in _in_order(root, outer) for t in blocks(e, dropped)]
         if texts:
             return "\n\n".join(texts)
     return "\n\n".join(blocks(root, dropped))
 
 
-def _contains(outer: Element, element: Element) -> bool:
-    while element.parent is not None:
-        element = element.parent
-        if element is outer:
-            return True
-    return False
+def _outermost(elements: list[Element], found: list[Element]) -> list[Element]:
+    """Those of `found` that lie in no other; elements come with parents before children."""
+    wanted, below = {id(e) for e in found}, set()
+    for element in elements[1:]:
+        if id(element.parent) in below or id(element.parent) in wanted:
+            below.add(id(element))
+    return [e for e in found if id(e) not in below]
 
 
 def _in_order(root: Element, wanted: list[Element]) -> list[Element]:
@@ -126,37 +126,42 @@ def _in_order(root: Element, wanted: list[Element]) -> list[Element]:
     return out
 
 
-def _subtree_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """host, digest, pages: on how many pages of a batch; digest 0 counts the pages themselves."""
+def _subtrees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """host, page, digest of each different subtree; digest 0 stands for the page itself."""
     for batch in batches:
-        counts: Counter = Counter()
-        for host, html in zip(*(c.to_pylist() for c in batch.columns)):
+        hosts, pages, digests = [], [], []
+        for host, page, html in zip(*(c.to_pylist() for c in batch.columns)):
             elements = walk(parse(html))
             hash_subtrees(elements)
             # articles and what holds them can't be deleted and need no count
-            seen = {e.digest for e in elements[1:] if e.tag in BLOCK and e.tag not in KEPT_TAGS and e.children}
-            counts.update((host, digest) for digest in seen)
-            counts[host, 0] += 1
-        hosts, digests = zip(*counts) if counts else ((), ())
+            seen = {e.digest for e in elements[1:] if e.tag in BLOCK and e.tag not in KEPT_TAGS and e.children} | {0}
+            hosts += [host] * len(seen)
+            pages += [page] * len(seen)
+            digests += seen
         yield pa.RecordBatch.from_arrays(
-            [pa.array(hosts, pa.string()), pa.array(digests, pa.int64()), pa.array(counts.values(), pa.int64())],
-            ["host", "digest", "pages"],
+            [pa.array(hosts, pa.string()), pa.array(pages, pa.int64()), pa.array(digests, pa.int64())],
+            ["host", "page", "digest"],
         )
 
 
-def templates(pages: DataFrame) -> DataFrame:
-    """host, template (digests of the subtrees on at least half of its pages)."""
-    source = pages.select(host_of(F.col("url")).alias("host"), F.coalesce("html", F.lit("")).alias("html"))
-    counted = (
-        source.mapInArrow(_subtree_counts, "host string, digest bigint, pages bigint")
-        .groupBy("host", "digest")
-        .agg(F.sum("pages").alias("pages"))
-        .filter(F.col("pages") >= LEAST_PAGES)
-    )
-    many = kept(counted, "subtrees")
+def _sources(pages: DataFrame) -> DataFrame:
+    """page_id, url, html, host, page (a hash of the html) of every row."""
+    html = F.coalesce("html", F.lit(""))
+    return pages.select("page_id", "url", html.alias("html"), host_of(F.col("url")).alias("host"), F.xxhash64(html).alias("page"))
+
+
+def subtrees(sources: DataFrame) -> DataFrame:
+    """host, page, digest of the subtrees of every different page of a host."""
+    different = sources.select("host", "page", "html").dropDuplicates(["host", "page"])
+    return different.mapInArrow(_subtrees, "host string, page bigint, digest bigint")
+
+
+def templates(rows: DataFrame) -> DataFrame:
+    """host, digest of the subtrees that belong to a host's template; rows are those of `subtrees`."""
+    many = kept(rows.groupBy("host", "digest").agg(F.count("*").alias("pages")).filter(F.col("pages") >= LEAST_PAGES), "counts")
     whole = many.filter("digest = 0").select("host", F.col("pages").alias("all_pages"))
-    frequent = many.filter("digest <> 0").join(whole, "host").filter(F.col("pages") >= SHARE * F.col("all_pages"))
-    return frequent.groupBy("host").agg(F.collect_set("digest").alias("template"))
+    least = F.least(F.lit(MANY), SHARE * F.col("all_pages"))
+    return many.filter("digest <> 0").join(whole, "host").filter(F.col("pages") >= least).select("host", "digest")
 
 
 def extracted(pages: DataFrame) -> DataFrame:
@@ -175,11 +180,11 @@ def extracted(pages: DataFrame) -> DataFrame:
                 ["page_id", "url", "text", "n_chars"],
             )
 
-    known = kept(templates(pages), "templates")
-    source = pages.select(
-        "page_id", "url", F.coalesce("html", F.lit("")).alias("html"), host_of(F.col("url")).alias("host")
-    )
-    joined = source.join(known, "host", "left").select("page_id", "url", "html", "template")
+    sources = _sources(pages)
+    rows = kept(subtrees(sources), "subtrees")
+    # a page's list holds subtrees of its own only
+    own = rows.join(templates(rows), ["host", "digest"]).groupBy("host", "page").agg(F.collect_set("digest").alias("template"))
+    joined = sources.join(kept(own, "templates"), ["host", "page"], "left").select("page_id", "url", "html", "template")
     kind = pages.schema["page_id"].dataType.simpleString()
     return joined.mapInArrow(run, f"page_id {kind}, url string, text string, n_chars bigint")
 

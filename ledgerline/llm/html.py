@@ -7,6 +7,8 @@ table parts, end tags that match nothing, documents that stop anywhere.
 from __future__ import annotations
 
 import re
+from collections import defaultdict
+from collections.abc import Iterable
 from html import unescape
 
 import xxhash
@@ -65,6 +67,16 @@ def parse(html: str) -> Element:
     top, position = root, 0
     end = html.rfind(">") + 1
     search = _TOKEN.search
+    opened = [root]
+    depths: dict[str, list[int]] = defaultdict(list)  # tag -> where in `opened` it is
+
+    def deepest(tags: Iterable[str]) -> int:
+        return max((depths[t][-1] for t in tags if depths[t]), default=0)
+
+    def close(depth: int) -> Element:
+        while len(opened) > depth:
+            depths[opened.pop().tag].pop()
+        return opened[-1]
 
     while match := search(html, position, end):
         if match.start() > position:
@@ -75,25 +87,15 @@ def parse(html: str) -> Element:
             continue
         tag = tag.lower()
         if slash:
-            at = top
-            while at.tag and at.tag != tag:
-                at = at.parent
-            if at.tag:
-                top = at.parent
+            if depth := deepest((tag,)):
+                top = close(depth)
             continue
-        if tag in CLOSES_P:
-            at = top
-            while at.tag and at.tag != "p" and at.tag not in P_SCOPE:
-                at = at.parent
-            if at.tag == "p":
-                top = at.parent
+        if tag in CLOSES_P and depths["p"] and (depth := depths["p"][-1]) > deepest(P_SCOPE):
+            top = close(depth)
         if tag in IMPLIED:
             ended, stop = IMPLIED[tag]
-            at = top
-            while at.tag and at.tag not in ended and at.tag not in stop:
-                at = at.parent
-            if at.tag in ended:
-                top = at.parent
+            if (depth := deepest(ended)) > deepest(stop):
+                top = close(depth)
         element = Element(tag, match[3], top)
         top.children.append(element)
         if tag in RAW:
@@ -104,6 +106,8 @@ def parse(html: str) -> Element:
             end = max(end, position)
         elif tag not in VOID:
             top = element
+            depths[tag].append(len(opened))
+            opened.append(element)
     if position < len(html):
         top.children.append(html[position:])
     return root

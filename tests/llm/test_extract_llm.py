@@ -1,6 +1,8 @@
 import re
+import time
 from html import unescape
 
+import pytest
 from conftest import SF_DIR
 
 from ledgerline.llm import extract
@@ -69,20 +71,37 @@ def test_site_template_is_removed(spark):
 
 
 def test_counts_are_those_of_a_plain_count(spark):
-    pages = spark.read.parquet(f"{SF_DIR}/pages.parquet").collect()
-    want = {}
-    for p in pages:
-        host = re.match(r"\w+://([^/?#]*)", p.url)[1].lower()
-        elements = walk(parse(p.html))
+    pages = {(extract_host(p.url), p.html) for p in spark.read.parquet(f"{SF_DIR}/pages.parquet").collect()}
+    want, sizes = {}, {}
+    for host, html in pages:
+        elements = walk(parse(html))
         hash_subtrees(elements)
-        for d in {e.digest for e in elements[1:] if e.tag in extract.BLOCK and e.tag not in extract.KEPT_TAGS and e.children}:
-            want.setdefault(host, {}).setdefault(d, set()).add(p.page_id)
-    sizes = {}
-    for p in pages:
-        host = re.match(r"\w+://([^/?#]*)", p.url)[1].lower()
         sizes[host] = sizes.get(host, 0) + 1
-    expected = {
-        h: {d for d, ids in ds.items() if len(ids) >= max(extract.LEAST_PAGES, extract.SHARE * sizes[h])} for h, ds in want.items()
-    }
-    got = {r.host: set(r.template) for r in extract.templates(spark.read.parquet(f"{SF_DIR}/pages.parquet")).collect()}
-    assert got == {h: d for h, d in expected.items() if d}
+        for d in {e.digest for e in elements[1:] if e.tag in extract.BLOCK and e.tag not in extract.KEPT_TAGS and e.children}:
+            want[host, d] = want.get((host, d), 0) + 1
+    expected = {k for k, n in want.items() if n >= max(extract.LEAST_PAGES, min(extract.MANY, extract.SHARE * sizes[k[0]]))}
+    rows = extract.subtrees(extract._sources(spark.read.parquet(f"{SF_DIR}/pages.parquet")))
+    assert {tuple(r) for r in extract.templates(rows).collect()} == expected
+
+
+def extract_host(url):
+    return re.match(r"\w+://([^/?#]*)", url)[1].lower()
+
+
+def test_the_template_of_a_section_is_removed(spark):
+    """A bar on a third of a host's pages goes; the text of a page with many copies stays."""
+    bar = "<div><p>Every page of this section says this</p></div>"
+    pages = [(i, "http://site/", f"<body>{bar if i % 3 == 0 else ''}<div><p>text {i}</p></div></body>") for i in range(90)]
+    pages += [(100 + i, "http://site/", "<body><div><p>copied</p></div></body>") for i in range(60)]
+    got = {r.page_id: r.text for r in extract.extracted(spark.createDataFrame(pages, "page_id bigint, url string, html string")).collect()}
+    assert got == {i: f"text {i}" for i in range(90)} | {100 + i: "copied" for i in range(60)}
+
+
+@pytest.mark.parametrize(
+    "html",
+    ["<div>" * 100_000, "<article>a</article>" * 100_000, "<p><table>" + "<b>" * 50_000 + "<div>" * 50_000, "<li><ul>" + "<b><li>" * 50_000],
+)
+def test_time_is_linear(html):
+    start = time.monotonic()
+    extract.main_text(html)
+    assert time.monotonic() - start < 5

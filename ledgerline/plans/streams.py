@@ -13,8 +13,8 @@ from ledgerline.plans.registry import query
 from ledgerline.plans.sqlparts import select
 from ledgerline.schemas import DEAD_LETTER
 from ledgerline.session import fresh_folder, kept, streaming_session
-from ledgerline.sources.feed import order_feed, with_offsets
-from ledgerline.sources.landing import FILES_PER_BATCH, append, landed_stream
+from ledgerline.sources.feed import offsets_of, order_feed, with_offsets
+from ledgerline.sources.landing import FILES_PER_BATCH, append, files_for, landed_stream
 from ledgerline.streaming.apply import (
     apply_backfill,
     apply_bounded,
@@ -31,35 +31,42 @@ from ledgerline.streaming.outputs import (
 )
 from ledgerline.streaming.replay import replay_all, waiting
 
-PIECES = 4  # landed before each run of a stream, at least; a piece is a micro-batch
-PIECE_ROWS = 250_000
+BATCHES = 4  # micro-batches that a run of a stream takes the feed up in, whatever its size
+PIECES = 4  # of the dead-letter topic
 
 
 def land_and_drain(
-    spark: SparkSession, sf_dir: str, landing: str, drain: Callable[[], None], drains: int = 1,
+    spark: SparkSession, sf_dir: str, landing: str, drain: Callable[[int], None], drains: int = 1,
     swapped: bool = False,
-) -> int:
-    """Land the feed piece by piece and run the stream after every few; one past its positions.
+) -> tuple[int, int]:
+    """Land the feed piece by piece and run the stream after every few.
 
+    Gives one past its positions and the files of a micro-batch, which ``drain`` is called with.  A piece
+    is a bounded file.  A backlog is taken up in a fixed number of micro-batches of as many files as that
+    takes: what a micro-batch costs whatever its size, and a look back at the earlier ones, is paid so many
+    times and not once for each file.  The feed is dealt to its pieces once; a piece reads no other's records.
     Each run resumes from the checkpoint of the one before it.  ``swapped`` lands the third quarter
     of the feed before the second, which is late then.
     """
-    feed = kept(with_offsets(order_feed(spark, sf_dir)), "feed")
-    lo, hi, n = feed.agg(F.min("ingest_seq"), F.max("ingest_seq"), F.count(F.lit(1))).first()
+    feed = order_feed(spark, sf_dir)
+    offsets = kept(offsets_of(feed), "offsets")
+    lo, hi, n = offsets.agg(F.min("ingest_seq"), F.max("ingest_seq"), F.count(F.lit(1))).first()
     if lo is None:
         lo = hi = 0
-    pieces = drains * max(PIECES, -(-n // (drains * PIECE_ROWS)))
-    cuts = [lo + (hi + 1 - lo) * i // pieces for i in range(pieces + 1)]
+    files = files_for(-(-n // (drains * BATCHES)))
+    pieces = drains * BATCHES * files
+    piece = F.expr(f"int(((ingest_seq - {lo} + 1) * {pieces} - 1) div {hi + 1 - lo})")
+    dealt = with_offsets(feed, offsets).withColumn("piece", piece).repartition(pieces, "piece")
+    dealt = kept(dealt, "feed", by="piece")
     turns = list(range(pieces))
     if swapped:
         a, b, c = (pieces * q // 4 for q in (1, 2, 3))
         turns = turns[:a] + turns[b:c] + turns[a:b] + turns[c:]
     for done, i in enumerate(turns, 1):
-        inside = (F.col("ingest_seq") >= cuts[i]) & (F.col("ingest_seq") < cuts[i + 1])
-        append(feed.filter(inside), landing)
+        append(dealt.filter(F.col("piece") == i), landing)
         if done % (pieces // drains) == 0:
-            drain()
-    return hi + 1
+            drain(files)
+    return hi + 1, files
 
 
 def _run(spark: SparkSession, sf_dir: str, label: str, start, drains: int = 1, swapped: bool = False) -> str:
@@ -70,7 +77,7 @@ def _run(spark: SparkSession, sf_dir: str, label: str, start, drains: int = 1, s
         session,
         sf_dir,
         landing,
-        lambda: start(session, landed_stream(session, landing), root).awaitTermination(),
+        lambda files: start(session, landed_stream(session, landing, files), root).awaitTermination(),
         drains,
         swapped,
     )
@@ -211,11 +218,11 @@ def dead_letters_landed(spark: SparkSession, sf_dir: str, label: str):
     root = fresh_folder(spark, label)
     landing = f"{root}/landing"
 
-    def drain() -> None:
-        apply_backfill(session, landed_stream(session, landing), root).awaitTermination()
+    def drain(files: int) -> None:
+        apply_backfill(session, landed_stream(session, landing, files), root).awaitTermination()
 
-    past = land_and_drain(session, sf_dir, landing, drain)
-    return session, root, landing, drain, past
+    past, files = land_and_drain(session, sf_dir, landing, drain)
+    return session, root, landing, lambda: drain(files), past
 
 
 @query("stream_replay", select("""

@@ -81,18 +81,18 @@ def clear_folders(spark: SparkSession) -> None:
 _DROP_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
-def kept(df: DataFrame, label: str) -> DataFrame:
+def kept(df: DataFrame, label: str, by: str | None = None) -> DataFrame:
     """Write a result that several steps read, and read it back.
 
     Folders stay until :func:`clear_folders`.  Whatever comes after neither repeats the work before it
     nor depends on an executor that holds it in memory; nothing reads the write's own shuffle files
-    again, so they are removed as soon as it is done.
+    again, so they are removed as soon as it is done.  ``by`` names a column with a folder for each value.
     """
     spark, path = df.sparkSession, fresh_folder(df.sparkSession, label)
     before = spark.conf.get(_DROP_SHUFFLES, "false")
     spark.conf.set(_DROP_SHUFFLES, "true")
     try:
-        df.write.parquet(path)
+        df.write.parquet(path, partitionBy=by)
     finally:
         spark.conf.set(_DROP_SHUFFLES, before)
     return spark.read.schema(df.schema).parquet(path)

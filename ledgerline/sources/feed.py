@@ -84,13 +84,14 @@ def feed_of(events: DataFrame) -> DataFrame:
     )
 
 
-def with_offsets(feed: DataFrame) -> DataFrame:
+def with_offsets(feed: DataFrame, offsets: DataFrame | None = None) -> DataFrame:
     """Add each record's offset: its position in its topic partition, by arrival, and the gaps.
 
-    Only positions are numbered; the records themselves are joined to their numbers.
+    Only positions are numbered; the records themselves are joined to their numbers, those of
+    :func:`offsets_of` where they are at hand.
     """
-    offsets = offsets_of(feed).select("ingest_seq", "record_offset")
-    return feed.join(offsets, "ingest_seq")
+    numbers = offsets_of(feed) if offsets is None else offsets
+    return feed.join(numbers.select("ingest_seq", "record_offset"), "ingest_seq")
 
 
 def offsets_of(feed: DataFrame) -> DataFrame:

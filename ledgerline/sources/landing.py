@@ -11,9 +11,17 @@ MESSAGE_HEADER = "kafka_dlt-exception-message"
 ORIGIN_HEADER = "kafka_dlt-original-topic"
 
 
-# Files that one micro-batch takes up at most.
+# Files that one micro-batch takes up at most, unless the stream is told otherwise.
 FILES_PER_BATCH = 1
 
+# Records that a file of the landing folder holds at most.
+FILE_ROWS = 250_000
+
+
+def files_for(rows: int) -> int:
+    """How many files so many records take, one at least."""
+    return max(1, -(-rows // FILE_ROWS))
+
 
 def append(records: DataFrame, path: str) -> None:
     """Append numbered records (see ``with_offsets``) to the landing folder, as one file.

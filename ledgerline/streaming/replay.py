@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ledgerline.operators.deadletter import pending, replay_records
 from ledgerline.schemas import LANDED, ORDERS_PARTITIONS
+from ledgerline.sources.landing import files_for
 from ledgerline.streaming.outputs import is_written, mark_written, read_replay_log, read_table
 
 
@@ -27,7 +28,8 @@ def replay_all(
     The call may be repeated under its id until it returns: every step is done once.  The rows
     to send are written first, with their keys, and everything after reads them back; a second
     call takes those rows again and not what waits by then.  Rows that lie in the log already
-    are left out of the append, and the mark comes last.  ``repair`` may give another payload.
+    are left out of the append, and the mark comes last.  The append is as few files as hold it: a stream
+    may take each for a micro-batch of its own.  ``repair`` may give another payload.
     ``seq_base`` must lie past every position in the log.
     """
     logged = read_replay_log(spark, root).filter(F.col("replay_id") == replay_id)
@@ -57,7 +59,7 @@ def replay_all(
         F.col("replay_key").alias("record_key"),
         F.current_timestamp().cast("timestamp_ntz").alias("appended_at"),
         "payload",
-    ).select(*LANDED.names).write.mode("append").parquet(landing)
+    ).select(*LANDED.names).repartition(files_for(sent.count())).write.mode("append").parquet(landing)
     sent.select("id", "replay_key").write.mode("overwrite").parquet(
         f"{root}/replay_log/replay_id={replay_id}"
     )

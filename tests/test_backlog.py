@@ -7,8 +7,11 @@ from pyspark.sql import functions as F
 
 from compare import differences
 from ledgerline.plans import ORACLES, QUERIES, streams
+from ledgerline.schemas import LANDED
 from ledgerline.session import streaming_session
 from ledgerline.sources import landing
+from ledgerline.sources.landing import landed_stream
+from ledgerline.streaming import apply, replay
 
 ROWS, FILE_ROWS = 400, 20
 
@@ -52,3 +55,18 @@ def test_files_are_bounded_in_order_and_read_one_piece_each(spark, sf_dir, root,
     turns = {0: 0, 1: 2, 2: 1, 3: 3} if swapped else {q: q for q in range(4)}
     assert [lo * 4 // ROWS for lo, _, _ in spans] == [turns[q] for q in quarters]
     assert all("PartitionFilters: [isnotnull(piece" in plan for plan in plans)
+
+
+def test_a_replay_lands_as_few_files(spark, root):
+    session = streaming_session(spark, state_partitions=2)
+    rows = session.range(40).selectExpr(
+        "id AS ingest_seq", "'orders' AS topic", "0 AS record_partition", "id AS record_offset",
+        "concat('k-', id) AS record_key", "timestamp_ntz'2024-01-10' AS appended_at", "'garbage' AS payload",
+    )
+    for part in range(4):
+        landing.append(rows.filter(F.col("ingest_seq") % 4 == part), f"{root}/landing")
+    apply.apply_backfill(session, landed_stream(session, f"{root}/landing"), root).awaitTermination()
+    before = set(Path(f"{root}/landing").glob("*.parquet"))
+    assert replay.replay_all(session, root, f"{root}/landing", "r", 40) == 40
+    assert len(set(Path(f"{root}/landing").glob("*.parquet")) - before) == 1
+    assert spark.read.schema(LANDED).parquet(f"{root}/landing").filter("ingest_seq >= 40").count() == 40

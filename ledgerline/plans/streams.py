@@ -57,6 +57,8 @@ def land_and_drain(
     pieces = drains * BATCHES * files
     piece = F.expr(f"int(((ingest_seq - {lo} + 1) * {pieces} - 1) div {hi + 1 - lo})")
     dealt = with_offsets(feed, offsets).withColumn("piece", piece).repartition(pieces, "piece")
+    # of records that share a position the gate takes the last it reads
+    dealt = dealt.sortWithinPartitions("piece", "ingest_seq", "record_offset")
     dealt = kept(dealt, "feed", by="piece")
     turns = list(range(pieces))
     if swapped:

@@ -10,6 +10,7 @@ from ledgerline.plans import ORACLES, QUERIES, streams
 from ledgerline.schemas import LANDED
 from ledgerline.session import streaming_session
 from ledgerline.sources import landing
+from ledgerline.sources.feed import order_feed, with_offsets
 from ledgerline.sources.landing import landed_stream
 from ledgerline.streaming import apply, replay
 
@@ -57,6 +58,17 @@ def test_files_are_bounded_in_order_and_read_one_piece_each(spark, sf_dir, root,
     assert all("PartitionFilters: [isnotnull(piece" in plan for plan in plans)
 
 
+def test_of_records_that_share_a_position_the_largest_offset_is_applied(spark, sf_dir):
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    events.union(events).coalesce(1).write.parquet(f"{sf_dir}/twice/events.parquet")
+    numbered = with_offsets(order_feed(spark, f"{sf_dir}/twice")).select("ingest_seq", "record_partition", "record_offset")
+    largest = {r[:2]: r.last for r in numbered.groupBy("ingest_seq", "record_partition").agg(F.max("record_offset").alias("last")).collect()}
+    applied = QUERIES["stream_ledger"](spark, f"{sf_dir}/twice").collect()
+    found = {int(r.order_id.removeprefix("ord-")): (r.record_partition, r.record_offset) for r in applied}
+    # an order whose first record is unreadable is applied from its other one, three positions later
+    assert found and all(o in {largest.get((k, p)), largest.get((k + 3, p))} for k, (p, o) in found.items())
+
+
 def test_a_replay_lands_as_few_files(spark, root):
     session = streaming_session(spark, state_partitions=2)
     rows = session.range(40).selectExpr(

@@ -10,7 +10,10 @@ form and so on, by its elements, classes or roles, is deleted as well.
 
 What is moved: one row of two hashes and the host for each block element of each different page, counted
 by host and subtree; then, for each page, those of its own subtrees that are template, joined by host and
-the page's hash.  No list grows with a host, and Spark splits a hot page's join.
+the page's hash to its outline.  That is what may be main text, without what goes whatever the templates
+are, and with the hashes of the containers that only go if they are one; the html itself is never
+shuffled.  All joins are sort-merge joins, so that no size of table has a plan of its own.  No list grows
+with a host, and Spark splits a hot page's join.
 
 Defined cases: a null or empty html has the empty text; a page without markup is one block; a null
 url is the host ''; repeated rows count as one page and each has a row; other columns are
@@ -20,12 +23,13 @@ not looked at; no rows give no rows.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Container, Iterable, Iterator
+from html import unescape
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ledgerline.llm.html import BLOCK, Element, blocks, hash_subtrees, parse, walk
+from ledgerline.llm.html import BLOCK, BREAK, END, Element, hash_subtrees, parse, pieces, walk
 from ledgerline.session import kept
 
 SHARE, LEAST_PAGES, MANY = 0.5, 4, 20
@@ -70,11 +74,19 @@ def _marked(element: Element, in_article: bool, holds_article: bool) -> bool:
     return bool(_HIDDEN.search(element.attribute("style"))) or "hidden" in element.attribute("hidden")
 
 
-def main_text(html: str, template: frozenset[int] = frozenset()) -> str:
+#: A mark of an outline besides those of `pieces`.
+INSTEAD = -2
+
+
+def outline(html: str) -> list[tuple[int, str]]:
+    """What may be main text: marks, each with the text behind it.
+
+    Containers that go if they are template lie between their hash and END; BREAK ends a block, and what
+    comes after INSTEAD counts if all before it is empty.
+    """
     root = parse(html)
     elements = walk(root)
-    if template:
-        hash_subtrees(elements)
+    hash_subtrees(elements)
     holds: set[int] = set()  # elements that contain an article or main
     inside: set[int] = set()  # elements within one
     for element in elements:
@@ -85,6 +97,7 @@ def main_text(html: str, template: frozenset[int] = frozenset()) -> str:
         if element.parent is not None and (id(element) in holds or element.tag in ("article", "main")):
             holds.add(id(element.parent))
     dropped: set[int] = set()
+    perhaps: set[int] = set()  # dropped if they are template
     for element in elements[1:]:
         within, tag = id(element) in inside, element.tag
         if id(element.parent) in dropped:
@@ -92,17 +105,59 @@ def main_text(html: str, template: frozenset[int] = frozenset()) -> str:
         elif tag in DROPPED or (tag == "header" and not within):
             if not (tag == "form" and id(element) in holds):
                 dropped.add(id(element))
-        elif element.digest in template and tag in BLOCK and not (within and tag in TEXT_TAGS) and id(element) not in holds and tag not in KEPT_TAGS:
-            dropped.add(id(element))
         elif (tag not in KEPT_TAGS or tag == "article") and _marked(element, within, id(element) in holds):
             dropped.add(id(element))
-    for wanted in ("article", "main"):
-        found = [e for e in elements if e.tag == wanted and id(e) not in dropped]
+        elif tag in BLOCK and element.children and not (within and tag in TEXT_TAGS) and id(element) not in holds and tag not in KEPT_TAGS:
+            perhaps.add(id(element))
+    out: list[tuple[int, str]] = []
+    for wanted in ("article", "main", ""):
+        found = [e for e in elements if e.tag == wanted and id(e) not in dropped] if wanted else [root]
         outer = _outermost(elements, found) if len(found) > 1 else found
-        texts = [t for e in _in_order(root, outer) for t in blocks(e, dropped)]
-        if texts:
-            return "\n\n".join(texts)
-    return "\n\n".join(blocks(root, dropped))
+        marks = [m for e in _in_order(root, outer) for m in _marks(e, dropped, perhaps)]
+        out += [(INSTEAD, ""), *marks] if out else marks
+        if text_of(marks, None):
+            break
+    return out
+
+
+def _marks(element: Element, dropped: set[int], perhaps: set[int]) -> list[tuple[int, str]]:
+    out: list[tuple[int, str]] = []
+    mark, texts = BREAK, []
+    for piece in pieces(element, dropped, perhaps):
+        if isinstance(piece, str):
+            texts.append(piece)
+        elif piece != BREAK or mark != BREAK or "".join(texts).strip():
+            out.append((mark, "".join(texts)))
+            mark, texts = piece, []
+        else:
+            texts = []
+    return [*out, (mark, "".join(texts)), (BREAK, "")]
+
+
+def text_of(marks: Iterable[tuple[int, str]], template: Container[int] | None) -> str:
+    """The text of an outline without the containers that are template; without any if that is None."""
+    out: list[str] = []
+    run: list[str] = []
+    depth = 0  # of containers in one that goes
+    for mark, text in [*marks, (INSTEAD, "")]:
+        if depth:
+            depth += (mark > 0) - (mark == END)
+            if not depth:
+                run.append(text)
+            continue
+        if mark > 0 and (template is None or mark in template):
+            depth = 1
+            continue
+        if block := " ".join(unescape("".join(run)).split()):
+            out.append(block)
+        run = [text]
+        if mark == INSTEAD and out:
+            break
+    return "\n\n".join(out)
+
+
+def main_text(html: str, template: Container[int] = frozenset()) -> str:
+    return text_of(outline(html), template)
 
 
 def _outermost(elements: list[Element], found: list[Element]) -> list[Element]:
@@ -144,16 +199,24 @@ def _subtrees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def _outlines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        lists = [outline(html) for html in batch.column(4).to_pylist()]
+        marks = pa.array([[m for m, _ in x] for x in lists], pa.list_(pa.int64()))
+        texts = pa.array([[t for _, t in x] for x in lists], pa.list_(pa.string()))
+        yield pa.RecordBatch.from_arrays([*batch.columns[:4], marks, texts], ["page_id", "url", "host", "page", "marks", "texts"])
+
+
 def _sources(pages: DataFrame) -> DataFrame:
-    """page_id, url, html, host, page (a hash of the html) of every row."""
+    """page_id, url, host, page (a hash of the html), html of every row."""
     html = F.coalesce("html", F.lit(""))
-    return pages.select("page_id", "url", html.alias("html"), host_of(F.col("url")).alias("host"), F.xxhash64(html).alias("page"))
+    return pages.select("page_id", "url", host_of(F.col("url")).alias("host"), F.xxhash64(html).alias("page"), html.alias("html"))
 
 
 def subtrees(sources: DataFrame) -> DataFrame:
     """host, page, digest of the subtrees of every different page of a host."""
-    different = sources.select("host", "page", "html").dropDuplicates(["host", "page"])
-    return different.mapInArrow(_subtrees, "host string, page bigint, digest bigint")
+    found = sources.select("host", "page", "html").mapInArrow(_subtrees, "host string, page bigint, digest bigint")
+    return found.distinct()
 
 
 def templates(rows: DataFrame) -> DataFrame:
@@ -161,7 +224,7 @@ def templates(rows: DataFrame) -> DataFrame:
     many = kept(rows.groupBy("host", "digest").agg(F.count("*").alias("pages")).filter(F.col("pages") >= LEAST_PAGES), "counts")
     whole = many.filter("digest = 0").select("host", F.col("pages").alias("all_pages"))
     least = F.least(F.lit(MANY), SHARE * F.col("all_pages"))
-    return many.filter("digest <> 0").join(whole, "host").filter(F.col("pages") >= least).select("host", "digest")
+    return many.filter("digest <> 0").join(whole.hint("merge"), "host").filter(F.col("pages") >= least).select("host", "digest")
 
 
 def extracted(pages: DataFrame) -> DataFrame:
@@ -169,10 +232,10 @@ def extracted(pages: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, urls, htmls, lists = batch.columns
+            ids, urls, marks, pieces, lists = (batch.column(i) for i in range(5))
             texts = [
-                main_text(html, frozenset(digests or ()))
-                for html, digests in zip(htmls.to_pylist(), lists.to_pylist())
+                text_of(zip(*outlined), frozenset(digests or ()))
+                for *outlined, digests in zip(marks.to_pylist(), pieces.to_pylist(), lists.to_pylist())
             ]
             sizes = [len(t) for t in texts]
             yield pa.RecordBatch.from_arrays(
@@ -181,12 +244,17 @@ def extracted(pages: DataFrame) -> DataFrame:
             )
 
     sources = _sources(pages)
+    kind = pages.schema["page_id"].dataType.simpleString()
     rows = kept(subtrees(sources), "subtrees")
     # a page's list holds subtrees of its own only
-    own = rows.join(templates(rows), ["host", "digest"]).groupBy("host", "page").agg(F.collect_set("digest").alias("template"))
-    joined = sources.join(kept(own, "templates"), ["host", "page"], "left").select("page_id", "url", "html", "template")
-    kind = pages.schema["page_id"].dataType.simpleString()
-    return joined.mapInArrow(run, f"page_id {kind}, url string, text string, n_chars bigint")
+    own = rows.join(templates(rows).hint("merge"), ["host", "digest"]).groupBy("host", "page").agg(F.collect_set("digest").alias("template"))
+    outlines = sources.mapInArrow(
+        _outlines, f"page_id {kind}, url string, host string, page bigint, marks array<bigint>, texts array<string>"
+    )
+    joined = outlines.join(kept(own, "templates").hint("merge"), ["host", "page"], "left")
+    return joined.select("page_id", "url", "marks", "texts", "template").mapInArrow(
+        run, f"page_id {kind}, url string, text string, n_chars bigint"
+    )
 
 
 def op10_html(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import re
 from collections import defaultdict
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 from html import unescape
 
 import xxhash
@@ -131,30 +131,24 @@ def hash_subtrees(elements: list[Element]) -> None:
         element.digest = digest("\x00".join(parts)) >> 1
 
 
-def blocks(element: Element, dropped: set[int]) -> list[str]:
-    """Texts of the blocks below an element, in page order, without dropped elements (by id())."""
-    out: list[str] = []
-    run: list[str] = []
+#: Where a block begins or ends; where a marked element ends, which begins with its digest.
+BREAK, END = 0, -1
 
-    def end_block() -> None:
-        text = " ".join(unescape("".join(run)).split())
-        if text:
-            out.append(text)
-        run.clear()
 
-    todo: list[Element | str | None] = [element]
+def pieces(element: Element, dropped: set[int], marked: set[int]) -> Iterator[str | int]:
+    """The text below an element in page order with the marks of blocks, without dropped elements (by id())."""
+    todo: list[Element | str | int] = [element]
     while todo:
         item = todo.pop()
-        if item is None:
-            end_block()
-        elif isinstance(item, str):
-            run.append(item)
+        if isinstance(item, (str, int)):
+            yield item
         elif id(item) not in dropped:
-            if item.tag in BLOCK:
-                end_block()
-                todo.append(None)
+            if id(item) in marked:
+                yield item.digest
+                todo.append(END)
+            elif item.tag in BLOCK:
+                yield BREAK
+                todo.append(BREAK)
             elif item.tag == "br" or item.tag in RAW:
-                run.append(" ")
+                yield " "
             todo += reversed(item.children)
-    end_block()
-    return out

@@ -105,3 +105,28 @@ def test_time_is_linear(html):
     start = time.monotonic()
     extract.main_text(html)
     assert time.monotonic() - start < 5
+
+
+def test_outlines_hold_what_any_template_leaves():
+    """Nested containers, text that meets over one that goes, and articles that are empty without it."""
+    html = "<article><div><section>s</section>d</div></article><main>m</main>x &am<div>one</div>p; y"
+    elements = walk(parse(html))
+    hash_subtrees(elements)
+    digest = {e.children[-1]: e.digest for e in elements if e.children and isinstance(e.children[-1], str)}
+    assert extract.main_text(html) == "s\n\nd"
+    assert extract.main_text(html, {digest["s"]}) == "d"
+    assert extract.main_text(html, {digest["d"]}) == "m"
+    bare = html.removeprefix("<article><div><section>s</section>d</div></article><main>m</main>")
+    assert extract.main_text(bare) == "x &am\n\none\n\np; y"
+    assert extract.main_text(bare, {digest["one"]}) == "x & y"
+
+
+def test_no_html_is_shuffled(spark):
+    """What a page says outside its text stays where it was read, and joins have one plan at every size."""
+    noise = "".join(f"<script>var x{i} = {i * i}</script>" for i in range(3000))
+    pages = [(i, "http://site/", f"<body>{noise}<article><p>text {i}</p></article></body>") for i in range(20)]
+    found = extract.extracted(spark.createDataFrame(pages, "page_id bigint, url string, html string"))
+    plan = found._jdf.queryExecution().sparkPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+    assert sum(len(t) for _, t in extract.outline(pages[0][2])) < 100
+    assert {r.page_id: r.text for r in found.collect()} == {i: f"text {i}" for i in range(20)}

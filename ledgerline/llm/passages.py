@@ -21,18 +21,23 @@ functions or more with probability 0.998; equal stretches do under all of them.
 4. Of stretches that the first such document shares all six with and still isn't alike, the 50 words are
    listed and joined to the first document that lists the same; that one holds them.
 
+Of equal texts only the one with the smallest doc_id is compared.  Each copy has its passages, and the whole
+text as a passage of that document.
+
 Verification: runs of equal words are chained over changed, left out and inserted words while the
 chain's shingles have a similarity of 0.8.  For shingles in common n and others m (of both sides) that
 is n >= 4m, so a chain's score is a sum over its runs and gaps.
 
 What is moved: narrow rows for windows, and the two texts of a pair that met twice.  Counting keys is
 combined on the map side and the rows of a hot key are joined to a written table, which Spark splits.
+All joins are sort-merge joins, so that no size of table has a plan of its own; what was written for one
+listing is deleted after it.  Python is sent some hundred pairs of texts at a time.
 
 Result: one row per document and repeated passage, with the first document that holds it.
 
 Defined cases: null, empty and short texts (under 50 words) have no passages; passages within one
 document only aren't reported; rows with null doc_id take no part; doc_ids are taken as unique, rows
-that repeat one with another text are left as they are; other columns are not looked at; no rows
+that repeat one with another text are left as they are and aren't taken for copies; other columns are not looked at; no rows
 give no rows.  A shorter run of 45 equal words or more is a passage with the words beside it.
 """
 
@@ -47,7 +52,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ledgerline.llm.shingles import WIDTH, _power_tables, groups_of, mix, word_lists, words
-from ledgerline.session import kept
+from ledgerline.session import kept, release
 
 LEAST = 50  # words of a passage
 SHINGLES = LEAST - WIDTH + 1
@@ -57,6 +62,8 @@ OTHER = 4  # shingles in common that make up for one that isn't, at a similarity
 SLICE = 256  # pairs of texts split into words at a time
 WINDOWS, SIX, WORDS = "windows", "six", "words"  # what open stretches are listed by
 MATCHES = 1 << 18  # equal shingles of a pair of texts held at a time
+LINKS, PIECES = 1 << 14, 32  # pairs of runs that are worked out at a time, and how often they are held
+ROWS = 2048  # texts that are sent to Python at a time
 GROUP_BYTES = 1 << 20  # text whose windows are listed at a time
 
 
@@ -124,10 +131,22 @@ def _first_of(rows: DataFrame, key: str) -> DataFrame:
     return ends.filter("first_id < last_id").select(key, "first_id")
 
 
-def _meetings(rows: DataFrame, label: str) -> DataFrame:
-    """The rows that share a key with a smaller doc_id, and the smallest one that has the key."""
-    shared = kept(_first_of(rows, "key"), label)
-    return rows.join(shared, "key").filter("doc_id > first_id")
+def _meetings(rows: DataFrame, label: str) -> tuple[DataFrame, DataFrame]:
+    """The rows that share a key with a smaller doc_id, and the smallest one that has the key; the shared keys."""
+    shared = kept(_first_of(rows, "key"), label, batch=ROWS)
+    return rows.join(shared.hint("merge"), "key").filter("doc_id > first_id"), shared
+
+
+def _copies(docs: DataFrame) -> DataFrame:
+    """doc_id, original of every text that a smaller doc_id has too; original is the smallest.
+
+    A doc_id with several texts is neither.
+    """
+    mark = F.md5("text")
+    marks = docs.groupBy("doc_id").agg(F.min(mark).alias("mark"), F.max(mark).alias("other")).filter("mark = other")
+    first = marks.groupBy("mark").agg(F.min("doc_id").alias("original"), F.max("doc_id").alias("last"))
+    several = first.filter("original < last").select("mark", "original")
+    return marks.join(several.hint("merge"), "mark").filter("doc_id > original").select("doc_id", "original")
 
 
 def _together(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -194,7 +213,7 @@ def _chains(runs: np.ndarray, n: int, m: int) -> Iterator[tuple[int, int, int, i
     begins = i[(i + most <= n) & (ahead[np.minimum(i + most, n)] >= total[i])]
     if not len(begins):
         return
-    links = _links(runs)
+    links = _Links(runs)
     done, begins = -1, set(begins.tolist())
     i, j, length, ends, there = (x.tolist() for x in (i, j, length, ends, there))
     for p in range(len(runs)):
@@ -214,7 +233,7 @@ def _chains(runs: np.ndarray, n: int, m: int) -> Iterator[tuple[int, int, int, i
             if value >= 2 * OTHER * short and before <= min(s, t) and (not found or e + behind > found[1]):
                 found = s - before, e + behind, t - before, end + behind if bent else None
                 last = ends[q]
-            for to, gain in links.get(q, ()):
+            for to, gain in links.behind(q):
                 if to not in score:
                     heappush(todo, to)
                 if to not in score or value + gain > score[to][0]:
@@ -224,28 +243,47 @@ def _chains(runs: np.ndarray, n: int, m: int) -> Iterator[tuple[int, int, int, i
             yield found
 
 
-def _links(runs: np.ndarray) -> dict[int, list[tuple[int, int]]]:
-    """For each run the later ones that carry it on, and by how much they raise a chain's score."""
-    i, j, length = runs.T
-    ends, there = i + length, j + length
-    # a run that is shorter than the gap before it or behind it doesn't carry a chain on
-    last = np.searchsorted(i, ends + length + 2 * WIDTH, "right")
-    counts = np.maximum(last - np.arange(len(runs)) - 1, 0)
-    out: dict[int, list[tuple[int, int]]] = {}
-    piece = np.cumsum(counts) // MATCHES
-    for k in np.unique(piece).tolist():
-        own = np.flatnonzero((piece == k) & (counts > 0))
-        c = counts[own]
-        r = np.repeat(own, c)
+class _Links:
+    """For each run the later ones that carry it on, and by how much they raise a chain's score.
+
+    Worked out for some runs at a time when a chain gets there: lines that both texts repeat have as many
+    pairs of runs as the product of their repetitions, and a chain meets few of them.
+    """
+
+    def __init__(self, runs: np.ndarray):
+        self.runs = runs
+        i, _, length = runs.T
+        # a run that is shorter than the gap before it or behind it doesn't carry a chain on
+        last = np.searchsorted(i, i + 2 * length + 2 * WIDTH, "right")
+        self.counts = np.maximum(last - np.arange(len(runs)) - 1, 0)
+        self.piece = np.cumsum(self.counts) // LINKS
+        self.known: dict[int, tuple[int, np.ndarray, np.ndarray, np.ndarray]] = {}
+
+    def behind(self, run: int) -> Iterator[tuple[int, int]]:
+        if not self.counts[run]:
+            return iter(())
+        piece = int(self.piece[run])
+        if piece not in self.known:
+            if len(self.known) == PIECES:
+                del self.known[next(iter(self.known))]
+            self.known[piece] = self._of(piece)
+        start, bounds, to, gain = self.known[piece]
+        part = slice(bounds[run - start], bounds[run - start + 1])
+        return zip(to[part].tolist(), gain[part].tolist())
+
+    def _of(self, piece: int) -> tuple[int, np.ndarray, np.ndarray, np.ndarray]:
+        start, stop = np.searchsorted(self.piece, [piece, piece + 1])
+        i, j, length = self.runs.T
+        c = self.counts[start:stop]
+        r = np.repeat(np.arange(start, stop), c)
         q = np.arange(len(r)) - np.repeat(np.cumsum(c) - c, c) + r + 1
-        over = np.maximum(0, np.maximum(ends[r] - i[q], there[r] - j[q]))
-        here_gap, there_gap, rest = i[q] + over - ends[r], j[q] + over - there[r], length[q] - over
+        ends, there = i[r] + length[r], j[r] + length[r]
+        over = np.maximum(0, np.maximum(ends - i[q], there - j[q]))
+        here_gap, there_gap, rest = i[q] + over - ends, j[q] + over - there, length[q] - over
         wide = np.maximum(here_gap, there_gap) - WIDTH + 1
-        fits = (rest > 0) & (wide <= np.minimum(rest, length[r]) + WIDTH - 1)
-        gain = rest - OTHER * (here_gap + there_gap)
-        for x, y, z in zip(r[fits].tolist(), q[fits].tolist(), gain[fits].tolist()):
-            out.setdefault(x, []).append((y, z))
-    return out
+        fits = np.flatnonzero((rest > 0) & (wide <= np.minimum(rest, length[r]) + WIDTH - 1))
+        gain = rest[fits] - OTHER * (here_gap[fits] + there_gap[fits])
+        return int(start), np.searchsorted(r[fits], np.arange(start, stop + 1)), q[fits], gain
 
 
 def alike(a: np.ndarray, b: np.ndarray) -> list[tuple[int, int, int, int | None]]:
@@ -290,10 +328,30 @@ def _shared_windows(a: list[np.ndarray], b: list[np.ndarray], n: int) -> tuple[n
 
 def _inside(first: np.ndarray, last: np.ndarray, found: list[tuple]) -> np.ndarray:
     """Which stretches of words lie within a passage."""
-    out = np.zeros(len(first), bool)
-    for s, e, *_ in found:
-        out |= (first >= s) & (last <= e)
-    return out
+    if not found:
+        return np.zeros(len(first), bool)
+    begins, ends = np.array([f[:2] for f in sorted(found, key=lambda f: f[0])]).T
+    before = np.searchsorted(begins, first, "right")
+    return (before > 0) & (np.maximum.accumulate(ends)[before - 1] >= last)
+
+
+def _straightened(found: list[tuple]) -> np.ndarray:
+    """Rows (start, end, start in the other, end there or -1); passages that overlap on one diagonal are one."""
+    rows = np.array([f if f[3] is not None else (*f[:3], -1) for f in found], np.int64).reshape(-1, 4)
+    bent, rows = rows[rows[:, 3] >= 0], rows[rows[:, 3] < 0]
+    if not len(rows):
+        return bent
+    begin, end, there, _ = rows.T
+    order = np.lexsort((begin, begin - there))
+    begin, end, there = begin[order], end[order], there[order]
+    turn = np.append(True, np.diff(begin - there) != 0)
+    # ends of one diagonal are all above those of the ones before it
+    above = np.cumsum(turn) * (int(end.max()) + 1)
+    reach = np.maximum.accumulate(end + above) - above
+    new = np.flatnonzero(turn | np.append(True, begin[1:] > reach[:-1]))
+    last = np.append(new[1:], len(begin)) - 1
+    straight = np.column_stack([begin[new], reach[last], there[new], np.full(len(new), -1)])
+    return np.concatenate([straight, bent])
 
 
 def _sixes(windows: list[np.ndarray], n: int) -> np.ndarray:
@@ -347,31 +405,35 @@ def _verified(listing: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.
         columns = [c[order] for c in columns]
         return {t: (lists[i], [c[cut[i] : cut[i + 1]] for c in columns]) for i, t in enumerate(texts)}
 
-    def compared(one: tuple, other: tuple) -> tuple[list[tuple], tuple]:
+    def compared(one: tuple, other: tuple) -> tuple[np.ndarray, tuple]:
         (a, first, last), windows = one
         (b, _, _), others = other
         met, enough = _shared_windows(windows, others, len(a))
-        found = alike(a, b) if enough.any() else []
-        rows = [(s, e, t, end, int(first[s]), int(last[e - 1])) for s, e, t, end in found]
+        found = ([(0, len(a), 0, None)] if one is other else alike(a, b)) if enough.any() else []
+        rows = _straightened(found)
+        rows = np.column_stack([rows, first[rows[:, 0]], last[rows[:, 1] - 1]])
         return rows, _open_stretches(listing, a, windows, others, met, enough, found, len(b))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (b.slice(at, SLICE) for b in batches for at in range(0, b.num_rows, SLICE)):
-            ids, firsts, marks = (batch.column(i).to_pylist() for i in range(3))
+            ids = batch.column(0).to_pylist()
             here, there = (batch.column(i).cast(pa.binary()).to_pylist() for i in (3, 4))
             known = texts_of(here + there)
             done: dict[tuple[bytes, bytes], tuple] = {}
-            rows: list[tuple] = []
+            passed: list[np.ndarray] = []
             opened: list[tuple] = []
-            for doc_id, first_id, mark, one, other in zip(ids, firsts, marks, here, there):
+            for doc_id, one, other in zip(ids, here, there):
                 if (one, other) not in done:
                     done[one, other] = compared(known[one], known[other])
                 found, rest = done[one, other]
-                rows += [(doc_id, first_id, *r, mark) for r in found]
+                passed.append(found)
                 opened.append((doc_id, *rest))
-            if rows:
-                columns = [pa.array(c, pa.int64()) for c in zip(*rows)]
-                yield pa.RecordBatch.from_arrays([*columns, pa.nulls(len(rows), pa.int64())], _NAMES)
+            rows = np.concatenate(passed)
+            if len(rows):
+                of = pa.array(np.repeat(np.arange(len(passed)), [len(p) for p in passed]))
+                doc_id, first_id, mark = (batch.column(i).take(of).cast(pa.int64()) for i in range(3))
+                places = [pa.array(c, mask=c < 0) for c in rows.T]
+                yield pa.RecordBatch.from_arrays([doc_id, first_id, *places, mark, pa.nulls(len(rows), pa.int64())], _NAMES)
             counts = [len(o[1]) for o in opened]
             if total := sum(counts):
                 none = pa.nulls(total, pa.int64())
@@ -390,46 +452,63 @@ def _verified(listing: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.
 def _compared(docs: DataFrame, pairs: DataFrame, listing: str, label: str) -> DataFrame:
     """The rows of `_verified` for pairs (doc_id, first_id)."""
     wanted = pairs.select("doc_id").union(pairs.select("first_id")).distinct()
-    texts = kept(docs.join(wanted, "doc_id").dropDuplicates(["doc_id"]), "texts")
+    texts = kept(docs.join(wanted.hint("merge"), "doc_id").dropDuplicates(["doc_id"]), "texts")
     marked = texts.withColumn("text_hash", F.xxhash64("text"))
     others = texts.select(F.col("doc_id").alias("first_id"), F.col("text").alias("first_text"))
-    both = pairs.join(marked, "doc_id").join(others, "first_id")
+    both = pairs.join(marked.hint("merge"), "doc_id").join(others.hint("merge"), "first_id")
     checked = both.select("doc_id", "first_id", "text_hash", "text", "first_text")
-    return kept(checked.mapInArrow(_verified(listing), PASSAGE), label)
+    out = kept(checked.mapInArrow(_verified(listing), PASSAGE), label, batch=SLICE)
+    release(texts)
+    return out
 
 
 def passages(docs: DataFrame) -> DataFrame:
     """doc_id, first_id and places of every repeated passage; places may overlap."""
     docs = docs.select("doc_id", "text").filter("doc_id IS NOT NULL AND text IS NOT NULL")
     pair = ["doc_id", "first_id"]
+    copies = kept(_copies(docs), "copies")
+    copied = copies.select(F.col("original").alias("doc_id")).distinct()
 
-    met = kept(_meetings(docs.mapInArrow(_windows_of, WINDOW), "shared"), "met")
+    rows, shared = _meetings(docs.mapInArrow(_windows_of, WINDOW), "shared")
+    met = kept(rows, "met", batch=ROWS)
+    release(shared)
     functions = F.bit_count(F.expr("bit_or(shiftleft(1, int(function)))"))
-    counted = kept(met.groupBy(*pair).agg((functions >= ENOUGH).alias("often")), "counted")
+    met_by = met.groupBy(*pair).agg((functions >= ENOUGH).alias("often"))
+    # a copy has the passages of its original, which is compared with itself for them
+    counted = kept(met_by.join(copies.hint("merge"), "doc_id", "left_anti"), "counted")
     often = counted.filter("often").select(*pair)
-    first = _compared(docs, often, WINDOWS, "first")
+    first = _compared(docs, often.union(copied.withColumn("first_id", F.col("doc_id"))), WINDOWS, "first")
 
-    once = met.join(counted.filter("NOT often").select(*pair), pair).select("key", "doc_id", "function", "place")
+    once = met.join(counted.filter("NOT often").select(*pair).hint("merge"), pair).select("key", "doc_id", "function", "place")
     failed = first.filter("window IS NOT NULL").selectExpr(
         "window AS key", "doc_id", "cast(first_word AS tinyint) AS function", "cast(start_word AS int) AS place"
     )
     waiting = once.union(failed).distinct().repartition("doc_id").sortWithinPartitions("doc_id", "place")
     together = kept(waiting.mapInArrow(_together, "key bigint, doc_id bigint"), "together")
+    release(met)
     # three functions make three pairs, two make one
-    several = _meetings(together, "shared").groupBy(*pair).agg(F.count_distinct("key").alias("n")).filter("n > 1")
-    again = kept(several.select(*pair).join(often, pair, "left_anti"), "again")
+    rows, shared = _meetings(together, "shared")
+    several = rows.groupBy(*pair).agg(F.count_distinct("key").alias("n")).filter("n > 1")
+    again = kept(several.select(*pair).join(often.hint("merge"), pair, "left_anti"), "again")
+    release(shared, together, counted)
     second = _compared(docs, again, SIX, "second")
+    release(again)
 
     # a pair compared before may meet again: what its stretches have in common isn't known yet
     third = _compared(docs, _pairs_listed(second, "sixth"), WORDS, "third")
     fourth = _compared(docs, _pairs_listed(third, "last"), WORDS, "fourth")
-    return first.union(second).union(third).union(fourth).filter("window IS NULL").drop("window")
+    found = first.union(second).union(third).union(fourth).filter("window IS NULL").drop("window")
+    of_copies = copies.hint("merge").join(found.withColumnRenamed("doc_id", "original"), "original").select(*found.columns)
+    return found.filter("doc_id <> first_id").union(of_copies)
 
 
 def _pairs_listed(rows: DataFrame, label: str) -> DataFrame:
     """The pairs (doc_id, first_id) that open stretches make."""
     listed = rows.filter("window IS NOT NULL").select(F.col("window").alias("key"), "doc_id")
-    return kept(_meetings(listed, "shared").select("doc_id", "first_id").distinct(), label)
+    met, shared = _meetings(listed, "shared")
+    out = kept(met.select("doc_id", "first_id").distinct(), label)
+    release(shared)
+    return out
 
 
 def shifted(found: DataFrame) -> DataFrame:

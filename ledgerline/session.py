@@ -78,21 +78,37 @@ def clear_folders(spark: SparkSession) -> None:
         path.getFileSystem(conf).delete(path, True)
 
 
+def release(*frames: DataFrame) -> None:
+    """Delete the folders of results of :func:`kept` that nothing reads any more."""
+    for df in frames:
+        spark, folder = df.sparkSession, df.kept_folder
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        _made.remove(folder)
+
+
 _DROP_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
-def kept(df: DataFrame, label: str, by: str | None = None) -> DataFrame:
+def kept(df: DataFrame, label: str, by: str | None = None, batch: int | None = None) -> DataFrame:
     """Write a result that several steps read, and read it back.
 
-    Folders stay until :func:`clear_folders`.  Whatever comes after neither repeats the work before it
-    nor depends on an executor that holds it in memory; nothing reads the write's own shuffle files
-    again, so they are removed as soon as it is done.  ``by`` names a column with a folder for each value.
+    Folders stay until :func:`clear_folders` or :func:`release`.  Whatever comes after neither repeats the
+    work before it nor depends on an executor that holds it in memory; nothing reads the write's own shuffle
+    files again, so they are removed as soon as it is done.  ``by`` names a column with a folder for each
+    value; ``batch`` is how many rows go to Python at a time, where these are large.
     """
     spark, path = df.sparkSession, fresh_folder(df.sparkSession, label)
-    before = spark.conf.get(_DROP_SHUFFLES, "false")
-    spark.conf.set(_DROP_SHUFFLES, "true")
+    settings = {_DROP_SHUFFLES: "true"} | ({_BATCH: str(batch)} if batch else {})
+    before = {name: spark.conf.get(name, None) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
     try:
         df.write.parquet(path, partitionBy=by)
     finally:
-        spark.conf.set(_DROP_SHUFFLES, before)
-    return spark.read.schema(df.schema).parquet(path)
+        for name, value in before.items():
+            spark.conf.set(name, value) if value is not None else spark.conf.unset(name)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.kept_folder = path
+    return out

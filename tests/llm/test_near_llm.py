@@ -1,10 +1,12 @@
 import re
+import tracemalloc
 from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
 from conftest import ODD
 
+from ledgerline import session
 from ledgerline.llm import near, passages
 from ledgerline.llm.components import components
 
@@ -262,3 +264,78 @@ def test_recall_behind_smaller_documents_that_quote_the_passage(spark, n, quoted
     found = passages.passages(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
     caught = {r.doc_id for r in found if r.doc_id % 5 == 4 and r.first_id == r.doc_id - 1}
     assert len(caught) >= 0.95 * pairs
+
+
+def test_lines_repeated_in_both_texts_take_little_memory():
+    """A word said thousands of times in two texts has millions of pairs of runs; few are held at a time."""
+    def text(tag):
+        numbers = [f"{tag}{i}" for i in range(200)]
+        return " ".join(numbers[:100] + ["thor"] * 3000 + numbers[100:] + ["thor"] * 500).encode()
+
+    (a, _, _), (b, _, _) = (passages.words([text(t)])[:3] for t in "xy")
+    passages.alike(a[:300], b[:300])
+    tracemalloc.start()
+    found = passages.alike(a, b)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    covered = {w for s, e, _, _ in found for w in range(s, e)}
+    assert covered >= set(range(100, 3100)) | set(range(3200, 3700))
+    assert peak < 120e6
+
+
+def test_links_are_the_same_in_small_pieces():
+    random = np.random.default_rng(5)
+    line = [f"l{i}" for i in range(7)]
+    texts = [[w for _ in range(40) for w in (*line, *(f"{t}{x}" for x in random.integers(0, 30, int(random.integers(0, 4)))))] for t in "ab"]
+    a, b = (passages.words([" ".join(t).encode()])[0] for t in texts)
+    want = passages.alike(a, b)
+    old, passages.LINKS, passages.PIECES = (passages.LINKS, passages.PIECES), 8, 2
+    try:
+        assert passages.alike(a, b) == want
+    finally:
+        passages.LINKS, passages.PIECES = old
+
+
+def test_passages_of_a_pair_are_joined_as_the_query_joins_them(spark):
+    random = np.random.default_rng(6)
+    found = [(int(s), int(s + n), int(s + d), None) for s, n, d in zip(random.integers(0, 300, 200), random.integers(50, 60, 200), random.integers(0, 4, 200))]
+    found += [(5, 70, 9, 80)]
+    rows = [(2, 1, s, e, t, end, s * 3, e * 3, 7) for s, e, t, end in found]
+    schema = "doc_id long, first_id long, start_word long, end_word long, first_word long, first_end long, start_byte long, end_byte long, text_hash long"
+    names = ["start_word", "end_word", "first_word"]
+    want = {tuple(r) for r in passages.merged(spark.createDataFrame(rows, schema)).select(names).collect()}
+    got = passages._straightened(found)
+    assert {tuple(r[:3]) for r in got.tolist() if r[3] < 0} == want
+    assert [r for r in got.tolist() if r[3] >= 0] == [[5, 70, 9, 80]]
+
+
+def test_copies_have_the_passages_of_their_original(spark):
+    """Copies aren't compared; each has its original's passages and the whole text as the original's."""
+    p = [f"p{i}" for i in range(60)]
+    original = " ".join([f"a{i}" for i in range(40)] + p + [f"b{i}" for i in range(40)])
+    rows = [(1, " ".join([f"c{i}" for i in range(30)] + p)), (2, original), *((i, original) for i in range(3, 9))]
+    rows += [(10, "short"), (11, "short"), (2, original)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    found = passages.merged(passages.passages(docs)).collect()
+    got = {(r.doc_id, r.first_id, r.start_word, r.end_word, r.first_word) for r in found}
+    assert got == {(i, 1, 40, 100, 30) for i in range(2, 9)} | {(i, 2, 0, 140, 0) for i in range(3, 9)}
+    left = {r.doc_id: r.text for r in passages.cut_passages(docs).collect()}
+    assert all(left[i] == "" for i in range(3, 9)) and left[2].split() == [w for w in original.split() if w not in p]
+    assert left[11] == "short"
+
+
+def test_no_join_is_broadcast_by_its_size(spark, monkeypatch):
+    """Plans that change with the size of a table move more at scale than small runs tell; folders don't add up."""
+    plans, folders = [], []
+
+    def kept(df, label, by=None, batch=None):
+        plans.append(df._jdf.queryExecution().sparkPlan().toString())
+        folders.append(session.kept(df, label, by, batch))
+        return folders[-1]
+
+    monkeypatch.setattr(passages, "kept", kept)
+    text = " ".join(f"w{i}" for i in range(80))
+    docs = spark.createDataFrame([(1, text), (2, "before " + text)], "doc_id bigint, text string")
+    assert passages.merged(passages.passages(docs)).count() == 1
+    assert plans and not any("Broadcast" in p for p in plans)
+    assert sum(f.kept_folder in session._made for f in folders) < len(folders) / 2

@@ -42,6 +42,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from heapq import heappop, heappush
+from itertools import pairwise
 
 import numpy as np
 import pandas as pd
@@ -56,12 +57,13 @@ SHINGLES = LEAST - WIDTH + 1
 SEEDS = tuple(mix(np.arange(1, 7, dtype=np.uint64)).tolist())
 ENOUGH = 2  # hash functions that must agree
 OTHER = 4  # shingles in common that make up for one that isn't, at a similarity of 0.8
-SLICE = 256  # pairs of texts split into words at a time
+SLICE = 128  # pairs of texts split into words at a time
 WINDOWS, SIX, WORDS = "windows", "six", "words"  # what open stretches are listed by
 MATCHES = 1 << 18  # equal shingles of a pair of texts held at a time
-LINKS, PIECES = 1 << 14, 32  # pairs of runs that are worked out at a time, and how often they are held
+LINKS, PIECES = 1 << 13, 32  # pairs of runs that are worked out at a time, and how often they are held
 ROWS = 2048  # texts that are sent to Python at a time
-GROUP_BYTES = 1 << 20  # text whose windows are listed at a time
+GROUP_BYTES = 1 << 18  # text whose windows are listed at a time
+BLOCK = 1 << 17  # text split into words at a time
 
 
 def _runs(hashes: np.ndarray, starts: np.ndarray, length: int) -> np.ndarray:
@@ -73,14 +75,13 @@ def _runs(hashes: np.ndarray, starts: np.ndarray, length: int) -> np.ndarray:
 
 
 def _window_minima(values: np.ndarray, size: int) -> np.ndarray:
-    """The least value of each run of `size` values (prefix and suffix minima of blocks)."""
-    n = len(values)
-    padded = np.full(-(-n // size) * size, np.uint64(0xFFFFFFFFFFFFFFFF))
-    padded[:n] = values
-    rows = padded.reshape(-1, size)
-    before = np.minimum.accumulate(rows, axis=1).ravel()
-    after = np.minimum.accumulate(rows[:, ::-1], axis=1)[:, ::-1].ravel()
-    return np.minimum(after[: n - size + 1], before[size - 1 : n])
+    """The least value of each run of `size` values, from runs of 1, 2, 4 and so on."""
+    known = 1
+    while 2 * known <= size:
+        values = np.minimum(values[:-known], values[known:])
+        known *= 2
+    rest = size - known
+    return np.minimum(values[: len(values) - rest], values[rest:])
 
 
 def compact_windows(hashes: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -96,10 +97,11 @@ def compact_windows(hashes: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray,
     starts = np.flatnonzero(text[: n - LEAST + 1] == text[LEAST - 1 :])
     of = text[starts]
     shingles = _runs(hashes, np.arange(n - WIDTH + 1), WIDTH)
+    turn = of[1:] != of[:-1]
     parts = []
     for function, seed in enumerate(SEEDS):
         least = _window_minima(mix(shingles ^ np.uint64(seed)), SHINGLES)[starts]
-        new = np.flatnonzero(np.append(True, (least[1:] != least[:-1]) | (of[1:] != of[:-1]))) if len(starts) else starts
+        new = np.flatnonzero(np.append(True, (least[1:] != least[:-1]) | turn)) if len(starts) else starts
         last = np.append(new[1:], len(starts))[: len(new)] - 1
         key = mix(least[new] * np.uint64(0x9E3779B97F4A7C15) + np.uint64(function)).view(np.int64)
         begin = bounds[of[new]]
@@ -131,7 +133,8 @@ def _first_of(rows: DataFrame, key: str) -> DataFrame:
 def _meetings(rows: DataFrame, label: str) -> tuple[DataFrame, DataFrame]:
     """The rows that share a key with a smaller doc_id, and the smallest one that has the key; the shared keys."""
     shared = kept(_first_of(rows, "key"), label, batch=ROWS)
-    return rows.join(shared.hint("merge"), "key").filter("doc_id > first_id"), shared
+    # each key is there once, so that no task's table outgrows the others'
+    return rows.join(shared.hint("shuffle_hash"), "key").filter("doc_id > first_id"), shared
 
 
 def _together(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -156,50 +159,147 @@ def _together(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tail = table.slice(int(open_end[0])).combine_chunks().to_batches()[0] if len(open_end) else None
 
 
-def _equal_runs(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Rows (first shingle in a, in b, shingles) of the runs of equal shingles, by their places in a."""
-    order = np.argsort(b, kind="stable")
-    low, high = np.searchsorted(b[order], a, "left"), np.searchsorted(b[order], a, "right")
-    counts = high - low
-    piece = np.cumsum(counts) // MATCHES
-    parts = [np.zeros((0, 3), np.int64)]
-    for k in np.unique(piece[counts > 0]).tolist():
-        own = np.flatnonzero((piece == k) & (counts > 0))
-        n = counts[own]
-        i = np.repeat(own, n)
-        j = order[np.arange(len(i)) + np.repeat(low[own] - np.cumsum(n) + n, n)]
-        parts.append(_joined(np.stack([i, j, np.ones_like(i)], axis=1)))
-    runs = _joined(np.concatenate(parts))
-    return runs[np.lexsort((runs[:, 1], runs[:, 0]))]
-
-
-def _joined(runs: np.ndarray) -> np.ndarray:
-    """Runs that follow each other on a diagonal as one."""
-    runs = runs[np.lexsort((runs[:, 0], runs[:, 0] - runs[:, 1]))]
-    i, j, length = runs.T
-    new = np.flatnonzero(np.append(True, (i[1:] != i[:-1] + length[:-1]) | (j[1:] != j[:-1] + length[:-1]))[: len(i)])
-    return np.stack([i[new], j[new], np.add.reduceat(length, new) if len(new) else length], axis=1)
+def _first_equal(hashes: np.ndarray) -> np.ndarray:
+    """For each hash the place of the first that equals it; those that meet another in the table are dealt again."""
+    out = np.empty(len(hashes), np.int64)
+    rest, bits = np.arange(len(hashes))[::-1], 1 + len(hashes).bit_length()
+    table, values, turn = np.zeros(1 << bits, np.int32), hashes[::-1], 0
+    while len(rest):
+        slot = (values >> np.uint64(64 - bits)).view(np.int64)
+        table[slot] = rest  # of several the last is kept, which is the first place
+        first = table[slot]
+        out[rest] = first
+        turn += 1
+        rest = rest[hashes[first] != hashes[rest]]
+        values = mix(hashes[rest] + np.uint64(turn))
+    return out
 
 
-def _chains(runs: np.ndarray, n: int, m: int) -> Iterator[tuple[int, int, int, int | None]]:
-    """Chains of runs that are passages of texts of n and m words.
+class _Texts:
+    """The word hashes of some texts, with equal shingles, 50-word runs and windows numbered alike.
 
-    (start in a, end in a, start in b, end in b), in words; the last is None for chains on one diagonal.
+    Each text is hashed and numbered once; a pair looks its numbers up in a table of the other text's places.
     """
-    i, j, length = runs.T
+
+    def __init__(self, lists: list[np.ndarray]):
+        bounds = np.cumsum([0, *(len(x) for x in lists)])
+        hashes = np.concatenate([*lists, np.zeros(0, np.uint64)])
+        self.words = lists
+        self.numbers, self.places = {}, {}
+        for length in (WIDTH, LEAST):
+            runs = _runs(hashes, np.arange(max(0, len(hashes) - length + 1)), length)
+            self._number(length, runs, bounds[:-1], bounds[1:] - length + 1)
+        of, *columns = compact_windows(hashes, bounds)
+        order = np.argsort(of, kind="stable")
+        columns = [c[order] for c in columns]
+        cut = np.searchsorted(of[order], np.arange(len(lists) + 1))
+        self.windows = [[c[a:b] for c in columns] for a, b in zip(cut[:-1], cut[1:])]
+        self._number(WINDOWS, columns[1], cut[:-1], cut[1:])
+        self.sixes: dict[int, np.ndarray] = {}
+        self.other: int | None = None
+
+    def _number(self, kind: int | str, values: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> None:
+        numbers = _first_equal(values.view(np.uint64))
+        self.numbers[kind] = [numbers[a : max(a, b)] for a, b in zip(begins.tolist(), ends.tolist())]
+        self.places[kind] = np.full(len(values), -1)
+
+    def against(self, other: int) -> None:
+        """Hold the texts that come against this one."""
+        if other == self.other:
+            return
+        for kind, places in self.places.items():
+            if self.other is not None:
+                places[self.numbers[kind][self.other]] = -1
+            numbers = self.numbers[kind][other]
+            places[numbers[::-1]] = np.arange(len(numbers) - 1, -1, -1)
+        self.other = other
+        first = self.first_places(WIDTH, other)
+        self.counts = np.bincount(first, minlength=len(first))
+        self.repeats = bool((self.counts == 0).any())
+        if self.repeats:
+            self.order = np.argsort(first, kind="stable")
+            self.starts = np.cumsum(self.counts) - self.counts
+
+    def first_places(self, kind: int | str, text: int) -> np.ndarray:
+        """The first place of each of a text's numbers in the other text, or -1."""
+        return self.places[kind][self.numbers[kind][text]]
+
+    def six(self, text: int) -> np.ndarray:
+        if text not in self.sixes:
+            self.sixes[text] = _sixes(self.windows[text], len(self.words[text]))
+        return self.sixes[text]
+
+    def equal_runs(self, first: np.ndarray) -> np.ndarray:
+        """Rows (first shingle here, in the other, shingles) of the runs of equal shingles, by their places here."""
+        own = np.flatnonzero(first >= 0)
+        at = first[own]
+        counts = self.counts[at]
+        if not self.repeats or not (counts > 1).any():
+            return _joined(own, at, np.ones_like(own))
+        sums = np.cumsum(counts)
+        parts, pieces = [], range(int(sums[-1]) // MATCHES + 1)
+        for a, b in pairwise(np.searchsorted(sums, [k * MATCHES for k in (*pieces, len(pieces))]).tolist()):
+            n = counts[a:b]
+            i = np.repeat(own[a:b], n)
+            j = self.order[np.arange(len(i)) + np.repeat(self.starts[at[a:b]] - np.cumsum(n) + n, n)]
+            by = _by_diagonal(i, j)
+            parts.append(_joined(i[by], j[by], np.ones_like(i)))
+        runs = parts[0]
+        if len(parts) > 1:
+            i, j, length = np.concatenate(parts).T
+            by = _by_diagonal(i, j)
+            runs = _joined(i[by], j[by], length[by])
+        return runs[np.argsort(runs[:, 0] * len(self.counts) + runs[:, 1])]
+
+
+def _by_diagonal(i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """The order by diagonals; rows of one diagonal stay as they come, which is by i."""
+    diagonal = i - j
+    if len(i) and max(i.max(), j.max()) < 1 << 15:
+        diagonal = diagonal.astype(np.int16)  # which numpy sorts in one pass
+    return np.argsort(diagonal, kind="stable")
+
+
+def _joined(i: np.ndarray, j: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """Runs that follow each other on a diagonal as one; rows come by diagonal, or have one place each in both texts."""
     ends, there = i + length, j + length
-    # a's shingles alone bound the score: 1 for one that b has too, -4 for another
-    has = np.zeros(n + 1, np.int64)
-    np.add.at(has, i, 1)
-    np.subtract.at(has, ends, 1)
-    total = np.append(0, np.cumsum(np.where(np.cumsum(has) > 0, 1, -OTHER)))
+    new = np.flatnonzero(np.append(True, (i[1:] != ends[:-1]) | (j[1:] != there[:-1]))[: len(i)])
+    last = np.append(new[1:], len(i))[: len(new)] - 1
+    return np.stack([i[new], j[new], ends[last] - i[new]], axis=1)
+
+
+def _may_begin(first: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Where a passage of a text of n words may begin, and the score's sums and best ends that tell it.
+
+    The text's own shingles bound the score: 1 for one that the other has too, -4 for another.
+    """
+    has = np.full(n + 1, -OTHER)
+    has[: len(first)][first >= 0] = 1
+    total = np.zeros(n + 2, np.int64)
+    np.cumsum(has, out=total[1:])
     ahead = np.maximum.accumulate(total[::-1])[::-1]
     most = LEAST - 2 * WIDTH + 1
-    begins = i[(i + most <= n) & (ahead[np.minimum(i + most, n)] >= total[i])]
+    begins = np.zeros(n + 1, bool)
+    if n >= most:
+        begins[: n - most + 1] = (has[: n - most + 1] > 0) & (ahead[most : n + 1] >= total[: n - most + 1])
+    return begins, total, ahead
+
+
+def _chains(
+    runs: np.ndarray, n: int, m: int, may: np.ndarray, total: np.ndarray, ahead: np.ndarray
+) -> Iterator[tuple[int, int, int, int | None]]:
+    """Chains of runs that are passages of texts of n and m words; the rest is what `_may_begin` gives.
+
+    (start in a, end in a, start in b, end in b), in words; the last is None for chains on one diagonal.
+    """
+    i, j, length = runs.T
+    ends, there = i + length, j + length
+    begins = i[may[i]]
     if not len(begins):
         return
     links = _Links(runs)
     done, begins = -1, set(begins.tolist())
+    least = (total[ends] - ahead[ends]).tolist()  # a chain with less never makes up for it
     i, j, length, ends, there = (x.tolist() for x in (i, j, length, ends, there))
     for p in range(len(runs)):
         if ends[p] <= done or i[p] not in begins:
@@ -209,8 +309,8 @@ def _chains(runs: np.ndarray, n: int, m: int) -> Iterator[tuple[int, int, int, i
         while todo:
             q = heappop(todo)
             value, bent = score[q]
-            if value < total[ends[q]] - ahead[ends[q]]:
-                continue  # never makes up for it
+            if value < least[q]:
+                continue
             s, e, t, end = i[p], ends[q] + WIDTH - 1, j[p], there[q] + WIDTH - 1
             short = max(0, LEAST - (e - s), LEAST - (end - t))
             behind = min(short, n - e, m - end)
@@ -236,62 +336,73 @@ class _Links:
     """
 
     def __init__(self, runs: np.ndarray):
-        self.runs = runs
-        i, _, length = runs.T
+        self.i, self.j, self.length = i, j, length = np.ascontiguousarray(runs.T)
+        self.ends, self.there = i + length, j + length
         # a run that is shorter than the gap before it or behind it doesn't carry a chain on
         last = np.searchsorted(i, i + 2 * length + 2 * WIDTH, "right")
         self.counts = np.maximum(last - np.arange(len(runs)) - 1, 0)
         self.piece = np.cumsum(self.counts) // LINKS
-        self.known: dict[int, tuple[int, np.ndarray, np.ndarray, np.ndarray]] = {}
+        self.of = self.piece.tolist()
+        self.known: dict[int, tuple[int, list[int], list[int], list[int]]] = {}
 
     def behind(self, run: int) -> Iterator[tuple[int, int]]:
-        if not self.counts[run]:
-            return iter(())
-        piece = int(self.piece[run])
+        piece = self.of[run]
         if piece not in self.known:
             if len(self.known) == PIECES:
                 del self.known[next(iter(self.known))]
             self.known[piece] = self._of(piece)
         start, bounds, to, gain = self.known[piece]
         part = slice(bounds[run - start], bounds[run - start + 1])
-        return zip(to[part].tolist(), gain[part].tolist())
-
-    def _of(self, piece: int) -> tuple[int, np.ndarray, np.ndarray, np.ndarray]:
-        start, stop = np.searchsorted(self.piece, [piece, piece + 1])
-        i, j, length = self.runs.T
-        c = self.counts[start:stop]
-        r = np.repeat(np.arange(start, stop), c)
-        q = np.arange(len(r)) - np.repeat(np.cumsum(c) - c, c) + r + 1
-        ends, there = i[r] + length[r], j[r] + length[r]
-        over = np.maximum(0, np.maximum(ends - i[q], there - j[q]))
-        here_gap, there_gap, rest = i[q] + over - ends, j[q] + over - there, length[q] - over
+        return zip(to[part], gain[part])
+
+    def _of(self, piece: int) -> tuple[int, list[int], list[int], list[int]]:
+        start, stop = np.searchsorted(self.piece, [piece, piece + 1]).tolist()
+        own, c = slice(start, stop), self.counts[start:stop]
+        q = np.arange(c.sum()) + np.repeat(np.arange(start + 1, stop + 1) - np.cumsum(c) + c, c)
+        there = self.there[own]
+        near = (self.there[q] > np.repeat(there, c)) & (self.j[q] <= np.repeat(there + self.length[own] + 2 * WIDTH, c))
+        near = np.flatnonzero(near & (self.ends[q] > np.repeat(self.ends[own], c)))
+        r, q = np.repeat(np.arange(start, stop), c)[near], q[near]
+        i, j, ends, there = self.i[q], self.j[q], self.ends[r], self.there[r]
+        over = np.maximum(0, np.maximum(ends - i, there - j))
+        here_gap, there_gap, rest = i + over - ends, j + over - there, self.length[q] - over
         wide = np.maximum(here_gap, there_gap) - WIDTH + 1
-        fits = np.flatnonzero((rest > 0) & (wide <= np.minimum(rest, length[r]) + WIDTH - 1))
+        fits = np.flatnonzero((rest > 0) & (wide <= np.minimum(rest, self.length[r]) + WIDTH - 1))
         gain = rest[fits] - OTHER * (here_gap[fits] + there_gap[fits])
-        return int(start), np.searchsorted(r[fits], np.arange(start, stop + 1)), q[fits], gain
+        return start, np.searchsorted(r[fits], np.arange(start, stop + 1)).tolist(), q[fits].tolist(), gain.tolist()
 
 
 def alike(a: np.ndarray, b: np.ndarray) -> list[tuple[int, int, int, int | None]]:
     """Passages of two texts' words, as _chains gives them."""
-    if min(len(a), len(b)) < LEAST:
-        return []
-    of_a, of_b = (_runs(x, np.arange(len(x) - LEAST + 1), LEAST) for x in (a, b))
-    known, place = np.unique(of_b, return_index=True)
-    at = np.minimum(np.searchsorted(known, of_a), len(known) - 1)
-    equal = known[at] == of_a
-    found = set()
-    s = np.flatnonzero(equal)
-    if len(s):
-        t = place[at[s]]
-        new = np.flatnonzero(np.append(True, (np.diff(s) != 1) | (np.diff(t) != 1)))
-        lasts = np.append(new[1:], len(s)) - 1
-        found = {(int(s[x]), int(s[y]) + LEAST, int(t[x]), None) for x, y in zip(new, lasts)}
-    if not equal.all():
-        runs = _equal_runs(*(_runs(x, np.arange(len(x) - WIDTH + 1), WIDTH) for x in (a, b)))
-        # a passage of 50 words has 41 shingles in common
-        if runs[:, 2].sum() >= LEAST - 2 * WIDTH + 1:
-            found |= set(_chains(runs, len(a), len(b)))
-    return sorted(found, key=lambda x: x[:3])
+    texts = _Texts([a, b])
+    texts.against(1)
+    rows = {(*r[:3], r[3] if r[3] >= 0 else None) for r in _alike(texts, 0).tolist()}
+    return sorted(rows, key=lambda x: x[:3])
+
+
+def _alike(texts: _Texts, one: int) -> np.ndarray:
+    """Rows (start, end, start in the other, end there or -1) of the passages that a text shares with the other."""
+    n, m = len(texts.words[one]), len(texts.words[texts.other])
+    if min(n, m) < LEAST:
+        return np.zeros((0, 4), np.int64)
+    place = texts.first_places(LEAST, one)
+    s = np.flatnonzero(place >= 0)
+    t = place[s]
+    new = np.flatnonzero(np.append(True, (s[1:] != s[:-1] + 1) | (t[1:] != t[:-1] + 1))[: len(s)])
+    last = np.append(new[1:], len(s))[: len(new)] - 1
+    found = np.stack([s[new], s[last] + LEAST, t[new], np.full(len(new), -1)], axis=1)
+    if len(s) == len(place):
+        return found
+    first = texts.first_places(WIDTH, one)
+    may, *sums = _may_begin(first, n)
+    if not may.any():
+        return found
+    runs = texts.equal_runs(first)
+    # a passage of 50 words has 41 shingles in common
+    if runs[:, 2].sum() < LEAST - 2 * WIDTH + 1:
+        return found
+    chains = dict.fromkeys((*c[:3], -1 if c[3] is None else c[3]) for c in _chains(runs, n, m, may, *sums))
+    return np.concatenate([found, np.array(list(chains), np.int64).reshape(-1, 4)])
 
 
 PASSAGE = (
@@ -301,41 +412,47 @@ PASSAGE = (
 _NAMES = [f.split()[0] for f in PASSAGE.split(", ")]
 
 
-def _shared_windows(a: list[np.ndarray], b: list[np.ndarray], n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Which windows of a text of n words another has too, and where enough functions cover a stretch."""
-    _, key, first, last = a
-    met = np.isin(key, b[1])
-    cover = np.zeros(n + 1, np.int64)
-    np.add.at(cover, first[met], 1)
-    np.subtract.at(cover, last[met] + 1, 1)
+def _shared_windows(texts: _Texts, one: int) -> tuple[np.ndarray, np.ndarray]:
+    """Which windows of a text the other has too, and where enough functions cover a stretch."""
+    _, _, first, last = texts.windows[one]
+    met = texts.first_places(WINDOWS, one) >= 0
+    n = len(texts.words[one]) + 1
+    cover = np.bincount(first[met], minlength=n) - np.bincount(last[met] + 1, minlength=n)
     return met, np.cumsum(cover) >= ENOUGH
 
 
-def _inside(first: np.ndarray, last: np.ndarray, found: list[tuple]) -> np.ndarray:
+def _inside(first: np.ndarray, last: np.ndarray, found: np.ndarray) -> np.ndarray:
     """Which stretches of words lie within a passage."""
-    if not found:
+    if not len(found) or not len(first):
         return np.zeros(len(first), bool)
-    begins, ends = np.array([f[:2] for f in sorted(found, key=lambda f: f[0])]).T
+    begins, ends = found[np.argsort(found[:, 0]), :2].T
     before = np.searchsorted(begins, first, "right")
     return (before > 0) & (np.maximum.accumulate(ends)[before - 1] >= last)
 
 
-def _straightened(found: list[tuple]) -> np.ndarray:
-    """Rows (start, end, start in the other, end there or -1); passages that overlap on one diagonal are one."""
-    rows = np.array([f if f[3] is not None else (*f[:3], -1) for f in found], np.int64).reshape(-1, 4)
-    bent, rows = rows[rows[:, 3] >= 0], rows[rows[:, 3] < 0]
+def _straightened(found: list[tuple] | np.ndarray) -> np.ndarray:
+    """Rows (start, end, start in the other, end there or -1); passages that overlap on one diagonal are one.
+
+    A fifth column tells pairs of texts apart.
+    """
+    if isinstance(found, list):
+        found = np.array([f if f[3] is not None else (*f[:3], -1) for f in found], np.int64).reshape(-1, 4)
+    bent, rows = found[found[:, 3] >= 0], found[found[:, 3] < 0]
     if not len(rows):
         return bent
-    begin, end, there, _ = rows.T
-    order = np.lexsort((begin, begin - there))
-    begin, end, there = begin[order], end[order], there[order]
-    turn = np.append(True, np.diff(begin - there) != 0)
+    pair = rows[:, 4] if rows.shape[1] > 4 else np.zeros(len(rows), np.int64)
+    begin, end, there = rows.T[:3]
+    order = np.lexsort((begin, begin - there, pair))
+    rows, pair = rows[order], pair[order]
+    begin, end, there = rows.T[:3]
+    turn = np.append(True, (np.diff(begin - there) != 0) | (np.diff(pair) != 0))
     # ends of one diagonal are all above those of the ones before it
     above = np.cumsum(turn) * (int(end.max()) + 1)
     reach = np.maximum.accumulate(end + above) - above
     new = np.flatnonzero(turn | np.append(True, begin[1:] > reach[:-1]))
     last = np.append(new[1:], len(begin)) - 1
-    straight = np.column_stack([begin[new], reach[last], there[new], np.full(len(new), -1)])
+    straight = rows[new]
+    straight[:, 1] = reach[last]
     return np.concatenate([straight, bent])
 
 
@@ -349,23 +466,21 @@ def _sixes(windows: list[np.ndarray], n: int) -> np.ndarray:
 
 
 def _open_stretches(
-    listing: str, a: np.ndarray, windows: list[np.ndarray], others: list[np.ndarray], met: np.ndarray, enough: np.ndarray,
-    found: list[tuple], n_other: int,
+    listing: str, texts: _Texts, one: int, met: np.ndarray, enough: np.ndarray, found: np.ndarray
 ) -> tuple[np.ndarray, np.ndarray | None, np.ndarray]:
     """(start, function, key) of what no passage found holds, as the next listing wants it."""
-    function, key, low, high = (c[met] for c in windows)
+    function, key, low, high = (c[met] for c in texts.windows[one])
     still = ~_inside(low, high + LEAST, found)
     if listing == WINDOWS:
         return low[still], function[still], key[still]
-    n = len(a) - LEAST + 1
-    cover = np.zeros(max(n, 0) + 1, np.int64)
-    np.add.at(cover, low[still], 1)
-    np.subtract.at(cover, high[still] + 1, 1)
-    starts = np.flatnonzero((np.cumsum(cover)[:-1] > 0) & enough[:n]) if n > 0 else np.zeros(0, np.int64)
+    a = texts.words[one]
+    n = max(0, len(a) - LEAST + 1)
+    cover = np.bincount(low[still], minlength=n + 1) - np.bincount(high[still] + 1, minlength=n + 1)
+    starts = np.flatnonzero((np.cumsum(cover)[:n] > 0) & enough[:n])
     starts = starts[~_inside(starts, starts + LEAST, found)]
-    six = _sixes(windows, len(a))[starts]
+    six = texts.six(one)[starts]
     if listing == WORDS:
-        starts = starts[np.isin(six, _sixes(others, n_other))]
+        starts = starts[np.isin(six, texts.six(texts.other))]
         return starts, None, _runs(a, starts, LEAST).view(np.int64)
     new = np.flatnonzero(np.append(True, six[1:] != six[:-1])[: len(six)])
     return starts[new], None, six[new].view(np.int64)
@@ -380,44 +495,36 @@ def _verified(listing: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.
     these with the first text, by their words.  Texts and pairs that occur again in a slice are worked out once.
     """
 
-    def texts_of(texts: list[bytes]) -> dict[bytes, tuple]:
-        texts = list(dict.fromkeys(texts))
-        lists = list(word_lists(texts))
-        bounds = np.cumsum([0, *(len(x[0]) for x in lists)])
-        of, *columns = compact_windows(np.concatenate([x[0] for x in lists]), bounds)
-        order = np.argsort(of, kind="stable")
-        cut = np.searchsorted(of[order], np.arange(len(lists) + 1))
-        columns = [c[order] for c in columns]
-        return {t: (lists[i], [c[cut[i] : cut[i + 1]] for c in columns]) for i, t in enumerate(texts)}
-
-    def compared(one: tuple, other: tuple) -> tuple[np.ndarray, tuple]:
-        (a, first, last), windows = one
-        (b, _, _), others = other
-        met, enough = _shared_windows(windows, others, len(a))
-        found = alike(a, b) if enough.any() else []
-        rows = _straightened(found)
-        rows = np.column_stack([rows, first[rows[:, 0]], last[rows[:, 1] - 1]])
-        return rows, _open_stretches(listing, a, windows, others, met, enough, found, len(b))
+    def compared(texts: _Texts, one: int, other: int) -> tuple[np.ndarray, tuple]:
+        texts.against(other)
+        met, enough = _shared_windows(texts, one)
+        found = _alike(texts, one) if enough.any() else np.zeros((0, 4), np.int64)
+        return found, _open_stretches(listing, texts, one, met, enough, found)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (b.slice(at, SLICE) for b in batches for at in range(0, b.num_rows, SLICE)):
             ids = batch.column(0).to_pylist()
             here, there = (batch.column(i).cast(pa.binary()).to_pylist() for i in (3, 4))
-            known = texts_of(here + there)
-            done: dict[tuple[bytes, bytes], tuple] = {}
+            number = {t: i for i, t in enumerate(dict.fromkeys(here + there))}
+            lists, firsts, lasts = zip(*word_lists(list(number), BLOCK))
+            texts = _Texts(list(lists))
+            done: dict[tuple[int, int], tuple] = {}
             passed: list[np.ndarray] = []
             opened: list[tuple] = []
-            for doc_id, one, other in zip(ids, here, there):
-                if (one, other) not in done:
-                    done[one, other] = compared(known[one], known[other])
-                found, rest = done[one, other]
+            for doc_id, pair in zip(ids, ((number[a], number[b]) for a, b in zip(here, there))):
+                if pair not in done:
+                    done[pair] = compared(texts, *pair)
+                found, rest = done[pair]
                 passed.append(found)
                 opened.append((doc_id, *rest))
-            rows = np.concatenate(passed)
+            of = np.repeat(np.arange(len(passed)), [len(p) for p in passed])
+            rows = _straightened(np.column_stack([np.concatenate(passed), of]))
             if len(rows):
-                of = pa.array(np.repeat(np.arange(len(passed)), [len(p) for p in passed]))
-                doc_id, first_id, mark = (batch.column(i).take(of).cast(pa.int64()) for i in range(3))
-                places = [pa.array(c, mask=c < 0) for c in rows.T]
+                of = rows[:, 4]
+                begins = np.cumsum([0, *(len(x) for x in lists)])[[number[t] for t in here]][of]
+                bytes_of = np.concatenate(firsts)[begins + rows[:, 0]], np.concatenate(lasts)[begins + rows[:, 1] - 1]
+                doc_id, first_id, mark = (batch.column(i).take(pa.array(of)).cast(pa.int64()) for i in range(3))
+                places = [pa.array(c, mask=c < 0) for c in (*rows.T[:4], *bytes_of)]
                 yield pa.RecordBatch.from_arrays([doc_id, first_id, *places, mark, pa.nulls(len(rows), pa.int64())], _NAMES)
             counts = [len(o[1]) for o in opened]
             if total := sum(counts):
@@ -434,17 +541,15 @@ def _verified(listing: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.
     return run
 
 
-def _compared(docs: DataFrame, pairs: DataFrame, listing: str, label: str) -> DataFrame:
-    """The rows of `_verified` for pairs (doc_id, first_id)."""
+def _compared(docs: DataFrame, pairs: DataFrame, listing: str, label: str) -> tuple[DataFrame, DataFrame]:
+    """The rows of `_verified` for pairs (doc_id, first_id), and the texts of these."""
     wanted = pairs.select("doc_id").union(pairs.select("first_id")).distinct()
     texts = kept(docs.join(wanted.hint("merge"), "doc_id").dropDuplicates(["doc_id"]), "texts")
     marked = texts.withColumn("text_hash", F.xxhash64("text"))
     others = texts.select(F.col("doc_id").alias("first_id"), F.col("text").alias("first_text"))
     both = pairs.join(marked.hint("merge"), "doc_id").join(others.hint("merge"), "first_id")
     checked = both.select("doc_id", "first_id", "text_hash", "text", "first_text")
-    out = kept(checked.mapInArrow(_verified(listing), PASSAGE), label, batch=SLICE)
-    release(texts)
-    return out
+    return kept(checked.mapInArrow(_verified(listing), PASSAGE), label, batch=SLICE), texts
 
 
 def passages(docs: DataFrame) -> DataFrame:
@@ -458,26 +563,29 @@ def passages(docs: DataFrame) -> DataFrame:
     functions = F.bit_count(F.expr("bit_or(shiftleft(1, int(function)))"))
     counted = kept(met.groupBy(*pair).agg((functions >= ENOUGH).alias("often")), "counted")
     often = counted.filter("often").select(*pair)
-    first = _compared(docs, often, WINDOWS, "first")
+    first, texts = _compared(docs, often, WINDOWS, "first")
+    release(texts)
 
-    once = met.join(counted.filter("NOT often").select(*pair).hint("merge"), pair).select("key", "doc_id", "function", "place")
+    once = met.join(counted.filter("NOT often").select(*pair).hint("shuffle_hash"), pair).select("key", "doc_id", "function", "place")
     failed = first.filter("window IS NOT NULL").selectExpr(
         "window AS key", "doc_id", "cast(first_word AS tinyint) AS function", "cast(start_word AS int) AS place"
     )
-    waiting = once.union(failed).distinct().repartition("doc_id").sortWithinPartitions("doc_id", "place")
+    waiting = once.union(failed).repartition("doc_id").distinct().sortWithinPartitions("doc_id", "place")
     together = kept(waiting.mapInArrow(_together, "key bigint, doc_id bigint"), "together")
     release(met)
     # three functions make three pairs, two make one
     rows, shared = _meetings(together, "shared")
-    several = rows.groupBy(*pair).agg(F.count_distinct("key").alias("n")).filter("n > 1")
+    several = rows.groupBy(*pair).agg((F.min("key") < F.max("key")).alias("several")).filter("several")
     again = kept(several.select(*pair).join(often.hint("merge"), pair, "left_anti"), "again")
     release(shared, together, counted)
-    second = _compared(docs, again, SIX, "second")
+    second, texts = _compared(docs, again, SIX, "second")
     release(again)
 
     # a pair compared before may meet again: what its stretches have in common isn't known yet
-    third = _compared(docs, _pairs_listed(second, "sixth"), WORDS, "third")
-    fourth = _compared(docs, _pairs_listed(third, "last"), WORDS, "fourth")
+    third, fewer = _compared(texts, _pairs_listed(second, "sixth"), WORDS, "third")
+    release(texts)
+    fourth, last = _compared(fewer, _pairs_listed(third, "last"), WORDS, "fourth")
+    release(fewer, last)
     return first.union(second).union(third).union(fourth).filter("window IS NULL").drop("window")
 
 
@@ -555,7 +663,7 @@ def cut_passages(docs: DataFrame) -> DataFrame:
 
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per document and passage: doc_id, first_id, and where it is in both, in words."""
-    found = kept(passages(spark.read.parquet(f"{sf_dir}/documents.parquet")), "found")
-    straight = merged(found).withColumn("first_end", F.expr("first_word + end_word - start_word"))
+    # a pair's passages on one diagonal are joined where it is compared; a pair compared again has the same ones
     columns = ["doc_id", "first_id", "start_word", "end_word", "first_word", "first_end"]
-    return straight.select(*columns).union(shifted(found).select(*columns))
+    found = passages(spark.read.parquet(f"{sf_dir}/documents.parquet")).select(*columns).distinct()
+    return found.withColumn("first_end", F.expr("coalesce(first_end, first_word + end_word - start_word)"))

@@ -21,6 +21,7 @@ _PLACE = np.array(
 )
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
+_VALUE = _LOWER.astype(np.uint64) + np.uint64(1)
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _powers = (np.ones(1, np.uint64), np.ones(1, np.uint64))
@@ -28,15 +29,18 @@ _powers = (np.ones(1, np.uint64), np.ones(1, np.uint64))
 
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit values that spreads every bit (splitmix64's finisher)."""
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
+    x = x ^ (x >> np.uint64(30))
+    x *= np.uint64(0xBF58476D1CE4E5B9)
+    x ^= x >> np.uint64(27)
+    x *= np.uint64(0x94D049BB133111EB)
+    x ^= x >> np.uint64(31)
+    return x
 
 
 def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     global _powers
     if len(_powers[0]) < n:
-        size = max(n, 1 << 16)
+        size = max(1 << n.bit_length(), 1 << 16)
         up, down = np.full(size, _P), np.full(size, _P_INV)
         up[0] = down[0] = 1
         _powers = (np.cumprod(up, dtype=np.uint64), np.cumprod(down, dtype=np.uint64))
@@ -52,13 +56,11 @@ def words(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nd
     lengths = np.fromiter((len(t) for t in texts), np.int64, len(texts))
     begins = np.cumsum(lengths + 1) - lengths - 1
     inside = ~_SPACE[raw]
-    edge = np.diff(inside.astype(np.int8), prepend=0)
-    first, last = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
-    if raw.size and inside[-1]:
-        last = np.append(last, raw.size)
+    edges = np.flatnonzero(np.diff(inside, prepend=False, append=False))
+    first, last = edges[::2], edges[1::2]
     up, down = _power_tables(raw.size + 1)
     sums = np.zeros(raw.size + 1, np.uint64)
-    np.cumsum((_LOWER[raw].astype(np.uint64) + np.uint64(1)) * up[: raw.size], out=sums[1:])
+    np.cumsum(_VALUE[raw] * up[: raw.size], out=sums[1:])
     hashes = mix((sums[last] - sums[first]) * down[first])
     bounds = np.searchsorted(first, np.append(begins, raw.size + 1))
     shift = np.repeat(begins, np.diff(bounds))
@@ -90,9 +92,9 @@ def groups_of(texts: list[bytes], most: int = 1 << 22) -> Iterator[tuple[int, in
         yield start, len(texts)
 
 
-def word_lists(texts: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+def word_lists(texts: list[bytes], most: int = 1 << 22) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """(hashes, first bytes, ends) of the words of each text."""
-    for a, b in groups_of(texts):
+    for a, b in groups_of(texts, most):
         hashes, first, last, bounds = words(texts[a:b])
         for i in range(b - a):
             part = slice(bounds[i], bounds[i + 1])

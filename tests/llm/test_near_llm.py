@@ -3,8 +3,10 @@ import tracemalloc
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from conftest import ODD
+from pyspark.sql import functions as F
 
 from ledgerline import session
 from ledgerline.llm import near, passages
@@ -324,3 +326,39 @@ def test_no_join_is_broadcast_by_its_size(spark, monkeypatch):
     assert passages.merged(passages.passages(docs)).count() == 1
     assert plans and not any("Broadcast" in p for p in plans)
     assert sum(f.kept_folder in session._made for f in folders) < len(folders) / 2
+
+
+def test_texts_that_meet_many_others_are_hashed_once(monkeypatch):
+    """Ten texts against twelve others: what a pair costs is looking numbers up, not hashing both texts again."""
+    common = [f"c{i}" for i in range(60)]
+    here = [" ".join([f"a{k}w{i}" for i in range(170)] + common + [f"b{k}w{i}" for i in range(170)]) for k in range(10)]
+    there = [" ".join([f"d{k}w{i}" for i in range(100)] + common + [f"e{k}w{i}" for i in range(240)]) for k in range(12)]
+    pairs = [(100 + a, b, 7, here[a], there[b]) for b in range(12) for a in range(10)]
+    batch = pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*pairs)], ["doc_id", "first_id", "text_hash", "text", "first_text"])
+    hashed, runs = [], passages._runs
+
+    def counted(hashes, starts, length):
+        hashed.append(len(starts))
+        return runs(hashes, starts, length)
+
+    monkeypatch.setattr(passages, "_runs", counted)
+    found = [r for out in passages._verified(passages.WINDOWS)(iter([batch])) for r in out.to_pylist() if r["window"] is None]
+    assert {(r["doc_id"], r["first_id"], r["start_word"], r["end_word"], r["first_word"]) for r in found} == {
+        (a, b, 170, 230, 100) for a, b, *_ in pairs
+    }
+    assert sum(hashed) < 4 * 22 * 400
+
+
+def test_the_query_gives_each_joined_passage_once(spark, root):
+    """Pairs that are compared under several listings have the same passages each time."""
+    random = np.random.default_rng(8)
+    lines = [[f"l{k}w{i}" for i in range(int(random.integers(3, 30)))] for k in range(12)]
+    rows = [(d, " ".join(w for k in random.integers(0, 12, 40) for w in (*lines[k], *(f"x{x}" for x in random.integers(0, 50, 2))))) for d in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    docs.write.parquet(f"{root}/documents.parquet")
+    pieces = passages.passages(docs).cache()
+    columns = ["doc_id", "first_id", "start_word", "end_word", "first_word", "first_end"]
+    straight = passages.merged(pieces).withColumn("first_end", F.expr("first_word + end_word - start_word"))
+    want = straight.select(*columns).union(passages.shifted(pieces).select(*columns)).collect()
+    got = passages.op2_substring_dedup(spark, root).select(*columns).collect()
+    assert len(want) > 50 and sorted(got) == sorted(want)

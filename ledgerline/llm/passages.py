@@ -27,8 +27,9 @@ is n >= 4m, so a chain's score is a sum over its runs and gaps.
 
 What is moved: narrow rows for windows, and the two texts of a pair that met twice.  Counting keys is
 combined on the map side and the rows of a hot key are joined to a written table, which Spark splits.
-All joins are sort-merge joins, so that no size of table has a plan of its own; what was written for one
-listing is deleted after it.  Python is sent some hundred pairs of texts at a time.
+Joins are sort-merge joins, or hash joins dealt by key where one side has each key once, so that no size of
+table has a plan of its own; what was written for one listing is deleted after it.  Python is sent some hundred
+pairs of texts at a time and hashes and numbers each text among them once.
 
 Result: one row per document and repeated passage, with the first document that holds it.
 
